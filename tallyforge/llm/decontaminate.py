@@ -31,7 +31,8 @@ from tallyforge.llm.common import table, utf8
 
 WIDTH = 10
 MAX_BYTES = 64 << 20
-WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+#: The same words in the original text, where A-Z is not lowered yet.
+WORD = re.compile(rb"[0-9A-Za-z\x80-\xFF]+")
 #: Lower-cases A-Z and blanks every byte between words.
 NORMAL = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c > 127 else 32 for c in range(256))
 HITS_SQL = "n_words long, n_hit long, items array<long>, spans array<struct<start:long,end:long>>"
