@@ -1,8 +1,57 @@
-"""Placeholder until the stages exist."""
+"""A corpus from raw documents to packed sequences, in stages over whole tables.
 
-STAGES: list = []
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame; its rows are
+written as Parquet and read again as the next stage's docs. All stages but the
+last return the columns of `documents`.
+
+language       documents without letters, or of no sure language, go
+near_copies    one document of each near-duplicate class stays, the one of least id
+decontaminate  documents that hold a window of a benchmark item go
+pack           documents are packed into sequences
+
+Language ID and tokenisation have no SQL form, so ORACLE_SQL is None;
+tests/llm/test_pipeline.py holds the stages against brute force.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tallyforge.llm.common import store, table
+from tallyforge.llm.crf_language import UNKNOWN, predict_language
+from tallyforge.llm.decontaminate import find_contamination
+from tallyforge.llm.ngram_join import keep_one
+from tallyforge.llm.packing import pack
+
+#: Mean probability of a document's language from which it is kept.
+SURE = 0.4
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    found = predict_language(docs, F.lit(True), F.col("doc_id"), result="__language")
+    return found.filter((F.col("__language.lang") != UNKNOWN) & (F.col("__language.score") >= SURE)).select(*docs.columns)
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return keep_one(docs).select(*docs.columns)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    found = find_contamination(docs, table(spark, sf_dir, "benchmark"), result="__contamination")
+    return found.filter(F.col("__contamination.n_hit") == 0).select(*docs.columns)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return pack(docs)
+
+
+STAGES = [("language", language), ("near_copies", near_copies), ("decontaminate", decontaminate), ("pack", packed)]
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for _, stage in STAGES[:-1]:
+        docs = store(stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)

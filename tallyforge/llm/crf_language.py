@@ -252,18 +252,18 @@ class Predictor:
 _PREDICTORS: dict[int, Predictor] = {}
 
 
-def predict_language(docs: DataFrame, training: Column, key: Column, text: str = "text", lang: str = "lang", keep: list[str] | None = None, segments: bool = False, sample_docs: int = SAMPLE_DOCS, sample_words: int = SAMPLE_WORDS) -> DataFrame:
-    """The columns of `docs` in `keep` (all, if not given), and a struct `language` of lang, score, segments.
+def predict_language(docs: DataFrame, training: Column, key: Column, text: str = "text", lang: str = "lang", keep: list[str] | None = None, segments: bool = False, sample_docs: int = SAMPLE_DOCS, sample_words: int = SAMPLE_WORDS, result: str = "language") -> DataFrame:
+    """The columns of `docs` in `keep` (all, if not given; not one named as the result), and a struct `result` of lang, score, segments.
 
     `training` is a boolean column; `key` numbers the rows for sampling and is no
     feature. Segments, runs of words of one language in code-switched text, are
     null unless asked for.
     """
     field = fit(training_sample(docs.filter(training), lang, text, key, sample_docs, sample_words))
-    kept = docs.select(*keep) if keep is not None else docs
+    kept = (docs.select(*keep) if keep is not None else docs).drop(result)
     empty = F.struct(F.lit(UNKNOWN).alias("lang"), F.lit(0.0).alias("score"), F.lit(None).cast("array<struct<lang:string,first_word:long,n_words:long>>").alias("segments"))
     if field is None:
-        return kept.withColumn("language", empty)
+        return kept.withColumn(result, empty)
     sent = docs.sparkSession.sparkContext.broadcast(field)
     name = id(sent)
 
@@ -275,9 +275,9 @@ def predict_language(docs: DataFrame, training: Column, key: Column, text: str =
         for batch in source:
             found = predictor.predict(batch.column(batch.num_columns - 1).to_pylist(), segments)
             done = pa.StructArray.from_arrays([pa.array([f[i] for f in found], t.type) for i, t in enumerate(PREDICTED)], fields=list(PREDICTED))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], done], names=[*batch.schema.names[:-1], "language"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], done], names=[*batch.schema.names[:-1], result])
 
-    schema = kept.withColumn("language", empty).schema
+    schema = kept.withColumn(result, empty).schema
     return docs.select(*kept.columns, utf8(F.col(text)).alias("__raw")).mapInArrow(run, schema)
 
 

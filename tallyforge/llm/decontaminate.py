@@ -14,7 +14,7 @@ Words are runs of digits, ASCII letters and anything above ASCII, A-Z lowered.
 Null or empty text has no words and no hits. Items without words, or null, match
 nothing. Repeated items and windows shared by items count for each item; repeated
 documents are scanned each. An empty benchmark leaves all documents clean. All
-document columns are kept; result columns are named by the caller's prefix.
+document columns are kept, but for one that has the name of the result.
 """
 
 from __future__ import annotations
@@ -112,8 +112,8 @@ def benchmark_windows(benchmark: DataFrame, item: str = "item_id", texts: tuple[
     return long.groupBy("window").agg(F.sort_array(F.collect_set("item")).alias("items"))
 
 
-def find_contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", texts: tuple[str, ...] = ("text",), width: int = WIDTH, max_bytes: int = MAX_BYTES, keep: list[str] | None = None) -> DataFrame:
-    """The columns of `docs` in `keep` (all, if not given), and a struct `contamination` of n_words, n_hit, items and spans."""
+def find_contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", texts: tuple[str, ...] = ("text",), width: int = WIDTH, max_bytes: int = MAX_BYTES, keep: list[str] | None = None, result: str = "contamination") -> DataFrame:
+    """The columns of `docs` in `keep` (all, if not given), and a struct `result` of n_words, n_hit, items and spans."""
     spark = docs.sparkSession
     entries = [(r["window"], r["window"].count(" ") - 1, list(r["items"])) for r in benchmark_windows(benchmark, item, texts, width).collect()]
     shards: list[list] = [[]]
@@ -124,7 +124,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text"
             size = 0
         shards[-1].append(e)
         size += 8 * len(e[0])
-    docs, raw_text = (docs if keep is None else docs.select(*keep)), docs.withColumn("__raw", utf8(F.col(text)))
+    docs, raw_text = (docs if keep is None else docs.select(*keep)).drop(result), docs.withColumn("__raw", utf8(F.col(text)))
     out = raw_text.select(*docs.columns, "__raw").withColumn("__ranges", F.array().cast("array<struct<start:long,end:long>>")).withColumn("__items", F.array().cast("array<long>")).withColumn("__words", F.lit(0).cast("long"))
     for k, shard in enumerate(shards):
         sent = spark.sparkContext.broadcast(shard)
@@ -160,13 +160,13 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text"
                         spans.append(original_spans(raw.as_py(), merged) if merged else [])
                     done = pa.StructArray.from_arrays([pa.array(counts, pa.int64()), pa.array(hit, pa.int64()), columns[at["__items"]], pa.array(spans, pa.list_(SPAN))], names=["n_words", "n_hit", "items", "spans"])
                     keep = [i for i in range(len(columns)) if i not in at.values()]
-                    yield pa.RecordBatch.from_arrays([*(columns[i] for i in keep), done], names=[*(batch.schema.names[i] for i in keep), "contamination"])
+                    yield pa.RecordBatch.from_arrays([*(columns[i] for i in keep), done], names=[*(batch.schema.names[i] for i in keep), result])
                 else:
                     yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
 
         schema = out.schema
         if final:
-            schema = docs.schema.add("contamination", spark.createDataFrame([], HITS_SQL).schema)
+            schema = docs.schema.add(result, spark.createDataFrame([], HITS_SQL).schema)
         out = out.mapInArrow(run, schema)
     return out
 

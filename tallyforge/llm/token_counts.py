@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyforge.llm import encoding
-from tallyforge.llm.common import batches, table
+from tallyforge.llm.common import batches, cut, table
 
 COUNTS = pa.schema([("n_tokens", pa.int64()), ("n_docs", pa.int64())])
 BLOCK = 1024
@@ -80,7 +80,7 @@ def quantiles(limits: DataFrame, shares: tuple[float, ...]) -> DataFrame:
 
 
 def op8_length_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return context_limits(length_histogram(table(spark, sf_dir, "documents")))
+    return context_limits(cut(length_histogram(table(spark, sf_dir, "documents"))))
 
 
 QUERIES = {"op8_length_histogram": op8_length_histogram}
