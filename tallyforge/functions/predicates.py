@@ -56,3 +56,8 @@ def diagnosis(completed="completed", forced_stop="forced_stop", file_errors="out
     flawed = F.coalesce(F.size(F.map_keys(col(file_errors))), F.lit(0)) > 0
     passed = status(completed, forced_stop) == "PASS"
     return F.when(passed & flawed, "PASS*").when(passed, "PASS").otherwise("FAIL")
+
+
+def sorted_by(items: Column, key: str) -> Column:
+    """An array of structs in the order of one field, whatever the others are."""
+    return F.array_sort(items, lambda a, b: F.when(a[key] < b[key], -1).when(a[key] > b[key], 1).otherwise(0))

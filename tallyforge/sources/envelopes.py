@@ -4,22 +4,24 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-PASS = T._parse_datatype_string(
+from tallyforge.functions.predicates import sorted_by
+
+PASS = (
     "struct<task_id:string,agent:string,model:string,completed:boolean,forced_stop:boolean,error:string,"
     "input_tokens:bigint,output_tokens:bigint,total_cost_usd:double,total_duration_sec:double,iterations:int,"
     "citations_count:int,tool_calls_count:int,response_length:int,response_text:string,"
     "citations:array<struct<index:int,url:string,title:string,snippet:string>>,output_files:array<string>,"
     "output_file_path:string,output_file_errors:map<string,string>,started_at:string,completed_at:string>"
 )
-ENVELOPE = T._parse_datatype_string(
-    "struct<task_id:string,dispatched_at:string,completed_at:string,total_cost_usd:double,total_duration_sec:double,"
-    "agents_attempted:array<string>,agents_succeeded:array<string>,agents_failed:array<string>,agent_errors:map<string,string>,"
-    "config:struct<agents:array<string>,passes_per_agent:int,dry_run:boolean,mcp_server_url:string,output_files_base_dir:string>,"
-    "package:struct<task_id:string,prompt:string,research_type:string,iat_type:string,domain:string,decision_archetype:string,file_count:int,file_names:array<string>,output_formats:array<string>>,"
-    "sme_metadata:struct<sme_name:string,email:string,prompt_id:string,allocation_id:string,submitted_at:string,domain_detail:string,drive_url:string,estimated_time:string>>"
-).add("agent_results", T.MapType(T.StringType(), T.ArrayType(PASS)))
+ENVELOPE = (
+    "task_id string, dispatched_at string, completed_at string, total_cost_usd double, total_duration_sec double, "
+    "agents_attempted array<string>, agents_succeeded array<string>, agents_failed array<string>, agent_errors map<string,string>, "
+    "config struct<agents:array<string>,passes_per_agent:int,dry_run:boolean,mcp_server_url:string,output_files_base_dir:string>, "
+    "package struct<task_id:string,prompt:string,research_type:string,iat_type:string,domain:string,decision_archetype:string,file_count:int,file_names:array<string>,output_formats:array<string>>, "
+    "sme_metadata struct<sme_name:string,email:string,prompt_id:string,allocation_id:string,submitted_at:string,domain_detail:string,drive_url:string,estimated_time:string>, "
+    f"agent_results map<string,array<{PASS}>>"
+)
 CORRUPT = "_corrupt_record"
 
 
@@ -30,7 +32,7 @@ def read_envelopes(spark: SparkSession, paths: str | list[str], skip: tuple[str,
     that cannot be parsed and those in `skip` give no rows. A missing id is the
     file's name.
     """
-    schema = T.StructType([*ENVELOPE.fields, T.StructField(CORRUPT, T.StringType())])
+    schema = f"{ENVELOPE}, {CORRUPT} string"
     parts = []
     for i, path in enumerate([paths] if isinstance(paths, str) else paths):
         found = spark.read.schema(schema).option("multiLine", True).option("pathGlobFilter", "*.json").option("mode", "PERMISSIVE").json(path)
@@ -54,8 +56,8 @@ def flatten(envelopes: DataFrame) -> DataFrame:
 
 def nest(passes: DataFrame, keys: list[str], agent: str = "agent", order: str = "pass_idx", run: str = "run") -> DataFrame:
     """Back to one row per task: agent_results, passes in order, agents in text order."""
-    lists = passes.filter(F.col(run).isNotNull()).groupBy(*keys, agent).agg(F.transform(F.array_sort(F.collect_list(F.struct(order, run))), lambda x: x[run]).alias("runs"))
-    return lists.groupBy(*keys).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct(agent, "runs")))).alias("agent_results"))
+    lists = passes.filter(F.col(run).isNotNull()).groupBy(*keys, agent).agg(F.transform(sorted_by(F.collect_list(F.struct(order, run)), order), lambda x: x[run]).alias("runs"))
+    return lists.groupBy(*keys).agg(F.map_from_entries(sorted_by(F.collect_list(F.struct(agent, "runs")), agent)).alias("agent_results"))
 
 
 def with_matching_model(envelopes: DataFrame, pattern: str, mode: str = "contains") -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyforge.functions import text
+from tallyforge.functions.predicates import sorted_by
 
 # Columns of the consolidated CSV in order.
 CSV_COLUMNS = tuple("task_id sme_name domain research_type iat_type file_count output_formats agent model status failure_category input_tokens output_tokens cost_usd duration_min response_length_chars citations_count iterations dispatched_at completed_at prompt_id allocation_id drive_url output_files citations response_text".split())
@@ -23,7 +24,7 @@ def write_csv(rows: DataFrame, path: str, dry_run: bool = False, single: bool =
 def grouped_json(envelopes: DataFrame, prefix: str = "prefix") -> DataFrame:
     """One JSON text per prefix: the object of a single task, else an array of them in order of task id."""
     rest = [c for c in envelopes.columns if c != prefix]
-    tasks = F.array_sort(F.collect_list(F.struct(F.col("task_id").alias("__k"), F.struct(*rest).alias("__t"))))
+    tasks = sorted_by(F.collect_list(F.struct(F.col("task_id").alias("__k"), F.struct(*rest).alias("__t"))), "__k")
     grouped = envelopes.groupBy(prefix).agg(F.transform(tasks, lambda x: x["__t"]).alias("tasks"))
     return grouped.select(prefix, F.when(F.size("tasks") == 1, F.to_json(F.get("tasks", F.lit(0)))).otherwise(F.to_json("tasks")).alias("body"))
 
