@@ -36,16 +36,38 @@ THRESHOLD = 0.8
 RANGE_ROWS, RANGES = 2_000, 2_000
 
 
+#: Stands between an anchor and what follows it; no word has it.
+MARK = "\u0001"
+
+
+def chains(text: Column, anchors: tuple[str, ...] = ANCHORS, chain: int = CHAIN) -> Column:
+    """Each anchor of a text with the content words that follow it, as one string; repeated ones are kept.
+
+    Anchors are glued to the word after them, so that each blank-separated token
+    is a content word with the anchors before it. Tokens are then put beside
+    their successors.
+    """
+    low = F.translate(F.coalesce(text, F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    plain = F.trim(F.regexp_replace(low, r"[^\p{L}\p{N}]+", " "))
+    glued = F.regexp_replace(F.concat(F.lit(" "), plain, F.lit(" ")), f"(?<= )({'|'.join(anchors)}) ", f"$1{MARK}")
+    tokens = F.split(F.concat(F.lit(f"^{MARK}"), F.trim(glued)), " ")
+    content = F.transform(tokens, lambda t: F.substring_index(t, MARK, -1))
+    following = content
+    for n in range(2, chain + 1):
+        later = F.slice(content, n, F.greatest(F.size(content), F.lit(1)))
+        following = F.zip_with(following, later, lambda x, y: F.when(F.coalesce(y, F.lit("")) == "", x).otherwise(F.concat(x, F.lit(" "), y)))
+
+    def spots(token: Column, words: Column) -> Column:
+        parts = F.split(token, MARK)
+        return F.transform(F.slice(parts, 1, F.size(parts) - 1), lambda a: F.concat(a, F.lit(" "), words))
+
+    each = F.zip_with(tokens, following, lambda t, w: F.when(F.coalesce(w, F.lit("")) == "", F.array().cast("array<string>")).otherwise(spots(t, w)))
+    return F.flatten(each)
+
+
 def signatures(text: Column, anchors: tuple[str, ...] = ANCHORS, chain: int = CHAIN) -> Column:
     """The sorted set of a text's hashed spot signatures."""
-    any_anchor = "(?:" + "|".join(anchors) + ")"
-    plain = F.regexp_replace(F.translate(F.coalesce(text, F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"), r"[^\p{L}\p{N}]+", " ")
-    line = F.concat(F.lit(" ^ "), F.trim(plain), F.lit(" "))
-    word = rf"(?:(?: {any_anchor}(?= ))*+ [^ ]++)"
-    spots = F.regexp_extract_all(line, F.lit(rf"(?= ((?:{any_anchor}|\^){word}{{1,{chain}}}) )"), F.lit(1))
-    between = rf"(?<= )(?:{any_anchor} )+"
-    chains = F.transform(spots, lambda s: F.regexp_replace(F.concat(s, F.lit(" ")), between, ""))
-    return F.when(F.trim(plain) == "", F.array().cast("array<bigint>")).otherwise(F.array_sort(F.array_distinct(F.transform(chains, lambda s: F.xxhash64(s)))))
+    return F.array_sort(F.array_distinct(F.transform(chains(text, anchors, chain), lambda s: F.xxhash64(s))))
 
 
 def fingerprint(sigs: Column) -> Column:
