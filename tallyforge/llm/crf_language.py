@@ -26,7 +26,6 @@ table gives no rows. Other columns are ignored.
 from __future__ import annotations
 
 import re
-import zlib
 from collections import Counter
 
 import numpy as np
@@ -44,31 +43,67 @@ CHAIN, EPOCHS, RATE = 32, 6, 0.5
 LETTERS = re.compile(r"[^\W\d_]+")
 #: Words whose potentials a worker keeps, and words in one forward-backward pass.
 CACHE, TOKENS = 400_000, 500_000
+#: Texts whose new words are scored together.
+TOGETHER = 200
 PREDICTED = pa.schema([("lang", pa.string()), ("score", pa.float64()), ("segments", pa.list_(pa.struct([("lang", pa.string()), ("first_word", pa.int64()), ("n_words", pa.int64())])))])
 
 
-def features(run: str, lexicon: dict[str, list[int]]) -> list[int]:
-    """Feature numbers of a lower-case run of letters."""
-    marked = f"^{run}$"
-    names = [f"p{run[:n]}" for n in (1, 2, 3)] + [f"s{run[-n:]}" for n in (1, 2, 3)] + [f"g{marked[i : i + n]}" for n in (2, 3) for i in range(len(marked) - n + 1)]
-    found = [zlib.crc32(x.encode()) % BUCKETS for x in names]
-    return found + [BUCKETS + k for k in lexicon.get(run, ())]
+def hashed(columns: np.ndarray, kind: int) -> np.ndarray:
+    """One bucket for each row of byte columns."""
+    h = np.full(len(columns), kind, dtype=np.uint64)
+    for c in columns.T:
+        h = (h + c + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+        h ^= h >> np.uint64(29)
+    return (h % np.uint64(BUCKETS)).astype(np.int64)
+
+
+def features(runs: list[bytes]):
+    """Yields (row numbers, feature matrix) for lower-case runs of letters of one length in UTF-8.
+
+    Features are prefixes and suffixes of 1 to 3 bytes, and n-grams of 2 to 4
+    bytes of the run between two marks.
+    """
+    lengths = np.fromiter(map(len, runs), np.int64, len(runs))
+    for length in np.unique(lengths):
+        rows = np.flatnonzero(lengths == length)
+        step = max(1, 200_000 // (int(length) + 1))
+        for at in range(0, len(rows), step):
+            some = rows[at : at + step]
+            m = np.full((len(some), int(length) + 2), 256, dtype=np.uint64)
+            m[:, 1:-1] = np.frombuffer(b"".join(runs[r] for r in some), dtype=np.uint8).reshape(len(some), -1)
+            m[:, -1] = 257
+            found = [hashed(m[:, 1 : 1 + n], 10 + n) for n in (1, 2, 3) if n <= length] + [hashed(m[:, -1 - n : -1], 20 + n) for n in (1, 2, 3) if n <= length]
+            found += [hashed(m[:, i : i + n], n) for n in (2, 3, 4) for i in range(m.shape[1] - n + 1)]
+            yield some, np.stack(found, axis=1)
 
 
 class Field:
     """Weights [feature][label], transitions [label][label], first-word scores [label]."""
 
-    def __init__(self, labels: list[str], lexicon: dict[str, list[int]]):
+    def __init__(self, labels: list[str], lexicon: dict[bytes, list[int]]):
         k = len(labels)
         self.labels, self.lexicon = labels, lexicon
-        self.weights, self.moves, self.start = np.zeros((BUCKETS + k, k)), np.zeros((k, k)), np.zeros(k)
+        self.weights, self.moves, self.start = np.zeros((BUCKETS + k, k), np.float32), np.zeros((k, k)), np.zeros(k)
+
+    def run_scores(self, runs: list[bytes]) -> np.ndarray:
+        out = np.zeros((len(runs), len(self.labels)))
+        for rows, found in features(runs):
+            out[rows] = self.weights[found].sum(axis=1)
+        for i, run in enumerate(runs):
+            for k in self.lexicon.get(run, ()):
+                out[i] += self.weights[BUCKETS + k]
+        return out
 
-    def potentials(self, word: str) -> np.ndarray | None:
-        """Scores of each label for a token; none without letters. Runs of letters in a token count alike."""
-        runs = LETTERS.findall(word.lower())
-        if not runs:
-            return None
-        return np.mean([self.weights[features(r, self.lexicon)].sum(axis=0) for r in runs], axis=0)
+    def potentials(self, tokens: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(whether a token has letters, scores of each label for those that have). Runs of letters in a token count alike."""
+        runs = [[r.encode() for r in LETTERS.findall(t.decode().lower())] for t in tokens]
+        sizes = np.fromiter(map(len, runs), np.int64, len(runs))
+        some = sizes > 0
+        if not some.any():
+            return some, np.zeros((0, len(self.labels)))
+        scores = self.run_scores([r for each in runs for r in each])
+        starts = np.concatenate([[0], np.cumsum(sizes[some])[:-1]])
+        return some, np.add.reduceat(scores, starts, axis=0) / sizes[some][:, None]
 
 
 def forward_backward(scores: np.ndarray, starts: np.ndarray, lengths: np.ndarray, moves: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -101,8 +136,8 @@ def fit(samples: list[tuple[str, list[str]]], seed: int = 5) -> Field | None:
         return None
     size = len(labels)
     number = {lang: k for k, lang in enumerate(labels)}
-    clean = [(number[lang], [r for w in words for r in LETTERS.findall(w.lower())]) for lang, words in sorted(samples)]
-    listed: dict[str, list[int]] = {}
+    clean = [(number[lang], [r.encode() for w in words for r in LETTERS.findall(w.lower())]) for lang, words in sorted(samples)]
+    listed: dict[bytes, list[int]] = {}
     for k in range(size):
         for w, _ in sorted(Counter(w for lang, words in clean if lang == k for w in words).items(), key=lambda x: (-x[1], x[0]))[:LEXICON]:
             listed.setdefault(w, []).append(k)
@@ -123,12 +158,15 @@ def fit(samples: list[tuple[str, list[str]]], seed: int = 5) -> Field | None:
         return None
     words = sorted({w for w, _ in tokens[:n]})
     index = {w: i for i, w in enumerate(words)}
-    sets = [features(w, listed) for w in words]
-    width = max(map(len, sets))
     empty = BUCKETS + size
+    parts = list(features(words))
+    width = max(f.shape[1] for _, f in parts) + max(map(len, listed.values()), default=0)
     grid = np.full((len(words), width), empty)
-    for i, s in enumerate(sets):
-        grid[i, : len(s)] = s
+    for rows, found in parts:
+        grid[rows, : found.shape[1]] = found
+    for w, kinds in listed.items():
+        if w in index:
+            grid[index[w], width - len(kinds) :] = [BUCKETS + k for k in kinds]
     ids = np.array([index[w] for w, _ in tokens[:n]]).reshape(-1, CHAIN)
     gold = np.array([k for _, k in tokens[:n]]).reshape(-1, CHAIN)
     weights = np.zeros((empty + 1, size))
@@ -155,7 +193,7 @@ def fit(samples: list[tuple[str, list[str]]], seed: int = 5) -> Field | None:
                 gradient = gradient / count
                 total += gradient**2
                 value += RATE * gradient / np.sqrt(total)
-    field.weights = weights[:empty]
+    field.weights = weights[:empty].astype(np.float32)
     return field
 
 
@@ -190,16 +228,15 @@ class Predictor:
         try:
             found = list(map(self.number.__getitem__, tokens))
         except KeyError:
-            for t in set(tokens) - self.number.keys():
-                s = self.field.potentials(t.decode())
-                if s is None:
-                    self.number[t] = -1
-                    continue
-                if self.used == len(self.scores):
-                    self.scores = np.concatenate([self.scores, np.zeros_like(self.scores)])
-                self.scores[self.used] = s
-                self.number[t] = self.used
-                self.used += 1
+            fresh = list(set(tokens) - self.number.keys())
+            some, scores = self.field.potentials(fresh)
+            while self.used + len(scores) > len(self.scores):
+                self.scores = np.concatenate([self.scores, np.zeros_like(self.scores)])
+            self.scores[self.used : self.used + len(scores)] = scores
+            numbers = np.full(len(fresh), -1)
+            numbers[some] = np.arange(self.used, self.used + len(scores))
+            self.number.update(zip(fresh, numbers.tolist()))
+            self.used += len(scores)
             found = list(map(self.number.__getitem__, tokens))
         return np.array(found, dtype=np.int64)
 
@@ -229,17 +266,19 @@ class Predictor:
                 at = end
             chains, waiting = [], 0
 
-        for row, raw in enumerate(texts):
+        for at in range(0, len(texts), TOGETHER):
             if len(self.number) > CACHE:
                 flush()
                 self.clear()
-            ids = self.ids(raw)
-            places = np.flatnonzero(ids >= 0)
-            if len(places):
-                chains.append((row, ids[places], places))
-                waiting += len(places)
-                if waiting > 4 * TOKENS:
-                    flush()
+            self.ids(b" ".join(texts[at : at + TOGETHER]))  # new tokens of several texts at once
+            for row in range(at, min(at + TOGETHER, len(texts))):
+                ids = self.ids(texts[row])
+                places = np.flatnonzero(ids >= 0)
+                if len(places):
+                    chains.append((row, ids[places], places))
+                    waiting += len(places)
+                    if waiting > 4 * TOKENS:
+                        flush()
         flush()
         return out
 
