@@ -33,8 +33,8 @@ from tallyforge.llm.common import table
 
 #: Weight of paths inside an element that holds the article, against 1 for others.
 ARTICLE_WEIGHT = 4.0
-#: A path is kept from this share of the best path's fused ratio.
-KEEP_SHARE = 0.04
+#: A path is kept from these shares of the best path's fused ratio: inside an element that holds the article, and elsewhere.
+KEEP_INSIDE, KEEP_SHARE = 0.02, 0.2
 #: Weights of a block and its neighbours when ratios are smoothed.
 SMOOTH = (0.25, 0.5, 0.25)
 
@@ -146,8 +146,9 @@ def blocks(source: str) -> list[tuple[tuple[str, ...], float, str, int]]:
 
 
 def smooth(values: list[float]) -> list[float]:
-    edge = [values[0], *values, values[-1]]
-    return [sum(w * edge[i + k] for k, w in enumerate(SMOOTH)) for i in range(len(values))]
+    """Weighted geometric means of neighbours, each raised by one."""
+    logs = [math.log1p(v) for v in (values[0], *values, values[-1])]
+    return [math.expm1(sum(w * logs[i + k] for k, w in enumerate(SMOOTH))) for i in range(len(values))]
 
 
 def main_text(source: str | None) -> str:
@@ -166,8 +167,8 @@ def main_text(source: str | None) -> str:
     for (path, weight, *_), t, k in zip(found, text_ratio, mark_ratio):
         fused.setdefault(path, []).append(weight * t * math.log(math.e + k))
     score = {p: sum(v) / len(v) for p, v in fused.items()}
-    least = KEEP_SHARE * max(score.values())
-    kept = [score[p] > 0 and score[p] >= least for p, *_ in found]
+    best = max(score.values())
+    kept = [score[p] > 0 and score[p] >= best * (KEEP_INSIDE if weight > 1 else KEEP_SHARE) for p, weight, *_ in found]
     return "\n".join(text for (_, _, text, _), keep in zip(found, kept) if keep)
 
 
