@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyforge.llm.common import table, utf8
+from tallyforge.llm.common import ship, table, utf8
 
 UNKNOWN = "und"
 SAMPLE_DOCS, SAMPLE_WORDS = 300, 150
@@ -298,6 +298,7 @@ def predict_language(docs: DataFrame, training: Column, key: Column, text: str =
     feature. Segments, runs of words of one language in code-switched text, are
     null unless asked for.
     """
+    ship(docs.sparkSession)
     field = fit(training_sample(docs.filter(training), lang, text, key, sample_docs, sample_words))
     kept = (docs.select(*keep) if keep is not None else docs).drop(result)
     empty = F.struct(F.lit(UNKNOWN).alias("lang"), F.lit(0.0).alias("score"), F.lit(None).cast("array<struct<lang:string,first_word:long,n_words:long>>").alias("segments"))

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyforge.llm.common import table, utf8
+from tallyforge.llm.common import ship, table, utf8
 
 WIDTH = 10
 MAX_BYTES = 64 << 20
@@ -115,6 +115,7 @@ def benchmark_windows(benchmark: DataFrame, item: str = "item_id", texts: tuple[
 def find_contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", texts: tuple[str, ...] = ("text",), width: int = WIDTH, max_bytes: int = MAX_BYTES, keep: list[str] | None = None, result: str = "contamination") -> DataFrame:
     """The columns of `docs` in `keep` (all, if not given), and a struct `result` of n_words, n_hit, items and spans."""
     spark = docs.sparkSession
+    ship(docs.sparkSession)
     entries = [(r["window"], r["window"].count(" ") - 1, list(r["items"])) for r in benchmark_windows(benchmark, item, texts, width).collect()]
     shards: list[list] = [[]]
     size = 0

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyforge.llm.common import table
+from tallyforge.llm.common import ship, table
 
 #: Weight of paths inside an element that holds the article, against 1 for others.
 ARTICLE_WEIGHT = 4.0
@@ -175,6 +175,8 @@ def main_text(source: str | None) -> str:
 def extract(pages: DataFrame, page: str = "page_id", url: str = "url", source: str = "html") -> DataFrame:
     """page_id, url, text, n_chars of every page."""
 
+    ship(pages.sparkSession)
+
     def run(rows):
         for batch in rows:
             texts = [main_text(h.as_py()) for h in batch.column(2)]

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyforge.llm.common import cut, table, utf8
+from tallyforge.llm.common import cut, ship, table, utf8
 from tallyforge.llm.components import components
 from tallyforge.llm.decontaminate import words
 
@@ -189,6 +189,7 @@ def near_duplicates(docs: DataFrame, doc: str = "doc_id", text: str = "text", n:
     documents with equal words; n_links counts the other documents at or above
     the threshold, copies included, n_text_links the different texts among them.
     """
+    ship(docs.sparkSession)
     bands, rows = banding(threshold, recall, max_hashes)
     sketch = cut(sketches(docs, doc, text, n, bands, rows).filter(F.col("doc_id").isNotNull()))
     classes = sketch.groupBy("key").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.first("bands").alias("bands"))

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyforge.llm import encoding
-from tallyforge.llm.common import batches, cut, table
+from tallyforge.llm.common import batches, cut, ship, table
 
 SEQ_LEN, END_ID = 2048, 0
 PIECES = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("task", pa.int32()), ("place", pa.int64())])
@@ -140,6 +140,7 @@ def places(bins: list[tuple[int, list[int]]]) -> dict[int, tuple]:
 def pack(docs: DataFrame, seq_len: int = SEQ_LEN, path: str | None = None) -> DataFrame:
     """One row per piece with its sequence and offset; the broadcast plan is bounded by `seq_len`."""
     spark = docs.sparkSession
+    ship(docs.sparkSession)
     pieces = cut(tokenized_pieces(docs, seq_len, path or encoding.default_path()))
     by_task = pieces.groupBy("task", "length").agg(F.count("*").alias("n"))
     histogram = {int(r["length"]): int(r["n"]) for r in by_task.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # at most seq_len rows

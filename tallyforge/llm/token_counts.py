@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyforge.llm import encoding
-from tallyforge.llm.common import batches, cut, table
+from tallyforge.llm.common import batches, cut, ship, table
 
 COUNTS = pa.schema([("n_tokens", pa.int64()), ("n_docs", pa.int64())])
 BLOCK = 1024
@@ -32,6 +32,7 @@ LIMITS = (128, 256, 512, 1024, 2048, 4096, 8192, 16384, 32768, 65536, 131072)
 
 def length_histogram(docs: DataFrame, text: str = "text", path: str | None = None) -> DataFrame:
     """n_tokens, n_docs for every encoded length that occurs."""
+    ship(docs.sparkSession)
     path = path or encoding.default_path()
 
     def count(source):
