@@ -360,7 +360,7 @@ def m01_j12_upsert_agents(spark, sf):
 KEYS = (("Brand#1", 2.0), ("Brand#12", 5.0), ("Brand#2", 3.0), ("Brand#34-x", 7.0))
 PRICE_SQL = """{both}, pr(ord, key, r) AS (VALUES (0, 'Brand#1', 2.0), (1, 'Brand#12', 5.0), (2, 'Brand#2', 3.0), (3, 'Brand#34-x', 7.0)),
 mm AS (SELECT model, arg_min(key, ord) AS key, arg_min(r, ord) AS r FROM (SELECT DISTINCT model FROM passes) m LEFT JOIN pr ON {test} GROUP BY model)
-SELECT p.model, coalesce(key, '') AS price_key, count(*) AS n, round(sum(round(CAST(input_tokens / 1e6 * coalesce(r, 1.0)::DOUBLE + output_tokens / 1e6 * coalesce(r * 4, 1.0)::DOUBLE AS DOUBLE), 6)), 4) AS cost
+SELECT p.model, coalesce(key, '') AS price_key, count(*) AS n, CAST(sum(CAST(round(CAST(input_tokens / 1e6 * coalesce(r, 1.0)::DOUBLE + output_tokens / 1e6 * coalesce(r * 4, 1.0)::DOUBLE AS DOUBLE), 6) AS DECIMAL(18,6))) AS DOUBLE) AS cost
 FROM passes p LEFT JOIN mm ON p.model IS NOT DISTINCT FROM mm.model GROUP BY ALL"""
 
 
@@ -368,7 +368,7 @@ def priced(spark, sf, match):
     listed = spark.createDataFrame([(i, k, r, 4 * r) for i, (k, r) in enumerate(KEYS)], "ord int, key string, input_rate double, output_rate double")
     p = runs.priced(passes(spark, sf), listed, match, (1.0, 1.0))
     each = runs.cost(F.col("input_tokens"), F.col("output_tokens"), F.col("input_rate"), F.col("output_rate"))
-    return p.groupBy("model", F.coalesce("price_key", F.lit("")).alias("price_key")).agg(F.count("*").alias("n"), F.round(F.sum(each), 4).alias("cost"))
+    return p.groupBy("model", F.coalesce("price_key", F.lit("")).alias("price_key")).agg(F.count("*").alias("n"), money(each.cast("decimal(18,6)")).alias("cost"))
 
 
 @query(PRICE_SQL.format(both=BOTH, test="m.model = pr.key"))
