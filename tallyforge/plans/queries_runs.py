@@ -406,3 +406,72 @@ def stream_event_counts(spark, sf):
     from tallyforge.streaming.status import event_counts
 
     return event_counts(table(spark, sf, "events")).withColumn("total", F.round("total", 2))
+
+
+# further projections, sets and sinks ------------------------------------------
+
+
+@query(f"{STORE_SQL} SELECT CAST(sum(total_cost) AS DOUBLE) AS cost, CAST(sum(len(agents)) AS BIGINT) AS attempted, CAST(sum(n) AS BIGINT) AS runs FROM st JOIN (SELECT task_id, count(*) AS n FROM passes GROUP BY 1) USING (task_id)")
+def a18_batch_totals(spark, sf):
+    n = passes(spark, sf).groupBy("task_id").agg(F.count("*").alias("n"))
+    return stored(spark, sf).join(n, "task_id").agg(money("total_cost").alias("cost"), F.sum(F.size("agents_attempted")).cast("long").alias("attempted"), F.sum("n").alias("runs"))
+
+
+@query(f"""{BOTH}, m AS (SELECT *, contains(coalesce(model, ''), '#1') AS hit FROM passes)
+SELECT source_ord, count(DISTINCT task_id) AS tasks_in, count(DISTINCT task_id) FILTER (hit) AS tasks_out, count(*) FILTER (hit) AS passes_out, count(*) FILTER (NOT hit) AS skipped FROM m GROUP BY source_ord""")
+def a20_source_stats(spark, sf):
+    hit = F.coalesce("model", F.lit("")).contains("#1")
+    return passes(spark, sf).groupBy("source_ord").agg(F.countDistinct("task_id").alias("tasks_in"), F.countDistinct(F.when(hit, F.col("task_id"))).alias("tasks_out"), F.count_if(hit).alias("passes_out"), F.count_if(~hit).alias("skipped"))
+
+
+@query(f"""{BOTH} SELECT task_id, any_value(dispatched_at) AS dispatched_at, string_agg(agent || ':' || n || ':' || done || ':' || longest, ';' ORDER BY agent) AS agent_summary
+FROM (SELECT task_id, agent, count(*) AS n, count(*) FILTER (completed) AS done, coalesce(max(response_length), 0) AS longest FROM passes GROUP BY ALL) JOIN tasks USING (task_id) GROUP BY task_id""")
+def p03_index_entries(spark, sf):
+    parts = F.transform_values("agent_results", lambda _, r: F.concat_ws(":", F.size(r).cast("string"), F.size(F.filter(r, lambda p: F.coalesce(p["completed"], F.lit(False)))).cast("string"), F.coalesce(F.array_max(F.transform(r, lambda p: p["response_length"])), F.lit(0)).cast("string")))
+    text_ = F.array_join(F.transform(F.array_sort(F.map_entries(parts)), lambda e: F.concat_ws(":", e["key"], e["value"])), ";")
+    return envelopes(spark, sf).select("task_id", "dispatched_at", text_.alias("agent_summary"))
+
+
+@query(f"""{BOTH}, a AS (SELECT DISTINCT task_id, agent FROM passes WHERE source_ord = 0), b AS (SELECT DISTINCT task_id, agent FROM passes WHERE source_ord = 1)
+SELECT coalesce(a.task_id, b.task_id) AS task_id, string_agg(coalesce(a.agent, b.agent) || CASE WHEN b.agent IS NOT NULL THEN '=new' ELSE '=old' END, ',' ORDER BY coalesce(a.agent, b.agent)) AS agents
+FROM a FULL JOIN b ON a.task_id = b.task_id AND a.agent = b.agent GROUP BY 1""")
+def u02_map_union(spark, sf):
+    """Maps of two sources by key; the right one wins."""
+
+    def mapped(i, v):
+        d = passes(spark, sf).filter(F.col("source_ord") == i).groupBy("task_id").agg(F.collect_set("agent").alias("a"))
+        return d.select("task_id", F.map_from_arrays("a", F.transform("a", lambda _: F.lit(v))).alias(v))
+
+    none = F.create_map().cast("map<string,string>")
+    both = mapped(0, "old").join(mapped(1, "new"), "task_id", "full").select("task_id", F.map_zip_with(F.coalesce("old", none), F.coalesce("new", none), lambda _, x, y: F.coalesce(y, x)).alias("m"))
+    return both.select("task_id", F.array_join(F.transform(F.array_sort(F.map_entries("m")), lambda e: F.concat_ws("=", e["key"], e["value"])), ",").alias("agents"))
+
+
+@query("""SELECT p_brand AS brand, count(*) AS n, count(DISTINCT p_type) AS types FROM (SELECT p_brand, p_type, p_partkey FROM part UNION ALL SELECT p_brand, p_type, p_partkey FROM part WHERE p_size > 25) GROUP BY ALL""")
+def u01_u07_concat_distinct(spark, sf):
+    p = table(spark, sf, "part").select("p_brand", "p_type", "p_partkey", "p_size")
+    return p.unionByName(p.filter("p_size > 25")).groupBy(F.col("p_brand").alias("brand")).agg(F.count("*").alias("n"), F.countDistinct("p_type").alias("types"))
+
+
+@query(f"""{BOTH} SELECT CAST(task_id AS BIGINT) // 3 AS prefix, CASE WHEN count(*) = 1 THEN '{{' ELSE '[' END AS opens, sum(length('{{"task_id":"","domain":""}}') + length(task_id) + length(domain))::BIGINT + CASE WHEN count(*) = 1 THEN 0 ELSE count(*) + 1 END AS size FROM tasks GROUP BY 1""")
+def k06_grouped_json(spark, sf):
+    from tallyforge.sources.sinks import grouped_json
+
+    t = tasks(spark, sf).select(F.floor(F.col("task_id").cast("long") / 3).alias("prefix"), "task_id", "domain")
+    return grouped_json(t).select("prefix", F.substring("body", 1, 1).alias("opens"), F.length("body").cast("long").alias("size"))
+
+
+@query(f"""{BOTH} SELECT task_id, agent, CAST(pass_idx + 1 AS INTEGER) AS n, replace(task_id || '_' || agent || '_p' || (pass_idx + 1) || '_unknown_time.txt', ' ', '_') AS file_name,
+length(response_text) > 0 AND NOT coalesce(forced_stop, false) AS has_text FROM passes JOIN tasks USING (task_id) WHERE completed AND forced_stop = false AND NOT dry_run""")
+def k05_f37_reports(spark, sf):
+    from tallyforge.sources.sinks import reports
+
+    p = runs.qualifying(passes(spark, sf).join(tasks(spark, sf).select("task_id", "dispatched_at", "dry_run", F.col("total_cost").cast("double").alias("total_cost_usd")), "task_id"))
+    none = lambda t: F.lit(None).cast(t)
+    run = F.struct(
+        "task_id", "model", "completed", "forced_stop", "error", none("string").alias("started_at"), none("string").alias("completed_at"), F.col("duration").alias("total_duration_sec"), "input_tokens", "output_tokens",
+        F.col("cost").cast("double").alias("total_cost_usd"), F.lit(0).alias("citations_count"), "response_length", "response_text", none("array<struct<index:int,url:string,title:string,snippet:string>>").alias("citations"),
+    )
+    made = reports(p.withColumn("run", run).withColumn("completed_at", none("string")).withColumn("total_duration_sec", F.col("duration")))
+    parts = F.split("file_name", "_")
+    return made.select(parts[0].alias("task_id"), parts[1].alias("agent"), F.substring(parts[2], 2, 9).cast("int").alias("n"), "file_name", (F.contains("body", F.lit("RESPONSE")) & ~F.contains("body", F.lit("(no response text)"))).alias("has_text"))
