@@ -5,8 +5,8 @@ an item of fewer words is one window. The automaton over all windows goes to
 every task; a document is normalised, scanned once, and its hits are mapped to
 word numbers and to code points of the original text.
 
-The automaton is bounded: windows beyond `max_bytes` bytes are dealt to further
-automata, and documents pass through one scan for each of them, in turn.
+The automaton is bounded: windows are dealt by hash to as many automata as keep
+each within about `max_bytes`, and documents pass through one scan for each.
 
 Defined results
 ---------------
@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyforge.llm.common import ship, table, utf8
+from tallyforge.llm.common import cut, ship, table, utf8
 
 WIDTH = 10
 MAX_BYTES = 64 << 20
@@ -116,21 +116,18 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text"
     """The columns of `docs` in `keep` (all, if not given), and a struct `result` of n_words, n_hit, items and spans."""
     spark = docs.sparkSession
     ship(docs.sparkSession)
-    entries = [(r["window"], r["window"].count(" ") - 1, list(r["items"])) for r in benchmark_windows(benchmark, item, texts, width).collect()]
-    shards: list[list] = [[]]
-    size = 0
-    for e in sorted(entries):
-        if size + 8 * len(e[0]) > max_bytes:
-            shards.append([])
-            size = 0
-        shards[-1].append(e)
-        size += 8 * len(e[0])
+    found = benchmark_windows(benchmark, item, texts, width)
+    size = found.agg(F.sum(F.octet_length("window"))).first()[0] or 0
+    count = max(1, -(-8 * size // max_bytes))
+    found = found.withColumn("shard", F.pmod(F.xxhash64("window"), F.lit(count)))
+    found = cut(found) if count > 1 else found
     docs, raw_text = (docs if keep is None else docs.select(*keep)).drop(result), docs.withColumn("__raw", utf8(F.col(text)))
     out = raw_text.select(*docs.columns, "__raw").withColumn("__ranges", F.array().cast("array<struct<start:long,end:long>>")).withColumn("__items", F.array().cast("array<long>")).withColumn("__words", F.lit(0).cast("long"))
-    for k, shard in enumerate(shards):
+    for k in range(count):
+        shard = sorted((r["window"], r["window"].count(" ") - 1, list(r["items"])) for r in found.filter(F.col("shard") == k).collect())  # about max_bytes / 8
         sent = spark.sparkContext.broadcast(shard)
         key = hashlib.sha256(repr((k, shard)).encode()).hexdigest()
-        final = k == len(shards) - 1
+        final = k == count - 1
 
         def run(source, sent=sent, key=key, final=final):
             built = automaton(key, sent.value)

@@ -111,7 +111,7 @@ def brute_hits(text, items):
     return len(w), hit, found
 
 
-@pytest.mark.parametrize("max_bytes", [1 << 20, 300])
+@pytest.mark.parametrize("max_bytes", [1 << 20, 5000])
 def test_decontamination_against_brute_force(spark, max_bytes):
     docs = documents(spark)
     texts = {r["doc_id"]: r["text"] for r in docs.collect()}
