@@ -1,7 +1,7 @@
 """SpotSigs fingerprints and near-duplicate pairs, in DataFrame functions only.
 
-A spot signature is a common word (the anchor) and the chain of content words
-that follow it, anchors between them skipped. The set of a text's signatures,
+A spot signature is a run of common words (the anchors) and the chain of content
+words that follow it, anchors between them skipped. The set of a text's signatures,
 hashed and sorted, is its fingerprint; likeness is the Jaccard coefficient of
 two such sets.
 
@@ -40,34 +40,31 @@ RANGE_ROWS, RANGES = 2_000, 2_000
 MARK = "\u0001"
 
 
-def chains(text: Column, anchors: tuple[str, ...] = ANCHORS, chain: int = CHAIN) -> Column:
-    """Each anchor of a text with the content words that follow it, as one string; repeated ones are kept.
+def with_chains(rows: DataFrame, text: str, name: str, anchors: tuple[str, ...] = ANCHORS, chain: int = CHAIN) -> DataFrame:
+    """Adds each run of anchors of a text with the content words that follow it, as strings; repeated ones are kept.
 
     Anchors are glued to the word after them, so that each blank-separated token
-    is a content word with the anchors before it. Tokens are then put beside
-    their successors.
+    is a content word with the anchors before it. Tokens are then put beside the
+    content words that come after. Steps are columns of their own, so that each
+    is evaluated once.
     """
-    low = F.translate(F.coalesce(text, F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    low = F.translate(F.coalesce(F.col(text), F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     plain = F.trim(F.regexp_replace(low, r"[^\p{L}\p{N}]+", " "))
     glued = F.regexp_replace(F.concat(F.lit(" "), plain, F.lit(" ")), f"(?<= )({'|'.join(anchors)}) ", f"$1{MARK}")
-    tokens = F.split(F.concat(F.lit(f"^{MARK}"), F.trim(glued)), " ")
-    content = F.transform(tokens, lambda t: F.substring_index(t, MARK, -1))
-    following = content
+    out = rows.withColumn("__glued", F.concat(F.lit(f"^{MARK}"), F.trim(glued)))
+    out = out.withColumn("__tokens", F.split("__glued", " ")).withColumn("__content", F.split(F.regexp_replace("__glued", f"[^ ]*{MARK}", ""), " "))
+    joined = F.col("__tokens")
     for n in range(2, chain + 1):
-        later = F.slice(content, n, F.greatest(F.size(content), F.lit(1)))
-        following = F.zip_with(following, later, lambda x, y: F.when(F.coalesce(y, F.lit("")) == "", x).otherwise(F.concat(x, F.lit(" "), y)))
+        later = F.slice("__content", n, F.greatest(F.size("__content"), F.lit(1)))
+        joined = F.zip_with(joined, later, lambda t, c: F.when(c != "", F.concat(t, F.lit(" "), c)).otherwise(t))
+    spots = F.filter(joined, lambda t: t.contains(MARK) & ~t.endswith(MARK))
+    return out.withColumn(name, spots).drop("__glued", "__tokens", "__content")
 
-    def spots(token: Column, words: Column) -> Column:
-        parts = F.split(token, MARK)
-        return F.transform(F.slice(parts, 1, F.size(parts) - 1), lambda a: F.concat(a, F.lit(" "), words))
 
-    each = F.zip_with(tokens, following, lambda t, w: F.when(F.coalesce(w, F.lit("")) == "", F.array().cast("array<string>")).otherwise(spots(t, w)))
-    return F.flatten(each)
-
-
-def signatures(text: Column, anchors: tuple[str, ...] = ANCHORS, chain: int = CHAIN) -> Column:
-    """The sorted set of a text's hashed spot signatures."""
-    return F.array_sort(F.array_distinct(F.transform(chains(text, anchors, chain), lambda s: F.xxhash64(s))))
+def with_signatures(rows: DataFrame, text: str, name: str, anchors: tuple[str, ...] = ANCHORS, chain: int = CHAIN) -> DataFrame:
+    """Adds the sorted set of the hashed spot signatures of a text."""
+    out = with_chains(rows, text, "__chains", anchors, chain)
+    return out.withColumn(name, F.sort_array(F.array_distinct(F.transform("__chains", lambda s: F.xxhash64(s))))).drop("__chains")
 
 
 def fingerprint(sigs: Column) -> Column:
@@ -121,7 +118,7 @@ def near_pairs(docs: DataFrame, doc: str = "doc_id", text: str = "text", thresho
     chains; ordering signatures by frequency, rarest first, keeps them out of the
     prefixes of sets that have rarer ones.
     """
-    rows = docs.select(F.col(doc).alias("doc_id"), signatures(F.col(text), anchors, chain).alias("sigs")).filter("doc_id IS NOT NULL")
+    rows = with_signatures(docs.select(F.col(doc).alias("doc_id"), F.col(text).alias("text")).filter("doc_id IS NOT NULL"), "text", "sigs", anchors, chain).drop("text")
     keyed = rows.withColumn("fp", F.sha2(fingerprint(F.col("sigs")), 256))
     reps = keyed.groupBy("fp").agg(F.min("doc_id").alias("rep"), F.first("sigs").alias("sigs")).filter(F.size("sigs") > 0)
     membership = keyed.join(keyed.groupBy("fp").agg(F.min("doc_id").alias("rep")), "fp").select("doc_id", "rep")
@@ -142,10 +139,10 @@ def near_pairs(docs: DataFrame, doc: str = "doc_id", text: str = "text", thresho
 def op4_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     rows = with_next(docs, "doc_id", ["doc_id", "text"])
-    rows = rows.withColumn("sigs", signatures(F.col("text")))
+    rows = with_signatures(rows, "text", "sigs")
     order = Window.partitionBy("__to").orderBy("__halo", F.col("doc_id").asc_nulls_first(), "text")
     rows = rows.withColumn("next_sigs", F.lead("sigs").over(order)).filter(~F.col("__halo"))
-    rows = rows.withColumn("edited", edited(F.col("text"), F.col("next_text"))).withColumn("edited_sigs", signatures(F.col("edited")))
+    rows = with_signatures(rows.withColumn("edited", edited(F.col("text"), F.col("next_text"))), "edited", "edited_sigs")
     return rows.select(
         "doc_id",
         F.length("text").cast("long").alias("n_chars"),

@@ -133,24 +133,28 @@ def test_query_op6(spark, duck):
     same(decontaminate.op6_aho_corasick(spark, SF), duck.sql(decontaminate.ORACLE["op6_aho_corasick"]))
 
 
-def brute_signatures(text, chain=spotsigs.CHAIN):
+def brute_signatures(text):
     import regex
 
     line = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
-    w = ["^"] + [x for x in regex.split(r"[^\p{L}\p{N}]+", line) if x]
-    out = set()
-    for i, x in enumerate(w):
-        if x == "^" or x in spotsigs.ANCHORS:
-            after = [y for y in w[i + 1 :] if y not in spotsigs.ANCHORS][:chain]
-            if after:
-                out.add(" ".join([x, *after]))
-    return out if len(w) > 1 else set()
+    out, run, spots, content = set(), ["^"], [], []
+    for x in (x for x in regex.split(r"[^\p{L}\p{N}]+", line) if x):
+        if x in spotsigs.ANCHORS:
+            run.append(x)
+        else:
+            content.append(x)
+            spots.append("".join(a + spotsigs.MARK for a in run))
+            run = []
+    for i, (s, c) in enumerate(zip(spots, content)):
+        if s:
+            out.add(" ".join([s + c, *content[i + 1 : i + spotsigs.CHAIN]]))
+    return out
 
 
 def test_signatures_against_brute_force(spark):
     cases = ["The cat sat on the mat of the old house and then", "and the of", "x", "", None, "the end", "Das  ist, der Hund! in the", "a " * 30 + "b"]
     df = spark.createDataFrame([(t,) for t in [*cases, "the " * 30_000 + "cat", "w " * 30_000]], "t string")
-    for r in df.select("t", spotsigs.chains(F.col("t")).alias("s"), spotsigs.signatures(F.col("t")).alias("h")).collect():
+    for r in spotsigs.with_signatures(spotsigs.with_chains(df, "t", "s"), "t", "h").collect():
         assert set(r["s"]) == brute_signatures(r["t"]) and len(r["h"]) == len(set(r["s"])), r["t"] and r["t"][:50]
 
 
@@ -182,7 +186,7 @@ def test_spot_pairs(spark):
     members, pairs = spotsigs.near_pairs(documents(spark), threshold=0.5)
     rep = {r["doc_id"]: r["rep"] for r in members.collect()}
     assert rep[101] == 100 and len(rep) == len({r["doc_id"] for r in documents(spark).collect()} - {None})
-    sets = {r["doc_id"]: set(r["s"]) for r in documents(spark).select("doc_id", spotsigs.signatures(F.col("text")).alias("s")).collect()}
+    sets = {r["doc_id"]: set(r["s"]) for r in spotsigs.with_signatures(documents(spark), "text", "s").collect()}
     reps = sorted(set(rep.values()))
     want = {(min(a, b, key=lambda k: (len(sets[k]), k)), max(a, b, key=lambda k: (len(sets[k]), k))) for i, a in enumerate(reps) for b in reps[:i] if sets[a] and sets[b] and len(sets[a] & sets[b]) >= 0.5 * len(sets[a] | sets[b])}
     assert {(r["a"], r["b"]) for r in pairs.collect()} == want
