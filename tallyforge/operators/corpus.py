@@ -14,7 +14,6 @@ from tallyforge.functions.predicates import col
 DROP_WORDS = ("secretarial audit", "form no. mr-", "annexure-a", "board of directors\nthe following", "corporate governance report", "certificate on corporate governance", "csr committee", "annual report on csr", "related party transactions", "dividend distribution policy")
 KEEP_WORDS = ("financial statements", "balance sheet", "profit and loss", "cash flow", "notes to standalone", "notes to consolidated", "statement of changes in equity", "management discussion", "independent auditor", "key audit matters")
 TOKENS_PER_FILE, TOKENS_IN_ALL, LEAST_TOKENS, CHARS_PER_TOKEN = 15_000, 100_000, 1_000, 4
-NO_ROWS = "false"
 
 
 def search_terms(query: str) -> list[str]:
@@ -30,7 +29,7 @@ def search(documents: DataFrame, query: str, limit: int = 5, text: str = "text_c
     """
     terms = search_terms(query)
     if not terms:
-        return documents.filter(NO_ROWS).withColumn("relevance_score", F.lit(0.0)).withColumn("snippet", F.lit(""))
+        return documents.filter(F.lit(False)).withColumn("relevance_score", F.lit(0.0)).withColumn("snippet", F.lit(""))
     low = F.lower(F.coalesce(F.col(text), F.lit("")))
     times = [(F.length(low) - F.length(F.replace(low, F.lit(t), F.lit("")))) / len(t) for t in terms]
     found = sum(((n > 0).cast("int") for n in times[1:]), (times[0] > 0).cast("int"))

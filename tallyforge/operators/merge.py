@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyforge.functions.predicates import any_completed, first_non_dummy, is_true
+from tallyforge.functions.predicates import any_completed, is_true
 from tallyforge.operators.runs import rollup
 
 
@@ -25,7 +25,7 @@ def reconcile_passes(passes: DataFrame) -> DataFrame:
     return passes.withColumn("__rank", F.row_number().over(order)).filter("__rank = 1").drop("__rank")
 
 
-def value_by_source(value: str, present: bool = True) -> Column:
+def value_by_source(value: str) -> Column:
     """An aggregate over source_ord: the first value that is not blank, else the last source's."""
     ordered = F.array_sort(F.collect_list(F.struct(F.col("source_ord").alias("o"), F.col(value).alias("v"))))
     full = F.filter(ordered, lambda x: x["v"].isNotNull() & (F.trim(x["v"]) != ""))
@@ -72,7 +72,3 @@ def upsert_tasks(existing: DataFrame, incoming: DataFrame, fields: list[str]) ->
 def merged_agents(passes: DataFrame) -> DataFrame:
     """Per task after an upsert: agents by any completed pass, with the first error of failed ones."""
     return rollup(passes, any_completed())
-
-
-def first_filled(*values: str) -> Column:
-    return first_non_dummy(*values)
