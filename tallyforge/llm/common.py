@@ -12,6 +12,21 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+_CACHES: dict[str, dict] = {}
+
+
+def worker_cache(name: str) -> dict:
+    """A dict that lives as long as a Python worker, known by name to `claim`."""
+    return _CACHES.setdefault(name, {})
+
+
+def claim(name: str) -> None:
+    """Empty the other operators' caches: a worker that serves several stages keeps those of the last one only."""
+    for other, cache in _CACHES.items():
+        if other != name:
+            cache.clear()
+
+
 def ship(spark: SparkSession) -> None:
     """Send this package to the executors, once per Spark context, so that their Python finds it without an installation."""
     sc = spark.sparkContext

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyforge.llm.common import ship, table, utf8
+from tallyforge.llm.common import claim, ship, table, utf8, worker_cache
 
 UNKNOWN = "und"
 SAMPLE_DOCS, SAMPLE_WORDS = 300, 150
@@ -42,7 +42,7 @@ BUCKETS, LEXICON = 1 << 17, 300
 CHAIN, EPOCHS, RATE = 32, 6, 0.5
 LETTERS = re.compile(r"[^\W\d_]+")
 #: Words whose potentials a worker keeps, and words in one forward-backward pass.
-CACHE, TOKENS = 400_000, 500_000
+CACHE, TOKENS = 200_000, 500_000
 #: Texts whose new words are scored together.
 TOGETHER = 200
 PREDICTED = pa.schema([("lang", pa.string()), ("score", pa.float64()), ("segments", pa.list_(pa.struct([("lang", pa.string()), ("first_word", pa.int64()), ("n_words", pa.int64())])))])
@@ -288,7 +288,7 @@ class Predictor:
         return [{"lang": self.field.labels[labels[a]], "first_word": int(places[a]), "n_words": int(b - a)} for a, b in zip(edges, ends)]
 
 
-_PREDICTORS: dict[int, Predictor] = {}
+_PREDICTORS: dict[int, Predictor] = worker_cache("language")
 
 
 def predict_language(docs: DataFrame, training: Column, key: Column, text: str = "text", lang: str = "lang", keep: list[str] | None = None, segments: bool = False, sample_docs: int = SAMPLE_DOCS, sample_words: int = SAMPLE_WORDS, result: str = "language") -> DataFrame:
@@ -308,6 +308,7 @@ def predict_language(docs: DataFrame, training: Column, key: Column, text: str =
     name = id(sent)
 
     def run(source):
+        claim("language")
         predictor = _PREDICTORS.get(name)
         if predictor is None:
             _PREDICTORS.clear()

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyforge.llm.common import cut, ship, table, utf8
+from tallyforge.llm.common import claim, cut, ship, table, utf8, worker_cache
 
 WIDTH = 10
 MAX_BYTES = 64 << 20
@@ -38,7 +38,7 @@ NORMAL = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122
 HITS_SQL = "n_words long, n_hit long, items array<long>, spans array<struct<start:long,end:long>>"
 SPAN = pa.struct([("start", pa.int64()), ("end", pa.int64())])
 #: An automaton is built once per worker process.
-_BUILT: dict[str, ahocorasick.Automaton] = {}
+_BUILT: dict[str, ahocorasick.Automaton] = worker_cache("automaton")
 
 
 def words(raw: bytes) -> list[bytes]:
@@ -130,6 +130,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text"
         final = k == count - 1
 
         def run(source, sent=sent, key=key, final=final):
+            claim("automaton")
             built = automaton(key, sent.value)
             for batch in source:
                 at = {name: batch.schema.get_field_index(name) for name in ("__ranges", "__items", "__words", "__raw")}

@@ -16,7 +16,9 @@ import re
 
 import numpy as np
 
-_LOADED: dict[str, "ByteBpe"] = {}
+from tallyforge.llm.common import claim, worker_cache
+
+_LOADED: dict[str, "ByteBpe"] = worker_cache("encoding")
 
 
 def default_path() -> str:
@@ -62,6 +64,7 @@ class ByteBpe:
 
 def encoder(json_path: str) -> ByteBpe:
     """One encoder per worker process and path."""
+    claim("encoding")
     if json_path not in _LOADED:
         _LOADED[json_path] = ByteBpe(json_path)
     return _LOADED[json_path]

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyforge.llm.common import cut, ship, table, utf8
+from tallyforge.llm.common import claim, cut, ship, table, utf8
 from tallyforge.llm.components import components
 from tallyforge.llm.decontaminate import words
 
@@ -43,7 +43,6 @@ N, THRESHOLD, RECALL, MAX_HASHES = 5, 0.8, 0.999, 256
 BLOCK = 1024
 #: Up to so many grouped classes (under 100 bytes each) their ids are broadcast to find their texts.
 BROADCAST_ROWS = 200_000
-_WORDS: dict[bytes, int] = {}
 SKETCH = pa.schema([("doc_id", pa.int64()), ("key", pa.binary()), ("bands", pa.list_(pa.int64()))])
 COUNTED = pa.schema([("key", pa.binary()), ("documents", pa.int64()), ("texts", pa.int64()), ("peer", pa.binary())])
 
@@ -61,21 +60,12 @@ def banding(threshold: float = THRESHOLD, recall: float = RECALL, max_hashes: in
     return best
 
 
-def hashed(word: bytes) -> int:
-    h = _WORDS.get(word)
-    if h is None:
-        if len(_WORDS) > 1_000_000:
-            _WORDS.clear()
-        h = _WORDS[word] = xxhash.xxh3_64_intdigest(word)
-    return h
-
-
 def words_key(w: list[bytes]) -> bytes:
     return xxhash.xxh3_128_digest(b" ".join(w))
 
 
 def ngram_hashes(w: list[bytes], n: int) -> np.ndarray:
-    h = np.fromiter(map(hashed, w), np.uint64, len(w))
+    h = np.fromiter(map(xxhash.xxh3_64_intdigest, w), np.uint64, len(w))
     odd = np.array([xxhash.xxh3_64_intdigest(b"%d" % i) | 1 for i in range(n)], dtype=np.uint64)
     if len(h) < n:
         out = np.array([(h * odd[: len(h)]).sum(dtype=np.uint64)])
@@ -97,6 +87,7 @@ def sketches(docs: DataFrame, doc: str, text: str, n: int, bands: int, rows: int
     """doc_id, key of equal words, band hashes (none without words)."""
 
     def run(source):
+        claim("sketches")
         for batch in source:
             keys, all_bands = [], []
             for raw in batch.column(1):
