@@ -5,7 +5,13 @@ block-level tags from the root to a block, the page's text length, punctuation
 and link text are added up; divided by the path's blocks they give its text and
 punctuation ratios. The ratios are smoothed along the page's blocks, fused, and
 weighted by what tags and attributes on the path say of its role. Blocks whose
-path reaches a share of the page's best path are the main text.
+path reaches a share of the page's best path tell where the content is: the
+elements that hold them are its containers. The main text is every block of a
+container that is not marked as something else, however short it is beside the
+longest one: headings, list items, cells and captions included, and a first
+heading that stands before the container. Only blocks that are links and nothing
+else have to reach the share themselves where no element says that it holds the
+article, since menus look like that.
 
 One page is one row, so tasks need nothing from each other and nothing is
 shuffled.
@@ -23,6 +29,7 @@ from __future__ import annotations
 import html
 import math
 import re
+from collections import namedtuple
 from functools import lru_cache
 
 import pyarrow as pa
@@ -33,7 +40,7 @@ from tallyforge.llm.common import ship, table
 
 #: Weight of paths inside an element that holds the article, against 1 for others.
 ARTICLE_WEIGHT = 4.0
-#: A path is kept from these shares of the best path's fused ratio: inside an element that holds the article, and elsewhere.
+#: A path tells of a container from these shares of the best path's fused ratio: inside an element that holds the article, and elsewhere.
 KEEP_INSIDE, KEEP_SHARE = 0.02, 0.2
 #: Weights of a block and its neighbours when ratios are smoothed.
 SMOOTH = (0.25, 0.5, 0.25)
@@ -51,6 +58,8 @@ ARTICLE_WORDS = frozenset(("articlebody", "article", "story", "post"))
 #: Start tags that close an open element of the tags named here.
 CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 CLOSES_P = frozenset("address article aside blockquote center details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
+#: Tags that are part of a text; what holds them is its container.
+PIECES = frozenset("p h1 h2 h3 h4 h5 h6 hgroup ul ol li dl dt dd blockquote pre address figure figcaption caption table thead tbody tfoot colgroup tr td th details summary hr".split())
 HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|[^<]+|<", re.S)
@@ -75,23 +84,30 @@ def role(tag: str, attributes: str) -> tuple[str, int]:
     return step, 0
 
 
-def blocks(source: str) -> list[tuple[tuple[str, ...], float, str, int]]:
-    """(path, weight, text, link characters) of every block in page order."""
+Block = namedtuple("Block", "path weight text linked plain tags elements article")
+
+
+def blocks(source: str) -> list[Block]:
+    """Every block in page order: its path, weight, text, characters in links, whether any are outside, and the tags and numbers of the
+    elements on its path. `article` counts the elements down to the outermost that holds the article; 0 where there is none."""
     out = []
-    stack: list[tuple[str, str, int]] = []  # tag, step, role; block-level only
+    stack: list[tuple[str, str, int, int]] = []  # tag, step, role, number; block-level only
     parts: list[str] = []
-    links = [0, 0]  # open anchors, characters inside them
+    links = [0, 0, 0]  # open anchors, characters inside them, whether text stands outside
+    opened = 0
 
     def end_block() -> None:
         if parts:
             text = " ".join(html.unescape("".join(parts)).split())
             if text:
-                roles = [r for _, _, r in stack]
+                roles = [r for _, _, r, _ in stack]
                 inside = 1 in roles
-                dropped = -1 in roles or (not inside and any(t == "header" for t, _, _ in stack))
-                out.append((tuple(s for _, s, _ in stack), 0.0 if dropped else ARTICLE_WEIGHT if inside else 1.0, text, links[1]))
+                tags = tuple(t for t, *_ in stack)
+                dropped = -1 in roles or (not inside and "header" in tags)
+                weight = 0.0 if dropped else ARTICLE_WEIGHT if inside else 1.0
+                out.append(Block(tuple(s for _, s, _, _ in stack), weight, text, links[1], bool(links[2]), tags, tuple(e for *_, e in stack), roles.index(1) + 1 if inside else 0))
             parts.clear()
-        links[1] = 0
+        links[1:] = 0, 0
 
     def close(tag: str, until: tuple[str, ...] = ()) -> None:
         for at in range(len(stack) - 1, -1, -1):
@@ -113,6 +129,8 @@ def blocks(source: str) -> list[tuple[tuple[str, ...], float, str, int]]:
                 parts.append(text)
                 if links[0]:
                     links[1] += len(text)
+                elif not text.isspace():
+                    links[2] = 1
             continue
         tag, closing = tag.lower(), m.group(1) == "/"
         if tag in INLINE:
@@ -122,7 +140,7 @@ def blocks(source: str) -> list[tuple[tuple[str, ...], float, str, int]]:
                 parts.append(" ")
             continue
         if closing:
-            if tag == "p" and not any(t == "p" for t, _, _ in stack):
+            if tag == "p" and not any(t == "p" for t, *_ in stack):
                 end_block()
             else:
                 close(tag)
@@ -138,9 +156,10 @@ def blocks(source: str) -> list[tuple[tuple[str, ...], float, str, int]]:
             close(other, ("ul", "ol", "dl", "table"))
         end_block()
         if tag not in VOID:
-            if tag == "body" and stack and any(t == "head" for t, _, _ in stack):
+            if tag == "body" and stack and any(t == "head" for t, *_ in stack):
                 close("head")
-            stack.append((tag, *role(tag, m.group(3))))
+            opened += 1
+            stack.append((tag, *role(tag, m.group(3)), opened))
     end_block()
     return out
 
@@ -151,25 +170,58 @@ def smooth(values: list[float]) -> list[float]:
     return [math.expm1(sum(w * logs[i + k] for k, w in enumerate(SMOOTH))) for i in range(len(values))]
 
 
+def depth(block: Block) -> int:
+    """Elements down to the container of a block: the nearest that is no piece of a text; a cell that holds other elements is one, too."""
+    at = len(block.tags)
+    while at and block.tags[at - 1] in PIECES and not (block.tags[at - 1] in ("td", "th") and at < len(block.tags)):
+        at -= 1
+    return at
+
+
+def within(found: list[Block], telling: list[bool]) -> list[bool]:
+    """Whether each block is in a container of a telling one. Containers that say that they hold the article count for their path, others alone."""
+    articles = {b.path[: b.article] for b, t in zip(found, telling) if t and b.article}
+    others = [(b, depth(b)) for b, t in zip(found, telling) if t and not b.article]
+    # texts that stand right in elements side by side are paragraphs of what holds these
+    beside: dict[tuple[int, ...], set[int]] = {}
+    for b, at in others:
+        if at and at == len(b.tags):
+            beside.setdefault(b.elements[:-1], set()).add(b.elements[-1])
+    holds = set()
+    for b, at in others:
+        paragraph = at and at == len(b.tags) and len(beside[b.elements[:-1]]) > 1
+        holds.add(b.elements[: at - 1 if paragraph else at])
+    everything = () in holds
+    numbers = {h[-1] for h in holds if h}
+    return [b.path[: b.article] in articles if b.article else everything or not numbers.isdisjoint(b.elements) for b in found]
+
+
 def main_text(source: str | None) -> str:
     found = blocks(source or "")
     if not found:
         return ""
     sums: dict[tuple[str, ...], list[float]] = {}
-    for path, _, text, linked in found:
-        s = sums.setdefault(path, [0.0, 0.0, 0.0])
-        s[0] += max(0, len(text) - linked)
-        s[1] += len(PUNCTUATION.findall(text))
+    for b in found:
+        s = sums.setdefault(b.path, [0.0, 0.0, 0.0])
+        s[0] += max(0, len(b.text) - b.linked)
+        s[1] += len(PUNCTUATION.findall(b.text))
         s[2] += 1
-    text_ratio = smooth([sums[p][0] / sums[p][2] for p, *_ in found])
-    mark_ratio = smooth([sums[p][1] / sums[p][2] for p, *_ in found])
+    text_ratio = smooth([sums[b.path][0] / sums[b.path][2] for b in found])
+    mark_ratio = smooth([sums[b.path][1] / sums[b.path][2] for b in found])
     fused: dict[tuple[str, ...], list[float]] = {}
-    for (path, weight, *_), t, k in zip(found, text_ratio, mark_ratio):
-        fused.setdefault(path, []).append(weight * t * math.log(math.e + k))
+    for b, t, k in zip(found, text_ratio, mark_ratio):
+        fused.setdefault(b.path, []).append(b.weight * t * math.log(math.e + k))
     score = {p: sum(v) / len(v) for p, v in fused.items()}
     best = max(score.values())
-    kept = [score[p] > 0 and score[p] >= best * (KEEP_INSIDE if weight > 1 else KEEP_SHARE) for p, weight, *_ in found]
-    return "\n".join(text for (_, _, text, _), keep in zip(found, kept) if keep)
+    telling = [b.weight > 0 and score[b.path] > 0 and score[b.path] >= best * (KEEP_INSIDE if b.article else KEEP_SHARE) for b in found]
+    held = within(found, telling)
+    first = held.index(True) if True in held else 0
+    kept = []
+    for at, (b, tells, inside) in enumerate(zip(found, telling, held)):
+        heading = not HEADINGS.isdisjoint(b.tags)
+        title = at < first and "h1" in b.tags
+        kept.append(b.weight > 0 and (tells or title or (inside and (b.plain or heading or b.article > 0))))
+    return "\n".join(b.text for b, keep in zip(found, kept) if keep)
 
 
 def extract(pages: DataFrame, page: str = "page_id", url: str = "url", source: str = "html") -> DataFrame:

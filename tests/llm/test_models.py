@@ -137,6 +137,19 @@ def test_extraction():
     assert html_extract.main_text("a < b and <p>c</p>").split("\n")[-1] == "c"
 
 
+def test_extraction_keeps_short_blocks():
+    long = "<p>" + "A sentence of the text, as long as others. " * 19 + "</p>"
+    items = "".join(f"<li>item number {i:02d}</li>" for i in range(10))
+    menu = "<div><a href=x>Home</a></div><div><ul><li><a href=y>News</a></li></ul></div>"
+    short = ["The title of it", *(f"item number {i:02d}" for i in range(10)), "cell", "caption"]
+    inner = f"<h1>The title of it</h1>{long}<ul>{items}</ul>{long}<table><tr><td>cell</td></tr></table><figure><figcaption>caption</figcaption></figure>{long * 3}"
+    for page in (f"{menu}<article>{inner}</article>", f"{menu}<div>{inner}</div>", f"<nav><a href=x>Home</a></nav><article><h1>The title of it</h1>{inner[24:].replace('</p><p>', '')}</article>"):
+        got = html_extract.main_text(f"<body>{page}<div class=ad><p>Buy this, now.</p></div></body>").split("\n")
+        assert [b for b in got if len(b) < 50] == short, page[:80]
+    apart = html_extract.main_text(f"<body>{menu}<h1>A title</h1><div>{'<div>Text that stands right in an element, without any paragraph.</div>' * 3}<ul><li>x</li></ul></div></body>").split("\n")
+    assert apart[0] == "A title" and apart[-1] == "x" and len(apart) == 5
+
+
 def test_query_op2(spark, duck):
     got = {r["page_id"]: r for r in html_extract.op2_tag_paths(spark, SF).collect()}
     for page, source in duck.sql("SELECT page_id, html FROM pages").fetchall():
