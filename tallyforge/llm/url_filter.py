@@ -2,9 +2,11 @@
 
 Features of a URL are its lengths, path depth, digit ratio, entropy of the host,
 parameter counts, hyphens, and statistics of the host's suffixes: how frequent a
-suffix is and its smoothed share of blocked training URLs. Suffixes are the last
-label and the last two. The trees are fitted on a bounded sample of labelled
-URLs; every URL is scored.
+suffix is and its smoothed share of blocked labelled URLs. Suffixes are the last
+label and the last two. Their statistics are counted over all URLs and all labels,
+and every suffix keeps its own; one without labels has the labels' mean as its
+rate. The trees are fitted on a bounded sample of labelled URLs, whose rates leave
+out the labels of their own fold; every URL is scored.
 
 Labels come from the caller. The query has no table of labelled URLs, so it
 labels the pages' own hosts with a list of seed words, as block lists do: a host
@@ -37,8 +39,10 @@ MAX_RULES = 1_000
 SEEDS = ("ads", "adult", "bet", "bets", "casino", "cheap", "free", "loan", "loans", "pills", "poker", "porn", "spam", "track", "tracker", "win", "xxx")
 #: Labelled rows that the trees are fitted on, in the mean.
 SAMPLE, TREES, DEPTH = 20_000, 12, 3
-#: Distinct suffixes whose statistics are kept: the most frequent ones.
+#: Suffixes whose statistics are broadcast: the most frequent ones. All others are joined by a shuffle.
 SUFFIXES = 2_000
+#: Labels of a suffix that its rate is smoothed by; folds of labelled rows; values that rows of broadcast suffixes are dealt by in the shuffle.
+SMOOTH, FOLDS, DEALT = 20, 5, 4_096
 FEATURES = ("url_length", "host_length", "path_length", "depth", "digit_ratio", "entropy", "parameters", "query_length", "labels", "hyphens", "vowel_ratio", "suffix1_share", "suffix1_rate", "suffix2_share", "suffix2_rate")
 
 
@@ -103,16 +107,40 @@ def lexical(urls: DataFrame, url: str = "url") -> DataFrame:
     )
 
 
+def fold() -> Column:
+    return F.pmod(F.xxhash64(F.coalesce("url", F.lit("")), F.lit("fold")), F.lit(FOLDS)).cast("int")
+
+
 def suffix_statistics(urls: DataFrame, labelled: DataFrame, k: int) -> DataFrame:
-    """suffix, share of all urls, smoothed rate of blocked labels, for the most frequent suffixes."""
+    """suffix, n of all urls, and the labels and blocked labels of each fold, for every suffix of either table."""
+    name = f"suffix{k}"
+    none, zero = F.lit(None).cast("int"), F.lit(0)
+    each = urls.select(name, F.lit(1).alias("n"), none.alias("fold"), zero.alias("label")).unionByName(labelled.select(name, zero.alias("n"), fold().alias("fold"), F.col("label").cast("int").alias("label")))
+    mine = lambda f, value: F.sum(F.when(F.col("fold") == f, value).otherwise(0))
+    return each.groupBy(name).agg(F.sum("n").alias("n"), F.array(*[mine(f, F.lit(1)) for f in range(FOLDS)]).alias("told"), F.array(*[mine(f, F.col("label")) for f in range(FOLDS)]).alias("blocked"))
+
+
+def with_statistics(rows: DataFrame, statistics: DataFrame, k: int, total: int, prior: float, left_out: Column | None = None) -> DataFrame:
+    """Adds a suffix's share of all urls and its smoothed rate of blocked labels, those of fold `left_out` not counted.
+
+    The most frequent suffixes are broadcast. Where there are more, rows of the
+    others meet theirs in a shuffle, in which rows that have found theirs are
+    dealt evenly.
+    """
     name = f"suffix{k}"
-    total = urls.agg(F.count("*").alias("total"))
-    rate = labelled.agg(F.avg("label").alias("prior"))
-    seen = urls.groupBy(name).agg(F.count("*").alias("n")).orderBy(F.desc("n"), name).limit(SUFFIXES)
-    told = labelled.groupBy(name).agg(F.sum("label").alias("blocked"), F.count("*").alias("told"))
-    joined = seen.join(told, name, "left").join(F.broadcast(total)).join(F.broadcast(rate))  # one row each
-    prior = F.coalesce("prior", F.lit(0.5))
-    return joined.select(name, (F.col("n") / F.col("total")).alias(f"{name}_share"), ((F.coalesce("blocked", F.lit(0)) + 20 * prior) / (F.coalesce("told", F.lit(0)) + 20)).alias(f"{name}_rate"))
+    value = F.struct("n", "told", "blocked")
+    head = statistics.orderBy(F.desc("n"), name).limit(SUFFIXES) if (more := statistics.count() > SUFFIXES) else statistics
+    head = cut(head) if more else head
+    out = rows.join(F.broadcast(head.select(name, value.alias("__s"))), name, "left")
+    if more:
+        tail = statistics.join(F.broadcast(head.select(name)), name, "left_anti").select(F.col(name).alias("__key"), value.alias("__t"))
+        key = F.when(F.col("__s").isNull(), F.col(name)).otherwise(F.concat(F.lit("\u0001"), F.pmod(F.monotonically_increasing_id(), F.lit(DEALT)).cast("string")))
+        out = out.withColumn("__key", key).join(tail, "__key", "left").withColumn("__s", F.coalesce("__s", "__t")).drop("__key", "__t")
+    whole = lambda c: F.aggregate(c, F.lit(0).cast("long"), lambda a, x: a + x)
+    counted = lambda c: F.coalesce(whole(c) - (c[left_out] if left_out is not None else 0), F.lit(0))
+    share = F.coalesce(F.col("__s.n"), F.lit(0)) / F.lit(float(max(1, total)))
+    rate = (counted(F.col("__s.blocked")) + SMOOTH * prior) / (counted(F.col("__s.told")) + SMOOTH)
+    return out.withColumns({f"{name}_share": share, f"{name}_rate": rate}).drop("__s")
 
 
 def seeded(host: Column, seeds=SEEDS) -> Column:
@@ -122,27 +150,28 @@ def seeded(host: Column, seeds=SEEDS) -> Column:
 def judge(urls: DataFrame, labelled: DataFrame, url: str = "url", sample: int = SAMPLE) -> DataFrame:
     """Adds host, path and `blocked` (0 or 1, by the trees) to `urls`.
 
-    `labelled` has url and label (1: block). About `sample` of its rows are
-    learnt from, chosen by a hash of the url.
+    `labelled` has url and label (1: block). The trees learn from about `sample`
+    of its rows, chosen by a hash of the url; suffix statistics count all of them.
     """
     rows, told = lexical(parts(urls, url), url), lexical(parts(labelled.select("url", "label").filter("label IS NOT NULL")))
     figures = told.agg(F.count("*").alias("n"), F.sum("label").alias("blocked")).first()
     n, blocked = figures["n"] or 0, figures["blocked"] or 0
     if not 0 < blocked < n:
         return rows.select(*urls.columns, "host", "path", F.lit(0).alias("blocked"))
+    total, prior = urls.count(), blocked / n
+    statistics = {k: cut(suffix_statistics(rows, told, k)) for k in (1, 2)}
     # both labels share the sample, so that rare ones are seen
     odds = {1: min(1.0, sample / 2 / blocked), 0: min(1.0, sample / 2 / (n - blocked))}
     draw = F.pmod(F.xxhash64(F.coalesce("url", F.lit(""))), F.lit(1_000_000)) / 1_000_000.0
     weight = {1: n / blocked / odds[1], 0: n / (n - blocked) / odds[0]}
     told = told.filter(draw < F.when(F.col("label") == 1, odds[1]).otherwise(odds[0])).withColumn("weight", F.when(F.col("label") == 1, weight[1]).otherwise(weight[0]))
-    statistics = [cut(suffix_statistics(rows, told, k)) for k in (1, 2)]
 
-    def assembled(df: DataFrame) -> DataFrame:
-        for k, s in zip((1, 2), statistics):
-            df = df.join(F.broadcast(s), f"suffix{k}", "left").fillna(0.0, [f"suffix{k}_share", f"suffix{k}_rate"])  # SUFFIXES rows at most
+    def assembled(df: DataFrame, left_out: Column | None = None) -> DataFrame:
+        for k, s in statistics.items():
+            df = with_statistics(df, s, k, total, prior, left_out)
         return VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(df)
 
-    trees = GBTClassifier(labelCol="label", weightCol="weight", maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=7).fit(assembled(told).select("features", "label", "weight"))
+    trees = GBTClassifier(labelCol="label", weightCol="weight", maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=7).fit(assembled(told, fold()).select("features", "label", "weight"))
     return trees.transform(assembled(rows)).select(*urls.columns, "host", "path", F.col("prediction").cast("int").alias("blocked"))
 
 

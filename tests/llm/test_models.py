@@ -191,6 +191,33 @@ def test_trees_on_hosts_not_seen(spark):
     assert got.filter("blocked = label").count() >= 0.9 * got.count()
 
 
+def test_statistics_of_every_suffix(spark, monkeypatch):
+    monkeypatch.setattr(url_filter, "SUFFIXES", 2)
+    hosts = {"big": (30, 0), "large": (20, 0), "tail": (10, 10), "quiet": (5, None)}  # urls, blocked
+    rows = [(f"http://a.{h}.org/{i}", None if bad is None else int(i < bad)) for h, (n, bad) in hosts.items() for i in range(n)]
+    both = url_filter.lexical(url_filter.parts(spark.createDataFrame([*rows, ("http://new.io/", None)], "url string, label int")))
+    told = both.filter("label IS NOT NULL")
+    s = url_filter.suffix_statistics(both.filter("suffix1 = 'org'"), told, 2)
+    n, prior = len(rows), 10 / 60
+    got = {(r["suffix2"], round(r["suffix2_share"], 9), round(r["suffix2_rate"], 9)) for r in url_filter.with_statistics(both, s, 2, n, prior).collect()}
+    want = {(f"{h}.org", k / n, ((bad or 0) + 20 * prior) / ((0 if bad is None else k) + 20)) for h, (k, bad) in hosts.items()} | {("new.io", 0, prior)}
+    assert got == {(h, round(x, 9), round(y, 9)) for h, x, y in want}
+    assert url_filter.with_statistics(both, s, 2, n, prior).count() == n + 1
+    # a row's own label is not in the rate that it is learnt by
+    one = told.limit(1).withColumn("label", F.lit(1))
+    own = url_filter.with_statistics(one, url_filter.suffix_statistics(one, one, 2), 2, 1, prior, url_filter.fold()).first()
+    assert own["suffix2_rate"] == pytest.approx(prior)
+
+
+def test_tail_suffixes_are_judged_by_all_labels(spark, monkeypatch):
+    """All urls look alike; only the labels of the suffix tell, most of which are not sampled."""
+    monkeypatch.setattr(url_filter, "SUFFIXES", 2)
+    rows = [(f"http://h.{a}{b}x.org/{i:02d}", int(a in "bd")) for a in "abcd" for b in "efgh" for i in range(25)]
+    df = spark.createDataFrame(rows, "url string, label int")
+    got = url_filter.judge(df, df, sample=200)
+    assert got.filter("blocked = label").count() == len(rows)
+
+
 @pytest.mark.parametrize("url", [None, "", "no scheme", "http://", "HTTP://A.NET", "http://A.NET/", "x://y?z://w/", "http://net.org/fr/x", "http://u.example.net/en/#a"])
 def test_awkward_urls(spark, url):
     df = spark.createDataFrame([(url,)], "url string")
