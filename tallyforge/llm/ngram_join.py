@@ -20,8 +20,8 @@ Words are runs of digits, ASCII letters (lowered) and anything above ASCII. A
 text of fewer than `n` words has one n-gram of all its words. Texts without
 words, null and empty ones included, are linked to equal texts only. A null id
 gives a row of its own: no class, no links. Rows that repeat an id are one
-document if their words are equal, else they share its result. An empty table
-gives no rows. Other columns are ignored.
+document if their words are equal, else each has the result of its own words. An
+empty table gives no rows. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -29,6 +29,7 @@ from __future__ import annotations
 import math
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
@@ -173,13 +174,8 @@ def verify(members: pa.Table, n: int, threshold: float) -> pa.Table:
     return pa.Table.from_arrays([pa.array([keys[k] for k in some], pa.binary()), pa.array(documents[some]), pa.array(texts[some]), pa.array([keys[top(int(k))] for k in some], pa.binary())], schema=COUNTED)
 
 
-def near_duplicates(docs: DataFrame, doc: str = "doc_id", text: str = "text", n: int = N, threshold: float = THRESHOLD, recall: float = RECALL, max_hashes: int = MAX_HASHES, block: int = BLOCK) -> DataFrame:
-    """One row per document: doc_id, class_id, n_links, n_text_links, copy_id.
-
-    class_id is the least id of the near-duplicate class, copy_id that of the
-    documents with equal words; n_links counts the other documents at or above
-    the threshold, copies included, n_text_links the different texts among them.
-    """
+def judged(docs: DataFrame, doc: str, text: str, n: int = N, threshold: float = THRESHOLD, recall: float = RECALL, max_hashes: int = MAX_HASHES, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
+    """(sketch: doc_id and key of every row with an id; one row per key: its class's root, rep and copies, linked documents and texts)."""
     ship(docs.sparkSession)
     bands, rows = banding(threshold, recall, max_hashes)
     sketch = cut(sketches(docs, doc, text, n, bands, rows).filter(F.col("doc_id").isNotNull()))
@@ -200,23 +196,56 @@ def near_duplicates(docs: DataFrame, doc: str = "doc_id", text: str = "text", n:
     links = counted.groupBy("key").agg(F.sum("documents").alias("documents"), F.sum("texts").alias("texts"))
     joined = components(counted.select("key", "peer"), "key", "peer")
     roots = classes.select("key", "rep", "copies").join(joined.withColumnRenamed("node", "key"), "key", "left").join(links, "key", "left").withColumn("root", F.coalesce("root", "key"))
+    return sketch.select("doc_id", "key"), roots
+
+
+def near_duplicates(docs: DataFrame, doc: str = "doc_id", text: str = "text", **settings) -> DataFrame:
+    """One row per document: doc_id, class_id, n_links, n_text_links, copy_id.
+
+    class_id is the least id of the near-duplicate class, copy_id that of the
+    documents with equal words; n_links counts the other documents at or above
+    the threshold, copies included, n_text_links the different texts among them.
+    `settings` are those of `judged`.
+    """
+    sketch, roots = judged(docs, doc, text, **settings)
     least = roots.groupBy("root").agg(F.min("rep").alias("class_id"))
     result = roots.join(least, "root").select("key", "class_id", F.col("rep").alias("copy_id"), (F.col("copies") - 1 + F.coalesce("documents", F.lit(0))).alias("n_links"), F.coalesce("texts", F.lit(0)).alias("n_text_links"))
-    found = sketch.select("doc_id", "key").join(result, "key").select("doc_id", "class_id", "n_links", "n_text_links", "copy_id")
+    found = sketch.join(result, "key").select("doc_id", "class_id", "n_links", "n_text_links", "copy_id")
     none = F.lit(None).cast("long")
     nameless = docs.filter(F.col(doc).isNull()).select(none.alias("doc_id"), none.alias("class_id"), F.lit(0).cast("long").alias("n_links"), F.lit(0).cast("long").alias("n_text_links"), none.alias("copy_id"))
     return found.unionByName(nameless)
 
 
+def with_key(docs: DataFrame, text: str, name: str) -> DataFrame:
+    """Adds the key of equal words."""
+
+    @F.pandas_udf("binary")
+    def key_of(raws: pd.Series) -> pd.Series:
+        return raws.map(lambda raw: words_key(w) if (w := words(raw)) else xxhash.xxh3_128_digest(b"\0" + raw))
+
+    return docs.withColumn(name, key_of(utf8(F.col(text))))
+
+
 def keep_one(docs: DataFrame, doc: str = "doc_id", text: str = "text", **settings) -> DataFrame:
-    """The documents of least id of each class, with their columns; rows without an id stay."""
-    found = near_duplicates(docs, doc, text, **settings)
-    kept = found.groupBy("doc_id").agg(F.min("class_id").alias("class_id"), F.count("*").alias("n")).filter("doc_id = class_id")
-    kept = cut(kept.select(F.col("doc_id").alias("__kept"), "n"))
-    out = docs.join(kept.select("__kept"), F.col(doc).cast("long") == F.col("__kept"), "left_semi")
-    if not kept.filter("n > 1").isEmpty():
-        out = out.dropDuplicates([doc])
-    return out.unionByName(docs.filter(F.col(doc).isNull()))
+    """One document of each class, that of least id, with its columns; rows without an id stay.
+
+    Texts are judged, not ids: where an id occurs with different texts, each is
+    kept or goes with its own class. Of rows with equal ids and words the first
+    stays, in the order of text and then of all columns as JSON.
+    """
+    sketch, roots = judged(docs, doc, text, **settings)
+    kept = cut(roots.groupBy("root").agg(F.min(F.struct(F.col("rep").alias("__id"), F.col("key").alias("__key"))).alias("k")).select("k.*"))
+    repeated = cut(sketch.groupBy(F.col("doc_id").alias("__id")).agg(F.count("*").alias("n")).filter("n > 1").select("__id"))
+    own = F.col(doc).cast("long") == F.col("__id")
+    nameless = docs.filter(F.col(doc).isNull())
+    if repeated.isEmpty():
+        return docs.join(kept.select("__id"), own, "left_semi").unionByName(nameless)
+    single = docs.join(kept.join(repeated, "__id", "left_anti").select("__id"), own, "left_semi")
+    rows = with_key(docs.join(repeated, own, "left_semi"), text, "__words").withColumn("__of", F.col(doc).cast("long"))
+    rows = rows.join(kept, (F.col("__of") == F.col("__id")) & (F.col("__words") == F.col("__key")), "left_semi")
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    first = rows.groupBy("__of", "__words").agg(F.min_by(row, F.struct(F.col(text), F.to_json(row))).alias("__row"))
+    return single.unionByName(first.select("__row.*")).unionByName(nameless)
 
 
 def op10_minhash_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -71,6 +71,19 @@ def test_keep_one(spark):
     assert ngram_join.keep_one(docs.limit(0)).count() == 0
 
 
+def test_keep_one_judges_texts_not_ids(spark):
+    rng = random.Random(3)
+    a, b, c, d = (words(rng, 60) for _ in range(4))
+    near = b.split()
+    near[30] = "changed"
+    rows = [(1, a, "x"), (2, a, "x"), (2, b, "x"), (3, " ".join(near), "x"), (3, c, "x"), (3, d, "z"), (3, d.upper(), "x"), (3, d, "y"), (4, d, "x"), (None, a, "x")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, tag string")
+    want = sorted(map(str, [(1, a, "x"), (2, b, "x"), (3, c, "x"), (3, min(d, d.upper()), "x"), (None, a, "x")]))
+    for parts in (1, 7):
+        kept = ngram_join.keep_one(df.repartition(parts))
+        assert kept.columns == df.columns and sorted(str(tuple(r)) for r in kept.collect()) == want
+
+
 def test_banding():
     bands, rows = ngram_join.banding()
     assert 1 - (1 - 0.8**rows) ** bands >= ngram_join.RECALL and bands * rows <= ngram_join.MAX_HASHES
