@@ -5,6 +5,11 @@ words that follow it, anchors between them skipped. The set of a text's signatur
 hashed and sorted, is its fingerprint; likeness is the Jaccard coefficient of
 two such sets.
 
+Where anchors are rare, words stand for them, so that every part of a text
+contributes: in a stretch of RUN or more content words without an anchor, each
+word has the virtual anchor before it, and in a text without any anchor all have.
+The rule looks at the stretch alone, so an edit changes the signatures near it.
+
 Two sets of sizes a <= b can only reach a likeness t if a >= t b. Pairs are
 therefore sought between neighbouring size classes, whose bounds grow by 1 / t,
 and within them by the rarest signatures of a set: two sets of likeness t share
@@ -13,8 +18,8 @@ one of the first (1 - t) a + 1 signatures in one fixed order.
 Defined results
 ---------------
 Words are runs of letters and digits, A-Z lowered. A virtual anchor before the
-first word gives texts without anchors a signature; a chain at the end of the
-text may be shorter than asked for. Null or empty texts have an empty
+first word gives one-word texts a signature; a chain at the end of the text may
+be shorter than asked for. Null or empty texts have an empty
 fingerprint; two empty fingerprints have likeness 1. The next document follows
 in the order of doc_id (null first), then text; after the last comes the first.
 A single document is its own next one. An empty table gives no rows. Other
@@ -32,12 +37,17 @@ from tallyforge.llm.common import table
 ANCHORS = ("a", "an", "and", "are", "at", "avec", "con", "das", "dans", "de", "del", "der", "des", "die", "du", "el", "en", "est", "et", "for", "from", "in", "is", "it", "la", "las", "le", "les", "los", "mit", "of", "on", "para", "par", "pour", "que", "qui", "sur", "that", "the", "this", "to", "un", "una", "und", "une", "von", "was", "with", "zu")
 CHAIN = 2
 THRESHOLD = 0.8
+#: Content words without an anchor from which each has the virtual one.
+RUN = 8
 #: Documents in a range of ids, in the mean, where each text is joined to the next; at most RANGES ranges.
 RANGE_ROWS, RANGES = 2_000, 2_000
 
 
 #: Stands between an anchor and what follows it; no word has it.
 MARK = "\u0001"
+#: A content word with another word after it, in a stretch of RUN of them: the first by looking ahead, others where the one before was found.
+BARE = f" [^ {MARK}]++(?= |$)"
+IN_RUN = f"(?:\\G(?!\\A)|(?=(?:{BARE}){{{RUN}}})) ([^ {MARK}]++)(?= )"
 
 
 def with_chains(rows: DataFrame, text: str, name: str, anchors: tuple[str, ...] = ANCHORS, chain: int = CHAIN) -> DataFrame:
@@ -52,6 +62,10 @@ def with_chains(rows: DataFrame, text: str, name: str, anchors: tuple[str, ...]
     plain = F.trim(F.regexp_replace(low, r"[^\p{L}\p{N}]+", " "))
     glued = F.regexp_replace(F.concat(F.lit(" "), plain, F.lit(" ")), f"(?<= )({'|'.join(anchors)}) ", f"$1{MARK}")
     out = rows.withColumn("__glued", F.concat(F.lit(f"^{MARK}"), F.trim(glued)))
+    # the last word of a text is in the chain of the one before it
+    every = F.regexp_replace("__glued", " (?=[^ ]+ )", f" ^{MARK}")
+    rare = F.regexp_replace("__glued", IN_RUN, f" ^{MARK}$1")
+    out = out.withColumn("__glued", F.when(F.locate(MARK, F.col("__glued"), 3) == 0, every).otherwise(rare))
     out = out.withColumn("__tokens", F.split("__glued", " ")).withColumn("__content", F.split(F.regexp_replace("__glued", f"[^ ]*{MARK}", ""), " "))
     joined = F.col("__tokens")
     for n in range(2, chain + 1):

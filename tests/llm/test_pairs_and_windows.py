@@ -171,6 +171,27 @@ def test_signatures_against_brute_force(spark):
         assert set(r["s"]) == brute_signatures(r["t"]) and len(r["h"]) == len(set(r["s"])), r["t"] and r["t"][:50]
 
 
+def test_texts_with_few_anchors(spark):
+    rng = random.Random(7)
+    plain = [f"wort{rng.randrange(10**6)}x{i}" for i in range(60)]
+    texts = [" | ".join(plain), " | ".join(plain[:30] + plain[29::-1]), " ".join(["the", *plain]), " ".join(["the", *plain[:-1], "other"]), " ".join(plain[:4]), " ".join(plain[:3] + ["other"])]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    sets = {r["i"]: set(r["h"]) for r in spotsigs.with_signatures(df, "t", "h").collect()}
+    assert len(sets[0]) == 59 and 0.3 < len(sets[0] & sets[1]) / len(sets[0] | sets[1]) < 0.6
+    assert len(sets[2]) >= 59 and sets[2] != sets[3] and len(sets[2] & sets[3]) >= 57
+    assert sets[4] != sets[5]
+    # each word counts, and an edit changes the signatures near it alone
+    changed = spark.createDataFrame([(i, " ".join([*plain[:i], "other", *plain[i + 1 :]])) for i in range(60)], "i int, t string")
+    for r in spotsigs.with_signatures(changed, "t", "h").collect():
+        assert 57 <= len(sets[0] & set(r["h"])) < 59
+
+
+def test_edited_texts_without_anchors(spark, tmp_path):
+    rows = [(i, " | ".join(f"n{i}z{k}" for k in range(40))) for i in range(3)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    assert all(0.2 < r["near_edited"] < 1 and r["near_next"] == 0 for r in spotsigs.op4_spotsigs(spark, str(tmp_path)).collect())
+
+
 def test_query_op4(spark, duck):
     got = {r["doc_id"]: r for r in spotsigs.op4_spotsigs(spark, SF).collect()}
     rows = duck.sql("SELECT doc_id, coalesce(text, '') FROM documents ORDER BY doc_id").fetchall()
