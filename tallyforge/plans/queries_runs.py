@@ -263,6 +263,11 @@ def o02_export_order(spark, sf):
     return exported(spark, sf).filter("status = 'PASS'").orderBy("dispatched_at", "task_id", "agent", "pass_idx").select("task_id", "agent", "pass_idx", "dispatched_at").limit(200)
 
 
+@query(f"{EXPORT_SQL} SELECT task_id, agent, pass_idx, dispatched_at FROM x WHERE status = 'PASS' ORDER BY dispatched_at, task_id, agent, pass_idx")
+def o02_export_order_all(spark, sf):
+    return exported(spark, sf).filter("status = 'PASS'").orderBy("dispatched_at", "task_id", "agent", "pass_idx").select("task_id", "agent", "pass_idx", "dispatched_at")
+
+
 @query(f"{BOTH} SELECT agent, model, sum(input_tokens)::BIGINT AS input_tokens, sum(output_tokens)::BIGINT AS output_tokens, CAST(sum(cost) AS DOUBLE) AS cost FROM passes GROUP BY ALL")
 def a22_tokens(spark, sf):
     return passes(spark, sf).groupBy("agent", "model").agg(F.sum("input_tokens").alias("input_tokens"), F.sum("output_tokens").alias("output_tokens"), money("cost").alias("cost"))
@@ -310,6 +315,11 @@ def o01_latest_results(spark, sf):
     return store.list_results(tasks(spark, sf)).select("task_id", "dispatched_at").limit(100)
 
 
+@query(f"{BOTH} SELECT task_id, dispatched_at FROM tasks ORDER BY coalesce(dispatched_at, '') DESC, task_id")
+def o01_latest_results_all(spark, sf):
+    return store.list_results(tasks(spark, sf)).select("task_id", "dispatched_at")
+
+
 @query(f"{BOTH} SELECT domain, count(*) AS n FROM tasks GROUP BY ALL ORDER BY n DESC, domain LIMIT 10")
 def o03_top_domains(spark, sf):
     return tasks(spark, sf).groupBy("domain").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "domain").limit(10)
