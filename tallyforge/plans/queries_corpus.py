@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tallyforge.functions import labels, text
@@ -153,9 +152,9 @@ def a24_s13_conversations(spark, sf):
 @query("""SELECT source, count(*) AS n_docs, count(DISTINCT lang) AS n_langs, max(n_chars) AS longest, arg_max(doc_id, (n_chars, -doc_id)) AS longest_doc FROM documents GROUP BY source""")
 def a23_source_sizes(spark, sf):
     d = table(spark, sf, "documents")
-    longest = Window.partitionBy("source").orderBy(F.desc("n_chars"), "doc_id")
-    ranked = d.withColumn("first", F.row_number().over(longest) == 1)
-    return ranked.groupBy("source").agg(F.count("*").alias("n_docs"), F.countDistinct("lang").alias("n_langs"), F.max("n_chars").alias("longest"), F.max(F.when(F.col("first"), F.col("doc_id"))).alias("longest_doc"))
+    # the longest, of equal ones the least id, as a partial aggregate
+    longest = F.max(F.struct("n_chars", F.col("doc_id").isNull(), -F.col("doc_id"), "doc_id"))["doc_id"]
+    return d.groupBy("source").agg(F.count("*").alias("n_docs"), F.countDistinct("lang").alias("n_langs"), F.max("n_chars").alias("longest"), longest.alias("longest_doc"))
 
 
 @query(f"WITH {FILES_SQL} SELECT source, sha256('The following documents have been provided for this research task:' || chr(10) || chr(10) || string_agg(CASE WHEN extractable THEN '  • ' || filename || ' (txt, ' || CAST(round_even(size_bytes / 1024, 0) AS BIGINT) || ' KB)' || CASE WHEN size_bytes > 4000 THEN ' [TRUNCATED]' ELSE '' END ELSE '  ❌ ' || filename || ' — ERROR: not read' END, chr(10) ORDER BY doc_id) || CASE WHEN count(*) FILTER (NOT extractable) > 0 THEN chr(10) || chr(10) || 'Note: ' || count(*) FILTER (NOT extractable) || ' file(s) had processing issues.' ELSE '' END || chr(10) || chr(10) || 'Reference these files using [File: filename] in your citations. Treat file contents as primary source material.') AS manifest FROM files GROUP BY source")

@@ -24,6 +24,11 @@ def test_whole_order(spark, duck, name, limit):
     assert QUERIES[name](spark, SF).select(*whole.columns).collect() == found[:limit]
 
 
+def test_source_sizes_without_a_window(spark):
+    plan = QUERIES["a23_source_sizes"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan
+
+
 def test_entry(spark):
     import __spark_entry__
 
