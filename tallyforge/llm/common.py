@@ -46,10 +46,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir that all executors share; one of our own only where the setting is missing, as in tests."""
+    """The folder of spark.checkpoint.dir that all executors share. A session on this machine alone, as in tests, gets one of its own where the setting is missing."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="ckpt-"))
+        folder = sc.getConf().get("spark.checkpoint.dir")
+        if not folder and not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="ckpt-"))
     return sc.getCheckpointDir()
 
 

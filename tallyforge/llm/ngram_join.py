@@ -29,14 +29,13 @@ from __future__ import annotations
 import math
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyforge.llm.common import claim, cut, ship, table, utf8
-from tallyforge.llm.components import components
+from tallyforge.llm.components import components, join_by_key
 from tallyforge.llm.decontaminate import words
 
 N, THRESHOLD, RECALL, MAX_HASHES = 5, 0.8, 0.999, 256
@@ -44,7 +43,7 @@ N, THRESHOLD, RECALL, MAX_HASHES = 5, 0.8, 0.999, 256
 BLOCK = 1024
 #: Up to so many grouped classes (under 100 bytes each) their ids are broadcast to find their texts.
 BROADCAST_ROWS = 200_000
-SKETCH = pa.schema([("doc_id", pa.int64()), ("key", pa.binary()), ("bands", pa.list_(pa.int64()))])
+SKETCH = pa.schema([("doc_id", pa.int64()), ("mark", pa.int64()), ("key", pa.binary()), ("bands", pa.list_(pa.int64()))])
 COUNTED = pa.schema([("key", pa.binary()), ("documents", pa.int64()), ("texts", pa.int64()), ("peer", pa.binary())])
 
 
@@ -84,14 +83,19 @@ def minhash(values: np.ndarray, hashes: int) -> np.ndarray:
     return least.astype(np.uint32)
 
 
+def named(docs: DataFrame, doc: str, text: str) -> DataFrame:
+    """Adds __id, and __mark: with the id it tells rows of different texts apart."""
+    return docs.withColumns({"__id": F.col(doc).cast("long"), "__mark": F.xxhash64(F.coalesce(F.col(text), F.lit("")))})
+
+
 def sketches(docs: DataFrame, doc: str, text: str, n: int, bands: int, rows: int) -> DataFrame:
-    """doc_id, key of equal words, band hashes (none without words)."""
+    """doc_id, hash of the raw text, key of equal words, band hashes (none without words)."""
 
     def run(source):
         claim("sketches")
         for batch in source:
             keys, all_bands = [], []
-            for raw in batch.column(1):
+            for raw in batch.column(2):
                 raw = raw.as_py()
                 w = words(raw)
                 if not w:
@@ -101,9 +105,9 @@ def sketches(docs: DataFrame, doc: str, text: str, n: int, bands: int, rows: int
                 keys.append(words_key(w))
                 m = minhash(ngram_hashes(w, n), bands * rows)
                 all_bands.append([xxhash.xxh3_64_intdigest(m[i * rows : (i + 1) * rows].tobytes(), seed=i) - 2**63 for i in range(bands)])
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.binary()), pa.array(all_bands, pa.list_(pa.int64()))], schema=SKETCH)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(keys, pa.binary()), pa.array(all_bands, pa.list_(pa.int64()))], schema=SKETCH)
 
-    return docs.select(F.col(doc).cast("long").alias("doc_id"), utf8(F.col(text)).alias("text")).mapInArrow(run, "doc_id long, key binary, bands array<long>")
+    return named(docs, doc, text).select("__id", "__mark", utf8(F.col(text))).filter("__id IS NOT NULL").mapInArrow(run, "doc_id long, mark long, key binary, bands array<long>")
 
 
 def ngram_ids(texts: list[bytes], n: int) -> list[np.ndarray]:
@@ -137,14 +141,6 @@ def linked(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, threshol
 
 def verify(members: pa.Table, n: int, threshold: float) -> pa.Table:
     """Rows for one pair of blocks (or one block with itself)."""
-    # a class found its texts by id: of rows that share the id, one with the class's own words counts
-    at: dict[bytes, int] = {}
-    for i, (key, raw) in enumerate(zip(members.column("key").to_pylist(), members.column("text").to_pylist())):
-        if key not in at and key == words_key(words(raw)):
-            at[key] = i
-    members = members.take(pa.array(list(at.values()), pa.int64()))
-    if not at:
-        return COUNTED.empty_table()
     keys = members.column("key").to_pylist()
     weight = members.column("copies").to_numpy()
     block = members.column("block").to_numpy()
@@ -174,21 +170,25 @@ def verify(members: pa.Table, n: int, threshold: float) -> pa.Table:
     return pa.Table.from_arrays([pa.array([keys[k] for k in some], pa.binary()), pa.array(documents[some]), pa.array(texts[some]), pa.array([keys[top(int(k))] for k in some], pa.binary())], schema=COUNTED)
 
 
-def judged(docs: DataFrame, doc: str, text: str, n: int = N, threshold: float = THRESHOLD, recall: float = RECALL, max_hashes: int = MAX_HASHES, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
-    """(sketch: doc_id and key of every row with an id; one row per key: its class's root, rep and copies, linked documents and texts)."""
+def judged(docs: DataFrame, doc: str, text: str, n: int = N, threshold: float = THRESHOLD, recall: float = RECALL, max_hashes: int = MAX_HASHES, block: int = BLOCK) -> tuple[DataFrame, DataFrame, int]:
+    """(sketch: doc_id, mark and key of every row with an id; one row per key: its class's root, its rep (id and mark) and copies, linked documents and texts; rows of sketch)."""
     ship(docs.sparkSession)
     bands, rows = banding(threshold, recall, max_hashes)
-    sketch = cut(sketches(docs, doc, text, n, bands, rows).filter(F.col("doc_id").isNotNull()))
-    classes = sketch.groupBy("key").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.first("bands").alias("bands"))
+    sketch = cut(sketches(docs, doc, text, n, bands, rows))
+    total = sketch.count()
+    repeated = cut(sketch.groupBy("doc_id", "mark").agg(F.count("*").alias("n")).filter("n > 1"))
+    classes = sketch.groupBy("key").agg(F.min(F.struct("doc_id", "mark")).alias("rep"), F.count("*").alias("copies"), F.first("bands").alias("bands"))
     met = classes.select("key", F.explode("bands").alias("bucket"))
-    pivots = met.groupBy("bucket").agg(F.min("key").alias("pivot"), F.count("*").alias("n")).filter("n > 1").select("bucket", "pivot")
-    groups = components(met.join(pivots, "bucket").select("key", "pivot").distinct(), "key", "pivot")
-    groups = groups.unionByName(groups.select(F.col("root").alias("node"), "root").distinct())
-    sizes = groups.groupBy("root").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
-    members = cut(groups.withColumnRenamed("node", "key").join(sizes, "root").join(classes.select("key", "rep", "copies"), "key"))
-    few = members.count() <= BROADCAST_ROWS
-    texts = docs.select(F.col(doc).cast("long").alias("rep"), utf8(F.col(text)).alias("text"))
-    texts = texts.join(F.broadcast(members) if few else members, "rep")
+    pivots = met.groupBy("bucket").agg(F.min("key").alias("pivot"), F.count("*").alias("n")).filter("n > 1")
+    groups = components(join_by_key(met, pivots, ["bucket"], total * bands).select("key", "pivot").distinct(), "key", "pivot")
+    groups = groups.unionByName(groups.select(F.col("root").alias("node"), "root").distinct()).withColumnRenamed("node", "key")
+    sizes = groups.groupBy("root").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"), F.count("*").alias("n"))
+    members = join_by_key(groups, sizes, ["root"], total).join(classes.select("key", "copies", F.col("rep.doc_id").alias("__id"), F.col("rep.mark").alias("__mark")), "key")
+    members = cut(members.join(repeated.withColumnsRenamed({"doc_id": "__id", "mark": "__mark"}), ["__id", "__mark"], "left").withColumn("n", F.coalesce("n", F.lit(1))))
+    texts = named(docs, doc, text).select("__id", "__mark", utf8(F.col(text)).alias("text"))
+    texts = texts.join(F.broadcast(members), ["__id", "__mark"]) if members.count() <= BROADCAST_ROWS else join_by_key(texts, members.withColumn("again", F.col("n")), ["__id", "__mark"], total).withColumnRenamed("again", "n")
+    if not repeated.isEmpty():  # a text is compared once, however many rows repeat it under one id
+        texts = texts.filter("n = 1").unionByName(texts.filter("n > 1").dropDuplicates(["__id", "__mark"]))
     own = F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     met_blocks = texts.withColumn("block", own).withColumn("other", other).select("root", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "key", "copies", "text")
@@ -196,7 +196,7 @@ def judged(docs: DataFrame, doc: str, text: str, n: int = N, threshold: float =
     links = counted.groupBy("key").agg(F.sum("documents").alias("documents"), F.sum("texts").alias("texts"))
     joined = components(counted.select("key", "peer"), "key", "peer")
     roots = classes.select("key", "rep", "copies").join(joined.withColumnRenamed("node", "key"), "key", "left").join(links, "key", "left").withColumn("root", F.coalesce("root", "key"))
-    return sketch.select("doc_id", "key"), roots
+    return sketch.select("doc_id", "mark", "key"), roots, total
 
 
 def near_duplicates(docs: DataFrame, doc: str = "doc_id", text: str = "text", **settings) -> DataFrame:
@@ -207,25 +207,15 @@ def near_duplicates(docs: DataFrame, doc: str = "doc_id", text: str = "text", **
     the threshold, copies included, n_text_links the different texts among them.
     `settings` are those of `judged`.
     """
-    sketch, roots = judged(docs, doc, text, **settings)
-    least = roots.groupBy("root").agg(F.min("rep").alias("class_id"))
-    result = roots.join(least, "root").select("key", "class_id", F.col("rep").alias("copy_id"), (F.col("copies") - 1 + F.coalesce("documents", F.lit(0))).alias("n_links"), F.coalesce("texts", F.lit(0)).alias("n_text_links"))
-    found = sketch.join(result, "key").select("doc_id", "class_id", "n_links", "n_text_links", "copy_id")
-    none = F.lit(None).cast("long")
-    nameless = docs.filter(F.col(doc).isNull()).select(none.alias("doc_id"), none.alias("class_id"), F.lit(0).cast("long").alias("n_links"), F.lit(0).cast("long").alias("n_text_links"), none.alias("copy_id"))
+    sketch, roots, total = judged(docs, doc, text, **settings)
+    least = roots.groupBy("root").agg(F.min("rep.doc_id").alias("class_id"), F.count("*").alias("n"))
+    none, zero = F.lit(None).cast("long"), F.lit(0).cast("long")
+    result = join_by_key(roots, least, ["root"], total).select("key", "class_id", F.col("rep.doc_id").alias("copy_id"), (F.col("copies") - 1 + F.coalesce("documents", zero)).alias("n_links"), F.coalesce("texts", zero).alias("n_text_links"), F.col("copies").alias("n"))
+    found = join_by_key(sketch, result, ["key"], total).select("doc_id", "class_id", "n_links", "n_text_links", "copy_id")
+    nameless = docs.filter(F.col(doc).isNull()).select(none.alias("doc_id"), none.alias("class_id"), zero.alias("n_links"), zero.alias("n_text_links"), none.alias("copy_id"))
     return found.unionByName(nameless)
 
 
-def with_key(docs: DataFrame, text: str, name: str) -> DataFrame:
-    """Adds the key of equal words."""
-
-    @F.pandas_udf("binary")
-    def key_of(raws: pd.Series) -> pd.Series:
-        return raws.map(lambda raw: words_key(w) if (w := words(raw)) else xxhash.xxh3_128_digest(b"\0" + raw))
-
-    return docs.withColumn(name, key_of(utf8(F.col(text))))
-
-
 def keep_one(docs: DataFrame, doc: str = "doc_id", text: str = "text", **settings) -> DataFrame:
     """One document of each class, that of least id, with its columns; rows without an id stay.
 
@@ -233,19 +223,19 @@ def keep_one(docs: DataFrame, doc: str = "doc_id", text: str = "text", **setting
     kept or goes with its own class. Of rows with equal ids and words the first
     stays, in the order of text and then of all columns as JSON.
     """
-    sketch, roots = judged(docs, doc, text, **settings)
-    kept = cut(roots.groupBy("root").agg(F.min(F.struct(F.col("rep").alias("__id"), F.col("key").alias("__key"))).alias("k")).select("k.*"))
-    repeated = cut(sketch.groupBy(F.col("doc_id").alias("__id")).agg(F.count("*").alias("n")).filter("n > 1").select("__id"))
-    own = F.col(doc).cast("long") == F.col("__id")
+    sketch, roots, total = judged(docs, doc, text, **settings)
+    kept = roots.groupBy("root").agg(F.min(F.struct("rep.doc_id", "key")).alias("k")).select("k.*")
+    mine = sketch.groupBy("doc_id", "key", "mark").agg(F.count("*").alias("n")).join(kept, ["doc_id", "key"])
+    rows = mine.groupBy("doc_id", "key").agg(F.sum("n").alias("rows"))
+    wanted = cut(mine.join(rows, ["doc_id", "key"]).select(F.col("doc_id").alias("__id"), F.col("mark").alias("__mark"), F.col("key").alias("__key"), F.col("rows").alias("__rows"), "n"))
+    inner = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    found = join_by_key(named(docs, doc, text).select(inner.alias("__row"), "__id", "__mark"), wanted, ["__id", "__mark"], total)
     nameless = docs.filter(F.col(doc).isNull())
-    if repeated.isEmpty():
-        return docs.join(kept.select("__id"), own, "left_semi").unionByName(nameless)
-    single = docs.join(kept.join(repeated, "__id", "left_anti").select("__id"), own, "left_semi")
-    rows = with_key(docs.join(repeated, own, "left_semi"), text, "__words").withColumn("__of", F.col(doc).cast("long"))
-    rows = rows.join(kept, (F.col("__of") == F.col("__id")) & (F.col("__words") == F.col("__key")), "left_semi")
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    first = rows.groupBy("__of", "__words").agg(F.min_by(row, F.struct(F.col(text), F.to_json(row))).alias("__row"))
-    return single.unionByName(first.select("__row.*")).unionByName(nameless)
+    if wanted.filter("__rows > 1").isEmpty():
+        return found.select("__row.*").unionByName(nameless)
+    row = F.col("__row")
+    first = found.filter("__rows > 1").groupBy("__id", "__key").agg(F.min_by(row, F.struct(row[text], F.to_json(row))).alias("__row"))
+    return found.filter("__rows = 1").select("__row.*").unionByName(first.select("__row.*")).unionByName(nameless)
 
 
 def op10_minhash_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyforge.llm import decontaminate, ngram_join, spotsigs
-from tallyforge.llm.components import components
+from tallyforge.llm.components import components, join_by_key
 from tests.conftest import SF, same
 from tests.llm.tables import documents, words
 
@@ -106,6 +106,27 @@ def test_components(spark):
     assert got == want
 
 
+def test_a_large_star_spreads(spark):
+    """The hub's 100,000 edges stay in the tasks that hold them; only other nodes are shuffled on."""
+    edges = spark.range(100_000).select(F.lit("a").alias("a"), F.format_string("n%06d", "id").alias("b"))
+    got = components(edges, "a", "b")
+    assert got.count() == 100_000 and [r[0] for r in got.select("root").distinct().collect()] == ["a"]
+    values = edges.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n"))
+    joined = join_by_key(edges.repartition(8), values, ["a"], 100_000)
+    spread = joined.groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r["count"] for r in spread) == 100_000 and max(r["count"] for r in spread) < 20_000
+
+
+def test_repeated_ids_with_one_text(spark):
+    rng = random.Random(9)
+    base = words(rng, 60).split()
+    rows = [(1, " ".join(base))] * 300 + [(1, " ".join([*base[:30], f"other{i}", *base[31:]])) for i in range(40)] + [(2, words(rng, 50))]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = ngram_join.near_duplicates(df, block=16).collect()
+    assert sorted((r["doc_id"], r["class_id"], r["n_links"]) for r in got) == brute_classes(rows)
+    assert sorted(r["doc_id"] for r in ngram_join.keep_one(df, block=16).collect()) == [1, 2]
+
+
 def test_query_op10(spark, duck):
     same(ngram_join.op10_minhash_join(spark, SF), duck.sql(ngram_join.ORACLE["op10_minhash_join"]))
 
