@@ -7,21 +7,32 @@ punctuation ratios. The ratios are smoothed along the page's blocks, fused, and
 weighted by what tags and attributes on the path say of its role. Blocks whose
 path reaches a share of the page's best path tell where the content is: the
 elements that hold them are its containers. The main text is every block of a
-container that is not marked as something else, however short it is beside the
-longest one: headings, list items, cells and captions included, and a first
-heading that stands before the container. Only blocks that are links and nothing
-else have to reach the share themselves where no element says that it holds the
-article, since menus look like that.
+container, however short it is beside the longest one: headings, list items,
+cells and captions included, and a first heading that stands before the
+container. Only blocks that are links and nothing else have to reach the share
+themselves where no element says that it holds the article, since menus look
+like that.
+
+Classes and ids are evidence and no verdict. A name like `ad-slot` or
+`comments` on an element below the container makes its blocks doubtful: their
+path counts for DOUBT of its ratio and has to reach the share itself. The same
+name around the whole text changes nothing: where a path is RICHER times as rich
+as all others it is the text in spite of its name.
+A `form` is doubtful, too, as some pages are one form. Only elements that HTML
+itself sets apart (`nav`, `footer`, `aside`, such roles, hidden ones, a `header`
+outside the article) are left out as such.
 
 One page is one row, so tasks need nothing from each other and nothing is
-shuffled.
+shuffled. Work is linear in the page.
 
 Defined results
 ---------------
 Null or empty html: empty text. Text without any tag: one block. Unclosed tags
-are closed as browsers do for paragraphs, list items and table cells. Inline
-tags do not end a block, `br` is white space. Repeated rows give repeated rows;
-an empty table gives none. Other columns are ignored.
+are closed as browsers do for paragraphs, list items and table cells. Elements
+nested deeper than DEEPEST count as parts of the one there, as in browsers, and
+keep their text. A `<` that begins no tag, or a tag that never ends, is text.
+Inline tags do not end a block, `br` is white space. Repeated rows give repeated
+rows; an empty table gives none. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -29,7 +40,7 @@ from __future__ import annotations
 import html
 import math
 import re
-from collections import namedtuple
+from collections import Counter, namedtuple
 from functools import lru_cache
 
 import pyarrow as pa
@@ -40,21 +51,27 @@ from tallyforge.llm.common import ship, table
 
 #: Weight of paths inside an element that holds the article, against 1 for others.
 ARTICLE_WEIGHT = 4.0
+#: Weight of a path for each element on it whose name casts doubt and that is not on the richest path; that one has to be RICHER times as rich for each.
+DOUBT, RICHER = 0.02, 10.0
 #: A path tells of a container from these shares of the best path's fused ratio: inside an element that holds the article, and elsewhere.
 KEEP_INSIDE, KEEP_SHARE = 0.02, 0.2
 #: Weights of a block and its neighbours when ratios are smoothed.
 SMOOTH = (0.25, 0.5, 0.25)
+#: Open elements that are told apart.
+DEEPEST = 512
 
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr br img".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style noscript template textarea svg canvas iframe object math select button title".split())
-DROPPED_TAGS = frozenset("nav footer aside form menu dialog head".split())
+SET_APART = frozenset("nav footer aside menu dialog head".split())
+SET_APART_ROLES = frozenset("navigation contentinfo complementary search menu menubar dialog alertdialog banner".split())
 ARTICLE_TAGS = frozenset(("article", "main"))
-#: Words of class, id and role that mark what is not the article.
-DROPPED_WORDS = frozenset(
-    "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr notice notices notification alert popup modal overlay nav navbar navigation menu menus breadcrumb breadcrumbs pagination pager sidebar aside complementary footer contentinfo masthead topbar comment comments commentlist disqus respond replies newsletter subscribe subscription signup login search share sharing social related recommended widget toolbar copyright hidden form".split()
+#: Words that cast doubt, where a name in class or id consists of them and of NEUTRAL words only.
+DOUBTED = frozenset(
+    "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion cookie cookies consent gdpr notice notices alert popup modal overlay nav navbar navigation menu menus breadcrumb breadcrumbs pagination pager sidebar aside footer masthead topbar comment comments commentlist disqus respond replies newsletter subscribe subscription signup login share sharing social related recommended widget widgets toolbar copyright".split()
 )
-ARTICLE_WORDS = frozenset(("articlebody", "article", "story", "post"))
+NEUTRAL = frozenset("banner list box bar block container wrapper wrap section area slot unit item items inner outer body content text title link links button buttons form left right top bottom main header head site page global post posts entry article articles blog story user reader primary secondary group panel row column col full small large wide".split())
+STORY = frozenset(("articlebody", "article", "story", "post"))
 #: Start tags that close an open element of the tags named here.
 CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 CLOSES_P = frozenset("address article aside blockquote center details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
@@ -62,77 +79,146 @@ CLOSES_P = frozenset("address article aside blockquote center details div dl fie
 PIECES = frozenset("p h1 h2 h3 h4 h5 h6 hgroup ul ol li dl dt dd blockquote pre address figure figcaption caption table thead tbody tfoot colgroup tr td th details summary hr".split())
 HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
 
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|[^<]+|<", re.S)
-ATTRIBUTE = re.compile(r"(class|id|role|itemprop|style|hidden|aria-hidden)\b(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?", re.I)
+NAME = re.compile(r"/?[A-Za-z][^\s/>]*")
+#: The end of a tag, or a value in quotes, inside which no tag ends.
+STOP = re.compile(r">|=\s*([\"'])")
+ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
 PUNCTUATION = re.compile(r"[.,;:!?…。、！？¿¡]")
 PAGES = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string()), ("n_chars", pa.int64())])
 
 
+def doubtful(name: str) -> bool:
+    """Whether a name of class or id says that its element is not the article: `ad-slot` does, `no-sidebar` and `search-results` do not."""
+    said = [w for w in re.split(r"[^a-z]+", name) if w]
+    return not DOUBTED.isdisjoint(said) and all(w in DOUBTED or w in NEUTRAL for w in said)
+
+
 @lru_cache(maxsize=4096)
-def role(tag: str, attributes: str) -> tuple[str, int]:
-    """(step of a path, what it says: -1 not the article, 1 holds the article, 0 nothing)."""
-    values = {}
+def role(tag: str, attributes: str) -> tuple[str, bool, bool, bool]:
+    """(step of a path, whether set apart, whether it holds the article, whether its name casts doubt)."""
+    values: dict[str, str] = {}
     for name, value in ATTRIBUTE.findall(attributes):
         values.setdefault(name.lower(), value.strip("\"'").lower())
     step = f"{tag}.{values['class']}" if values.get("class") else tag
-    said = set(re.split(r"[^a-z]+", " ".join(values.get(k, "") for k in ("class", "id", "role", "itemprop"))))
+    names = (values.get("class", "") + " " + values.get("id", "")).split()
     hidden = "hidden" in values or values.get("aria-hidden") == "true" or "display:none" in values.get("style", "").replace(" ", "")
-    if tag in DROPPED_TAGS or hidden or (said & DROPPED_WORDS and tag not in ("body", "html", "article", "main")):
-        return step, -1
-    if tag in ARTICLE_TAGS or values.get("itemprop") == "articlebody" or (said & ARTICLE_WORDS and tag in ("div", "section")):
-        return step, 1
-    return step, 0
+    apart = hidden or tag in SET_APART or not SET_APART_ROLES.isdisjoint(values.get("role", "").split())
+    holds = tag in ARTICLE_TAGS or values.get("itemprop") == "articlebody" or values.get("role") in ("main", "article")
+    holds = holds or (tag in ("div", "section") and any(not STORY.isdisjoint(re.split(r"[^a-z]+", n)) and not doubtful(n) for n in names))
+    return step, apart, holds and not apart, tag == "form" or (tag not in ("html", "body") and any(map(doubtful, names)))
+
+
+class Element:
+    """An open element. `path` numbers its steps from the root, `article` is the outermost element on it that holds the article,
+    `doubts` counts the elements on it whose names cast doubt."""
+
+    __slots__ = ("up", "tag", "path", "apart", "article", "doubts", "header")
+
+    def __init__(self, up: Element | None, tag: str, path: int, apart: bool = False, holds: bool = False, doubt: bool = False):
+        self.up, self.tag, self.path = up, tag, path
+        self.apart = apart or (up is not None and up.apart)
+        self.article = (up.article if up else None) or (self if holds else None)
+        self.doubts = doubt + (up.doubts if up else 0)
+        self.header = tag == "header" or (up is not None and up.header)
 
+    def weight(self) -> float:
+        if self.apart or (self.header and not self.article):
+            return 0.0
+        return ARTICLE_WEIGHT if self.article else 1.0
 
-Block = namedtuple("Block", "path weight text linked plain tags elements article")
+    def container(self) -> Element:
+        """The nearest element that is no piece of a text; a cell that holds other elements is one, too."""
+        e = self
+        while e.up and e.tag in PIECES and not (e.tag in ("td", "th") and e is not self):
+            e = e.up
+        return e
+
+
+Block = namedtuple("Block", "element text linked plain")
 
 
 def blocks(source: str) -> list[Block]:
-    """Every block in page order: its path, weight, text, characters in links, whether any are outside, and the tags and numbers of the
-    elements on its path. `article` counts the elements down to the outermost that holds the article; 0 where there is none."""
-    out = []
-    stack: list[tuple[str, str, int, int]] = []  # tag, step, role, number; block-level only
+    """Every block in page order: its element, text, characters in links, whether any are outside."""
+    out: list[Block] = []
+    stack = [Element(None, "", 0)]
+    open_tags: Counter = Counter()
+    paths: dict[tuple[int, str], int] = {}
     parts: list[str] = []
     links = [0, 0, 0]  # open anchors, characters inside them, whether text stands outside
-    opened = 0
+    over = 0  # open elements below the deepest
 
     def end_block() -> None:
         if parts:
             text = " ".join(html.unescape("".join(parts)).split())
             if text:
-                roles = [r for _, _, r, _ in stack]
-                inside = 1 in roles
-                tags = tuple(t for t, *_ in stack)
-                dropped = -1 in roles or (not inside and "header" in tags)
-                weight = 0.0 if dropped else ARTICLE_WEIGHT if inside else 1.0
-                out.append(Block(tuple(s for _, s, _, _ in stack), weight, text, links[1], bool(links[2]), tags, tuple(e for *_, e in stack), roles.index(1) + 1 if inside else 0))
+                out.append(Block(stack[-1], text, links[1], bool(links[2])))
             parts.clear()
         links[1:] = 0, 0
 
     def close(tag: str, until: tuple[str, ...] = ()) -> None:
-        for at in range(len(stack) - 1, -1, -1):
-            if stack[at][0] == tag:
-                end_block()
-                del stack[at:]
-                return
-            if stack[at][0] in until:
-                return
+        if open_tags[tag]:
+            for at in range(len(stack) - 1, 0, -1):
+                if stack[at].tag == tag:
+                    end_block()
+                    for e in stack[at:]:
+                        open_tags[e.tag] -= 1
+                    del stack[at:]
+                    return
+                if stack[at].tag in until:
+                    return
+
+    def write(text: str) -> None:
+        parts.append(text)
+        if links[0]:
+            links[1] += len(text)
+        elif not text.isspace():
+            links[2] = 1
 
     at, size = 0, len(source)
+    endless = False  # no later tag ends
+    unquoted: set[str] = set()  # quotes that do not occur any more
     while at < size:
-        m = TOKEN.match(source, at)
-        at = m.end()
-        tag = m.group(2)
-        if tag is None:
-            text = m.group()
-            if text[0] != "<" or text == "<":
-                parts.append(text)
-                if links[0]:
-                    links[1] += len(text)
-                elif not text.isspace():
-                    links[2] = 1
+        begin = source.find("<", at)
+        if begin < 0:
+            write(source[at:])
+            break
+        if begin > at:
+            write(source[at:begin])
+        if source.startswith("<!--", begin):
+            end = source.find("-->", begin + 4)
+            at = end + 3 if end >= 0 else size
+            continue
+        if source.startswith(("<!", "<?"), begin):
+            end = source.find(">", begin)
+            at = end + 1 if end >= 0 else size
+            continue
+        name = None if endless else NAME.match(source, begin + 1)
+        if name is None:
+            write("<")
+            at = begin + 1
             continue
-        tag, closing = tag.lower(), m.group(1) == "/"
+        end = name.end()
+        while True:
+            stop = STOP.search(source, end)
+            if stop is None or stop.group() == ">":
+                break
+            end, quote = stop.end(), stop.group(1)
+            if quote not in unquoted:
+                closing_quote = source.find(quote, end)
+                if closing_quote < 0:
+                    unquoted.add(quote)
+                else:
+                    end = closing_quote + 1
+        if stop is None:
+            endless = True
+            write("<")
+            at = begin + 1
+            continue
+        at = stop.end()
+        attributes = source[name.end() : stop.start()]
+        tag = name.group().lower()
+        closing = tag.startswith("/")
+        tag = tag.lstrip("/")
         if tag in INLINE:
             if tag == "a":
                 links[0] = 0 if closing else 1
@@ -140,14 +226,17 @@ def blocks(source: str) -> list[Block]:
                 parts.append(" ")
             continue
         if closing:
-            if tag == "p" and not any(t == "p" for t, *_ in stack):
+            if over and tag not in RAW and tag not in VOID:
+                over -= 1
+                end_block()
+            elif tag == "p" and not open_tags["p"]:
                 end_block()
             else:
                 close(tag)
             continue
         if tag in RAW:
-            end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(source, at)
-            if not m.group(3).rstrip().endswith("/"):
+            if not attributes.rstrip().endswith("/"):
+                end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(source, at)
                 at = end.end() if end else size
             continue
         if tag in CLOSES_P:
@@ -156,10 +245,15 @@ def blocks(source: str) -> list[Block]:
             close(other, ("ul", "ol", "dl", "table"))
         end_block()
         if tag not in VOID:
-            if tag == "body" and stack and any(t == "head" for t, *_ in stack):
+            if tag == "body":
                 close("head")
-            opened += 1
-            stack.append((tag, *role(tag, m.group(3)), opened))
+            if len(stack) > DEEPEST:
+                over += 1
+                continue
+            step, apart, holds, doubt = role(tag, attributes)
+            path = paths.setdefault((stack[-1].path, step), len(paths) + 1)
+            stack.append(Element(stack[-1], tag, path, apart, holds, doubt))
+            open_tags[tag] += 1
     end_block()
     return out
 
@@ -170,58 +264,72 @@ def smooth(values: list[float]) -> list[float]:
     return [math.expm1(sum(w * logs[i + k] for k, w in enumerate(SMOOTH))) for i in range(len(values))]
 
 
-def depth(block: Block) -> int:
-    """Elements down to the container of a block: the nearest that is no piece of a text; a cell that holds other elements is one, too."""
-    at = len(block.tags)
-    while at and block.tags[at - 1] in PIECES and not (block.tags[at - 1] in ("td", "th") and at < len(block.tags)):
-        at -= 1
-    return at
-
-
-def within(found: list[Block], telling: list[bool]) -> list[bool]:
-    """Whether each block is in a container of a telling one. Containers that say that they hold the article count for their path, others alone."""
-    articles = {b.path[: b.article] for b, t in zip(found, telling) if t and b.article}
-    others = [(b, depth(b)) for b, t in zip(found, telling) if t and not b.article]
+def containers(telling: list[Element]) -> tuple[set[Element], set[int]]:
+    """(elements that hold the telling blocks' elements, paths of those that say that they hold the article)."""
+    articles = {e.article.path for e in telling if e.article}
+    others = [(e, e.container()) for e in telling if not e.article]
     # texts that stand right in elements side by side are paragraphs of what holds these
-    beside: dict[tuple[int, ...], set[int]] = {}
-    for b, at in others:
-        if at and at == len(b.tags):
-            beside.setdefault(b.elements[:-1], set()).add(b.elements[-1])
-    holds = set()
-    for b, at in others:
-        paragraph = at and at == len(b.tags) and len(beside[b.elements[:-1]]) > 1
-        holds.add(b.elements[: at - 1 if paragraph else at])
-    everything = () in holds
-    numbers = {h[-1] for h in holds if h}
-    return [b.path[: b.article] in articles if b.article else everything or not numbers.isdisjoint(b.elements) for b in found]
+    beside: dict[Element | None, set[Element]] = {}
+    for e, c in others:
+        if e is c:
+            beside.setdefault(e.up, set()).add(e)
+    return {c.up if c is e and c.up and len(beside[e.up]) > 1 else c for e, c in others}, articles
 
 
 def main_text(source: str | None) -> str:
     found = blocks(source or "")
     if not found:
         return ""
-    sums: dict[tuple[str, ...], list[float]] = {}
-    for b in found:
-        s = sums.setdefault(b.path, [0.0, 0.0, 0.0])
+    paths = [b.element.path for b in found]
+    sums: dict[int, list[float]] = {}
+    for b, p in zip(found, paths):
+        s = sums.setdefault(p, [0.0, 0.0, 0.0])
         s[0] += max(0, len(b.text) - b.linked)
         s[1] += len(PUNCTUATION.findall(b.text))
         s[2] += 1
-    text_ratio = smooth([sums[b.path][0] / sums[b.path][2] for b in found])
-    mark_ratio = smooth([sums[b.path][1] / sums[b.path][2] for b in found])
-    fused: dict[tuple[str, ...], list[float]] = {}
-    for b, t, k in zip(found, text_ratio, mark_ratio):
-        fused.setdefault(b.path, []).append(b.weight * t * math.log(math.e + k))
-    score = {p: sum(v) / len(v) for p, v in fused.items()}
+    text_ratio = smooth([sums[p][0] / sums[p][2] for p in paths])
+    mark_ratio = smooth([sums[p][1] / sums[p][2] for p in paths])
+    fused: dict[int, list[float]] = {}
+    for b, p, t, k in zip(found, paths, text_ratio, mark_ratio):
+        fused.setdefault(p, []).append(b.element.weight() * t * math.log(math.e + k))
+    doubts = {p: b.element.doubts for b, p in zip(found, paths)}
+    ratio = {p: sum(v) / len(v) for p, v in fused.items()}
+    richest = max(ratio, key=lambda p: ratio[p] * RICHER ** -doubts[p])
+    score = {p: r * DOUBT ** max(0, doubts[p] - doubts[richest]) for p, r in ratio.items()}
     best = max(score.values())
-    telling = [b.weight > 0 and score[b.path] > 0 and score[b.path] >= best * (KEEP_INSIDE if b.article else KEEP_SHARE) for b in found]
-    held = within(found, telling)
-    first = held.index(True) if True in held else 0
+
+    def tells(e: Element) -> bool:
+        sure = e.article is not None and e.doubts == e.article.doubts
+        return e.weight() > 0 and score[e.path] > 0 and score[e.path] >= best * (KEEP_INSIDE if sure else KEEP_SHARE)
+
+    holds, articles = containers([b.element for b in found if tells(b.element)])
+    holder: dict[Element, Element | None] = {}
+
+    def held_by(e: Element | None) -> Element | None:
+        """The container that an element is in, if any."""
+        if e is None or e in holds:
+            return e
+        if e not in holder:
+            if e.article:
+                holder[e] = e.article if e.article.path in articles else None
+            else:
+                holder[e] = held_by(e.up)
+        return holder[e]
+
+    inside = [held_by(b.element) for b in found]
+    first = next((i for i, c in enumerate(inside) if c), 0)
+    least = min((c.doubts for c in inside if c), default=0)
     kept = []
-    for at, (b, tells, inside) in enumerate(zip(found, telling, held)):
-        heading = not HEADINGS.isdisjoint(b.tags)
-        title = at < first and "h1" in b.tags
-        kept.append(b.weight > 0 and (tells or title or (inside and (b.plain or heading or b.article > 0))))
-    return "\n".join(b.text for b, keep in zip(found, kept) if keep)
+    for at, (b, c) in enumerate(zip(found, inside)):
+        e = b.element
+        if e.weight() == 0:
+            continue
+        steps = {e.tag, e.up.tag if e.up else ""}
+        sure = c is not None and e.doubts == c.doubts and (b.plain or not HEADINGS.isdisjoint(steps) or e.article)
+        title = at < first and "h1" in steps and e.doubts <= least
+        if sure or title or tells(e):
+            kept.append(b.text)
+    return "\n".join(kept)
 
 
 def extract(pages: DataFrame, page: str = "page_id", url: str = "url", source: str = "html") -> DataFrame:

@@ -3,6 +3,7 @@
 import itertools
 import math
 import re
+import time
 import zlib
 
 import numpy as np
@@ -150,6 +151,34 @@ def test_extraction_keeps_short_blocks():
     assert apart[0] == "A title" and apart[-1] == "x" and len(apart) == 5
 
 
+SENTENCES = [f"Sentence {i} of the article, which goes on, and ends. Another one follows it here, as they do." for i in range(6)]
+WRAPPERS = ['div', 'div id="page" class="site no-sidebar"', 'div class="post comment-open"', 'div class="search-results"', 'section id="share-prices"', 'article data-hidden-count="0"', 'div title="hidden valley"', 'form id="everything"', 'div class="comments"']
+
+
+@pytest.mark.parametrize("wrapper", WRAPPERS)
+def test_names_around_the_whole_text_change_nothing(wrapper):
+    inner = "".join(f"<p>{x}</p>" for x in SENTENCES)
+    page = f"<body><header><h1>Site</h1></header><nav><a href=x>Home</a></nav><{wrapper}>{inner}</{wrapper.split()[0]}><footer>&copy; all rights reserved.</footer></body>"
+    assert html_extract.main_text(page) == "\n".join(SENTENCES)
+
+
+def test_ratios_decide_without_an_article_element():
+    inner = "".join(f"<p>{x}</p>" for x in SENTENCES)
+    teaser, replies, advert = "<div><span>Log in</span></div><div><span>Weather</span></div>", "".join(f"<div>Reader {i} says that this is so, and more of that.</div>" for i in range(20)), "Buy it now, it is cheap, and it is good."
+    page = f'<body>{teaser}<div class="c1"><h2>A title</h2>{inner}<div class="ad-slot"><p>{advert}</p></div><div id="post-comments">{replies}</div></div><div class="c2"><ul><li>one</li><li>two</li></ul></div></body>'
+    assert html_extract.main_text(page) == "\n".join(["A title", *SENTENCES])
+    # a path that is much richer than all others is the text, whatever its name says; unmarked poor ones are not
+    page = f'<body>{teaser}<div class="related">{inner}</div><div class="c2"><ul><li>one</li><li>two</li></ul></div></body>'
+    assert html_extract.main_text(page) == "\n".join(SENTENCES)
+
+
+@pytest.mark.parametrize("page", ["<a " * 100_000, "<div>x" * 100_000, '<a x="' * 100_001, "<p><table>" + "<div>x" * 100_000, "<!--" * 100_000, "<div><p>x</div>" * 100_000, "<li>x" * 100_000, "<" * 300_000])
+def test_broken_pages_take_linear_time(page):
+    began = time.time()
+    text = html_extract.main_text(page)
+    assert time.time() - began < 20 and text.count("x") == (page.count("x") if page.startswith(("<div", "<p", "<li")) else text.count("x"))
+
+
 def test_query_op2(spark, duck):
     got = {r["page_id"]: r for r in html_extract.op2_tag_paths(spark, SF).collect()}
     for page, source in duck.sql("SELECT page_id, html FROM pages").fetchall():
