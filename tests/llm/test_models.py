@@ -217,25 +217,36 @@ def test_trees_on_hosts_not_seen(spark):
     df = spark.createDataFrame(rows, "url string, label int")
     unseen = F.rlike("url", F.lit("best-poker|win-loans|thther|therin"))
     got = url_filter.judge(df.filter(unseen), df.filter(~unseen))
-    assert got.filter("blocked = label").count() >= 0.9 * got.count()
+    assert got.filter("judged.blocked = label").count() >= 0.9 * got.count()
+
+
+def test_pages_of_hosts_held_out(spark):
+    """The query's own labels: the trees judge pages of hosts that no label names."""
+    host = url_filter.url_host(F.col("url"))
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").select("url").withColumn("label", url_filter.seeded(host))
+    held = F.crc32(F.regexp_extract(host, r"([a-z-]+)\.example", 1).cast("binary")) % 3 == 0
+    got = url_filter.judge(pages.filter(held), pages.filter(~held)).groupBy("label").agg(F.avg((F.col("judged.blocked") == F.col("label")).cast("int")).alias("right"), F.count("*").alias("n")).collect()
+    right = {r["label"]: r["right"] for r in got}
+    assert right[0] > 0.95 and right.get(1, 1) > 0.9, got
 
 
 def test_statistics_of_every_suffix(spark, monkeypatch):
     monkeypatch.setattr(url_filter, "SUFFIXES", 2)
     hosts = {"big": (30, 0), "large": (20, 0), "tail": (10, 10), "quiet": (5, None)}  # urls, blocked
     rows = [(f"http://a.{h}.org/{i}", None if bad is None else int(i < bad)) for h, (n, bad) in hosts.items() for i in range(n)]
-    both = url_filter.lexical(url_filter.parts(spark.createDataFrame([*rows, ("http://new.io/", None)], "url string, label int")))
+    both = url_filter.lexical(spark.createDataFrame([*rows, ("http://new.io/", None)], "url string, label int"))
     told = both.filter("label IS NOT NULL")
-    s = url_filter.suffix_statistics(both.filter("suffix1 = 'org'"), told, 2)
+    s = url_filter.suffix_statistics(both.filter("suffix1 = 'org'"), told)
     n, prior = len(rows), 10 / 60
-    got = {(r["suffix2"], round(r["suffix2_share"], 9), round(r["suffix2_rate"], 9)) for r in url_filter.with_statistics(both, s, 2, n, prior).collect()}
+    judged = url_filter.with_statistics(both, s, n, prior).collect()
+    got = {(r["suffix2"], round(r["suffix2_share"], 9), round(r["suffix2_rate"], 9)) for r in judged}
     want = {(f"{h}.org", k / n, ((bad or 0) + 20 * prior) / ((0 if bad is None else k) + 20)) for h, (k, bad) in hosts.items()} | {("new.io", 0, prior)}
-    assert got == {(h, round(x, 9), round(y, 9)) for h, x, y in want}
-    assert url_filter.with_statistics(both, s, 2, n, prior).count() == n + 1
+    assert got == {(h, round(x, 9), round(y, 9)) for h, x, y in want} and len(judged) == n + 1
+    assert {(r["suffix1"], round(r["suffix1_share"], 9), round(r["suffix1_rate"], 9)) for r in judged} == {("org", 1.0, round((10 + 20 * prior) / 80, 9)), ("io", 0.0, round(prior, 9))}
     # a row's own label is not in the rate that it is learnt by
     one = told.limit(1).withColumn("label", F.lit(1))
-    own = url_filter.with_statistics(one, url_filter.suffix_statistics(one, one, 2), 2, 1, prior, url_filter.fold()).first()
-    assert own["suffix2_rate"] == pytest.approx(prior)
+    own = url_filter.with_statistics(one, url_filter.suffix_statistics(one, one), 1, prior, url_filter.fold()).first()
+    assert own["suffix2_rate"] == pytest.approx(prior) and own["suffix1_rate"] == pytest.approx(prior)
 
 
 def test_tail_suffixes_are_judged_by_all_labels(spark, monkeypatch):
@@ -244,13 +255,32 @@ def test_tail_suffixes_are_judged_by_all_labels(spark, monkeypatch):
     rows = [(f"http://h.{a}{b}x.org/{i:02d}", int(a in "bd")) for a in "abcd" for b in "efgh" for i in range(25)]
     df = spark.createDataFrame(rows, "url string, label int")
     got = url_filter.judge(df, df, sample=200)
-    assert got.filter("blocked = label").count() == len(rows)
+    assert got.filter("judged.blocked = label").count() == len(rows)
+
+
+def test_urls_with_clashing_columns(spark):
+    names = ["features", "prediction", "probability", "rawPrediction", "blocked", "host", "path", "label", "weight", "row", "key", "found", "suffix1", "suffix2", "depth", "judged", "a.b"]
+    rows = [(f"http://{h}{i}.org/{i}", bad) for h, bad in (("free-bets", 1), ("plain", 0)) for i in range(30)]
+    df = spark.createDataFrame(rows, "url string, told int")
+    wide = df.select("*", *[F.lit(f"clash {n}").alias(n) for n in names])
+    got = url_filter.judge(wide, df.withColumnRenamed("told", "label"))
+    assert got.columns == ["url", "told", *(n for n in names if n != "judged"), "judged"] and got.count() == 60
+    assert all(r["host"] == "clash host" and r["judged"]["blocked"] == r["told"] for r in got.collect())
+
+
+def test_many_rules_are_joined(spark, monkeypatch):
+    urls = ["http://a.example.net/en/1", "http://example.com/de/", "https://x.org/fr/2", "http://x.org/de", None, "http://A.NET/", "http://example.net/en/1"] * 2
+    df = spark.createDataFrame([(u, "clash") for u in urls], "url string, host string")
+    rules = [*url_filter.RULES, ("x.org", "/f", "block"), ("a.example.net", "/", "allow")]
+    short = url_filter.with_rule(df, rules).collect()
+    monkeypatch.setattr(url_filter, "IN_EXPRESSION", 0)
+    assert sorted(map(str, url_filter.with_rule(df, rules).collect())) == sorted(map(str, short)) and len(short) == len(urls)
 
 
 @pytest.mark.parametrize("url", [None, "", "no scheme", "http://", "HTTP://A.NET", "http://A.NET/", "x://y?z://w/", "http://net.org/fr/x", "http://u.example.net/en/#a"])
 def test_awkward_urls(spark, url):
     df = spark.createDataFrame([(url,)], "url string")
-    r = url_filter.judge(df, df.withColumn("label", F.lit(None).cast("int"))).withColumn("f", url_filter.rule_for(F.col("host"), F.col("path"))).first()
+    r = url_filter.with_rule(url_filter.judge(df, df.withColumn("label", F.lit(None).cast("int")))).first()
     host, path, (rule, _) = brute_rule(url)
-    assert (r["host"], r["path"], r["f"] and r["f"]["rule"], r["blocked"]) == (host, path, rule, 0)
+    assert (r["judged"]["host"], r["judged"]["path"], r["ruled"] and r["ruled"]["rule"], r["judged"]["blocked"]) == (host, path, rule, 0)
     assert url_filter.judge(df.limit(0), df.limit(0).withColumn("label", F.lit(1))).count() == 0
