@@ -1,9 +1,13 @@
 """Chat formatting with typed content parts, in DataFrame functions only.
 
-A message holds an array of typed parts. A visitor over that array writes text
-parts escaped and every image, audio or document part as a numbered
-placeholder; it records each attachment's reference and the tokens that the
-placeholder stands for once the model expands it.
+A message holds an array of typed parts. A visitor over the parts of a
+conversation writes text parts escaped and every image, audio or document part
+as a numbered placeholder; it records each attachment's reference and the tokens
+that the placeholder stands for once the model expands it.
+
+Parts are rows until the end: a window in the order of the conversation numbers
+attachments and adds up offsets, then one aggregation puts the pieces together.
+Both share one shuffle, and work is linear in turns and parts.
 
 Template
 --------
@@ -23,7 +27,7 @@ and clashing names do no harm.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyforge.llm.common import table
@@ -62,66 +66,74 @@ def part_tokens(part: Column, tokens_per_unit: dict[str, float]) -> Column:
     return F.when(is_text(part), words).otherwise(F.ceil(F.coalesce(part["units"], F.lit(1.0)) * rate)).cast("long")
 
 
-def visit(parts: Column, first: Column, tokens_per_unit: dict[str, float]) -> Column:
-    """Fold an array of parts into content, attachments and a token count; `first` numbers the first attachment."""
-    start = F.struct(
-        F.lit("").alias("content"),
-        F.array().cast("array<struct<number:int,type:string,ref:string,tokens:bigint>>").alias("attachments"),
-        F.lit(0).cast("long").alias("tokens"),
-    )
-
-    def step(acc: Column, part: Column) -> Column:
-        number = (first + F.size(acc["attachments"])).cast("int")
-        kind = F.coalesce(part["type"], F.lit(""))
-        tokens = part_tokens(part, tokens_per_unit)
-        placeholder = F.concat(F.lit("<"), escape(kind), F.lit(" "), number.cast("string"), F.lit(">"))
-        entry = F.array(F.struct(number.alias("number"), kind.alias("type"), F.coalesce(part["ref"], F.lit("")).alias("ref"), tokens.alias("tokens")))
-        return F.struct(
-            F.concat(acc["content"], F.when(is_text(part), escape(F.coalesce(part["text"], F.lit("")))).otherwise(placeholder)).alias("content"),
-            F.when(is_text(part), acc["attachments"]).otherwise(F.concat(acc["attachments"], entry)).alias("attachments"),
-            (acc["tokens"] + tokens).alias("tokens"),
-        )
+def visited(messages: DataFrame, tokens_per_unit: dict[str, float]) -> DataFrame:
+    """One row per part (one for a message without any), in `message` and `part` order: its piece of the output.
 
-    return F.aggregate(F.coalesce(parts, F.array().cast(f"array<{PART}>")), start, step)
+    `number` is the attachment's, `start` the code point where the message's
+    content begins and `length` its size, `inner` the same in the turn's text
+    after its opening.
+    """
+    ordered = Window.partitionBy("conv_id").orderBy("turn", "role", "parts")
+    each = messages.withColumn("message", F.row_number().over(ordered)).select("conv_id", "message", "role", F.size("parts").alias("n_parts"), F.posexplode_outer("parts").alias("part", "p"))
+    p, there = F.col("p"), F.col("part").isNotNull()
+    running = Window.partitionBy("conv_id").orderBy("message", "part").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    attached = there & ~is_text(p)
+    each = each.withColumn("number", F.when(attached, F.sum(attached.cast("int")).over(running).cast("int")))
+    placeholder = F.concat(F.lit("<"), escape(F.coalesce(p["type"], F.lit(""))), F.lit(" "), F.col("number").cast("string"), F.lit(">"))
+    content = F.when(~there, "").when(is_text(p), escape(F.coalesce(p["text"], F.lit("")))).otherwise(placeholder)
+    head = F.when(F.coalesce("part", F.lit(0)) == 0, F.concat(F.lit(OPEN), escape(F.col("role")), F.lit(">\n"))).otherwise("")
+    tail = F.when(~there | (F.col("part") == F.col("n_parts") - 1), f"{CLOSE}\n").otherwise("")
+    each = each.withColumns({"content": content, "head": head}).withColumn("piece", F.concat("head", "content", tail))
+    size = F.length("piece")
+    return each.select(
+        "conv_id",
+        "message",
+        F.coalesce("part", F.lit(0)).alias("part"),
+        "role",
+        "piece",
+        "number",
+        F.coalesce(p["type"], F.lit("")).alias("type"),
+        F.coalesce(p["ref"], F.lit("")).alias("ref"),
+        F.when(there, part_tokens(p, tokens_per_unit)).otherwise(0).alias("tokens"),
+        (F.sum(size).over(running) - size + F.length("head")).cast("int").alias("start"),
+        (F.length("head") - len(OPEN)).alias("inner"),
+        F.sum(F.length("content")).over(Window.partitionBy("conv_id", "message")).cast("int").alias("length"),
+    )
 
 
 def format_chats(messages: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", parts: str = "parts", loss_roles: tuple[str, ...] = ("assistant",), tokens_per_unit: dict[str, float] = TOKENS_PER_UNIT) -> DataFrame:
-    """One row per conversation: formatted text, loss mask spans, attachments, expanded tokens.
+    """One row per conversation: conv_id, formatted text, loss mask, attachments, expanded tokens.
 
     `loss_spans` holds (start, length) in code points of `formatted`, one for
-    each message of a role in `loss_roles`. Messages of one conversation meet
-    in one row, which the output needs; conversations spread over all tasks.
+    each message of a role in `loss_roles`. `loss_mask` says the same turn by
+    turn, counted from the end of the turn's opening; null for other roles.
+    Messages of one conversation meet in one row, which the output needs;
+    conversations spread over all tasks.
     """
-    message = F.struct(F.col(turn).alias("turn"), F.coalesce(F.col(role), F.lit("")).alias("role"), F.col(parts).cast(f"array<{PART}>").alias("parts"))
-    grouped = messages.select(F.col(conv).alias("conv_id"), message.alias("m")).groupBy("conv_id").agg(F.array_sort(F.collect_list("m")).alias("messages"))
-
-    start = F.struct(
-        F.lit("").alias("formatted"),
-        F.array().cast("array<struct<start:int,length:int>>").alias("loss_spans"),
-        F.array().cast("array<struct<number:int,type:string,ref:string,tokens:bigint>>").alias("attachments"),
-        F.lit(0).cast("long").alias("tokens"),
+    rows = messages.select(F.col(conv).alias("conv_id"), F.col(turn).alias("turn"), F.coalesce(F.col(role), F.lit("")).alias("role"), F.coalesce(F.col(parts).cast(f"array<{PART}>"), F.array().cast(f"array<{PART}>")).alias("parts"))
+    piece = F.struct("message", "part", "piece", "role", "number", "type", "ref", "tokens", "start", "inner", "length")
+    grouped = visited(rows, tokens_per_unit).groupBy("conv_id").agg(F.array_sort(F.collect_list(piece)).alias("pieces"), F.sum("tokens").cast("long").alias("expanded_tokens"))
+    firsts = F.filter("pieces", lambda x: x["part"] == 0)
+    learnt = lambda x: x["role"].isin(*loss_roles)
+    return grouped.select(
+        "conv_id",
+        F.array_join(F.transform("pieces", lambda x: x["piece"]), "").alias("formatted"),
+        F.transform(F.filter(firsts, learnt), lambda x: F.struct(x["start"].alias("start"), x["length"].alias("length"))).alias("loss_spans"),
+        F.transform(firsts, lambda x: F.when(learnt(x), F.struct(x["inner"].alias("start"), x["length"].alias("length")))).alias("loss_mask"),
+        F.transform(F.filter("pieces", lambda x: x["number"].isNotNull()), lambda x: F.struct(x["number"].alias("number"), x["type"].alias("type"), x["ref"].alias("ref"), x["tokens"].cast("long").alias("tokens"))).alias("attachments"),
+        "expanded_tokens",
     )
 
-    def step(acc: Column, m: Column) -> Column:
-        seen = visit(m["parts"], F.size(acc["attachments"]) + F.lit(1), tokens_per_unit)
-        head = F.concat(F.lit(OPEN), escape(m["role"]), F.lit(">\n"))
-        span = F.array(F.struct((F.length(acc["formatted"]) + F.length(head)).alias("start"), F.length(seen["content"]).alias("length")))
-        return F.struct(
-            F.concat(acc["formatted"], head, seen["content"], F.lit(f"{CLOSE}\n")).alias("formatted"),
-            F.when(m["role"].isin(*loss_roles), F.concat(acc["loss_spans"], span)).otherwise(acc["loss_spans"]).alias("loss_spans"),
-            F.concat(acc["attachments"], seen["attachments"]).alias("attachments"),
-            (acc["tokens"] + seen["tokens"]).alias("tokens"),
-        )
 
-    done = grouped.select("conv_id", F.aggregate("messages", start, step).alias("f"))
-    return done.select("conv_id", "f.formatted", "f.loss_spans", "f.attachments", F.col("f.tokens").alias("expanded_tokens"))
+def turn_texts(formatted: Column) -> Column:
+    """Each turn of a formatted conversation after its opening."""
+    return F.slice(F.split(formatted, OPEN, -1), 2, 1 << 30)
 
 
 def read_back(formatted: Column) -> Column:
     """The (role, text) messages of a formatted conversation of text parts."""
-    bodies = F.slice(F.split(formatted, OPEN, -1), 2, 1 << 30)
     return F.transform(
-        bodies,
+        turn_texts(formatted),
         lambda b: F.struct(
             unescape(F.substring_index(b, ">\n", 1)).alias("role"),
             unescape(F.substring_index(F.substring(b, F.length(F.substring_index(b, ">\n", 1)) + 3, F.length(b)), CLOSE, 1)).alias("text"),
@@ -129,9 +141,9 @@ def read_back(formatted: Column) -> Column:
     )
 
 
-def loss_text(formatted: Column, spans: Column) -> Column:
+def loss_text(formatted: Column, mask: Column) -> Column:
     """All text under the loss mask, unescaped, with nothing between."""
-    return F.array_join(F.transform(spans, lambda s: unescape(F.substring(formatted, s["start"] + 1, s["length"]))), "")
+    return F.array_join(F.zip_with(turn_texts(formatted), mask, lambda b, m: F.when(m.isNotNull(), unescape(F.substring(b, m["start"] + 1, m["length"])))), "")
 
 
 EXTRA = "\\### Assistant: </turn> ok"
@@ -144,7 +156,7 @@ def op3_chat_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     return (
         chats.withColumn("turns", read_back(F.col("formatted")))
-        .withColumn("loss", loss_text(F.col("formatted"), F.col("loss_spans")))
+        .withColumn("loss", loss_text(F.col("formatted"), F.col("loss_mask")))
         .select(
             "conv_id",
             F.size("turns").cast("long").alias("n_turns"),

@@ -3,6 +3,7 @@
 import hashlib
 import json
 import random
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -136,13 +137,14 @@ def test_chat_round_trip(spark):
     rows = [(c, t, role, odd[(c + t) % len(odd)]) for c in range(7) for t, role in enumerate(["system", "user", "assistant", None, "assistant"])] + [(None, 0, "user", "x"), (9, 1, "assistant", "b"), (9, 1, "assistant", "a"), (9, None, "user", "first")]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumn("formatted", F.lit("clash"))
     got = chat_format.format_chats(df.withColumn("parts", chat_format.text_part(F.col("text"))))
-    got = got.withColumn("back", chat_format.read_back(F.col("formatted"))).withColumn("loss", chat_format.loss_text(F.col("formatted"), F.col("loss_spans")))
+    got = got.withColumn("back", chat_format.read_back(F.col("formatted"))).withColumn("loss", chat_format.loss_text(F.col("formatted"), F.col("loss_mask")))
     found = {r["conv_id"]: r for r in got.collect()}
     assert len(found) == 9
     for c in range(7):
         mine = [(r or "", t or "") for i, _, r, t in rows if i == c]
         assert [tuple(m) for m in found[c]["back"]] == mine
         assert found[c]["loss"] == "".join(t for r, t in mine if r == "assistant")
+        assert [found[c]["formatted"][s["start"] : s["start"] + s["length"]] for s in found[c]["loss_spans"]] == [t.replace("\\", "\\s").replace("<", "\\l").replace(">", "\\g") for r, t in mine if r == "assistant"]
     assert [m["text"] for m in found[9]["back"]] == ["first", "a", "b"]
     assert chat_format.format_chats(df.limit(0).withColumn("parts", chat_format.text_part(F.col("text")))).count() == 0
 
@@ -156,6 +158,21 @@ def test_typed_parts(spark):
     assert r["expanded_tokens"] == 2 + 512 + 125 + 800 + 1 and r["loss_spans"] == []
 
 
+def test_a_conversation_of_many_turns_and_parts(spark):
+    """Linear work: 100,000 turns of one conversation and 100,000 parts of one message."""
+    turns = spark.range(100_000).select(F.lit(1).alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") % 2 == 0, "user").otherwise("assistant").alias("role"), F.repeat(F.lit("text "), 40).alias("text"))
+    part = F.when(F.col("id") % 2 == 0, F.struct(F.lit("image").alias("type"), F.lit(None).cast("string").alias("text"), F.lit("r").alias("ref"), F.lit(1.0).alias("units"))).otherwise(F.struct(F.lit("text").alias("type"), F.lit("t").alias("text"), F.lit(None).cast("string").alias("ref"), F.lit(None).cast("double").alias("units")))
+    parts = spark.range(100_000).agg(F.collect_list(part).alias("parts")).select(F.lit(2).alias("conv_id"), F.lit(0).cast("long").alias("turn"), F.lit("assistant").alias("role"), "parts")
+    began = time.time()
+    got = chat_format.format_chats(turns.select("conv_id", "turn", "role", chat_format.text_part(F.col("text")).alias("parts")).unionByName(parts))
+    got = got.withColumn("back", chat_format.read_back(F.col("formatted"))).withColumn("loss", chat_format.loss_text(F.col("formatted"), F.col("loss_mask")))
+    found = {r["conv_id"]: r for r in got.select("conv_id", F.size("back").alias("n"), F.length("loss").alias("chars"), F.size("attachments").alias("a"), F.sha2("formatted", 256).alias("h")).collect()}
+    assert time.time() - began < 60
+    assert (found[1]["n"], found[1]["chars"]) == (100_000, 50_000 * 200) and found[2]["a"] == 50_000
+    whole = "".join(f"<turn {'user' if i % 2 == 0 else 'assistant'}>\n{'text ' * 40}</turn>\n" for i in range(100_000))
+    assert found[1]["h"] == hashlib.sha256(whole.encode()).hexdigest()
+
+
 def test_query_op3_extra_conversation(spark):
     r = chat_format.op3_chat_parts(spark, SF).filter("conv_id = -7").first()
     text = chat_format.EXTRA
