@@ -74,13 +74,14 @@ def utf8(column: Column) -> Column:
     return F.coalesce(column, F.lit("")).cast("binary")
 
 
-def batches(rows, schema: pa.Schema, size: int = 5_000):
-    """Turn an iterator of tuples into Arrow batches of bounded size."""
-    buffer = []
+def batches(rows, schema: pa.Schema, size: int = 5_000, weigh=None, most: int = 16 << 20):
+    """Turn an iterator of tuples into Arrow batches of at most `size` rows and, where `weigh` gives a row's bytes, about `most` bytes."""
+    buffer, held = [], 0
     for row in rows:
         buffer.append(row)
-        if len(buffer) >= size:
+        held += weigh(row) if weigh else 0
+        if len(buffer) >= size or held > most:
             yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*buffer), schema)], schema=schema)
-            buffer = []
+            buffer, held = [], 0
     if buffer:
         yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*buffer), schema)], schema=schema)
