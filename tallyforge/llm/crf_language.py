@@ -9,15 +9,18 @@ language is the one with the largest sum of these; the score is its mean.
 Fitting
 -------
 The field is fitted on the driver to a bounded sample: in the mean
-`sample_docs` training documents per language, of each a window of at most
-`sample_words` words at a place chosen by hash. Texts of one language say
-nothing on switches, so training chains are spans of several documents put
-together. Prediction covers whole texts, in Spark tasks.
+`sample_docs` training documents per language, fewer where there are so many
+languages that all together would be over SAMPLE_TOTAL, of each a window of at
+most `sample_words` words at a place chosen by hash. Every language is learnt;
+more than SAMPLE_TOTAL of them raise an error. Texts of one language say nothing
+on switches, so training chains are spans of several documents put together.
+Prediction covers whole texts, in Spark tasks.
 
 Defined results
 ---------------
-Null text, or a text without letters: language `und`, score 0. Words without
-letters are left out of the chain. A null language in training is not learnt
+Null text, or a text without letters: language `und`, score 0. Words are runs
+without white space; of text without any, every PART characters of a run of more
+than LONGEST bytes are a word. Words without letters are left out of the chain. A null language in training is not learnt
 from; without any training row every text is `und`. Of equal sums the language
 that comes first in text order wins. Repeated rows are predicted each. An empty
 table gives no rows. Other columns are ignored.
@@ -36,28 +39,49 @@ from pyspark.sql import functions as F
 from tallyforge.llm.common import claim, ship, table, utf8, worker_cache
 
 UNKNOWN = "und"
-SAMPLE_DOCS, SAMPLE_WORDS = 300, 150
-#: Rows of hashed feature weights, and frequent words listed per language.
-BUCKETS, LEXICON = 1 << 17, 300
+SAMPLE_DOCS, SAMPLE_WORDS, SAMPLE_TOTAL = 300, 150, 6_000
+#: Bytes of a word from which it is cut, and characters of a part.
+LONGEST, PART = 96, 24
+#: Rows of hashed feature weights, as many as keep weights of all languages within WEIGHTS, and frequent words listed per language.
+BUCKETS, WEIGHTS, LEXICON = 1 << 17, 1 << 25, 300
 CHAIN, EPOCHS, RATE = 32, 6, 0.5
 LETTERS = re.compile(r"[^\W\d_]+")
 #: Words whose potentials a worker keeps, and words in one forward-backward pass.
 CACHE, TOKENS = 200_000, 500_000
-#: Texts whose new words are scored together.
-TOGETHER = 200
+#: Texts whose new words are scored together, and about how many bytes of them.
+TOGETHER, TOGETHER_BYTES = 200, 4 << 20
 PREDICTED = pa.schema([("lang", pa.string()), ("score", pa.float64()), ("segments", pa.list_(pa.struct([("lang", pa.string()), ("first_word", pa.int64()), ("n_words", pa.int64())])))])
 
 
-def hashed(columns: np.ndarray, kind: int) -> np.ndarray:
-    """One bucket for each row of byte columns."""
+def units(raw: bytes) -> list[bytes]:
+    """The words of a text."""
+    tokens = raw.split()
+    if len(raw) <= LONGEST or max(map(len, tokens), default=0) <= LONGEST:
+        return tokens
+    out: list[bytes] = []
+    for t in tokens:
+        if len(t) <= LONGEST:
+            out.append(t)
+        else:
+            long = t.decode()
+            out += [long[i : i + PART].encode() for i in range(0, len(long), PART)]
+    return out
+
+
+def buckets(labels: int) -> int:
+    return min(BUCKETS, 1 << ((WEIGHTS // max(1, labels)).bit_length() - 1))
+
+
+def hashed(columns: np.ndarray, kind: int, size: int) -> np.ndarray:
+    """One of `size` buckets for each row of byte columns."""
     h = np.full(len(columns), kind, dtype=np.uint64)
     for c in columns.T:
         h = (h + c + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
         h ^= h >> np.uint64(29)
-    return (h % np.uint64(BUCKETS)).astype(np.int64)
+    return (h % np.uint64(size)).astype(np.int64)
 
 
-def features(runs: list[bytes]):
+def features(runs: list[bytes], size: int):
     """Yields (row numbers, feature matrix) for lower-case runs of letters of one length in UTF-8.
 
     Features are prefixes and suffixes of 1 to 3 bytes, and n-grams of 2 to 4
@@ -72,8 +96,8 @@ def features(runs: list[bytes]):
             m = np.full((len(some), int(length) + 2), 256, dtype=np.uint64)
             m[:, 1:-1] = np.frombuffer(b"".join(runs[r] for r in some), dtype=np.uint8).reshape(len(some), -1)
             m[:, -1] = 257
-            found = [hashed(m[:, 1 : 1 + n], 10 + n) for n in (1, 2, 3) if n <= length] + [hashed(m[:, -1 - n : -1], 20 + n) for n in (1, 2, 3) if n <= length]
-            found += [hashed(m[:, i : i + n], n) for n in (2, 3, 4) for i in range(m.shape[1] - n + 1)]
+            found = [hashed(m[:, 1 : 1 + n], 10 + n, size) for n in (1, 2, 3) if n <= length] + [hashed(m[:, -1 - n : -1], 20 + n, size) for n in (1, 2, 3) if n <= length]
+            found += [hashed(m[:, i : i + n], n, size) for n in (2, 3, 4) for i in range(m.shape[1] - n + 1)]
             yield some, np.stack(found, axis=1)
 
 
@@ -83,15 +107,16 @@ class Field:
     def __init__(self, labels: list[str], lexicon: dict[bytes, list[int]]):
         k = len(labels)
         self.labels, self.lexicon = labels, lexicon
-        self.weights, self.moves, self.start = np.zeros((BUCKETS + k, k), np.float32), np.zeros((k, k)), np.zeros(k)
+        self.buckets = buckets(k)
+        self.weights, self.moves, self.start = np.zeros((self.buckets + k, k), np.float32), np.zeros((k, k)), np.zeros(k)
 
     def run_scores(self, runs: list[bytes]) -> np.ndarray:
         out = np.zeros((len(runs), len(self.labels)))
-        for rows, found in features(runs):
+        for rows, found in features(runs, self.buckets):
             out[rows] = self.weights[found].sum(axis=1)
         for i, run in enumerate(runs):
             for k in self.lexicon.get(run, ()):
-                out[i] += self.weights[BUCKETS + k]
+                out[i] += self.weights[self.buckets + k]
         return out
 
     def potentials(self, tokens: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -158,19 +183,19 @@ def fit(samples: list[tuple[str, list[str]]], seed: int = 5) -> Field | None:
         return None
     words = sorted({w for w, _ in tokens[:n]})
     index = {w: i for i, w in enumerate(words)}
-    empty = BUCKETS + size
-    parts = list(features(words))
+    empty = field.buckets + size
+    parts = list(features(words, field.buckets))
     width = max(f.shape[1] for _, f in parts) + max(map(len, listed.values()), default=0)
     grid = np.full((len(words), width), empty)
     for rows, found in parts:
         grid[rows, : found.shape[1]] = found
     for w, kinds in listed.items():
         if w in index:
-            grid[index[w], width - len(kinds) :] = [BUCKETS + k for k in kinds]
+            grid[index[w], width - len(kinds) :] = [field.buckets + k for k in kinds]
     ids = np.array([index[w] for w, _ in tokens[:n]]).reshape(-1, CHAIN)
     gold = np.array([k for _, k in tokens[:n]]).reshape(-1, CHAIN)
-    weights = np.zeros((empty + 1, size))
-    seen = [np.full(x.shape, 1e-6) for x in (weights, field.moves, field.start)]
+    weights = np.zeros((empty + 1, size), np.float32)
+    seen = [np.full(x.shape, 1e-6, x.dtype) for x in (weights, field.moves, field.start)]
     each = 256
     for _ in range(EPOCHS):
         order = rng.permutation(len(ids))
@@ -185,30 +210,35 @@ def fit(samples: list[tuple[str, list[str]]], seed: int = 5) -> Field | None:
             pairs /= pairs.sum(axis=(2, 3), keepdims=True)
             wanted = np.eye(size)[truth]
             error = wanted.reshape(-1, size) - post
-            slope = np.stack([np.bincount(used.ravel(), weights=np.repeat(error[:, k], width), minlength=empty + 1) for k in range(size)], axis=1)
-            slope[empty] = 0.0
+            kinds, place = np.unique(used, return_inverse=True)  # the features of this lot
+            slope = np.stack([np.bincount(place.ravel(), weights=np.repeat(error[:, k], width), minlength=len(kinds)) for k in range(size)], axis=1)
+            slope[kinds == empty] = 0.0
             moved = np.einsum("sti,stj->ij", wanted[:, :-1], wanted[:, 1:]) - pairs.sum(axis=(0, 1))
             first = (wanted[:, 0] - post.reshape(count, CHAIN, size)[:, 0]).sum(axis=0)
-            for value, gradient, total in zip((weights, field.moves, field.start), (slope, moved, first), seen):
+            for value, gradient, total, at in zip((weights, field.moves, field.start), (slope, moved, first), seen, (kinds, ..., ...)):
                 gradient = gradient / count
-                total += gradient**2
-                value += RATE * gradient / np.sqrt(total)
-    field.weights = weights[:empty].astype(np.float32)
+                total[at] += gradient**2
+                value[at] += RATE * gradient / np.sqrt(total[at])
+    field.weights = weights[:empty]
     return field
 
 
 def training_sample(docs: DataFrame, lang: str, text: str, key: Column, sample_docs: int, sample_words: int) -> list[tuple[str, list[str]]]:
     """Windows of about `sample_docs` documents of each language, chosen by a hash of `key`."""
     rows = docs.filter(F.col(lang).isNotNull() & F.col(text).isNotNull())
-    counts = {r["lang"]: r["n"] for r in rows.groupBy(F.col(lang).cast("string").alias("lang")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(200).collect()}
+    counts = {r["lang"]: r["n"] for r in rows.groupBy(F.col(lang).cast("string").alias("lang")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(SAMPLE_TOTAL + 1).collect()}
+    if len(counts) > SAMPLE_TOTAL:
+        raise ValueError(f"more than {SAMPLE_TOTAL} languages to learn")
     if not counts:
         return []
+    each = min(sample_docs, max(1, SAMPLE_TOTAL // len(counts)))
+    odds = F.broadcast(docs.sparkSession.createDataFrame([(k, min(1.0, each / n)) for k, n in counts.items()], "lang string, odds double"))  # a row per language
     draw = F.pmod(F.xxhash64(F.coalesce(key.cast("string"), F.lit(""))), F.lit(1_000_003)) / 1_000_003.0
-    odds = F.coalesce(*[F.when(F.col(lang) == k, F.lit(min(1.0, sample_docs / n))) for k, n in counts.items()], F.lit(0.0))
-    words = F.split(F.trim(F.col(text)), r"\s+")
+    some = rows.select(F.col(lang).cast("string").alias("lang"), F.col(text).cast("string").alias("text"), key.alias("key"), draw.alias("draw")).join(odds, "lang").filter("draw < odds")
+    words = F.split(F.trim(F.regexp_replace("text", rf"(\S{{{PART}}})(?=\S)", "$1 ")), r"\s+")
     start = F.pmod(F.xxhash64(F.lit("window"), F.col("key").cast("string")), F.greatest(F.size("words") - sample_words + 1, F.lit(1))) + 1
-    found = rows.filter(draw < odds).select(F.col(lang).cast("string").alias("lang"), words.alias("words"), key.alias("key")).select("lang", F.slice("words", start.cast("int"), sample_words).alias("words"))
-    return [(r["lang"], list(r["words"])) for r in found.collect()]
+    found = some.select("lang", words.alias("words"), "key").select("lang", F.slice("words", start.cast("int"), sample_words).alias("words"))
+    return [(r["lang"], list(r["words"])) for r in found.collect()]  # about SAMPLE_TOTAL windows at most
 
 
 class Predictor:
@@ -224,7 +254,7 @@ class Predictor:
         self.used = 0
 
     def ids(self, raw: bytes) -> np.ndarray:
-        tokens = raw.split()
+        tokens = units(raw)
         try:
             found = list(map(self.number.__getitem__, tokens))
         except KeyError:
@@ -266,12 +296,17 @@ class Predictor:
                 at = end
             chains, waiting = [], 0
 
-        for at in range(0, len(texts), TOGETHER):
+        at = 0
+        while at < len(texts):
             if len(self.number) > CACHE:
                 flush()
                 self.clear()
-            self.ids(b" ".join(texts[at : at + TOGETHER]))  # new tokens of several texts at once
-            for row in range(at, min(at + TOGETHER, len(texts))):
+            end, size = at, 0
+            while end < len(texts) and end < at + TOGETHER and (end == at or size + len(texts[end]) <= TOGETHER_BYTES):
+                size += len(texts[end])
+                end += 1
+            self.ids(b" ".join(texts[at:end]))  # new tokens of several texts at once
+            for row in range(at, end):
                 ids = self.ids(texts[row])
                 places = np.flatnonzero(ids >= 0)
                 if len(places):
@@ -279,6 +314,7 @@ class Predictor:
                     waiting += len(places)
                     if waiting > 4 * TOKENS:
                         flush()
+            at = end
         flush()
         return out
 

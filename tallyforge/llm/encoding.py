@@ -3,7 +3,7 @@
 `json_path` names a vocabulary file in the JSON form of the `tokenizers`
 library. Where a rank file (`.tiktoken`) of the same vocabulary lies beside it,
 the faster library that reads rank files encodes the text; ids are equal, which
-tests/llm/test_encoding.py checks. Added tokens named in the JSON file are cut
+tests/llm/test_tokens_and_chats.py checks. Added tokens named in the JSON file are cut
 out of a text first, as `tokenizers` does with add_special_tokens=False.
 """
 

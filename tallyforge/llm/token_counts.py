@@ -48,8 +48,9 @@ def length_histogram(docs: DataFrame, text: str = "text", path: str | None = Non
 def context_limits(histogram: DataFrame, limits: tuple[int, ...] = LIMITS, block: int = BLOCK) -> DataFrame:
     """For every length that occurs and every limit L: sums over documents of at least and at most L tokens.
 
-    total_if_truncated is the sum of min(length, L); share_at_most is the share
-    of documents of at most L tokens, from which quantiles are read.
+    total_if_truncated is the sum of min(length, L). share_below and
+    share_at_most are the shares of documents of fewer and of at most L tokens:
+    the quantile of every share between them, the latter included, is L.
     """
     spark = histogram.sparkSession
     zeros = spark.createDataFrame([(x, 0) for x in limits], "n_tokens long, n_docs long")
@@ -69,6 +70,7 @@ def context_limits(histogram: DataFrame, limits: tuple[int, ...] = LIMITS, block
         "tokens_at_least",
         (F.col("t_all") - F.col("tokens_at_least") + F.col("n_tokens") * F.col("docs_at_least")).alias("total_if_truncated"),
         longer.alias("docs_cut"),
+        F.try_divide(F.col("d_all") - F.col("docs_at_least"), F.col("d_all")).alias("share_below"),
         F.try_divide(F.col("d_all") - longer, F.col("d_all")).alias("share_at_most"),
         F.col("t_all").alias("total_tokens"),
     )

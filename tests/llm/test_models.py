@@ -5,6 +5,7 @@ import math
 import random
 import re
 import time
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -180,6 +181,60 @@ def test_query_op5_held_out(spark, duck):
     assert all(0 <= r["score"] <= 1 for r in got.values())
 
 
+def test_predictions_against_naive_chains(spark, duck):
+    """Whole texts, over the fitted field: forward-backward in plain Python."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").orderBy("doc_id").limit(40).select("doc_id", "text", "lang")
+    field = crf_language.fit(crf_language.training_sample(docs, "lang", "text", F.col("doc_id"), 20, 40))
+    found = crf_language.predict_language(docs, F.lit(True), F.col("doc_id"), sample_docs=20, sample_words=40).collect()
+    size = len(field.labels)
+    moves, start = np.exp(field.moves), np.exp(field.start)
+    for r in found:
+        tokens = (r["text"] or "").encode().split()
+        some, scores = field.potentials(sorted(set(tokens)))
+        at = dict(zip([t for t, s in zip(sorted(set(tokens)), some) if s], np.exp(scores)))
+        chain = [at[t] for t in tokens if t in at]
+        if not chain:
+            assert r["language"]["lang"] == "und"
+            continue
+        alpha, beta = [], [[1.0] * size]
+        for t, emit in enumerate(chain):
+            row = [emit[k] * (start[k] if t == 0 else sum(alpha[-1][j] * moves[j, k] for j in range(size))) for k in range(size)]
+            alpha.append([x / sum(row) for x in row])
+        for emit in reversed(chain[1:]):
+            row = [sum(moves[k, j] * emit[j] * beta[0][j] for j in range(size)) for k in range(size)]
+            beta.insert(0, [x / sum(row) for x in row])
+        sums = [0.0] * size
+        for a, b in zip(alpha, beta):
+            both = [x * y for x, y in zip(a, b)]
+            sums = [s + x / sum(both) for s, x in zip(sums, both)]
+        best = max(range(size), key=lambda k: sums[k])
+        assert r["language"]["lang"] == field.labels[best] and math.isclose(r["language"]["score"], sums[best] / len(chain), abs_tol=1e-6)
+
+
+def test_every_language_is_learnt(spark, monkeypatch):
+    """Beyond 200 languages, each with words of its own; too many fail."""
+    monkeypatch.setattr(crf_language, "BUCKETS", 1 << 14)
+    word = lambda k, i: "".join("abcdefghij"[(k * 7919 + i * 31 + k // 10**d) % 10] + "klmnopqrst"[(k // 10**d) % 10] for d in range(3))
+    rows = [(k * 3 + i, " ".join(word(k, i + j) for j in range(12)), f"l{k:03}") for k in range(205) for i in range(3)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = crf_language.predict_language(df, F.lit(True), F.col("doc_id"))
+    assert got.filter("language.lang = lang").count() > 0.95 * len(rows) and got.select("language.lang").distinct().count() > 200
+    monkeypatch.setattr(crf_language, "SAMPLE_TOTAL", 204)
+    with pytest.raises(ValueError):
+        crf_language.predict_language(df, F.lit(True), F.col("doc_id"))
+
+
+def test_text_without_blanks_is_bounded(spark):
+    field = crf_language.fit([("en", ["the", "cat", "sat"] * 20), ("fr", ["le", "chat", "était"] * 20)])
+    rng = np.random.default_rng(2)
+    text = "".join(map(chr, rng.integers(0x4E00, 0x9FFF, 2_000_000))).encode()
+    tracemalloc.start()
+    (lang, score, _), = crf_language.Predictor(field).predict([text], False)
+    assert tracemalloc.get_traced_memory()[1] < 600 << 20 and lang in ("en", "fr") and 0 < score <= 1
+    tracemalloc.stop()
+    assert crf_language.units(b"ab " + "é".encode() * 60) == [b"ab", "é".encode() * 24, "é".encode() * 24, "é".encode() * 12]
+
+
 def test_language_awkward_rows(spark):
     docs = documents(spark)
     found = crf_language.predict_language(docs, F.lit(True), F.col("doc_id"), segments=True)

@@ -117,6 +117,7 @@ def test_token_counts(spark):
         assert r["n_docs"] == lengths.count(limit)
         assert r["docs_at_least"] == sum(x >= limit for x in lengths) and r["tokens_at_least"] == sum(x for x in lengths if x >= limit)
         assert r["total_if_truncated"] == sum(min(x, limit) for x in lengths) and r["docs_cut"] == sum(x > limit for x in lengths) and r["total_tokens"] == sum(lengths)
+        assert r["share_below"] == sum(x < limit for x in lengths) / len(lengths) and r["share_at_most"] == sum(x <= limit for x in lengths) / len(lengths)
     q = token_counts.quantiles(token_counts.context_limits(token_counts.length_histogram(docs)), (0.5, 1.0)).collect()
     assert {r["share"]: r["n_tokens"] for r in q} == {0.5: sorted(lengths)[-(-len(lengths) // 2) - 1], 1.0: max(lengths)}
     assert token_counts.length_histogram(docs.limit(0)).count() == 0
