@@ -36,7 +36,7 @@ MIME_TYPES = {
 FORMAT_LIBRARIES = {"xlsx": "openpyxl", "docx": "python-docx (from docx import Document)", "pptx": "python-pptx (from pptx import Presentation)"}
 # Patterns of prompts that ask for a file.
 VERBS = r"\b(?:present|output|create|produce|generate|deliver|build)\b[^.!?\n]{0,120}"
-FORMAT_PATTERNS = {"docx": r"(?i)\bword\s+doc(?:ument)?\b", "pptx": rf"(?i){VERBS}\bpowerpoint\b", "xlsx": rf"(?i){VERBS}\bexcel\b"}
+FORMAT_PATTERNS = {"xlsx": rf"(?i){VERBS}\bexcel\b", "docx": r"(?i)\bword\s+doc(?:ument)?\b", "pptx": rf"(?i){VERBS}\bpowerpoint\b"}
 
 
 def literal_map(values: dict[str, str]) -> Column:
@@ -119,9 +119,7 @@ def diagnosed_failure(error: Column | str) -> Column:
     """Failure category of the triage report."""
     low = F.lower(F.coalesce(col(error), F.lit("")))
     has = low.contains
-    library = F.lit("")
-    for name in ("xlsxwriter", "scipy", "pulp", "statsmodels", "sklearn"):
-        library = F.when(has(name), f" ({name})").otherwise(library)
+    library = F.coalesce(*[F.when(has(name), f" ({name})") for name in ("sklearn", "statsmodels", "pulp", "scipy", "xlsxwriter")], F.lit(""))  # fixed values: the first that is named
     detail = (
         F.when(has("no such file") | has("filenotfounderror"), " — file not found")
         .when(has("keyerror"), " — wrong column name")

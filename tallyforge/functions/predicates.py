@@ -58,6 +58,23 @@ def diagnosis(completed="completed", forced_stop="forced_stop", file_errors="out
     return F.when(passed & flawed, "PASS*").when(passed, "PASS").otherwise("FAIL")
 
 
+def result_errors(task_id: Column | str, agent: Column | str, closed: Column | str, run: Column | str = "run") -> Column:
+    """What is wrong with the struct `run`, held against the task and agent that it should be of."""
+    r = col(run)
+    empty = lambda c: F.coalesce(c, F.lit("")) == ""
+    low = F.lower(F.coalesce(r["response_text"], F.lit("")))
+    differs = lambda name, want: F.when(~r[name].eqNullSafe(col(want)), F.concat(F.lit(f"{name} mismatch: "), F.coalesce(r[name], F.lit("None")), F.lit(" != "), F.coalesce(col(want), F.lit("None"))))
+    return F.array_compact(
+        F.array(
+            differs("task_id", task_id),
+            differs("agent", agent),
+            *[F.when(empty(r[f]), f"{f} is empty") for f in ("model", "response_text", "started_at", "completed_at")],
+            F.when(~is_true(r["completed"]), F.concat(F.lit("completed=False (error: "), F.coalesce(r["error"], F.lit("")), F.lit(")"))),
+            F.when(is_true(closed) & ~low.contains("closed") & ~low.contains("iat"), "Closed task report doesn't mention IAT/Closed status"),
+        )
+    )
+
+
 def sorted_by(items: Column, key: str) -> Column:
     """An array of structs in the order of one field, whatever the others are."""
     return F.array_sort(items, lambda a, b: F.when(a[key] < b[key], -1).when(a[key] > b[key], 1).otherwise(0))

@@ -69,6 +69,16 @@ def head_and_tail(text: Column | str, name: Column | str, limit: Column) -> Colu
     return F.when(size <= limit, t).otherwise(F.concat(F.substring(t, F.lit(1), head), marker, F.substring(t, size - tail + 1, tail)))
 
 
+def first_items(items: Column | str, n: int = 10) -> Column:
+    """The first of a task's files, as many as are processed."""
+    return F.slice(col(items), 1, n)
+
+
+def strip(text: Column | str) -> Column:
+    """Without white space of any kind at both ends."""
+    return F.regexp_replace(col(text), r"^\s+|\s+$", "")
+
+
 # report values ---------------------------------------------------------------
 
 
@@ -114,6 +124,16 @@ def list_text(values: Column | str) -> Column:
     return F.when(F.coalesce(F.size(col(values)), F.lit(0)) <= 0, "(none)").otherwise(F.array_join(col(values), ", "))
 
 
+def value_text(value: Column | str, kind: str) -> Column:
+    """A value of the SQL type `kind` as report text: nothing is (none), lists are joined, fractions have six digits."""
+    v = col(value)
+    if kind.startswith("array"):
+        return F.when(F.coalesce(F.size(v), F.lit(0)) <= 0, "(none)").otherwise(F.array_join(v.cast("array<string>"), ", "))
+    if kind in ("double", "float") or kind.startswith("decimal"):
+        return F.coalesce(F.format_number(v, 6), F.lit("(none)"))
+    return F.when(F.coalesce(v.cast("string"), F.lit("")) == "", "(none)").otherwise(v.cast("string"))
+
+
 def field(label: str, value: Column, width: int = 22) -> Column:
     """A report line; further lines of the value stand below its first character."""
     return F.concat(F.lit(f"{label:<{width}}: "), F.replace(F.rtrim(value), F.lit("\n"), F.lit("\n" + " " * (width + 2))), F.lit("\n"))
@@ -163,6 +183,7 @@ def clean_code(code: Column | str) -> Column:
 
 
 # citations -------------------------------------------------------------------
+# The patterns of references, links and bare urls in the functions below.
 
 
 def matches(text: Column, pattern: str, url_group: int, title_group: int | None, strip: bool) -> Column:

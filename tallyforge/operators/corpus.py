@@ -58,6 +58,16 @@ def corpus_stats(documents: DataFrame) -> DataFrame:
     return documents.agg(F.count("*").alias("documents"), F.count_if("extractable").alias("extractable"), F.sum("size_bytes").alias("bytes"), F.sum(F.when(F.col("extractable"), F.col("num_tokens_est")).otherwise(0)).alias("tokens"))
 
 
+def corpus_types(documents: DataFrame) -> DataFrame:
+    """Documents and bytes by extension."""
+    return documents.groupBy("extension").agg(F.count("*").alias("n"), F.sum("size_bytes").alias("bytes"))
+
+
+def folder_sizes(documents: DataFrame, folder: str) -> DataFrame:
+    """Files and bytes by folder; files without a size do not exist."""
+    return documents.filter("size_bytes IS NOT NULL").groupBy(folder).agg(F.count("*").alias("n_files"), F.sum("size_bytes").cast("long").alias("bytes"))
+
+
 def page_class(text: Column | str, drop: tuple[str, ...] = DROP_WORDS, keep: tuple[str, ...] = KEEP_WORDS) -> Column:
     """KEEP, DROP or NEUTRAL by words of the first 500 characters; KEEP wins."""
     start = F.lower(F.substring(col(text), 1, 500))
@@ -76,21 +86,26 @@ def character_budgets(files: DataFrame, task: str, order: str, size: str, per_fi
     """Per task its files in order, each with the characters it may use and the characters it then uses.
 
     What a file uses decides what is left for the next one, so a task's files are
-    folded in one expression. A cut file uses its limit less 200, plus about
-    `marker` characters of the note on what was cut.
+    folded in one expression, which keeps the characters used before each of
+    them. A cut file uses its limit less 200, plus about `marker` characters of
+    the note on what was cut.
     """
-    state = "struct<used:bigint,files:array<struct<ord:bigint,size:bigint,limit:bigint,kept:bigint>>>"
-    start = F.struct(F.lit(0).cast("long").alias("used"), F.array().cast("array<struct<ord:bigint,size:bigint,limit:bigint,kept:bigint>>").alias("files")).cast(state)
 
-    def step(acc: Column, f: Column) -> Column:
-        left = F.lit(in_all) - F.floor(acc["used"] / CHARS_PER_TOKEN)
-        limit = (F.least(F.lit(per_file), F.greatest(left, F.lit(LEAST_TOKENS))) * CHARS_PER_TOKEN).cast("long")
-        kept = F.when(f["size"] <= limit, f["size"]).otherwise(F.floor(limit * 0.7) + F.floor(limit * 0.3) - 200 + marker).cast("long")
-        one = F.array(F.struct(f["ord"].alias("ord"), f["size"].alias("size"), limit.alias("limit"), kept.alias("kept")))
-        return F.struct((acc["used"] + kept).alias("used"), F.concat(acc["files"], one).alias("files")).cast(state)
+    def limit(used: Column) -> Column:
+        left = F.lit(in_all) - F.floor(used / CHARS_PER_TOKEN)
+        return (F.least(F.lit(per_file), F.greatest(left, F.lit(LEAST_TOKENS))) * CHARS_PER_TOKEN).cast("long")
+
+    def kept(size_: Column, most: Column) -> Column:
+        return F.when(size_ <= most, size_).otherwise(F.floor(most * 0.7) + F.floor(most * 0.3) - 200 + marker).cast("long")
+
+    def step(used: Column, f: Column) -> Column:
+        last = F.element_at(used, -1)
+        return F.concat(used, F.array(last + kept(f["size"], limit(last))))
 
     listed = files.groupBy(task).agg(F.array_sort(F.collect_list(F.struct(F.col(order).cast("long").alias("ord"), F.col(size).cast("long").alias("size")))).alias("__f"))
-    return listed.select(task, F.explode(F.aggregate("__f", start, step)["files"]).alias("f")).select(task, "f.*")
+    used = F.aggregate("__f", F.array(F.lit(0).cast("long")), step)
+    each = listed.select(task, F.explode(F.arrays_zip("__f", F.slice(used, 1, F.size("__f")).alias("used"))).alias("x"))
+    return each.select(task, F.col("x.__f.ord").alias("ord"), F.col("x.__f.size").alias("size"), limit(F.col("x.used")).alias("limit")).withColumn("kept", kept(F.col("size"), F.col("limit")))
 
 
 def manifest(files: DataFrame, task: str, order: str) -> DataFrame:
@@ -100,7 +115,3 @@ def manifest(files: DataFrame, task: str, order: str) -> DataFrame:
     lines = F.transform(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), line.alias("l")))), lambda x: x["l"])
     failed = F.count_if(F.col("error").isNotNull())
     return files.groupBy(task).agg(F.concat(F.lit("The following documents have been provided for this research task:\n\n"), F.array_join(lines, "\n"), F.when(failed > 0, F.concat(F.lit("\n\nNote: "), failed.cast("string"), F.lit(" file(s) had processing issues."))).otherwise(""), F.lit("\n\nReference these files using [File: filename] in your citations. Treat file contents as primary source material.")).alias("manifest"))
-
-
-def capped_prefix(text: Column | str, limit: int) -> Column:
-    return text_functions.cut_prefix(text, limit, "\n[... truncated ...]")

@@ -9,19 +9,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyforge.functions.predicates import any_completed, is_true
+from tallyforge.functions.predicates import is_true
 from tallyforge.operators.runs import rollup
+from tallyforge.sources.envelopes import agent_figures, flatten, nest
 
 
-def reconcile_passes(passes: DataFrame) -> DataFrame:
+def reconcile_passes(passes: DataFrame, ties: tuple[str, ...] = ()) -> DataFrame:
     """The winner per task, agent and pass_idx of rows with source_ord.
 
     A completed pass beats others, a longer one a shorter one; among failed ones
-    one with an error wins; then the first source.
+    one with an error wins; then the first source, then the first of `ties`.
     """
     done = is_true("completed")
     worth = F.when(done, F.coalesce("response_length", F.lit(0))).otherwise((F.coalesce("error", F.lit("")) != "").cast("int"))
-    order = Window.partitionBy("task_id", "agent", "pass_idx").orderBy(done.desc(), worth.desc(), "source_ord")
+    order = Window.partitionBy("task_id", "agent", "pass_idx").orderBy(done.desc(), worth.desc(), "source_ord", *ties)
     return passes.withColumn("__rank", F.row_number().over(order)).filter("__rank = 1").drop("__rank")
 
 
@@ -50,6 +51,67 @@ def merge_tasks(tasks: DataFrame, passes: DataFrame, texts: list[str]) -> DataFr
     return merged.join(agents, "task_id", "left")
 
 
+def is_dummy_json(value: Column) -> Column:
+    """Null, a blank text, an empty array or object; 0 and false are values."""
+    return value.isNull() | F.rlike(value, F.lit(r"^\s*(null|\"\s*\"|\[\s*\]|\{\s*\})\s*$"))
+
+
+def first_full(value: Column, order: Column, dummy: Column) -> Column:
+    """An aggregate: the first value in order that is no dummy, else the last value."""
+    return F.coalesce(F.min_by(value, F.when(~dummy, order)), F.max_by(value, order))
+
+
+def merge_extras(extras: Column) -> Column:
+    """Maps of JSON values in order as one; of each key the first value that is no dummy, else the last."""
+    none = F.create_map().cast("map<string,string>")
+    return F.aggregate(extras, none, lambda acc, m: F.map_zip_with(acc, F.coalesce(m, none), lambda _, x, y: F.when(~is_dummy_json(x), x).otherwise(F.coalesce(y, x))))
+
+
+def merge_envelopes(envelopes: DataFrame) -> DataFrame:
+    """One envelope per task from all sources, in the order of source_ord and file_name, and n_sources.
+
+    Passes are reconciled by agent and number and the figures counted from them;
+    costs add up, the longest duration, first start and last end stay; fields of
+    config, package and author, and extra keys, keep their first value that says
+    anything. A task of one source passes through as it is.
+    """
+    order = F.struct("source_ord", "file_name")
+    fields = {s: [f.name for f in envelopes.schema[s].dataType.fields] for s in ("config", "package", "sme_metadata")}
+
+    def dummy(c: Column, kind: str) -> Column:
+        return c.isNull() | (F.size(c) == 0) if kind.startswith("array") else c.isNull() | (F.trim(c) == "") if kind == "string" else c.isNull()
+
+    def union(s: str) -> Column:
+        kinds = {f.name: f.dataType.simpleString() for f in envelopes.schema[s].dataType.fields}
+        each = [first_full(F.col(f"{s}.{f}"), order, dummy(F.col(f"{s}.{f}"), kinds[f])).alias(f) for f in fields[s]]
+        return F.when(F.count(s) > 0, F.struct(*each))
+
+    iso = lambda t: F.date_format(t, "yyyy-MM-dd'T'HH:mm:ss")
+    time = lambda f, pick: F.coalesce(iso(pick(F.try_to_timestamp(f))), F.min_by(f, order))
+    in_order = F.array_sort(F.collect_list(F.struct(order.alias("o"), F.col("extra").cast("map<string,string>").alias("e"))), lambda a, b: F.when(a["o"] < b["o"], -1).when(a["o"] > b["o"], 1).otherwise(0))
+    merged = envelopes.groupBy("task_id").agg(
+        F.count("*").alias("n_sources"),
+        F.sum("total_cost_usd").alias("total_cost_usd"),
+        F.max("total_duration_sec").alias("total_duration_sec"),
+        time("dispatched_at", F.min).alias("__dispatched"),
+        time("completed_at", F.max).alias("__completed"),
+        F.min_by("dispatched_at", order).alias("dispatched_at"),
+        F.min_by("completed_at", order).alias("completed_at"),
+        *[union(s).alias(s) for s in fields],
+        merge_extras(F.transform(in_order, lambda x: x["e"])).alias("extra"),
+        *[F.min_by(c, order).alias(c) for c in agent_figures()],
+        F.min_by("agent_results", order).alias("__single"),
+    )
+    flat = flatten(envelopes.select("task_id", "source_ord", "file_name", "agent_results")).filter("run IS NOT NULL")
+    flat = flat.withColumns({f: F.col(f"run.{f}") for f in ("completed", "error", "response_length")})
+    nested = nest(reconcile_passes(flat, ("file_name",)), ["task_id"])
+    out = merged.join(nested, "task_id", "left")
+    one = F.col("n_sources") == 1
+    out = out.withColumn("agent_results", F.when(one, F.col("__single")).otherwise(F.col("agent_results")))
+    found = {**agent_figures(), "dispatched_at": F.col("__dispatched"), "completed_at": F.col("__completed")}
+    return out.withColumns({c: F.when(one, F.col(c)).otherwise(v) for c, v in found.items()}).drop("__single", "__dispatched", "__completed")
+
+
 def upsert(existing: DataFrame, incoming: DataFrame) -> DataFrame:
     """Store rows (task_id, agent, passes, cost, duration, dispatched_at, completed_at, fields) after a new dispatch.
 
@@ -67,8 +129,3 @@ def upsert_tasks(existing: DataFrame, incoming: DataFrame, fields: list[str]) ->
     both = existing.withColumn("__new", F.lit(0)).unionByName(incoming.withColumn("__new", F.lit(1)))
     pick = lambda f: F.coalesce(F.max(F.when(F.col("__new") == 1, F.col(f))), F.max(F.when(F.col("__new") == 0, F.col(f))))
     return both.groupBy("task_id").agg(F.sum("total_cost").alias("total_cost"), F.max("total_duration").alias("total_duration"), F.min("dispatched_at").alias("dispatched_at"), F.max("completed_at").alias("completed_at"), *[pick(f).alias(f) for f in fields])
-
-
-def merged_agents(passes: DataFrame) -> DataFrame:
-    """Per task after an upsert: agents by any completed pass, with the first error of failed ones."""
-    return rollup(passes, any_completed())

@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 from tallyforge.functions.predicates import any_completed, is_clean_success, is_strict_success, is_true, status
 
 
+#: Prices that one expression tests in their order.
+MOST_PRICES = 1_000
+
+
 def best_passes(passes: DataFrame, extra_order: tuple[str, ...] = ()) -> DataFrame:
     """Per task and agent: the longest clean success, else the longest pass; ties go to the first."""
     order = Window.partitionBy("task_id", "agent").orderBy(is_clean_success().desc(), F.coalesce("response_length", F.lit(0)).desc(), "pass_idx", *extra_order)
@@ -98,12 +102,13 @@ def priced(passes: DataFrame, prices: DataFrame, match: str = "exact", default:
     prefix: the model starts with the key; either: one starts with the other. Of
     several keys the one of least ord counts; models without one get `default`.
     """
-    m, k = F.col("model"), F.col("key")
-    test = {"exact": m == k, "prefix": m.startswith(k), "either": m.startswith(k) | k.startswith(m)}[match]
-    models = passes.select("model").distinct()
-    found = models.join(F.broadcast(prices), test, "left").groupBy("model").agg(F.min(F.struct("ord", "key", "input_rate", "output_rate")).alias("p"))
-    found = found.select("model", F.col("p.key").alias("price_key"), F.coalesce("p.input_rate", F.lit(default[0])).alias("input_rate"), F.coalesce("p.output_rate", F.lit(default[1])).alias("output_rate"))
-    return passes.join(found, passes["model"].eqNullSafe(found["model"]), "left").drop(found["model"])
+    listed = prices.orderBy("ord").limit(MOST_PRICES + 1).collect()  # a price list
+    if len(listed) > MOST_PRICES:
+        raise ValueError(f"more than {MOST_PRICES} prices")
+    m = F.col("model")
+    fits = lambda k: {"exact": m == k, "prefix": m.startswith(k), "either": m.startswith(k) | F.startswith(F.lit(k), m)}[match]
+    found = F.coalesce(*[F.when(fits(p["key"]), F.struct(F.lit(p["key"]).alias("key"), F.lit(p["input_rate"]).alias("input_rate"), F.lit(p["output_rate"]).alias("output_rate"))) for p in listed], F.lit(None).cast("struct<key:string,input_rate:double,output_rate:double>"))
+    return passes.withColumn("__price", found).withColumns({"price_key": F.col("__price.key"), "input_rate": F.coalesce("__price.input_rate", F.lit(default[0])), "output_rate": F.coalesce("__price.output_rate", F.lit(default[1]))}).drop("__price")
 
 
 def cost(tokens_in: Column, tokens_out: Column, input_rate: Column, output_rate: Column, cached: Column | None = None, cached_rate: Column | None = None, surcharge: Column | None = None) -> Column:

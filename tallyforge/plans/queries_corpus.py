@@ -63,22 +63,23 @@ def s16_f08_f12_routing(spark, sf):
 # sections, budgets, truncation -----------------------------------------------
 
 
-@query(r"""WITH p AS (SELECT source, doc_id, CASE WHEN regexp_matches(lower(text[1:500]), 'tention|éré') THEN 'KEEP' WHEN regexp_matches(lower(text[1:500]), 'shth|ung') THEN 'DROP' ELSE 'NEUTRAL' END AS class FROM documents),
-l AS (SELECT *, last_value(CASE WHEN class <> 'NEUTRAL' THEN class END IGNORE NULLS) OVER (PARTITION BY source ORDER BY doc_id ROWS UNBOUNDED PRECEDING) AS last FROM p)
-SELECT source, doc_id, class FROM l WHERE coalesce(last <> 'DROP', true)""")
+@query(r"""WITH p AS (SELECT conv_id, turn, CASE WHEN regexp_matches(lower(text[1:500]), 'tention|éré') THEN 'KEEP' WHEN regexp_matches(lower(text[1:500]), 'shth|ung') THEN 'DROP' ELSE 'NEUTRAL' END AS class FROM conversations),
+l AS (SELECT *, last_value(CASE WHEN class <> 'NEUTRAL' THEN class END IGNORE NULLS) OVER (PARTITION BY conv_id ORDER BY turn ROWS UNBOUNDED PRECEDING) AS last FROM p)
+SELECT conv_id, turn, class FROM l WHERE coalesce(last <> 'DROP', true)""")
 def n05_f42_sections(spark, sf):
-    d = table(spark, sf, "documents").select("source", "doc_id", corpus.page_class("text", ("shth", "ung"), ("tention", "éré")).alias("class"))
-    return corpus.drop_sections(d, "source", "doc_id")
+    d = table(spark, sf, "conversations").select("conv_id", "turn", corpus.page_class("text", ("shth", "ung"), ("tention", "éré")).alias("class"))
+    return corpus.drop_sections(d, "conv_id", "turn")
 
 
-@query("""WITH RECURSIVE f AS (SELECT source, doc_id AS ord, n_chars AS size, row_number() OVER (PARTITION BY source ORDER BY doc_id, n_chars) AS i FROM documents),
-r AS (SELECT source, CAST(0 AS BIGINT) AS i, CAST(0 AS BIGINT) AS used, CAST(NULL AS BIGINT) AS ord, CAST(NULL AS BIGINT) AS size, CAST(NULL AS BIGINT) AS lim, CAST(NULL AS BIGINT) AS kept FROM (SELECT DISTINCT source FROM f)
-  UNION ALL SELECT s.source, s.i, s.used + s.kept, s.ord, s.size, s.lim, s.kept FROM (
-    SELECT x.*, CASE WHEN x.size <= lim THEN x.size ELSE CAST(floor(lim * 0.7) + floor(lim * 0.3) - 200 + 150 AS BIGINT) END AS kept FROM (
-      SELECT r.used, f.source, f.i, f.ord, f.size, least(600, greatest(20000 - r.used // 4, 1000)) * 4 AS lim FROM r JOIN f ON f.source = r.source AND f.i = r.i + 1) x) s)
-SELECT source, ord, size, lim AS "limit", kept FROM r WHERE i > 0""")
+@query("""WITH RECURSIVE f AS (SELECT conv_id, turn AS ord, length(text) * 40 AS size, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS i FROM conversations),
+r AS (SELECT conv_id, CAST(0 AS BIGINT) AS i, CAST(0 AS BIGINT) AS used, CAST(NULL AS BIGINT) AS ord, CAST(NULL AS BIGINT) AS size, CAST(NULL AS BIGINT) AS lim, CAST(NULL AS BIGINT) AS kept FROM (SELECT DISTINCT conv_id FROM f)
+  UNION ALL SELECT s.conv_id, s.i, s.used + s.kept, s.ord, s.size, s.lim, s.kept FROM (
+    SELECT x.*, CASE WHEN x.size <= lim THEN x.size ELSE CAST(floor(lim * 0.7::DOUBLE) + floor(lim * 0.3::DOUBLE) - 200 + 150 AS BIGINT) END AS kept FROM (
+      SELECT r.used, f.conv_id, f.i, f.ord, f.size, least(2000, greatest(6000 - r.used // 4, 1000)) * 4 AS lim FROM r JOIN f ON f.conv_id = r.conv_id AND f.i = r.i + 1) x) s)
+SELECT conv_id, ord, size, lim AS "limit", kept FROM r WHERE i > 0""")
 def n06_budgets(spark, sf):
-    return corpus.character_budgets(table(spark, sf, "documents"), "source", "doc_id", "n_chars", 600, 20000)
+    turns = table(spark, sf, "conversations").select("conv_id", "turn", (F.length("text") * 40).alias("size"))
+    return corpus.character_budgets(turns, "conv_id", "turn", "size", 2000, 6000)
 
 
 @query("""SELECT doc_id, CASE WHEN length(text) <= 1000 THEN text ELSE substr(text, 1, 700) || chr(10) || chr(10) || '[... TRUNCATED: d — showing first ~0K and last ~0K characters of ' || (length(text) // 1000) || 'K total. ' || ((length(text) - 800) // 1000) || 'K characters omitted. ...]' || chr(10) || chr(10) || right(text, 100) END AS cut FROM documents""")
@@ -157,7 +158,9 @@ def a23_source_sizes(spark, sf):
     return d.groupBy("source").agg(F.count("*").alias("n_docs"), F.countDistinct("lang").alias("n_langs"), F.max("n_chars").alias("longest"), longest.alias("longest_doc"))
 
 
-@query(f"WITH {FILES_SQL} SELECT source, sha256('The following documents have been provided for this research task:' || chr(10) || chr(10) || string_agg(CASE WHEN extractable THEN '  • ' || filename || ' (txt, ' || CAST(round_even(size_bytes / 1024, 0) AS BIGINT) || ' KB)' || CASE WHEN size_bytes > 4000 THEN ' [TRUNCATED]' ELSE '' END ELSE '  ❌ ' || filename || ' — ERROR: not read' END, chr(10) ORDER BY doc_id) || CASE WHEN count(*) FILTER (NOT extractable) > 0 THEN chr(10) || chr(10) || 'Note: ' || count(*) FILTER (NOT extractable) || ' file(s) had processing issues.' ELSE '' END || chr(10) || chr(10) || 'Reference these files using [File: filename] in your citations. Treat file contents as primary source material.') AS manifest FROM files GROUP BY source")
+@query("""WITH f AS (SELECT conv_id, turn, role || turn || '.txt' AS filename, length(text) AS size_bytes, turn % 3 < 2 AS ok FROM conversations)
+SELECT conv_id, 'The following documents have been provided for this research task:' || chr(10) || chr(10) || string_agg(CASE WHEN ok THEN '  • ' || filename || ' (txt, ' || CAST(round_even(size_bytes / 1024, 0) AS BIGINT) || ' KB)' || CASE WHEN size_bytes > 300 THEN ' [TRUNCATED]' ELSE '' END ELSE '  ❌ ' || filename || ' — ERROR: not read' END, chr(10) ORDER BY turn, filename)
+|| CASE WHEN count(*) FILTER (NOT ok) > 0 THEN chr(10) || chr(10) || 'Note: ' || count(*) FILTER (NOT ok) || ' file(s) had processing issues.' ELSE '' END || chr(10) || chr(10) || 'Reference these files using [File: filename] in your citations. Treat file contents as primary source material.' AS manifest FROM f GROUP BY conv_id""")
 def f43_manifest(spark, sf):
-    f = files(spark, sf).withColumns({"error": F.when(~F.col("extractable"), "not read"), "format": F.lit("txt"), "truncated": F.col("size_bytes") > 4000})
-    return corpus.manifest(f, "source", "doc_id").withColumn("manifest", F.sha2("manifest", 256))
+    f = table(spark, sf, "conversations").select("conv_id", "turn", F.concat("role", F.col("turn").cast("string"), F.lit(".txt")).alias("filename"), F.length("text").alias("size_bytes"), F.when(F.col("turn") % 3 >= 2, "not read").alias("error"), F.lit("txt").alias("format"))
+    return corpus.manifest(f.withColumns({"truncated": F.col("size_bytes") > 300, "order": F.struct("turn", "filename")}), "conv_id", "order")

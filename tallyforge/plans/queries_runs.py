@@ -130,10 +130,10 @@ def a14_agent_pivot(spark, sf):
     return runs.status_pivot(diagnosed(spark, sf)).withColumn("cost", F.col("cost").cast("double"))
 
 
-@query(f"{DIAGNOSED_CTE} SELECT category, count(*) AS n, sha256(string_agg(task_id || '/' || agent, ',' ORDER BY task_id, agent)) AS members FROM d WHERE category <> '' GROUP BY category")
+@query(f"{DIAGNOSED_CTE} SELECT category, task_id, agent FROM d WHERE category <> ''")
 def a15_category_groups(spark, sf):
-    members = F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("task_id", "agent"))), lambda x: F.concat_ws("/", x["task_id"], x["agent"])), ","), 256)
-    return diagnosed(spark, sf).filter("category <> ''").groupBy("category").agg(F.count("*").alias("n"), members.alias("members"))
+    """Members of each category, a row each."""
+    return diagnosed(spark, sf).filter("category <> ''").select("category", "task_id", "agent")
 
 
 @query(f"{DIAGNOSED_CTE} SELECT task_id FROM d GROUP BY task_id HAVING bool_and(status = 'FAIL')")
@@ -258,13 +258,8 @@ def a12_rate_by_type(spark, sf):
     return exported(spark, sf).groupBy("research_type").agg(passed.alias("n_pass"), F.count("*").alias("n"), (passed / F.count("*")).alias("rate"))
 
 
-@query(f"{EXPORT_SQL} SELECT task_id, agent, pass_idx, dispatched_at FROM x WHERE status = 'PASS' ORDER BY dispatched_at, task_id, agent, pass_idx LIMIT 200")
-def o02_export_order(spark, sf):
-    return exported(spark, sf).filter("status = 'PASS'").orderBy("dispatched_at", "task_id", "agent", "pass_idx").select("task_id", "agent", "pass_idx", "dispatched_at").limit(200)
-
-
 @query(f"{EXPORT_SQL} SELECT task_id, agent, pass_idx, dispatched_at FROM x WHERE status = 'PASS' ORDER BY dispatched_at, task_id, agent, pass_idx")
-def o02_export_order_all(spark, sf):
+def o02_export_order(spark, sf):
     return exported(spark, sf).filter("status = 'PASS'").orderBy("dispatched_at", "task_id", "agent", "pass_idx").select("task_id", "agent", "pass_idx", "dispatched_at")
 
 
@@ -310,13 +305,8 @@ def w05_scored_results(spark, sf):
     return store.query_results(stored(spark, sf), scored_only=True).select("task_id", "dispatched_at")
 
 
-@query(f"{BOTH} SELECT task_id, dispatched_at FROM tasks ORDER BY coalesce(dispatched_at, '') DESC, task_id LIMIT 100")
-def o01_latest_results(spark, sf):
-    return store.list_results(tasks(spark, sf)).select("task_id", "dispatched_at").limit(100)
-
-
 @query(f"{BOTH} SELECT task_id, dispatched_at FROM tasks ORDER BY coalesce(dispatched_at, '') DESC, task_id")
-def o01_latest_results_all(spark, sf):
+def o01_latest_results(spark, sf):
     return store.list_results(tasks(spark, sf)).select("task_id", "dispatched_at")
 
 

@@ -111,6 +111,30 @@ def validate(rows: DataFrame) -> DataFrame:
     return rows
 
 
+def with_files(tasks: DataFrame, drive_url: str = "drive_url", files: str = "files") -> DataFrame:
+    """Tasks but those whose shared link resolved to no file."""
+    linked = labels.link(drive_url)["type"].isNotNull()
+    return tasks.filter(~(linked & (F.coalesce(F.size(files), F.lit(0)) <= 0)))
+
+
+def preview(packages: DataFrame, n: int = 3, order: tuple[str, ...] = ("task_id",)) -> DataFrame:
+    """The first packages as a table of short texts."""
+    short = lambda c, k: F.concat(F.substring(c, 1, k), F.lit("..."))
+    formats = F.when(F.size("output_formats") > 0, F.array_join("output_formats", ", ")).otherwise("none")
+    return (
+        packages.orderBy(*order)
+        .limit(n)
+        .select("task_id", "sme_name", "research_type", "iat_type", "domain", short("prompt", 80).alias("prompt"), F.size("solution_steps").alias("n_steps"), short("sanity_check", 60).alias("sanity_check"), short("drive_url", 60).alias("drive_url"), formats.alias("output_formats"))
+    )
+
+
+def top_counts(rows: DataFrame, column: str, n: int = 10) -> DataFrame:
+    """The most frequent values with their counts, and on each row how many `more` there are beyond them."""
+    counts = rows.groupBy(F.col(column).alias("value")).agg(F.count("*").alias("n"))
+    more = counts.agg(F.greatest(F.count("*") - n, F.lit(0)).alias("more"))
+    return counts.orderBy(F.desc("n"), "value").limit(n).crossJoin(F.broadcast(more))  # one row
+
+
 def eligibility(agent: Column, closed: Column, bytes_: Column, agents: tuple[str, ...]) -> Column:
     """(eligible, note); only unknown agents are not eligible."""
     note = (

@@ -5,22 +5,72 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyforge.functions import text
-from tallyforge.functions.predicates import sorted_by
+from tallyforge.functions import labels, text
+from tallyforge.functions.predicates import sorted_by, status
+from tallyforge.sources.envelopes import envelope_json, flatten
 
 # Columns of the consolidated CSV in order.
 CSV_COLUMNS = tuple("task_id sme_name domain research_type iat_type file_count output_formats agent model status failure_category input_tokens output_tokens cost_usd duration_min response_length_chars citations_count iterations dispatched_at completed_at prompt_id allocation_id drive_url output_files citations response_text".split())
 WIDTH = 80
 
 
-def write_csv(rows: DataFrame, path: str, dry_run: bool = False, single: bool = True) -> DataFrame:
-    """Writes the fixed columns with a header; nothing for no rows or a dry run. One file only if asked for."""
+def export_rows(envelopes: DataFrame) -> DataFrame:
+    """One row per pass in CSV_COLUMNS, and pass_idx; passes of one agent in their order."""
+    flat = flatten(envelopes).filter("run IS NOT NULL")
+    p, r, sme = (lambda f: F.col(f"package.{f}")), (lambda f: F.col(f"run.{f}")), (lambda f: F.col(f"sme_metadata.{f}"))
+    formats = F.coalesce(p("output_formats"), F.array().cast("array<string>"))
+    values = {
+        **{f: sme(f) for f in ("sme_name", "prompt_id", "allocation_id", "drive_url")},
+        **{f: p(f) for f in ("domain", "research_type", "iat_type", "file_count")},
+        **{f: r(f) for f in ("model", "input_tokens", "output_tokens", "citations_count", "iterations", "completed_at")},
+        "output_formats": F.when(F.size(formats) > 0, F.array_join(formats, "; ")).otherwise("none"),
+        "agent": F.coalesce(r("agent"), "agent"),
+        "status": status(r("completed"), r("forced_stop")),
+        "failure_category": labels.export_failure(r("completed"), r("forced_stop"), r("error")),
+        "cost_usd": r("total_cost_usd"),
+        "duration_min": F.round(F.coalesce(r("total_duration_sec"), F.lit(0.0)) / 60, 2),
+        "response_length_chars": F.coalesce(F.nullif(r("response_length"), F.lit(0)), F.length(r("response_text")), F.lit(0)),
+        "output_files": text.output_files_text(r("output_files"), r("output_file_path")),
+        "citations": text.citations_text(F.transform(r("citations"), lambda c: F.struct(c["title"].alias("title"), c["url"].alias("url"), c["snippet"].alias("snippet")))),
+        "response_text": text.strip(F.coalesce(r("response_text"), F.lit(""))),
+    }
+    return flat.select(*[values[c].alias(c) if c in values else c for c in CSV_COLUMNS], "pass_idx")
+
+
+def write_csv(rows: DataFrame, path: str, dry_run: bool = False, single: bool = False) -> DataFrame:
+    """Writes the fixed columns with a header, in many files unless one is asked for; nothing for no rows or a dry run."""
     out = rows.select(*CSV_COLUMNS)
     if not dry_run and not out.isEmpty():
         (out.coalesce(1) if single else out).write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
     return out
 
 
+def write_json(envelopes: DataFrame, path: str, by: str | None = None, dry_run: bool = False) -> DataFrame:
+    """Envelopes as JSON, one in a line, extra keys included; in folders by the values of `by`, where given."""
+    out = envelopes.select(*([by] if by else []), envelope_json(envelopes).alias("value"))
+    if not dry_run:
+        (out.write.mode("overwrite").partitionBy(by) if by else out.write.mode("overwrite")).text(path)
+    return out
+
+
+def extracted_json(envelopes: DataFrame) -> DataFrame:
+    """(file_name, value): extracted tasks in the shape of their input files, an object for a file that held one, else an array."""
+    rows = envelopes.withColumn("__body", envelope_json(envelopes))
+    tasks = sorted_by(F.collect_list(F.struct("task_id", "__body")), "task_id")
+    grouped = rows.groupBy("file_name").agg(F.transform(tasks, lambda t: t["__body"]).alias("tasks"), F.bool_or("in_array").alias("in_array"))
+    return grouped.select("file_name", F.when((F.size("tasks") == 1) & ~F.col("in_array"), F.get("tasks", F.lit(0))).otherwise(F.concat(F.lit("["), F.array_join("tasks", ","), F.lit("]"))).alias("value"))
+
+
+def write_extracted(envelopes: DataFrame, path: str, inputs: DataFrame | None = None, dry_run: bool = False) -> DataFrame:
+    """Extracted tasks in a folder for each input file. `inputs` names files in file_name: those without a match get an empty array, else they are skipped."""
+    out = extracted_json(envelopes)
+    if inputs is not None:
+        out = inputs.select("file_name").distinct().join(out, "file_name", "left").withColumn("value", F.coalesce("value", F.lit("[]")))
+    if not dry_run:
+        out.write.mode("overwrite").partitionBy("file_name").text(path)
+    return out
+
+
 def grouped_json(envelopes: DataFrame, prefix: str = "prefix") -> DataFrame:
     """One JSON text per prefix: the object of a single task, else an array of them in order of task id."""
     rest = [c for c in envelopes.columns if c != prefix]
@@ -29,9 +79,11 @@ def grouped_json(envelopes: DataFrame, prefix: str = "prefix") -> DataFrame:
     return grouped.select(prefix, F.when(F.size("tasks") == 1, F.to_json(F.get("tasks", F.lit(0)))).otherwise(F.to_json("tasks")).alias("body"))
 
 
-def write_envelopes(envelopes: DataFrame, path: str, partition: str | None = None, mode: str = "overwrite") -> None:
-    out = envelopes.write.mode(mode)
-    (out.partitionBy(partition) if partition else out).parquet(path)
+def write_envelopes(envelopes: DataFrame, path: str, partition: str | None = None, mode: str = "overwrite", dry_run: bool = False) -> DataFrame:
+    if not dry_run:
+        out = envelopes.write.mode(mode)
+        (out.partitionBy(partition) if partition else out).parquet(path)
+    return envelopes
 
 
 def banner(title: Column) -> Column:
@@ -47,7 +99,7 @@ def citation_lines(citations: Column) -> Column:
         title, url, snippet = (F.coalesce(c[k], F.lit("")) for k in ("title", "url", "snippet"))
         head = F.concat(F.lit("  ["), F.coalesce(c["index"], i + 1).cast("string"), F.lit("]"))
         body = F.when(title != "", F.concat(F.lit(" "), title, F.lit("\n"), F.when(url != "", F.concat(F.lit("       "), url, F.lit("\n"))).otherwise(""))).when(url != "", F.concat(F.lit(" "), url, F.lit("\n"))).otherwise(" (no details)\n")
-        return F.concat(head, body, F.when(F.trim(snippet) != "", F.concat(F.lit("       "), F.trim(snippet), F.lit("\n"))).otherwise(""), F.lit("\n"))
+        return F.concat(head, body, F.when(text.strip(snippet) != "", F.concat(F.lit("       "), text.strip(snippet), F.lit("\n"))).otherwise(""), F.lit("\n"))
 
     return F.array_join(F.transform(citations, one), "")
 
@@ -76,7 +128,7 @@ def reports(passes: DataFrame) -> DataFrame:
         ("Citations", text.plain_text(r("citations_count"))),
         ("Response Length", F.concat(F.format_number(F.coalesce(r("response_length"), F.lit(0)), 0), F.lit(" characters"))),
     ]
-    answer = F.trim(F.coalesce(r("response_text"), F.lit("")))
+    answer = text.strip(F.coalesce(r("response_text"), F.lit("")))
     cited = F.coalesce(F.size(r("citations")), F.lit(0))
     body = F.concat(
         banner(F.lit("TASK OVERVIEW")),

@@ -256,3 +256,52 @@ def test_stale_keys_stream(spark, tmp_path):
     q.processAllAvailable()
     q.stop()
     assert {r["key"] for r in spark.sql("select key from stale").collect()} <= {"1", "2"}
+
+
+def test_envelopes_keep_what_the_schema_does_not_know(spark, tmp_path):
+    from tallyforge.operators import merge
+
+    (tmp_path / "a").mkdir()
+    (tmp_path / "b").mkdir()
+    run = {"model": "M", "completed": True, "response_length": 5, "total_cost_usd": 0.1}
+    first = {"task_id": "t", "dispatched_at": "2024-01-02", "note": "", "count": 0, "deep": {"x": [1, "é\""]}, "package": {"domain": " "}, "agents_attempted": ["z", "a"], "total_cost_usd": 1.0, "agent_results": {"a": [run]}}
+    (tmp_path / "a" / "x_0a1b2c.json").write_text(json.dumps(first))
+    (tmp_path / "a" / "broken.json").write_text('{"task_id": ')
+    (tmp_path / "b" / "y.json").write_text(json.dumps([{**first, "note": "n", "package": {"domain": "d"}, "dispatched_at": "2024-01-01"}, {"agents_attempted": ["z", "a"], "agent_results": {}, "odd key": None}]))
+    env = envelopes.read_envelopes(spark, [str(tmp_path / "a"), str(tmp_path / "none"), str(tmp_path / "b")])
+    got = {(r["task_id"], r["source_ord"]): r for r in env.collect()}
+    assert set(got) == {("t", 0), ("t", 2), ("y", 2)} and got["t", 0]["prefix"] == "x" and not got["t", 0]["in_array"] and got["y", 2]["in_array"]
+    assert json.loads(got["t", 0]["extra"]["deep"]) == {"x": [1, 'é"']} and got["y", 2]["extra"] == {"odd key": "null"}
+    back = [json.loads(r[0]) for r in sinks.write_json(env.filter("source_ord = 0"), "", dry_run=True).collect()]
+    assert back == [{**first, "package": {"domain": " "}}]
+    merged = {r["task_id"]: r for r in merge.merge_envelopes(env.withColumn("config", F.lit(None).cast("struct<mcp_server_url:string>"))).collect()}
+    t, y = merged["t"], merged["y"]
+    assert t["n_sources"] == 2 and t["dispatched_at"] == "2024-01-01T00:00:00" and t["package"]["domain"] == "d" and t["total_cost_usd"] == 2.0 and t["agents_attempted"] == ["a"]
+    assert {k: json.loads(v) for k, v in t["extra"].items()} == {"note": "n", "count": 0, "deep": {"x": [1, 'é"']}}
+    assert y["n_sources"] == 1 and y["agents_attempted"] == ["z", "a"]
+    none = envelopes.read_envelopes(spark, str(tmp_path / "none"))
+    assert none.count() == 0 and corpus_files.read_corpus(spark, [str(tmp_path / "none")]).count() == 0
+
+
+def test_dry_runs_write_nothing(spark, tmp_path):
+    env = spark.createDataFrame([("t", "f.json", True)], "task_id string, file_name string, in_array boolean")
+    out = str(tmp_path / "out")
+    assert [r["value"] for r in sinks.write_extracted(env, out, dry_run=True).collect()] == ['[{"task_id":"t"}]']
+    sinks.write_json(env, out, dry_run=True)
+    sinks.write_envelopes(env, out, dry_run=True)
+    assert not (tmp_path / "out").exists()
+    sinks.write_extracted(env, out)
+    sinks.write_json(env, str(tmp_path / "json"), by="file_name")
+    assert (tmp_path / "out" / "file_name=f.json").exists() and (tmp_path / "json" / "file_name=f.json").exists()
+
+
+def test_awkward_tables():
+    assert corpus_files.file_table(b"", ".csv", "x.csv") == "\n[File: x.csv — empty CSV/TSV]\n"
+    assert "| a | b |\n| --- | --- |\n| 1\\|2 |  |" in corpus_files.file_table(b'a,b\n"1|2"\n', ".csv", "x.csv")
+    assert "| a\tb |" not in corpus_files.file_table(b"a\tb\n", ".tsv", "x.tsv") and "(0 data rows)" in corpus_files.file_table(b"a\tb\n", ".tsv", "x.tsv")
+    assert "could not be read" in corpus_files.file_table(b"broken", ".docx", "x.docx") and "extraction error" in corpus_files.labelled_text(b"", ".xlsx")
+    sheet = office({"xl/workbook.xml": "<w><sheet name='S'/></w>", "xl/worksheets/sheet1.xml": "<w><row><c r='C1'><v>1</v></c></row><row/><row><c r='A3'><v>2</v></c><c r='B3'><v>3</v></c></row></w>"})
+    assert "| --- | --- | --- |\n| 2 | 3 |  |\n(1 data rows)" in corpus_files.file_table(sheet, ".xlsx", "x.xlsx")
+    assert corpus_files.labelled_text(sheet, ".xlsx") == "=== Sheet: S (1 rows, use header=2 when reading with pandas) ===\n2\t3"
+    empty = office({"xl/workbook.xml": "<w/>"})
+    assert corpus_files.labelled_text(empty, ".xlsx") == "[Empty workbook]"

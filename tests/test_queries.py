@@ -15,13 +15,12 @@ def test_query(spark, duck, name):
     same(QUERIES[name](spark, SF), duck.sql(ORACLE[name]))
 
 
-@pytest.mark.parametrize("name, limit", [("o01_latest_results", 100), ("o02_export_order", 200)])
-def test_whole_order(spark, duck, name, limit):
-    """Without a limit all rows come, in the oracle's order; the query with one has the first of them."""
-    whole = duck.sql(ORACLE[f"{name}_all"])
-    found = QUERIES[f"{name}_all"](spark, SF).select(*whole.columns).collect()
-    assert len(found) > limit and [tuple(map(str, r)) for r in found] == [tuple(map(str, r)) for r in whole.fetchall()]
-    assert QUERIES[name](spark, SF).select(*whole.columns).collect() == found[:limit]
+@pytest.mark.parametrize("name", ["o01_latest_results", "o02_export_order"])
+def test_whole_order(spark, duck, name):
+    """All rows come, in the oracle's order."""
+    whole = duck.sql(ORACLE[name])
+    found = QUERIES[name](spark, SF).select(*whole.columns).collect()
+    assert len(found) > 200 and [tuple(map(str, r)) for r in found] == [tuple(map(str, r)) for r in whole.fetchall()]
 
 
 def test_source_sizes_without_a_window(spark):
