@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import uuid
 import zipfile
@@ -13,6 +15,8 @@ from pyspark.sql import functions as F
 
 
 _CACHES: dict[str, dict] = {}
+#: The operator that a worker served last.
+_CLAIMED: list[str] = []
 
 
 def worker_cache(name: str) -> dict:
@@ -21,10 +25,18 @@ def worker_cache(name: str) -> dict:
 
 
 def claim(name: str) -> None:
-    """Empty the other operators' caches: a worker that serves several stages keeps those of the last one only."""
-    for other, cache in _CACHES.items():
-        if other != name:
+    """Empty the other operators' caches: a worker that serves several stages keeps those of the last one only, and gives memory back."""
+    others = [cache for other, cache in _CACHES.items() if other != name and cache]
+    if others or _CLAIMED[-1:] not in ([], [name]):
+        for cache in others:
             cache.clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL(None).malloc_trim(0)
+        except (AttributeError, OSError):  # another C library
+            pass
+    _CLAIMED[:] = [name]
 
 
 def ship(spark: SparkSession) -> None:

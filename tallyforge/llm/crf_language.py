@@ -35,6 +35,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from tallyforge.llm.common import claim, ship, table, utf8, worker_cache
 
@@ -46,8 +47,8 @@ LONGEST, PART = 96, 24
 BUCKETS, WEIGHTS, LEXICON = 1 << 17, 1 << 25, 300
 CHAIN, EPOCHS, RATE = 32, 6, 0.5
 LETTERS = re.compile(r"[^\W\d_]+")
-#: Words whose potentials a worker keeps, and words in one forward-backward pass.
-CACHE, TOKENS = 200_000, 500_000
+#: Words whose potentials a worker keeps, words in one forward-backward pass, and words that wait to be sorted by length of text.
+CACHE, TOKENS, WAITING = 200_000, 200_000, 2_000_000
 #: Texts whose new words are scored together, and about how many bytes of them.
 TOGETHER, TOGETHER_BYTES = 200, 4 << 20
 PREDICTED = pa.schema([("lang", pa.string()), ("score", pa.float64()), ("segments", pa.list_(pa.struct([("lang", pa.string()), ("first_word", pa.int64()), ("n_words", pa.int64())])))])
@@ -312,7 +313,7 @@ class Predictor:
                 if len(places):
                     chains.append((row, ids[places], places))
                     waiting += len(places)
-                    if waiting > 4 * TOKENS:
+                    if waiting > WAITING:
                         flush()
             at = end
         flush()
@@ -350,12 +351,16 @@ def predict_language(docs: DataFrame, training: Column, key: Column, text: str =
             _PREDICTORS.clear()
             predictor = _PREDICTORS[name] = Predictor(sent.value)
         for batch in source:
-            found = predictor.predict(batch.column(batch.num_columns - 1).to_pylist(), segments)
+            found = predictor.predict([r or b"" for r in batch.column(place).cast(pa.binary()).to_pylist()], segments)
             done = pa.StructArray.from_arrays([pa.array([f[i] for f in found], t.type) for i, t in enumerate(PREDICTED)], fields=list(PREDICTED))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], done], names=[*batch.schema.names[:-1], result])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:n_kept], done], names=[*batch.schema.names[:n_kept], result])
 
     schema = kept.withColumn(result, empty).schema
-    return docs.select(*kept.columns, utf8(F.col(text)).alias("__raw")).mapInArrow(run, schema)
+    # a text that is kept is sent once
+    n_kept, sent_as_kept = len(kept.columns), text in kept.columns and isinstance(kept.schema[text].dataType, StringType)
+    place = kept.columns.index(text) if sent_as_kept else n_kept
+    sent_columns = [*(F.col(f"`{c}`") for c in kept.columns), *([] if sent_as_kept else [utf8(F.col(text)).alias("__raw")])]
+    return docs.select(*sent_columns).mapInArrow(run, schema)
 
 
 def held_out_row() -> Column:

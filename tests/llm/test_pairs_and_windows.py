@@ -3,6 +3,7 @@
 import hashlib
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -131,12 +132,12 @@ def test_query_op10(spark, duck):
     same(ngram_join.op10_minhash_join(spark, SF), duck.sql(ngram_join.ORACLE["op10_minhash_join"]))
 
 
-def brute_hits(text, items):
+def brute_hits(text, items, width=10):
     w = decontaminate.words((text or "").encode())
     hit, found = set(), set()
     for item, t in items:
         b = decontaminate.words((t or "").encode())
-        k = min(10, len(b))
+        k = min(width, len(b))
         for j in range(len(b) - k + 1 if b else 0):
             for i in range(len(w) - k + 1):
                 if w[i : i + k] == b[j : j + k]:
@@ -145,13 +146,14 @@ def brute_hits(text, items):
     return len(w), hit, found
 
 
-@pytest.mark.parametrize("max_bytes", [1 << 20, 5000])
-def test_decontamination_against_brute_force(spark, max_bytes):
+@pytest.mark.parametrize("most_words, lane", [(1 << 20, 256), (150, 256), (1 << 20, 7)])
+def test_decontamination_against_brute_force(spark, monkeypatch, most_words, lane):
+    monkeypatch.setattr(decontaminate, "LANE", lane)
     docs = documents(spark)
     texts = {r["doc_id"]: r["text"] for r in docs.collect()}
     items = [(1, " ".join(texts[3].upper().split()[5:30])), (2, "one, TWO"), (3, None), (4, "?!"), (5, " ".join(texts[100].split()[100:111])), (5, "nothing like it"), (6, texts[3])]
     bench = spark.createDataFrame(items, "item_id long, text string")
-    got = decontaminate.find_contamination(docs, bench, max_bytes=max_bytes)
+    got = decontaminate.find_contamination(docs, bench, most_words=most_words)
     assert got.columns == [c for c in docs.columns if c != "contamination"] + ["contamination"]
     for r in got.collect():
         n, hit, found = brute_hits(r["text"], items)
@@ -163,6 +165,37 @@ def test_decontamination_against_brute_force(spark, max_bytes):
     assert decontaminate.find_contamination(docs.limit(0), bench).count() == 0
 
 
+def test_automaton_against_brute_force():
+    """Few different words, so that blocks, short items and windows overlap and repeat in every way."""
+    rng = random.Random(4)
+    known = decontaminate.Hashes()
+    for lane, width in ((256, 10), (5, 10), (3, 4), (64, 1), (16, 7)):
+        decontaminate.LANE, before = lane, decontaminate.LANE
+        text = lambda n, k=3: " ".join(rng.choice("abcdefg"[:k]) for _ in range(n))
+        docs = [text(rng.randint(0, 200), rng.choice([2, 3, 7])) for _ in range(40)] + ["", "a"]
+        items = [(rng.randint(0, 9), text(rng.randint(0, 40), rng.choice([2, 3, 7]))) for _ in range(25)] + [(3, docs[0]), (4, docs[5][-40:])]
+        words_ = [decontaminate.word_hashes(t.encode(), known) for _, t in items]
+        built = decontaminate.Automaton(np.concatenate(words_), np.array([len(w) for w in words_]), np.array([i for i, _ in items]), width)
+        got = built.scan([decontaminate.word_hashes(d.encode(), known) for d in docs])
+        decontaminate.LANE = before
+        for d, (ranges, found) in zip(docs, got):
+            _, hit, want = brute_hits(d, items, width)
+            assert {x for a, b in ranges for x in range(a, b)} == hit and set(found) == want
+            assert all(b < c for (_, b), (c, _) in zip(ranges, ranges[1:]))
+    nothing = decontaminate.Automaton(np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64))
+    assert nothing.scan([words_[0]]) == [([], [])]
+
+
+def test_original_spans_and_slices(monkeypatch):
+    raw = "Ä one-TWO  three,\nfour é five".encode()
+    assert [raw.decode()[s["start"] : s["end"]] for s in decontaminate.original_spans(raw, [(0, 2), (3, 4), (5, 7)])] == ["Ä one", "three", "é five"]
+    assert decontaminate.original_spans(raw, []) == []
+    whole = decontaminate.word_hashes(raw * 50, decontaminate.Hashes())
+    monkeypatch.setattr(decontaminate, "SLICE", 11)
+    monkeypatch.setattr(decontaminate, "KEPT", 2)
+    assert (decontaminate.word_hashes(raw * 50, decontaminate.Hashes()) == whole).all() and len(whole) == len(decontaminate.words(raw * 50))
+
+
 def test_query_op6(spark, duck):
     same(decontaminate.op6_aho_corasick(spark, SF), duck.sql(decontaminate.ORACLE["op6_aho_corasick"]))
 

@@ -1,13 +1,18 @@
 """The pipeline's stages against brute force over the smallest tables."""
 
 import corpus_pipeline
-from tallyforge.llm.decontaminate import windows, words
+from tallyforge.llm.decontaminate import WIDTH, words
 from tests.conftest import SF
 from tests.llm.tables import documents
 from tests.llm.test_pairs_and_windows import brute_classes
 from tests.llm.test_tokens_and_chats import check_packing
 
 
+def windows(text):
+    w = words((text or "").encode())
+    return [b" " + b" ".join(w[i : i + WIDTH]) + b" " for i in range(max(1, len(w) - WIDTH + 1))] if w else []
+
+
 def test_stages_against_brute_force(spark, duck):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     rows = {r["doc_id"]: r["text"] for r in docs.collect()}
