@@ -10,10 +10,11 @@ contributes: in a stretch of RUN or more content words without an anchor, each
 word has the virtual anchor before it, and in a text without any anchor all have.
 The rule looks at the stretch alone, so an edit changes the signatures near it.
 
-Two sets of sizes a <= b can only reach a likeness t if a >= t b. Pairs are
+Two sets of sizes a <= b can only reach a likeness t if a >= t b. Partners are
 therefore sought between neighbouring size classes, whose bounds grow by 1 / t,
-and within them by the rarest signatures of a set: two sets of likeness t share
-one of the first (1 - t) a + 1 signatures in one fixed order.
+and within them by the first signatures of a set: two sets of likeness t share
+one of the first (1 - t) a + 1 signatures in one fixed order, which puts common
+ones last. A bucket of many sets is dealt to blocks, two of which meet in a task.
 
 Defined results
 ---------------
@@ -31,7 +32,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallyforge.llm.common import table
+from tallyforge.llm.common import cut, store, table
+from tallyforge.llm.components import components, join_by_key
 
 #: Frequent function words of English, French, German and Spanish.
 ANCHORS = ("a", "an", "and", "are", "at", "avec", "con", "das", "dans", "de", "del", "der", "des", "die", "du", "el", "en", "est", "et", "for", "from", "in", "is", "it", "la", "las", "le", "les", "los", "mit", "of", "on", "para", "par", "pour", "que", "qui", "sur", "that", "the", "this", "to", "un", "una", "und", "une", "von", "was", "with", "zu")
@@ -39,6 +41,8 @@ CHAIN = 2
 THRESHOLD = 0.8
 #: Content words without an anchor from which each has the virtual one.
 RUN = 8
+#: Sets that say which signatures are common, how many of these are put last in the order, and sets in a block; two blocks meet in a task.
+SAMPLE, COMMON, BLOCK = 20_000, 1_000, 512
 #: Documents in a range of ids, in the mean, where each text is joined to the next; at most RANGES ranges.
 RANGE_ROWS, RANGES = 2_000, 2_000
 
@@ -124,30 +128,94 @@ def edited(text: Column, following: Column) -> Column:
     return F.concat(F.substring(text, F.lit(1), F.length(text) - half), F.substring(following, F.lit(1), half))
 
 
-def near_pairs(docs: DataFrame, doc: str = "doc_id", text: str = "text", threshold: float = THRESHOLD, anchors: tuple[str, ...] = ANCHORS, chain: int = CHAIN) -> tuple[DataFrame, DataFrame]:
-    """(membership, pairs): each document's representative, and linked representatives with their likeness.
+def common_signatures(sets: DataFrame, sample: int = SAMPLE) -> list[int]:
+    """Signatures of over one in a hundred of about `sample` sets, which are put last in the order; any order gives the same result."""
+    n = sets.count()
+    some = sets.filter(F.pmod(F.xxhash64("key", F.lit("order")), F.lit(1_000_003)) < int(1_000_003 * min(1.0, sample / max(1, n))) + 1)
+    counts = some.select(F.explode("sigs").alias("sig")).groupBy("sig").count().filter(F.col("count") > max(2, min(sample, n) // 100))
+    return [r["sig"] for r in counts.orderBy(F.desc("count"), "sig").limit(COMMON).collect()]
 
-    Documents of equal signature sets share a representative, the one of least id.
-    Buckets of a signature that are too large to compare are those of very common
-    chains; ordering signatures by frequency, rarest first, keeps them out of the
-    prefixes of sets that have rarer ones.
+
+def signature_sets(docs: DataFrame, doc: str, text: str, anchors: tuple[str, ...], chain: int) -> tuple[DataFrame, DataFrame]:
+    """(doc_id and key of every row with an id, distinct sets: key, least id, copies and sigs)."""
+    rows = with_signatures(docs.select(F.col(doc).alias("doc_id"), F.col(text).alias("text")).filter("doc_id IS NOT NULL"), "text", "sigs", anchors, chain)
+    # texts without a word are equal to equal texts only
+    rows = store(rows.select("doc_id", F.unhex(F.sha2(F.when(F.size("sigs") > 0, fingerprint(F.col("sigs"))).otherwise(F.concat(F.lit("-"), F.coalesce("text", F.lit("")))), 256)).alias("key"), "sigs"))
+    return rows.select("doc_id", "key"), store(rows.groupBy("key").agg(F.min("doc_id").alias("least_id"), F.count("*").alias("copies"), F.first("sigs").alias("sigs")))
+
+
+def bucket_members(sets: DataFrame, threshold: float, block: int) -> DataFrame:
+    """Sets in the buckets of their prefix signatures and length classes, dealt to pairs of blocks (i, j) that meet.
+
+    A set is compared as the longer one in its own class, as the shorter one in
+    its own and the next.
     """
-    rows = with_signatures(docs.select(F.col(doc).alias("doc_id"), F.col(text).alias("text")).filter("doc_id IS NOT NULL"), "text", "sigs", anchors, chain).drop("text")
-    keyed = rows.withColumn("fp", F.sha2(fingerprint(F.col("sigs")), 256))
-    reps = keyed.groupBy("fp").agg(F.min("doc_id").alias("rep"), F.first("sigs").alias("sigs")).filter(F.size("sigs") > 0)
-    membership = keyed.join(keyed.groupBy("fp").agg(F.min("doc_id").alias("rep")), "fp").select("doc_id", "rep")
-    each = reps.select("rep", F.size("sigs").alias("size"), F.explode("sigs").alias("sig"))
-    ranked = each.join(each.groupBy("sig").count(), "sig")
-    order = Window.partitionBy("rep").orderBy("count", "sig")
-    prefix = ranked.withColumn("k", F.row_number().over(order)).filter(F.col("k") <= F.col("size") - F.ceil(F.lit(threshold) * F.col("size") - 1e-9) + 1)
-    class_of = F.floor(F.log(F.col("size")) / F.log(F.lit(1 / threshold)) + 1e-9)
-    a = prefix.select("sig", F.col("rep").alias("a"), F.col("size").alias("a_size"), F.explode(F.array(class_of, class_of + 1)).alias("part"))
-    b = prefix.select("sig", F.col("rep").alias("b"), F.col("size").alias("b_size"), class_of.alias("part"))
-    fits = ((F.col("a_size") < F.col("b_size")) | ((F.col("a_size") == F.col("b_size")) & (F.col("a") < F.col("b")))) & (F.col("a_size") >= threshold * F.col("b_size") - 1e-9)
-    met = a.join(b, ["sig", "part"]).filter(fits).select("a", "b").distinct()
-    sets = reps.select("rep", "sigs")
-    pairs = met.join(sets.withColumnsRenamed({"rep": "a", "sigs": "x"}), "a").join(sets.withColumnsRenamed({"rep": "b", "sigs": "y"}), "b")
-    return membership, pairs.withColumn("likeness", likeness(F.col("x"), F.col("y"))).filter(F.col("likeness") >= threshold).select("a", "b", "likeness")
+    common = common_signatures(sets)
+    listed = F.array(*map(F.lit, common)).cast("array<bigint>")
+    size = F.size("sigs")
+    rows = sets.filter(size > 0).select("key", "copies", size.alias("size"), F.concat(F.array_except("sigs", listed), F.array_intersect("sigs", listed)).alias("sigs"))
+    rows = rows.withColumn("prefix", F.slice("sigs", F.lit(1), (F.col("size") - F.ceil(F.lit(threshold) * F.col("size") - 1e-9) + 1).cast("int")))
+    own_class = F.floor(F.log(F.col("size")) / F.log(F.lit(1 / threshold)) + 1e-9).cast("int")
+    each = rows.select("key", F.explode("prefix").alias("sig"), own_class.alias("own")).withColumn("up", F.explode(F.array(F.lit(0), F.lit(1))))
+    each = each.select("key", "sig", (F.col("own") + F.col("up")).alias("part"), (F.col("up") == 0).alias("longer"))
+    buckets = each.groupBy("sig", "part").agg(F.count("*").alias("n"), F.count_if("longer").alias("longer")).filter("n > 1 AND longer > 0").select("sig", "part", F.ceil(F.col("n") / block).cast("int").alias("blocks"), "n")
+    total = rows.agg(F.sum(F.size("prefix") * 2)).first()[0] or 0
+    own, others = F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    met = join_by_key(each, buckets, ["sig", "part"], total).withColumn("block", own).withColumn("other", others)
+    met = met.select("sig", "part", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "longer", "key")
+    return store(met.join(rows, "key"))
+
+
+def partners(members: DataFrame, threshold: float) -> DataFrame:
+    """(key, documents, texts, peer): for each member of a pair of blocks, its linked sets there and the least of them with another root.
+
+    A pair is looked at in the bucket of the first signature that its prefixes
+    share, and nowhere else. Pairs are no rows.
+    """
+    member = F.struct("key", "copies", "size", "sigs", "prefix", "longer", "block", "root")
+    grouped = members.groupBy("sig", "part", "i", "j").agg(F.collect_list(member).alias("m"))
+
+    def linked(x: Column, y: Column) -> Column:
+        first = (x["size"] < y["size"]) | ((x["size"] == y["size"]) & (x["key"] < y["key"]))
+        fits = F.when(first, y["longer"] & (x["size"] >= threshold * y["size"] - 1e-9)).otherwise(x["longer"] & (y["size"] >= threshold * x["size"] - 1e-9))
+        meet = (x["key"] != y["key"]) & ((F.col("i") == F.col("j")) | (x["block"] != y["block"]))
+        here = F.get(F.array_intersect(x["prefix"], y["prefix"]), F.lit(0)) == F.col("sig")
+        return meet & fits & here & (likeness(x["sigs"], y["sigs"]) >= threshold - 1e-9)
+
+    found = F.transform("m", lambda x: F.struct(x["key"].alias("key"), x["root"].alias("root"), F.transform(F.filter("m", lambda y: linked(x, y)), lambda y: F.struct(y["copies"].alias("copies"), y["root"].alias("root"))).alias("of")))
+    some = grouped.select(F.explode(F.filter(found, lambda x: F.size(x["of"]) > 0)).alias("x"))
+    documents = F.aggregate("x.of", F.lit(0).cast("long"), lambda acc, y: acc + y["copies"])
+    peer = F.array_min(F.transform(F.filter("x.of", lambda y: y["root"] != F.col("x.root")), lambda y: y["root"]))
+    return some.select("x.key", "x.root", documents.alias("documents"), F.size("x.of").cast("long").alias("texts"), peer.alias("peer"))
+
+
+def near_classes(docs: DataFrame, doc: str = "doc_id", text: str = "text", threshold: float = THRESHOLD, anchors: tuple[str, ...] = ANCHORS, chain: int = CHAIN, block: int = BLOCK) -> DataFrame:
+    """One row per document with an id: doc_id, class_id, copy_id, n_links, n_text_links.
+
+    Two documents are linked if the likeness of their signature sets is at least
+    the threshold, those of equal sets included. class_id is the least id of the
+    documents that are linked directly or through others, copy_id that of the
+    documents of equal sets. Each round joins every set to its least partner of
+    another root, until none has one.
+    """
+    rows, sets = signature_sets(docs, doc, text, anchors, chain)
+    members = bucket_members(sets, threshold, block)
+    roots, links = sets.select("key", F.col("key").alias("root")), None
+    while True:
+        found = cut(partners(members.join(roots, "key"), threshold))
+        links = found.groupBy("key").agg(F.sum("documents").alias("documents"), F.sum("texts").alias("texts")) if links is None else links
+        edges = cut(found.filter("peer IS NOT NULL").groupBy("root").agg(F.min("peer").alias("peer")))
+        if edges.isEmpty():
+            break
+        joined = components(edges, "root", "peer").select(F.col("node").alias("__node"), F.col("root").alias("top"))
+        sizes = roots.groupBy("root").agg(F.count("*").alias("n")).join(joined, F.col("root") == F.col("__node"), "left").select("root", F.coalesce("top", "root").alias("top"), "n")
+        roots = cut(join_by_key(roots, sizes, ["root"], sets.count()).select("key", F.col("top").alias("root")))
+    n = rows.count()
+    least = sets.join(roots, "key").groupBy("root").agg(F.min("least_id").alias("class_id"), F.count("*").alias("n"))
+    zero = F.lit(0).cast("long")
+    named = join_by_key(sets.drop("sigs").join(roots, "key"), least, ["root"], n).join(links, "key", "left")
+    named = named.select("key", "class_id", F.col("least_id").alias("copy_id"), (F.col("copies") - 1 + F.coalesce("documents", zero)).alias("n_links"), F.coalesce("texts", zero).alias("n_text_links"), F.col("copies").alias("n"))
+    return join_by_key(rows, named, ["key"], n).select("doc_id", "class_id", "copy_id", "n_links", "n_text_links")
 
 
 def op4_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -168,5 +236,10 @@ def op4_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op4_spotsigs": op4_spotsigs}
+def spotsigs_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate classes of all documents by their signatures."""
+    return near_classes(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {"op4_spotsigs": op4_spotsigs, "spotsigs_classes": spotsigs_classes}
 ORACLE: dict[str, str] = {}

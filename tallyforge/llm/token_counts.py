@@ -86,5 +86,18 @@ def op8_length_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return context_limits(cut(length_histogram(table(spark, sf_dir, "documents"))))
 
 
-QUERIES = {"op8_length_histogram": op8_length_histogram}
-ORACLE: dict[str, str] = {}
+def character_limits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same sums over lengths in characters, which SQL can count."""
+    docs = table(spark, sf_dir, "documents").filter("n_chars IS NOT NULL")
+    return context_limits(cut(docs.groupBy(F.col("n_chars").alias("n_tokens")).agg(F.count("*").alias("n_docs"))))
+
+
+QUERIES = {"op8_length_histogram": op8_length_histogram, "character_limits": character_limits}
+ORACLE: dict[str, str] = {
+    "character_limits": f"""
+WITH h AS (SELECT n_chars AS n_tokens, count(*) AS n_docs FROM documents WHERE n_chars IS NOT NULL GROUP BY 1 UNION ALL SELECT unnest([{", ".join(map(str, LIMITS))}]), 0),
+l AS (SELECT n_tokens, CAST(sum(n_docs) AS BIGINT) AS n_docs FROM h GROUP BY 1),
+w AS (SELECT *, sum(n_docs) OVER (ORDER BY n_tokens DESC) AS docs, sum(n_tokens * n_docs) OVER (ORDER BY n_tokens DESC) AS tokens, sum(n_docs) OVER () AS d, sum(n_tokens * n_docs) OVER () AS t FROM l)
+SELECT n_tokens, n_docs, CAST(docs AS BIGINT) AS docs_at_least, CAST(tokens AS BIGINT) AS tokens_at_least, CAST(t - tokens + n_tokens * docs AS BIGINT) AS total_if_truncated, CAST(docs - n_docs AS BIGINT) AS docs_cut,
+  (d - docs)::DOUBLE / d::DOUBLE AS share_below, (d - docs + n_docs)::DOUBLE / d::DOUBLE AS share_at_most, CAST(t AS BIGINT) AS total_tokens FROM w"""
+}

@@ -74,14 +74,14 @@ def rule_for(host: Column, path: Column, rules=RULES) -> Column:
     return found
 
 
-def with_rule(urls: DataFrame, rules=RULES, url: str = "url", result: str = "ruled") -> DataFrame:
+def with_rule(urls: DataFrame, rules=RULES, url: str = "url", result: str = "ruled", in_expression: int = IN_EXPRESSION) -> DataFrame:
     """Adds a struct of rule and verdict, null where no rule fits.
 
     Long lists are a table: the distinct hosts and paths meet the rules of each
     of the host's suffixes, and the longest that fits goes back to the urls.
     """
     host, path = url_host(F.col(url)), url_path(F.col(url))
-    if len(rules) <= IN_EXPRESSION:
+    if len(rules) <= in_expression:
         return urls.withColumn(result, rule_for(host, path, rules))
     rows = urls.drop(result).select(F.struct("*").alias("row"), host.alias("host"), path.alias("path"))
     each = rows.groupBy("host", "path").agg(F.count("*").alias("n"))
@@ -209,5 +209,22 @@ def op9_boosted_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "judged.host", "judged.path", F.col("ruled.rule").alias("rule"), F.coalesce("ruled.verdict", method).alias("verdict"), method.alias("method_verdict"))
 
 
-QUERIES = {"op9_boosted_urls": op9_boosted_urls}
-ORACLE: dict[str, str] = {}
+def url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What of op9 SQL can say: host, path and rule of every page, the rules as a joined table."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    found = with_rule(pages, RULES, in_expression=0)
+    return found.select("page_id", url_host(F.col("url")).alias("host"), url_path(F.col("url")).alias("path"), "ruled.rule", F.col("ruled.verdict").alias("rule_verdict"))
+
+
+QUERIES = {"op9_boosted_urls": op9_boosted_urls, "url_rules": url_rules}
+
+RULES_SQL = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in RULES)
+ORACLE: dict[str, str] = {
+    "url_rules": rf"""
+WITH u AS (SELECT page_id, coalesce(url, '') AS url FROM pages),
+p AS (SELECT page_id, translate(regexp_extract(url, '{URL[4:]}', 1, 's'), '{UPPER}', '{LOWER}') AS host, regexp_extract(url, '{URL[4:]}', 2, 's') AS path FROM u),
+r(h, start, verdict) AS (VALUES {RULES_SQL}),
+m AS (SELECT page_id, h || start AS rule, verdict FROM p JOIN r ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, start)
+  QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY length(h || start) DESC, h || start) = 1)
+SELECT page_id, host, path, rule, verdict AS rule_verdict FROM p LEFT JOIN m USING (page_id)"""
+}

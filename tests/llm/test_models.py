@@ -13,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyforge.llm import crf_language, html_extract, lattice_lm, url_filter
-from tests.conftest import SF
+from tests.conftest import SF, same
 from tests.llm.tables import documents, words
 
 
@@ -320,6 +320,10 @@ def test_query_op2(spark, duck):
     assert html_extract.extract(rows.limit(0)).count() == 0
 
 
+def test_query_url_rules(spark, duck):
+    same(url_filter.url_rules(spark, SF), duck.sql(url_filter.ORACLE["url_rules"]))
+
+
 def brute_rule(url):
     rest = (url or "").partition("://")[2] if "://" in (url or "") else ""
     host = re.split("[/?#]", rest)[0] if rest else ""
@@ -396,13 +400,12 @@ def test_urls_with_clashing_columns(spark):
     assert all(r["host"] == "clash host" and r["judged"]["blocked"] == r["told"] for r in got.collect())
 
 
-def test_many_rules_are_joined(spark, monkeypatch):
+def test_many_rules_are_joined(spark):
     urls = ["http://a.example.net/en/1", "http://example.com/de/", "https://x.org/fr/2", "http://x.org/de", None, "http://A.NET/", "http://example.net/en/1"] * 2
     df = spark.createDataFrame([(u, "clash") for u in urls], "url string, host string")
     rules = [*url_filter.RULES, ("x.org", "/f", "block"), ("a.example.net", "/", "allow")]
     short = url_filter.with_rule(df, rules).collect()
-    monkeypatch.setattr(url_filter, "IN_EXPRESSION", 0)
-    assert sorted(map(str, url_filter.with_rule(df, rules).collect())) == sorted(map(str, short)) and len(short) == len(urls)
+    assert sorted(map(str, url_filter.with_rule(df, rules, in_expression=0).collect())) == sorted(map(str, short)) and len(short) == len(urls)
 
 
 @pytest.mark.parametrize("url", [None, "", "no scheme", "http://", "HTTP://A.NET", "http://A.NET/", "x://y?z://w/", "http://net.org/fr/x", "http://u.example.net/en/#a"])

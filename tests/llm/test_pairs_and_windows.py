@@ -212,6 +212,21 @@ def brute_signatures(text):
             content.append(x)
             spots.append("".join(a + spotsigs.MARK for a in run))
             run = []
+    # words stand for anchors where these are rare
+    ends_in_anchor = bool(content) and bool(run)
+    if len(content) > 1 and not ends_in_anchor and not any(s.strip(spotsigs.MARK + "^") for s in spots):
+        spots = [s or "^" + spotsigs.MARK for s in spots[:-1]] + spots[-1:]
+    else:
+        bare = [not s for s in spots]
+        i = 0
+        while i < len(content):
+            j = i
+            while j < len(content) and bare[j]:
+                j += 1
+            for k in range(i, j) if j - i >= spotsigs.RUN else ():
+                if k < len(content) - 1 or ends_in_anchor:
+                    spots[k] = "^" + spotsigs.MARK
+            i = max(j, i + 1)
     for i, (s, c) in enumerate(zip(spots, content)):
         if s:
             out.add(" ".join([s + c, *content[i + 1 : i + spotsigs.CHAIN]]))
@@ -253,6 +268,12 @@ def test_query_op4(spark, duck):
     for (i, t), (_, following) in zip(rows, rows[1:] + rows[:1]):
         half = len(t) // 2
         assert got[i]["edited_sha256"] == hashlib.sha256((t[: len(t) - half] + following[:half]).encode()).hexdigest() and got[i]["n_chars"] == len(t)
+    jaccard = lambda a, b: len(a & b) / len(a | b) if a or b else 1.0
+    for (i, t), (_, following) in zip(rows, rows[1:] + rows[:1]):
+        half = len(t) // 2
+        mine = brute_signatures(t)
+        assert got[i]["near_edited"] == pytest.approx(jaccard(mine, brute_signatures(t[: len(t) - half] + following[:half])))
+        assert got[i]["near_next"] == pytest.approx(jaccard(mine, brute_signatures(following)))
     by_text = {}
     for i, t in rows:
         by_text.setdefault(t, set()).add(got[i]["fingerprint"])
@@ -270,11 +291,49 @@ def test_next_rows_across_ranges(spark, monkeypatch):
     assert spotsigs.with_next(df.limit(1), "doc_id", ["doc_id", "text"]).filter("NOT __halo").first()["next_text"] == "t0"
 
 
-def test_spot_pairs(spark):
-    members, pairs = spotsigs.near_pairs(documents(spark), threshold=0.5)
-    rep = {r["doc_id"]: r["rep"] for r in members.collect()}
-    assert rep[101] == 100 and len(rep) == len({r["doc_id"] for r in documents(spark).collect()} - {None})
-    sets = {r["doc_id"]: set(r["s"]) for r in spotsigs.with_signatures(documents(spark), "text", "s").collect()}
-    reps = sorted(set(rep.values()))
-    want = {(min(a, b, key=lambda k: (len(sets[k]), k)), max(a, b, key=lambda k: (len(sets[k]), k))) for i, a in enumerate(reps) for b in reps[:i] if sets[a] and sets[b] and len(sets[a] & sets[b]) >= 0.5 * len(sets[a] | sets[b])}
-    assert {(r["a"], r["b"]) for r in pairs.collect()} == want
+def spot_classes(rows, threshold):
+    """doc_id -> (class, copy, links, text links) from all pairs of signature sets."""
+    n = len(rows)
+    sets = [brute_signatures(t) for _, t in rows]
+    alike = lambda a, b: (sets[a] == sets[b]) if sets[a] or sets[b] else (rows[a][1] or "") == (rows[b][1] or "")
+    near = lambda a, b: alike(a, b) or (sets[a] and sets[b] and len(sets[a] & sets[b]) >= threshold * len(sets[a] | sets[b]) - 1e-9)
+    root = list(range(n))
+
+    def top(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    links = [[b for b in range(n) if b != a and near(a, b)] for a in range(n)]
+    for a in range(n):
+        for b in links[a]:
+            x, y = top(a), top(b)
+            root[max(x, y)] = min(x, y)
+    least = {}
+    for i in range(n):
+        least[top(i)] = min(least.get(top(i), rows[i][0]), rows[i][0])
+    texts = lambda a: len({frozenset(sets[b]) for b in links[a] if not alike(a, b)})
+    return sorted((rows[i][0], least[top(i)], min(rows[b][0] for b in range(n) if alike(i, b)), len(links[i]), texts(i)) for i in range(n))
+
+
+@pytest.mark.parametrize("block", [512, 9])
+def test_spot_classes_against_all_pairs(spark, monkeypatch, block):
+    monkeypatch.setattr(spotsigs, "COMMON", 5)
+    rng = random.Random(6)
+    base, extra = words(rng, 90).split(), []
+    for i in range(40):  # near copies, some near each other only by way of others
+        w = list(base)
+        for _ in range(rng.randint(1, 4)):
+            w[rng.randrange(90)] = words(rng, 1) + "x"
+        extra.append((300 + i, " ".join(w) + " the same end of it", "en"))
+    docs = documents(spark, extra)
+    rows = [(r["doc_id"], r["text"]) for r in docs.collect() if r["doc_id"] is not None]
+    got = spotsigs.near_classes(docs, threshold=0.6, block=block).collect()
+    assert sorted(tuple(r) for r in got) == spot_classes(rows, 0.6)
+    assert max(r["n_text_links"] for r in got) > 20
+
+
+def test_query_spotsigs_classes(spark, duck):
+    rows = duck.sql("SELECT doc_id, text FROM documents").fetchall()
+    assert sorted(tuple(r) for r in spotsigs.spotsigs_classes(spark, SF).collect()) == spot_classes(rows, spotsigs.THRESHOLD)
+    assert spotsigs.near_classes(documents(spark).limit(0)).count() == 0

@@ -129,6 +129,10 @@ def test_query_op8(spark, duck):
     assert got == lengths
 
 
+def test_query_character_limits(spark, duck):
+    same(token_counts.character_limits(spark, SF), duck.sql(token_counts.ORACLE["character_limits"]))
+
+
 def test_query_op3(spark, duck):
     same(chat_format.op3_chat_parts(spark, SF), duck.sql(chat_format.ORACLE["op3_chat_parts"]))
 
