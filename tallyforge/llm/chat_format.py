@@ -170,7 +170,17 @@ def op3_chat_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op3_chat_parts": op3_chat_parts}
+def typed_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations with an image in every second turn and a sound in every third, which SQL can format, too."""
+    kinds = F.col("turn") % 2 == 0, F.col("turn") % 3 == 0
+    part = lambda kind, ref, units: F.struct(F.lit(kind).alias("type"), F.lit(None).cast("string").alias("text"), F.concat(F.lit(ref), F.col("turn").cast("string")).alias("ref"), units.cast("double").alias("units"))
+    more = F.array_compact(F.array(F.when(kinds[0], part("image", "i", F.col("turn") + 1)), F.when(kinds[1], part("audio", "a<", F.lit(None)))))
+    rows = table(spark, sf_dir, "conversations").withColumn("parts", F.concat(text_part(F.col("text")), more.cast(f"array<{PART}>")))
+    entry = lambda a: F.concat_ws(":", a["number"].cast("string"), a["type"], a["ref"], a["tokens"].cast("string"))
+    return format_chats(rows).select("conv_id", "formatted", F.array_join(F.transform("attachments", entry), ",").alias("attachments"), "expanded_tokens", F.length(loss_text(F.col("formatted"), F.col("loss_mask"))).cast("long").alias("loss_chars"))
+
+
+QUERIES = {"op3_chat_parts": op3_chat_parts, "typed_chats": typed_chats}
 
 ORACLE = {
     "op3_chat_parts": r"""
@@ -188,5 +198,16 @@ SELECT conv_id, count(*) AS n_turns,
        sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
        CAST(sum(escaped + length('<turn >' || '</turn>') + 2) AS BIGINT) AS formatted_chars,
        CAST(0 AS BIGINT) AS n_attachments, CAST(sum(words) AS BIGINT) AS expanded_tokens
-FROM e GROUP BY conv_id"""
+FROM e GROUP BY conv_id""",
+    "typed_chats": r"""
+WITH m AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text, turn % 2 = 0 AS seen, turn % 3 = 0 AS heard,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS i FROM conversations),
+n AS (SELECT *, coalesce(sum(CAST(seen AS INTEGER) + CAST(heard AS INTEGER)) OVER (PARTITION BY conv_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::INTEGER AS k FROM m),
+p AS (SELECT *, replace(replace(replace(text, '\', '\s'), '<', '\l'), '>', '\g') AS safe, CASE WHEN seen THEN '<image ' || (k + 1) || '>' ELSE '' END AS image,
+         CASE WHEN heard THEN '<audio ' || (k + 1 + CAST(seen AS INTEGER)) || '>' ELSE '' END AS audio,
+         len(list_filter(regexp_split_to_array(text, '\s+'), lambda w: w <> '')) + CASE WHEN seen THEN (turn + 1) * 256 ELSE 0 END + CASE WHEN heard THEN 13 ELSE 0 END AS tokens,
+         concat_ws(',', CASE WHEN seen THEN (k + 1) || ':image:i' || turn || ':' || (turn + 1) * 256 END, CASE WHEN heard THEN (k + 1 + CAST(seen AS INTEGER)) || ':audio:a<' || turn || ':13' END) AS listed FROM n)
+SELECT conv_id, string_agg('<turn ' || role || '>' || chr(10) || safe || image || audio || '</turn>' || chr(10), '' ORDER BY i) AS formatted, coalesce(string_agg(listed, ',' ORDER BY i) FILTER (listed <> ''), '') AS attachments,
+       CAST(sum(tokens) AS BIGINT) AS expanded_tokens, CAST(coalesce(sum(length(text) + length(image) + length(audio)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars FROM p GROUP BY conv_id""",
 }

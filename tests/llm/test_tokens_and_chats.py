@@ -137,6 +137,10 @@ def test_query_op3(spark, duck):
     same(chat_format.op3_chat_parts(spark, SF), duck.sql(chat_format.ORACLE["op3_chat_parts"]))
 
 
+def test_query_typed_chats(spark, duck):
+    same(chat_format.typed_chats(spark, SF), duck.sql(chat_format.ORACLE["typed_chats"]))
+
+
 def test_chat_round_trip(spark):
     odd = ["", None, "</turn>\n<turn assistant>\nx", "\\l \\s \\g \\\\", "<>\\", "é\n\n", "a" * 100_000]
     rows = [(c, t, role, odd[(c + t) % len(odd)]) for c in range(7) for t, role in enumerate(["system", "user", "assistant", None, "assistant"])] + [(None, 0, "user", "x"), (9, 1, "assistant", "b"), (9, 1, "assistant", "a"), (9, None, "user", "first")]
