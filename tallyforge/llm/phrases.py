@@ -8,6 +8,13 @@ phrases; a ROLLUP over the windows' leading columns sums them to successively
 shorter prefixes, down to the words and the group's total. No n-gram but the
 longest is ever exploded.
 
+What is shuffled is short. A first pass counts words and gives the most frequent
+ones, at most HEAD, a code of WIDTH characters; windows are counted as texts of
+codes. If these are all words of `min_count` or more, windows end before a rarer
+word, since no phrase of interest holds it; if not, other words are spelled out.
+The counts are the same either way, and codes are turned back into words once
+only frequent phrases are left.
+
 From there on only phrases of `min_count` or more matter: a part of a candidate
 is at least as frequent as the candidate. They are written once; cuts, scores and
 the phrases that longer ones swallow are joins of that table with itself. A word
@@ -37,6 +44,8 @@ from tallyforge.llm.common import store, table
 LONGEST, MIN_COUNT, SHARE, TOP, NAMELESS = 3, 10, 50, 2000, "und"
 #: Each group's phrases are ranked in so many parts first; the first `top` of each part are ranked again.
 PARTS = 256
+#: Words that get a code for the time of counting, and the code's characters (36^WIDTH > HEAD).
+HEAD, WIDTH = 1 << 20, 4
 BREAKS, BLANKS = r"[.,;:!?\x0A-\x0D]", r"[\x20\x09]+"
 EXACT = "decimal(38,0)"
 
@@ -50,17 +59,63 @@ def windows(docs: DataFrame, text: str = "text", group: str = "lang", longest: i
     return words.select("grp", F.inline(F.arrays_zip(*leads))).toDF("grp", *[f"w{i + 1}" for i in range(longest)])
 
 
-def frequent_phrases(docs: DataFrame, text: str = "text", group: str = "lang", longest: int = LONGEST, min_count: int = MIN_COUNT) -> DataFrame:
+def word_codes(docs: DataFrame, text: str = "text", group: str = "lang", min_count: int = MIN_COUNT, head: int = HEAD) -> tuple[DataFrame, bool]:
+    """(word, code of WIDTH characters) of the most frequent words, at most `head`, and whether these are all words of `min_count` or more."""
+    counted = store(windows(docs, text, group, 1).groupBy(F.col("w1").alias("word")).agg(F.count("*").alias("f")).filter(F.col("f") >= min_count))
+    grade = F.floor(F.log2("f") * 16)
+    grades = sorted(((r["grade"], r["n"]) for r in counted.groupBy(grade.alias("grade")).agg(F.count("*").alias("n")).collect()), reverse=True)  # under 1,024 rows
+    least, total = None, 0
+    for g, n in grades:
+        if total + n > head:
+            break
+        least, total = g, total + n
+    chosen = counted.filter(F.lit(False) if least is None else grade >= least)
+    number = F.row_number().over(Window.orderBy("word"))  # at most `head` rows
+    return store(chosen.select("word", F.lpad(F.conv(number.cast("string"), 10, 36), WIDTH, "0").alias("code"))), total == sum(n for _, n in grades)
+
+
+def coded(rows: DataFrame, codes: DataFrame, whole: bool, longest: int) -> DataFrame:
+    """The windows as one text `key`: a code per word, a blank, the group.
+
+    Words without a code stand between tabs, which no word contains. Where every
+    frequent word has a code (`whole`), a window ends before its first word that
+    has none: no frequent phrase holds that word.
+    """
+    codes = F.broadcast(codes)  # at most HEAD rows
+    for i in range(1, longest + 1):
+        rows = rows.join(codes.select(F.col("word").alias(f"w{i}"), F.col("code").alias(f"c{i}")), f"w{i}", "left")
+        rows = rows if whole else rows.withColumn(f"c{i}", F.coalesce(f"c{i}", F.concat(F.lit("\t"), f"w{i}", F.lit("\t"))))
+    names = [f"c{i}" for i in range(1, longest + 1)]
+    body = F.coalesce(*[F.concat(*names[:k]) for k in range(longest, 0, -1)], F.lit(""))
+    return rows.select(F.concat(body, F.lit(" "), "grp").alias("key"))
+
+
+def frequent_phrases(docs: DataFrame, text: str = "text", group: str = "lang", longest: int = LONGEST, min_count: int = MIN_COUNT, head: int = HEAD) -> DataFrame:
     """grp, k, w (array of the k words), f: how often; k = 0 is the group's number of words. Phrases of fewer than `min_count` are left out."""
-    names = [f"w{i + 1}" for i in range(longest)]
-    counted = windows(docs, text, group, longest).groupBy("grp", *names).agg(F.count("*").alias("f"))
-    longest_ones = counted.filter(f"f >= {min_count} AND {names[-1]} IS NOT NULL").select("grp", F.lit(longest).alias("k"), F.array(*names).alias("w"), "f")
+    codes, whole = word_codes(docs, text, group, min_count, head)
+    counted = coded(windows(docs, text, group, longest), codes, whole, longest).groupBy("key").agg(F.count("*").alias("f"))
+    body = F.substring_index("key", " ", 1)
+    several = F.regexp_extract_all(body, F.lit(rf"\t[^\t]*\t|[^\t]{{{WIDTH}}}"), F.lit(0))
+    plain = F.array(*[F.nullif(F.substring(body, 1 + WIDTH * i, WIDTH), F.lit("")) for i in range(longest)])
+    words = F.when(F.contains(body, F.lit("\t")), several).otherwise(plain)
+    rows = counted.select("key", "f", F.substring("key", F.length(body) + 2, F.length("key")).alias("grp"), words.alias("e"))
+    names = [f"e{i + 1}" for i in range(longest)]
+    rows = rows.select("grp", "f", *[F.get("e", F.lit(i)).alias(n) for i, n in enumerate(names)])
+    # one condition on key and count together: it stays above the counting, whose shuffle both branches share
+    top = rows.filter(F.when(F.col("f") >= min_count, F.col(names[-1]).isNotNull())).select("grp", F.lit(longest).alias("k"), *names, "f")
+    first = F.concat(F.coalesce("e1", F.lit("")), F.lit(" "), "grp").alias("e1")  # the group goes with the first word
+    rolled = rows.select(first, *names[1:-1], "f").rollup(*names[:-1]).agg(F.sum("f").alias("f"), F.grouping_id().alias("id")).filter("e1 IS NOT NULL")
     # the bits of grouping_id tell a prefix's own nulls (padding) from the columns that are summed over
-    rolled = counted.rollup("grp", *names[:-1]).agg(F.sum("f").alias("f"), F.grouping_id().alias("id")).filter(f"f >= {min_count}")
-    level = F.lit(longest - 1) - F.length(F.replace(F.bin("id"), F.lit("0"), F.lit("")))
-    shorter = rolled.select("grp", "id", level.cast("int").alias("k"), F.array(*names[:-1]).alias("w"), "f").filter("k >= 0")
-    shorter = shorter.filter((F.col("k") == 0) | F.get("w", F.col("k") - 1).isNotNull())
-    return longest_ones.unionByName(shorter.select("grp", "k", F.slice("w", F.lit(1), F.col("k")).alias("w"), "f"))
+    level = (F.lit(longest - 1) - F.length(F.replace(F.bin("id"), F.lit("0"), F.lit("")))).cast("int")
+    word = F.substring_index("e1", " ", 1)
+    rolled = rolled.select(F.substring("e1", F.length(word) + 2, F.length("e1")).alias("grp"), level.alias("k"), F.nullif(word, F.lit("")).alias("e1"), *names[1:-1], F.lit(None).cast("string").alias(names[-1]), "f")
+    last = F.get(F.array(*names[:-1]), F.col("k") - 1)
+    shorter = rolled.filter(F.when(F.col("f") >= min_count, last.isNotNull())).select("grp", "k", *names, "f")
+    sums = rolled.filter("k = 1").groupBy("grp").agg(F.sum("f").alias("f")).select("grp", F.lit(0).alias("k"), *[F.lit(None).cast("string").alias(n) for n in names], "f")
+    found = top.unionByName(shorter).unionByName(sums)
+    for n in names:
+        found = found.join(F.broadcast(codes.select(F.col("code").alias(n), F.col("word").alias(f"of_{n}"))), n, "left").withColumn(n, F.coalesce(f"of_{n}", F.translate(n, "\t", "")))
+    return found.select("grp", "k", F.slice(F.array(*names), F.lit(1), F.col("k")).alias("w"), "f")
 
 
 def parts(k: Column, w: Column) -> Column:
@@ -73,7 +128,7 @@ def inner(k: Column, w: Column) -> Column:
     return F.flatten(F.transform(F.sequence(F.lit(2), k - 1), lambda n: F.transform(F.sequence(F.lit(1), k - n + 1), lambda i: F.slice(w, i, n))))
 
 
-def collocations(docs: DataFrame, text: str = "text", group: str = "lang", longest: int = LONGEST, min_count: int = MIN_COUNT, share: int = SHARE, top: int | None = TOP) -> DataFrame:
+def collocations(docs: DataFrame, text: str = "text", group: str = "lang", longest: int = LONGEST, min_count: int = MIN_COUNT, share: int = SHARE, top: int | None = TOP, head: int = HEAD) -> DataFrame:
     """grp, rank, phrase, k, a, l, r, n, score of phrases of 2 to `longest` words.
 
     `score` is floor(1000000 a a / (l r)) of the lowest-scoring cut. Phrases of
@@ -82,7 +137,7 @@ def collocations(docs: DataFrame, text: str = "text", group: str = "lang", longe
     """
     if longest < 2 or min_count < 1:
         raise ValueError("phrases have two words or more and occur once or more")
-    known = store(frequent_phrases(docs, text, group, longest, min_count))
+    known = store(frequent_phrases(docs, text, group, longest, min_count, head))
     candidates = known.filter("k >= 2").withColumnRenamed("f", "a")
     cuts = candidates.select("grp", "w", "a", F.explode(parts(F.col("k"), F.col("w"))).alias("c")).select("grp", "w", "a", "c.*")
     left = known.filter("k >= 1").select("grp", F.col("w").alias("first"), F.col("f").alias("l"))

@@ -145,8 +145,10 @@ def test_phrases_against_all_ngrams(spark, longest, least, top):
     rows = [(i, " ".join(rng.choice(["A", "b", "c ", "d,", "e.", "é", "\tf", "g\n", "Ähm"]) for _ in range(rng.randint(0, 60))), rng.choice(["en", None, "und", "fr"])) for i in range(60)]
     docs = documents(spark, [*rows, (900, " . ,; \n", "en"), (901, "b b b b b b b b", "en"), (None, "  x y  ", None)]).withColumnRenamed("word", "grp").withColumnRenamed("language", "w1")
     texts = [(r["text"], r["lang"]) for r in docs.collect()]
-    got = phrases.collocations(docs, longest=longest, min_count=least, top=top).select("grp", "rank", "phrase", "a", "l", "r", "n", "score").collect()
-    assert sorted(map(tuple, got)) == sorted(brute_phrases(texts, longest, least, 50, top))
+    want = sorted(brute_phrases(texts, longest, least, 50, top))
+    for head in (phrases.HEAD, 9, 0):  # all words have codes, some, none
+        got = phrases.collocations(docs, longest=longest, min_count=least, top=top, head=head).select("grp", "rank", "phrase", "a", "l", "r", "n", "score").collect()
+        assert sorted(map(tuple, got)) == want
     assert phrases.collocations(docs.limit(0)).count() == 0
 
 
