@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyforge.functions.predicates import is_true
+from tallyforge.functions.predicates import is_true, sorted_by
 from tallyforge.operators.runs import rollup
 from tallyforge.sources.envelopes import agent_figures, flatten, nest
 
@@ -129,3 +129,48 @@ def upsert_tasks(existing: DataFrame, incoming: DataFrame, fields: list[str]) ->
     both = existing.withColumn("__new", F.lit(0)).unionByName(incoming.withColumn("__new", F.lit(1)))
     pick = lambda f: F.coalesce(F.max(F.when(F.col("__new") == 1, F.col(f))), F.max(F.when(F.col("__new") == 0, F.col(f))))
     return both.groupBy("task_id").agg(F.sum("total_cost").alias("total_cost"), F.max("total_duration").alias("total_duration"), F.min("dispatched_at").alias("dispatched_at"), F.max("completed_at").alias("completed_at"), *[pick(f).alias(f) for f in fields])
+
+
+def merge_results(rows: DataFrame, keys: list[str], order: Column, pairs: bool = False) -> DataFrame:
+    """Envelopes of the same keys as one, as if each were stored after the one before, in the order of `order`; adds n_rows.
+
+    An agent's passes are those of the last row that has the agent. Costs add up;
+    the longest duration, first start and last end (as texts) stay; agents and the
+    failed ones' first errors are counted anew; fields of package and config keep
+    their last value that is not null; all else is the first row's. A single row
+    stays as it is. `pairs` says that no more than two rows, of orders 0 and 1,
+    share their keys: then nothing is exploded, and rows that lie together by some
+    of the keys are not shuffled again.
+    """
+    first = lambda c: F.min_by(c, order)
+    alone = F.count("*") == 1
+    kept = lambda c, merged: F.when(alone, first(c)).otherwise(merged).alias(c)
+
+    def last_fields(s: str) -> Column:
+        each = [F.max_by(F.col(f"{s}.{f.name}"), F.when(F.col(f"{s}.{f.name}").isNotNull(), order)).alias(f.name) for f in rows.schema[s].dataType.fields]
+        return F.when(F.count(s) > 0, F.struct(*each))
+
+    stamp = lambda c, pick: F.coalesce(pick(F.nullif(F.col(c), F.lit(""))), F.max_by(c, order))
+    zero = lambda c: F.coalesce(F.col(c), F.lit(0.0))
+    merged = {
+        "total_cost_usd": F.sum(zero("total_cost_usd")),
+        "total_duration_sec": F.max(zero("total_duration_sec")),
+        "dispatched_at": stamp("dispatched_at", F.min),
+        "completed_at": stamp("completed_at", F.max),
+        **{s: last_fields(s) for s in ("package", "config")},
+    }
+    taken = {*keys, *merged, "agent_results"}
+    aggregates = [kept(c, m) for c, m in merged.items()] + [first(c).alias(c) for c in rows.columns if c not in taken]
+    sides = [F.first(F.when(order == i, F.struct("agent_results")), ignorenulls=True).alias(f"__side{i}") for i in (0, 1)] if pairs else [first("agent_results").alias("agent_results")]
+    out = rows.groupBy(*keys).agg(F.count("*").alias("n_rows"), *aggregates, *sides)
+    if pairs:
+        empty = F.map_filter(F.coalesce("__side0.agent_results", "__side1.agent_results"), lambda k, v: F.lit(False))
+        left, right = (F.coalesce(f"__side{i}.agent_results", empty) for i in (0, 1))
+        both = F.map_zip_with(left, right, lambda _, x, y: F.coalesce(y, x))
+        out = out.withColumn("agent_results", F.when(F.col("n_rows") == 1, F.coalesce("__side0.agent_results", "__side1.agent_results")).otherwise(both)).drop("__side0", "__side1")
+    else:
+        agents = rows.select(*keys, order.alias("__order"), F.explode("agent_results").alias("__agent", "__runs"))
+        last = agents.groupBy(*keys, "__agent").agg(F.max_by("__runs", "__order").alias("__runs"))
+        maps = last.groupBy(*keys).agg(F.map_from_entries(sorted_by(F.collect_list(F.struct("__agent", "__runs")), "__agent")).alias("__map"))
+        out = out.join(maps, keys, "left").withColumn("agent_results", F.when(F.col("n_rows") == 1, F.col("agent_results")).otherwise(F.coalesce("__map", "agent_results"))).drop("__map")
+    return out.withColumns({c: F.when(F.col("n_rows") == 1, F.col(c)).otherwise(v) for c, v in agent_figures(first_error=True).items()})

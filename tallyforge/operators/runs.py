@@ -18,6 +18,14 @@ def best_passes(passes: DataFrame, extra_order: tuple[str, ...] = ()) -> DataFra
     return passes.withColumn("__rank", F.row_number().over(order)).filter("__rank = 1").drop("__rank")
 
 
+def best_of(runs: Column) -> Column:
+    """Of an agent's list of passes the longest clean success, else the longest pass; ties go to the first."""
+    clean = F.filter(runs, lambda p: is_clean_success(p["completed"], p["error"]))
+    pool = F.when(F.size(clean) > 0, clean).otherwise(runs)
+    most = F.array_max(F.transform(pool, lambda p: F.coalesce(p["response_length"], F.lit(0))))
+    return F.get(F.filter(pool, lambda p: F.coalesce(p["response_length"], F.lit(0)) == most), F.lit(0))
+
+
 def best_passes_by_text(passes: DataFrame) -> DataFrame:
     """Per task and agent: the clean success of the longest text, else the first pass."""
     clean = is_clean_success()

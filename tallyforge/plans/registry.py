@@ -22,4 +22,4 @@ def query(sql: str | None = None):
     return register
 
 
-from tallyforge.plans import queries_corpus, queries_files, queries_intake, queries_runs  # noqa: E402, F401
+from tallyforge.plans import queries_corpus, queries_files, queries_intake, queries_runs, queries_store  # noqa: E402, F401

@@ -103,14 +103,14 @@ def with_matching_model(envelopes: DataFrame, pattern: str, mode: str = "contain
     return envelopes.withColumn("agent_results", kept).filter(F.size("agent_results") > 0)
 
 
-def agent_figures() -> dict[str, Column]:
-    """Agents that were tried, succeeded and failed, and the failed ones' last errors, from agent_results."""
+def agent_figures(first_error: bool = False) -> dict[str, Column]:
+    """Agents that were tried, succeeded and failed, and the failed ones' last (or first) errors, from agent_results."""
     agents = F.array_sort(F.map_keys("agent_results"))
     done = lambda a: F.exists(F.col("agent_results")[a], lambda p: is_true(p["completed"]))
     errors = lambda a: F.filter(F.transform(F.col("agent_results")[a], lambda p: p["error"]), lambda e: F.coalesce(e, F.lit("")) != "")
     failed = F.filter(agents, lambda a: ~done(a))
     named = F.filter(failed, lambda a: F.size(errors(a)) > 0)
-    last = F.map_from_arrays(named, F.transform(named, lambda a: F.element_at(errors(a), -1)))
+    last = F.map_from_arrays(named, F.transform(named, lambda a: F.element_at(errors(a), 1 if first_error else -1)))
     return {"agents_attempted": agents, "agents_succeeded": F.filter(agents, done), "agents_failed": failed, "agent_errors": last}
 
 

@@ -2,18 +2,19 @@
 
 event_counts   tumbling or sliding windows with late data, by watermark
 stale_keys     keys whose state has not changed for a time, by state with timers
-upsert_stream  envelopes that arrive in a folder, merged into a table batch by batch
+store_stream   envelopes that arrive in a folder, merged into a results store batch by batch
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from tallyforge.sources.envelopes import parse_envelopes
+from tallyforge.sources.result_store import ResultStore
+
 
 def event_counts(events: DataFrame, ts: str = "ts", by: str = "event_type", window: str = "1 hour", slide: str | None = None, late: str = "10 minutes") -> DataFrame:
     """Number and sum of values per window; works on a batch table as well."""
@@ -43,6 +44,21 @@ def stale_keys(events: DataFrame, key: str, state_column: str, ts: str, seconds:
     return events.withWatermark(ts, late).groupBy(key).applyInPandasWithState(follow, "key string, state string, since_ms long, last_ms long", "state string, since long, last long", "append", GroupStateTimeout.EventTimeTimeout)
 
 
-def upsert_stream(arriving: DataFrame, merge: Callable[[DataFrame, int], None], checkpoint: str):
-    """Starts a query that hands each batch of envelopes to `merge` once and stops when all is read."""
-    return arriving.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+def store_stream(spark: SparkSession, folder: str, store: ResultStore, checkpoint: str, name: str = "intake", lines: bool = False, glob: str = "*", per_trigger: int = 1_000, order: tuple[str, ...] = ("file_name",)):
+    """Starts a query that upserts the JSON envelopes arriving in `folder` and stops when all is read.
+
+    A file holds an object or an array of them, or one in each line. The store
+    notes the number of each batch under `name` in the same manifest that publishes
+    the batch, so a batch that is replayed after a failure changes nothing.
+    """
+    reader = spark.readStream.option("pathGlobFilter", glob).option("recursiveFileLookup", True).option("maxFilesPerTrigger", per_trigger)
+    if lines:
+        rows = reader.text(folder).select("value", F.col("_metadata.file_name").alias("file_name"))
+    else:  # a stream of texts is read by lines whatever its options say
+        files = reader.format("binaryFile").schema("path string, modificationTime timestamp, length long, content binary").load(folder)
+        rows = files.select(F.col("content").cast("string").alias("value"), F.element_at(F.split("path", "/"), -1).alias("file_name"))
+
+    def merge(batch: DataFrame, number: int) -> None:
+        store.upsert(parse_envelopes(batch), order=order, batch=(name, number))
+
+    return rows.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
