@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyforge.functions import text as text_functions
 from tallyforge.functions.predicates import col
+from tallyforge.operators.substrings import containing, occurrences
 
 # Words of a page's start that mark sections to drop or keep.
 DROP_WORDS = ("secretarial audit", "form no. mr-", "annexure-a", "board of directors\nthe following", "corporate governance report", "certificate on corporate governance", "csr committee", "annual report on csr", "related party transactions", "dividend distribution policy")
@@ -42,6 +43,56 @@ def search(documents: DataFrame, query: str, limit: int = 5, text: str = "text_c
     return scored.orderBy(F.desc("__score"), name).limit(limit).withColumn("relevance_score", F.round("__score", 3)).drop("__score")
 
 
+def search_many(documents: DataFrame, queries: DataFrame, limit: int = 5, text: str = "text_content", name: str = "filename", key: str = "query_id", query: str = "query") -> DataFrame:
+    """`search` for a table of queries: per query its best documents with rank, relevance_score, match_count and snippet.
+
+    No query meets a document. A term lies inside a word, so the corpus is
+    counted once by word and document, the distinct words that hold a term are
+    found by grams of three characters, and their counts are summed by term and
+    document. Texts are read again for the few rows that stay.
+    """
+    asked = queries.select(F.col(key).alias("__query"), F.filter(F.split(F.coalesce(F.lower(query), F.lit("")), r"(?U)\W+"), lambda t: F.length(t) > 2).alias("__terms"))
+    wanted = asked.select("__query", F.size("__terms").alias("__size"), F.posexplode("__terms").alias("__at", "term"))
+    each = wanted.groupBy("__query", "__size", "term").agg(F.count("*").alias("__weight"))
+    terms = each.select("term").distinct()
+    # no term holds one of these characters
+    low = F.lower(F.coalesce(F.col(text), F.lit("")))
+    words = documents.select(F.col(name).alias("__doc"), F.explode(F.split(low, r"[\x00-\x2F\x3A-\x40\x5B-\x5E\x60\x7B-\x7F]+")).alias("word")).filter(F.length("word") > 2)
+    counted = words.groupBy("word", "__doc").agg(F.count("*").alias("n"))
+    holding = containing(counted.select("word").distinct(), "word", terms, "term").withColumn("times", occurrences(F.col("word"), F.col("term")))
+    found = counted.join(holding, "word").groupBy("term", "__doc").agg(F.sum(F.col("n") * F.col("times")).alias("hits"))
+    scored = found.join(each, "term").groupBy("__query", "__size", "__doc").agg(F.sum("__weight").alias("terms_found"), F.sum(F.col("hits") * F.col("__weight")).alias("match_count"))
+    scored = scored.withColumn("__score", F.col("terms_found") / F.col("__size") * (1 + F.log(1 + F.col("match_count"))))
+    order = Window.partitionBy("__query").orderBy(F.desc("__score"), "__doc")
+    best = scored.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= limit).join(asked, "__query")
+    texts = documents.select(F.col(name).alias("__doc"), F.col(text).alias("__text"))
+    best = texts.join(best, "__doc").withColumn("__low", F.lower("__text"))
+    first = F.get(F.filter("__terms", lambda t: F.contains(F.col("__low"), t)), F.lit(0))
+    best = best.withColumn("__first", first).withColumn("__at", F.expr("locate(__first, __low)"))
+    start = F.greatest(F.col("__at") - 1 - 100, F.lit(0))
+    snippet = F.substring(F.trim(F.substring("__text", start + 1, F.col("__at") - 1 + F.length("__first") + 100 - start)), 1, 300)
+    return best.select(F.col("__query").alias(key), "rank", F.col("__doc").alias(name), F.round("__score", 3).alias("relevance_score"), "match_count", snippet.alias("snippet"))
+
+
+def audit_citations(citations: DataFrame, files: DataFrame, task: str = "task_id", citation: str = "citation", title: str = "title", url: str = "url", name: str = "filename") -> DataFrame:
+    """Per task: citations in all and those that name none of the task's own files but have a url, with their urls in order; ratio and compliant.
+
+    A citation names a file whose name is part of its title or url, in any case.
+    Names meet the citations of their task by grams, so a task of many files and
+    citations is many keys.
+    """
+    low = lambda c: F.lower(F.coalesce(F.col(c), F.lit("")))
+    names = files.select(F.col(task), F.lower(name).alias("__name")).filter("__name IS NOT NULL").distinct()
+    texts = citations.select(F.col(task), F.col(citation), F.explode(F.array_distinct(F.array(low(title), low(url)))).alias("__text"))
+    named = containing(texts, "__text", names, "__name", (task,)).select(task, citation).distinct()
+    empty = names.filter("__name = ''").select(task)  # a part of every text
+    named = named.withColumn("__named", F.lit(True))
+    rows = citations.join(named, [task, citation], "left").join(empty.withColumn("__any", F.lit(True)), task, "left")
+    external = ~F.coalesce("__named", "__any", F.lit(False)) & (F.coalesce(F.col(url), F.lit("")) != "")
+    out = rows.groupBy(task).agg(F.count("*").alias("total"), F.count_if(external).alias("external"), F.transform(F.array_sort(F.collect_list(F.when(external, F.struct(F.col(citation).alias("c"), F.col(url).alias("u"))))), lambda x: x["u"]).alias("external_urls"))
+    return out.withColumn("ratio", text_functions.compliance(F.col("total"), F.col("external"))).withColumn("compliant", F.col("external") == 0)
+
+
 def list_documents(documents: DataFrame) -> DataFrame:
     return documents.select("doc_id", "filename", "extension", "mime_type", "size_bytes", "num_tokens_est", "extractable").orderBy("filename")
 

@@ -8,10 +8,6 @@ from pyspark.sql import functions as F
 from tallyforge.functions.predicates import any_completed, is_clean_success, is_strict_success, is_true, status
 
 
-#: Prices that one expression tests in their order.
-MOST_PRICES = 1_000
-
-
 def best_passes(passes: DataFrame, extra_order: tuple[str, ...] = ()) -> DataFrame:
     """Per task and agent: the longest clean success, else the longest pass; ties go to the first."""
     order = Window.partitionBy("task_id", "agent").orderBy(is_clean_success().desc(), F.coalesce("response_length", F.lit(0)).desc(), "pass_idx", *extra_order)
@@ -103,20 +99,36 @@ def with_status(passes: DataFrame) -> DataFrame:
     return passes.withColumn("status", status())
 
 
+def price_of_models(models: DataFrame, prices: DataFrame, match: str = "exact") -> DataFrame:
+    """model and the price of least ord that fits it, for every model that has one; models are distinct.
+
+    All three ways of matching are equi-joins: on the model, on the prefixes of
+    the models, or, for the other direction, on the prefixes of the keys.
+    """
+    listed = prices.groupBy("key").agg(F.min_by(F.struct("ord", "key", "input_rate", "output_rate"), "ord").alias("__price"))
+    prefixes = lambda c: F.explode(F.transform(F.sequence(F.lit(0), F.length(c)), lambda n: F.substring(c, F.lit(1), n)))
+    if match == "exact":
+        found = models.join(listed, models["model"] == listed["key"])
+    else:
+        found = models.select("model", prefixes("model").alias("__prefix")).join(listed, F.col("__prefix") == F.col("key")).select("model", "__price")
+    if match == "either":
+        back = listed.select("__price", prefixes("key").alias("model")).join(models, "model").select("model", "__price")
+        found = found.unionByName(back)
+    return found.groupBy("model").agg(F.min_by("__price", "__price.ord").alias("__price"))
+
+
 def priced(passes: DataFrame, prices: DataFrame, match: str = "exact", default: tuple[float, float] = (0.0, 0.0)) -> DataFrame:
-    """Adds price_key, input_rate and output_rate (USD per million tokens) from a price list of a few rows.
+    """Adds price_key, input_rate and output_rate (USD per million tokens) from a price list of any length.
 
     `prices` has ord, key, input_rate and output_rate. exact: model = key;
     prefix: the model starts with the key; either: one starts with the other. Of
     several keys the one of least ord counts; models without one get `default`.
+    Prices are found once for each model, and join the passes by model.
     """
-    listed = prices.orderBy("ord").limit(MOST_PRICES + 1).collect()  # a price list
-    if len(listed) > MOST_PRICES:
-        raise ValueError(f"more than {MOST_PRICES} prices")
-    m = F.col("model")
-    fits = lambda k: {"exact": m == k, "prefix": m.startswith(k), "either": m.startswith(k) | F.startswith(F.lit(k), m)}[match]
-    found = F.coalesce(*[F.when(fits(p["key"]), F.struct(F.lit(p["key"]).alias("key"), F.lit(p["input_rate"]).alias("input_rate"), F.lit(p["output_rate"]).alias("output_rate"))) for p in listed], F.lit(None).cast("struct<key:string,input_rate:double,output_rate:double>"))
-    return passes.withColumn("__price", found).withColumns({"price_key": F.col("__price.key"), "input_rate": F.coalesce("__price.input_rate", F.lit(default[0])), "output_rate": F.coalesce("__price.output_rate", F.lit(default[1]))}).drop("__price")
+    models = passes.select("model").filter("model IS NOT NULL").distinct()
+    out = passes.join(price_of_models(models, prices, match), "model", "left")
+    out = out.withColumns({"price_key": F.col("__price.key"), "input_rate": F.coalesce("__price.input_rate", F.lit(default[0])), "output_rate": F.coalesce("__price.output_rate", F.lit(default[1]))})
+    return out.select(*passes.columns, "price_key", "input_rate", "output_rate")
 
 
 def cost(tokens_in: Column, tokens_out: Column, input_rate: Column, output_rate: Column, cached: Column | None = None, cached_rate: Column | None = None, surcharge: Column | None = None) -> Column:

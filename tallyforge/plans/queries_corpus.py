@@ -29,6 +29,19 @@ def f27_snippets(spark, sf):
     return corpus.search(files(spark, sf).filter("extractable"), "ing", 20).select("filename", "snippet")
 
 
+@query(rf"""WITH {FILES_SQL}, q AS (SELECT item_id AS query_id, list_filter(regexp_split_to_array(lower(text), '[^\p{{L}}\p{{N}}_]+'), lambda t: length(t) > 2) AS terms FROM benchmark),
+l AS (SELECT filename, text_content, lower(text_content) AS low FROM files WHERE extractable), e AS (SELECT query_id, len(terms) AS size, unnest(terms) AS term FROM q), d AS (SELECT DISTINCT term FROM e),
+c AS (SELECT term, filename, CAST((length(low) - length(replace(low, term, ''))) // length(term) AS BIGINT) AS hits FROM d, l WHERE contains(low, term)),
+s AS (SELECT query_id, filename, count(*) / any_value(size) * (1 + ln(1 + sum(hits))) AS score, CAST(sum(hits) AS BIGINT) AS match_count FROM e JOIN c USING (term) GROUP BY ALL),
+b AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, filename) AS INTEGER) AS rank FROM s QUALIFY rank <= 5),
+f AS (SELECT b.*, text_content, low, list_filter(terms, lambda t: contains(low, t))[1] AS first FROM b JOIN l USING (filename) JOIN q USING (query_id)), p AS (SELECT *, strpos(low, first) AS pos FROM f)
+SELECT query_id, rank, filename, round(score, 3) AS relevance_score, match_count, substr(trim(substr(text_content, CAST(greatest(pos - 101, 0) + 1 AS BIGINT), CAST(pos - 1 + length(first) + 100 - greatest(pos - 101, 0) AS BIGINT)), ' '), 1, 300) AS snippet FROM p""")
+def j11_f26_o04_search_many(spark, sf):
+    """Every benchmark item as a query over the whole corpus."""
+    queries = table(spark, sf, "benchmark").select(F.col("item_id").alias("query_id"), F.col("text").alias("query"))
+    return corpus.search_many(files(spark, sf).filter("extractable"), queries)
+
+
 @query(f"WITH {FILES_SQL} SELECT CAST(doc_id AS VARCHAR) AS doc_id, filename, extension, mime_type, size_bytes, num_tokens_est, extractable FROM files")
 def p07_o07_list_documents(spark, sf):
     return corpus.list_documents(files(spark, sf).withColumn("doc_id", F.col("doc_id").cast("string")))
@@ -129,6 +142,22 @@ def f22_a21_j09_compliance(spark, sf):
     return r.select("conv_id", "turn", "total", "external", text.compliance(F.col("total"), F.col("external")).alias("ratio"))
 
 
+@query("""WITH n AS (SELECT doc_id % 50 AS task_id, lower('DOC_' || doc_id || '.TXT') AS name FROM documents UNION SELECT doc_id % 50, lower(lang) FROM documents WHERE doc_id % 7 = 0 AND lang IS NOT NULL),
+c AS (SELECT conv_id % 50 AS task_id, conv_id * 1000 + turn AS citation, text AS title, CASE WHEN turn % 5 < 4 THEN 'https://x.example/Doc_' || (conv_id % 50 + 50 * turn) || '.txt?v=' || conv_id END AS url FROM conversations),
+x AS (SELECT *, coalesce(url, '') <> '' AND NOT EXISTS (SELECT 1 FROM n WHERE n.task_id = c.task_id AND (contains(lower(coalesce(c.title, '')), name) OR contains(lower(coalesce(c.url, '')), name))) AS external FROM c)
+SELECT task_id, count(*) AS total, count(*) FILTER (external) AS external, (count(*) - count(*) FILTER (external)) / count(*) AS ratio, count(*) FILTER (external) = 0 AS compliant, coalesce(string_agg(url, ' ' ORDER BY citation, url) FILTER (external), '') AS urls FROM x GROUP BY task_id""")
+def j09_file_citations(spark, sf):
+    """Citations held against the file names of their own task: documents' names and short language codes."""
+    d = table(spark, sf, "documents")
+    task = (F.col("doc_id") % 50).alias("task_id")
+    names = d.select(task, F.concat(F.lit("DOC_"), F.col("doc_id").cast("string"), F.lit(".TXT")).alias("filename")).unionByName(d.filter("doc_id % 7 = 0").select(task, F.col("lang").alias("filename")))
+    c = table(spark, sf, "conversations")
+    conv, turn = F.col("conv_id"), F.col("turn")
+    url = F.concat(F.lit("https://x.example/Doc_"), (conv % 50 + 50 * turn).cast("string"), F.lit(".txt?v="), conv.cast("string"))
+    cited = c.select((conv % 50).alias("task_id"), (conv * 1000 + turn).alias("citation"), F.col("text").alias("title"), F.when(turn % 5 < 4, url).alias("url"))
+    return corpus.audit_citations(cited, names).select("task_id", "total", "external", "ratio", "compliant", F.array_join("external_urls", " ").alias("urls"))
+
+
 @query(rf"""WITH {REPORT_SQL} SELECT conv_id, turn, coalesce(CASE WHEN conv_id % 4 = 2 THEN 'import openpyxl' || chr(10) || 'x = ' || turn END, '') AS by_library, coalesce(CASE WHEN conv_id % 4 = 2 THEN 'print()' END, '') AS by_marker FROM r""")
 def f39_f40_code_blocks(spark, sf):
     return reports(spark, sf).select("conv_id", "turn", F.coalesce(text.last_library_block("report", "xlsx"), F.lit("")).alias("by_library"), F.coalesce(text.marked_block("report", "print"), F.lit("")).alias("by_marker"))

@@ -386,6 +386,34 @@ def j08_either_prefix_price(spark, sf):
     return priced(spark, sf, "either")
 
 
+LIST_SQL = """pr AS (SELECT p_partkey AS ord, p_name AS key, p_retailprice AS r FROM part UNION ALL SELECT p_partkey, p_brand || ' ' || p_name, p_retailprice FROM part UNION ALL SELECT p_partkey + 5000000, p_type || ' ' || p_brand || ' long', p_retailprice FROM part),
+k AS (SELECT key, min(ord) AS ord, arg_min(r, ord) AS r FROM pr GROUP BY 1), u AS (SELECT p_partkey, {model} AS model FROM part), m AS (SELECT DISTINCT model FROM u),
+pre AS (SELECT model, substr(model, 1, CAST(unnest(range(0, length(model) + 1)) AS BIGINT)) AS prefix FROM m), kp AS (SELECT key, ord, r, substr(key, 1, CAST(unnest(range(0, length(key) + 1)) AS BIGINT)) AS prefix FROM k),
+hit AS (SELECT model, key, ord, r FROM pre JOIN k ON prefix = key {back}), best AS (SELECT model, arg_min(key, ord) AS key, arg_min(r, ord) AS r FROM hit GROUP BY 1)
+SELECT u.p_partkey, coalesce(key, '') AS price_key, coalesce(r, 0.0) AS input_rate FROM u LEFT JOIN best USING (model)"""
+BACK_SQL = "UNION ALL SELECT m.model, key, ord, r FROM kp JOIN m ON prefix = m.model"
+
+
+def long_list(spark, sf, model):
+    """Models held against a price list with three keys for each part."""
+    p = table(spark, sf, "part")
+    keys = (("p_name", 0), (F.concat_ws(" ", "p_brand", "p_name"), 0), (F.concat_ws(" ", "p_type", "p_brand", F.lit("long")), 5_000_000))
+    parts = [p.select((F.col("p_partkey") + later).alias("ord"), (F.col(k) if isinstance(k, str) else k).alias("key"), F.col("p_retailprice").alias("input_rate"), F.col("p_retailprice").alias("output_rate")) for k, later in keys]
+    return p.select("p_partkey", model.alias("model")), parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@query("WITH " + LIST_SQL.format(model="p_brand || ' ' || p_name || ' dated ' || p_partkey % 7", back=""))
+def j07_long_price_list(spark, sf):
+    used, listed = long_list(spark, sf, F.concat(F.concat_ws(" ", "p_brand", "p_name"), F.lit(" dated "), (F.col("p_partkey") % 7).cast("string")))
+    return runs.priced(used, listed, "prefix").select("p_partkey", F.coalesce("price_key", F.lit("")).alias("price_key"), "input_rate")
+
+
+@query("WITH " + LIST_SQL.format(model="CASE WHEN p_partkey % 2 = 0 THEN p_type || ' ' || substr(p_brand, 1, 7) ELSE p_name || 'x' END", back=BACK_SQL))
+def j08_long_price_list(spark, sf):
+    used, listed = long_list(spark, sf, F.when(F.col("p_partkey") % 2 == 0, F.concat_ws(" ", "p_type", F.substring("p_brand", 1, 7))).otherwise(F.concat("p_name", F.lit("x"))))
+    return runs.priced(used, listed, "either").select("p_partkey", F.coalesce("price_key", F.lit("")).alias("price_key"), "input_rate")
+
+
 # report values ---------------------------------------------------------------
 
 
