@@ -8,11 +8,11 @@ phrases; a ROLLUP over the windows' leading columns sums them to successively
 shorter prefixes, down to the words and the group's total. No n-gram but the
 longest is ever exploded.
 
-What is shuffled is short. A first pass counts words and gives the most frequent
+What is shuffled is short. A first pass counts words and groups, and gives the most frequent
 ones, at most HEAD, a code of WIDTH characters; windows are counted as texts of
 codes. If these are all words of `min_count` or more, windows end before a rarer
 word, since no phrase of interest holds it; if not, other words are spelled out.
-The counts are the same either way, and codes are turned back into words once
+The results are the same either way, and codes are turned back into words once
 only frequent phrases are left.
 
 From there on only phrases of `min_count` or more matter: a part of a candidate
@@ -52,16 +52,23 @@ EXACT = "decimal(38,0)"
 
 def windows(docs: DataFrame, text: str = "text", group: str = "lang", longest: int = LONGEST) -> DataFrame:
     """One row per word: grp, w1 (the word) and w2 .. (the words after it in its piece, else null)."""
-    lower = F.translate(F.coalesce(F.col(text), F.lit("")), string.ascii_uppercase, string.ascii_lowercase)
+    whole = F.coalesce(F.col(text).cast("string"), F.lit(""))
+    plain = F.length(whole) == F.octet_length(whole)  # then `lower` changes A-Z alone, and is faster
+    lower = F.when(plain, F.lower(whole)).otherwise(F.translate(whole, string.ascii_uppercase, string.ascii_lowercase))
     pieces = docs.select(F.coalesce(F.col(group).cast("string"), F.lit(NAMELESS)).alias("grp"), F.explode(F.split(lower, BREAKS)).alias("piece"))
-    words = pieces.select("grp", F.filter(F.split("piece", BLANKS), lambda w: w != "").alias("w")).filter(F.size("w") > 0)
+    words = pieces.select("grp", F.array_remove(F.split(F.replace("piece", F.lit("\t"), F.lit(" ")), " "), "").alias("w"))
     leads = [F.col("w"), *[F.slice("w", i + 1, F.size("w")) for i in range(1, longest)]]
     return words.select("grp", F.inline(F.arrays_zip(*leads))).toDF("grp", *[f"w{i + 1}" for i in range(longest)])
 
 
-def word_codes(docs: DataFrame, text: str = "text", group: str = "lang", min_count: int = MIN_COUNT, head: int = HEAD) -> tuple[DataFrame, bool]:
-    """(word, code of WIDTH characters) of the most frequent words, at most `head`, and whether these are all words of `min_count` or more."""
-    counted = store(windows(docs, text, group, 1).groupBy(F.col("w1").alias("word")).agg(F.count("*").alias("f")).filter(F.col("f") >= min_count))
+def word_counts(docs: DataFrame, text: str = "text", group: str = "lang") -> DataFrame:
+    """grp, word, f of all words, written once."""
+    return store(windows(docs, text, group, 1).groupBy("grp", F.col("w1").alias("word")).agg(F.count("*").alias("f")))
+
+
+def word_codes(counts: DataFrame, min_count: int = MIN_COUNT, head: int = HEAD) -> tuple[DataFrame, bool]:
+    """(word, code of WIDTH characters) of the most frequent words, at most `head`, and whether these are all words that some group has `min_count` times or more."""
+    counted = store(counts.groupBy("word").agg(F.sum("f").alias("f"), F.max("f").alias("most")).filter(F.col("most") >= min_count))
     grade = F.floor(F.log2("f") * 16)
     grades = sorted(((r["grade"], r["n"]) for r in counted.groupBy(grade.alias("grade")).agg(F.count("*").alias("n")).collect()), reverse=True)  # under 1,024 rows
     least, total = None, 0
@@ -92,7 +99,8 @@ def coded(rows: DataFrame, codes: DataFrame, whole: bool, longest: int) -> DataF
 
 def frequent_phrases(docs: DataFrame, text: str = "text", group: str = "lang", longest: int = LONGEST, min_count: int = MIN_COUNT, head: int = HEAD) -> DataFrame:
     """grp, k, w (array of the k words), f: how often; k = 0 is the group's number of words. Phrases of fewer than `min_count` are left out."""
-    codes, whole = word_codes(docs, text, group, min_count, head)
+    counts = word_counts(docs, text, group)
+    codes, whole = word_codes(counts, min_count, head)
     counted = coded(windows(docs, text, group, longest), codes, whole, longest).groupBy("key").agg(F.count("*").alias("f"))
     body = F.substring_index("key", " ", 1)
     several = F.regexp_extract_all(body, F.lit(rf"\t[^\t]*\t|[^\t]{{{WIDTH}}}"), F.lit(0))
@@ -111,7 +119,7 @@ def frequent_phrases(docs: DataFrame, text: str = "text", group: str = "lang", l
     rolled = rolled.select(F.substring("e1", F.length(word) + 2, F.length("e1")).alias("grp"), level.alias("k"), F.nullif(word, F.lit("")).alias("e1"), *names[1:-1], F.lit(None).cast("string").alias(names[-1]), "f")
     last = F.get(F.array(*names[:-1]), F.col("k") - 1)
     shorter = rolled.filter(F.when(F.col("f") >= min_count, last.isNotNull())).select("grp", "k", *names, "f")
-    sums = rolled.filter("k = 1").groupBy("grp").agg(F.sum("f").alias("f")).select("grp", F.lit(0).alias("k"), *[F.lit(None).cast("string").alias(n) for n in names], "f")
+    sums = counts.groupBy("grp").agg(F.sum("f").alias("f")).select("grp", F.lit(0).alias("k"), *[F.lit(None).cast("string").alias(n) for n in names], "f")
     found = top.unionByName(shorter).unionByName(sums)
     for n in names:
         found = found.join(F.broadcast(codes.select(F.col("code").alias(n), F.col("word").alias(f"of_{n}"))), n, "left").withColumn(n, F.coalesce(f"of_{n}", F.translate(n, "\t", "")))
