@@ -50,20 +50,24 @@ BREAKS, BLANKS = r"[.,;:!?\x0A-\x0D]", r"[\x20\x09]+"
 EXACT = "decimal(38,0)"
 
 
-def windows(docs: DataFrame, text: str = "text", group: str = "lang", longest: int = LONGEST) -> DataFrame:
-    """One row per word: grp, w1 (the word) and w2 .. (the words after it in its piece, else null)."""
+def pieces(docs: DataFrame, text: str = "text", group: str = "lang") -> DataFrame:
+    """One row per piece: grp and w, the array of its words."""
     whole = F.coalesce(F.col(text).cast("string"), F.lit(""))
     plain = F.length(whole) == F.octet_length(whole)  # then `lower` changes A-Z alone, and is faster
     lower = F.when(plain, F.lower(whole)).otherwise(F.translate(whole, string.ascii_uppercase, string.ascii_lowercase))
-    pieces = docs.select(F.coalesce(F.col(group).cast("string"), F.lit(NAMELESS)).alias("grp"), F.explode(F.split(lower, BREAKS)).alias("piece"))
-    words = pieces.select("grp", F.array_remove(F.split(F.replace("piece", F.lit("\t"), F.lit(" ")), " "), "").alias("w"))
+    rows = docs.select(F.coalesce(F.col(group).cast("string"), F.lit(NAMELESS)).alias("grp"), F.explode(F.split(F.replace(lower, F.lit("\t"), F.lit(" ")), BREAKS)).alias("piece"))
+    return rows.select("grp", F.array_remove(F.split("piece", " "), "").alias("w"))
+
+
+def windows(docs: DataFrame, text: str = "text", group: str = "lang", longest: int = LONGEST) -> DataFrame:
+    """One row per word: grp, w1 (the word) and w2 .. (the words after it in its piece, else null)."""
     leads = [F.col("w"), *[F.slice("w", i + 1, F.size("w")) for i in range(1, longest)]]
-    return words.select("grp", F.inline(F.arrays_zip(*leads))).toDF("grp", *[f"w{i + 1}" for i in range(longest)])
+    return pieces(docs, text, group).select("grp", F.inline(F.arrays_zip(*leads))).toDF("grp", *[f"w{i + 1}" for i in range(longest)])
 
 
 def word_counts(docs: DataFrame, text: str = "text", group: str = "lang") -> DataFrame:
     """grp, word, f of all words, written once."""
-    return store(windows(docs, text, group, 1).groupBy("grp", F.col("w1").alias("word")).agg(F.count("*").alias("f")))
+    return store(pieces(docs, text, group).select("grp", F.explode("w").alias("word")).groupBy("grp", "word").agg(F.count("*").alias("f")))
 
 
 def word_codes(counts: DataFrame, min_count: int = MIN_COUNT, head: int = HEAD) -> tuple[DataFrame, bool]:
@@ -82,11 +86,12 @@ def word_codes(counts: DataFrame, min_count: int = MIN_COUNT, head: int = HEAD)
 
 
 def coded(rows: DataFrame, codes: DataFrame, whole: bool, longest: int) -> DataFrame:
-    """The windows as one text `key`: a code per word, a blank, the group.
+    """The windows as one text `key`: a code per word, blanks for missing ones, the group.
 
-    Words without a code stand between tabs, which no word contains. Where every
-    frequent word has a code (`whole`), a window ends before its first word that
-    has none: no frequent phrase holds that word.
+    Where every frequent word has a code (`whole`), a window ends before its first
+    word that has none, since no frequent phrase holds it, and all codes together
+    have a fixed width. Else words without a code stand between tabs, which no
+    word contains, and one blank ends the words.
     """
     codes = F.broadcast(codes)  # at most HEAD rows
     for i in range(1, longest + 1):
@@ -94,7 +99,7 @@ def coded(rows: DataFrame, codes: DataFrame, whole: bool, longest: int) -> DataF
         rows = rows if whole else rows.withColumn(f"c{i}", F.coalesce(f"c{i}", F.concat(F.lit("\t"), f"w{i}", F.lit("\t"))))
     names = [f"c{i}" for i in range(1, longest + 1)]
     body = F.coalesce(*[F.concat(*names[:k]) for k in range(longest, 0, -1)], F.lit(""))
-    return rows.select(F.concat(body, F.lit(" "), "grp").alias("key"))
+    return rows.select(F.concat(F.rpad(body, WIDTH * longest, " ") if whole else F.concat(body, F.lit(" ")), "grp").alias("key"))
 
 
 def frequent_phrases(docs: DataFrame, text: str = "text", group: str = "lang", longest: int = LONGEST, min_count: int = MIN_COUNT, head: int = HEAD) -> DataFrame:
@@ -102,13 +107,14 @@ def frequent_phrases(docs: DataFrame, text: str = "text", group: str = "lang", l
     counts = word_counts(docs, text, group)
     codes, whole = word_codes(counts, min_count, head)
     counted = coded(windows(docs, text, group, longest), codes, whole, longest).groupBy("key").agg(F.count("*").alias("f"))
-    body = F.substring_index("key", " ", 1)
-    several = F.regexp_extract_all(body, F.lit(rf"\t[^\t]*\t|[^\t]{{{WIDTH}}}"), F.lit(0))
-    plain = F.array(*[F.nullif(F.substring(body, 1 + WIDTH * i, WIDTH), F.lit("")) for i in range(longest)])
-    words = F.when(F.contains(body, F.lit("\t")), several).otherwise(plain)
-    rows = counted.select("key", "f", F.substring("key", F.length(body) + 2, F.length("key")).alias("grp"), words.alias("e"))
     names = [f"e{i + 1}" for i in range(longest)]
-    rows = rows.select("grp", "f", *[F.get("e", F.lit(i)).alias(n) for i, n in enumerate(names)])
+    if whole:
+        codes_at = lambda i: F.nullif(F.substring("key", 1 + WIDTH * i, WIDTH), F.lit(" " * WIDTH))
+        rows = counted.select("f", F.substring("key", 1 + WIDTH * longest, 1 << 30).alias("grp"), *[codes_at(i).alias(n) for i, n in enumerate(names)])
+    else:
+        body = F.substring_index("key", " ", 1)
+        words = F.regexp_extract_all(body, F.lit(rf"\t[^\t]*\t|[^\t]{{{WIDTH}}}"), F.lit(0))
+        rows = counted.select("f", F.substring("key", F.length(body) + 2, F.length("key")).alias("grp"), *[F.get(words, F.lit(i)).alias(n) for i, n in enumerate(names)])
     # one condition on key and count together: it stays above the counting, whose shuffle both branches share
     top = rows.filter(F.when(F.col("f") >= min_count, F.col(names[-1]).isNotNull())).select("grp", F.lit(longest).alias("k"), *names, "f")
     first = F.concat(F.coalesce("e1", F.lit("")), F.lit(" "), "grp").alias("e1")  # the group goes with the first word
