@@ -18,6 +18,7 @@ from tallyforge.plans.views import FILES_SQL, PASSES_SQL, TASKS_SQL, files, inta
 from tallyforge.sources import corpus_files, envelopes, sinks
 from tallyforge.sources import intake as source
 from tallyforge.sources.folders import scratch
+from tallyforge.sources.named_files import write_named
 
 # intake files ----------------------------------------------------------------
 
@@ -463,3 +464,62 @@ def k05_f37_report_bodies(spark, sf):
     cited = F.array(F.struct(F.lit(1).alias("index"), F.lit("https://a.example/x").alias("url"), F.col("model").alias("title"), F.lit(" a snippet\n").alias("snippet")))
     run = F.struct("task_id", "model", "completed", "forced_stop", "error", none("string").alias("started_at"), none("string").alias("completed_at"), F.col("duration").alias("total_duration_sec"), "input_tokens", "output_tokens", F.col("cost").cast("double").alias("total_cost_usd"), F.lit(1).alias("citations_count"), "response_length", "response_text", cited.alias("citations"))
     return sinks.reports(p.withColumn("run", run).withColumn("completed_at", none("string")).withColumn("total_duration_sec", F.col("duration")))
+
+
+# large files and files by name -------------------------------------------------
+
+
+GROUP_SQL = """g AS (SELECT task_id, dispatched_at, domain, 'g' || (CAST(task_id AS BIGINT) // 400) || '.json' AS file_name, CAST(task_id AS BIGINT) // 400 % 3 = 1 AS torn FROM tasks)"""
+
+
+@query(f"""WITH {TASKS_SQL}, {GROUP_SQL} SELECT file_name, task_id, dispatched_at, domain, count(*) OVER (PARTITION BY file_name) > 1 AS in_array FROM g QUALIFY NOT torn OR task_id < max(task_id) OVER (PARTITION BY file_name)""")
+def s03_s04_json_arrays(spark, sf):
+    """Arrays of many tasks, read in splits of 4 KB; every third file breaks off in its last task, and index.json is no task."""
+    path = scratch(spark)
+    group = F.floor(F.col("task_id").cast("long") / 400)
+    t = tasks(spark, sf).select(F.concat(F.lit("g"), group.cast("string"), F.lit(".json")).alias("prefix"), "task_id", "dispatched_at", F.struct("domain").alias("package"))
+    bodies = sinks.grouped_json(t).withColumn("torn", F.regexp_extract("prefix", r"(\d+)", 1).cast("long") % 3 == 1)
+    whole = bodies.select(F.col("prefix").alias("file_name"), F.when(F.col("torn"), F.substring("body", F.lit(1), F.length("body") - 9)).otherwise(F.col("body")).alias("body"))
+    write_named(whole.unionByName(spark.createDataFrame([("index.json", '{"task_id": "none"}'), ("notes.txt", "{}")], "file_name string, body string")), path)
+    found = envelopes.read_arrays(spark, path, split_bytes=4096)
+    return found.select("file_name", "task_id", "dispatched_at", "package.domain", "in_array")
+
+
+@query(f"""WITH {RUN_SQL}, q AS (SELECT *, replace(task_id || '_' || agent || '_p' || (pass_idx + 1) || '_' || CASE WHEN run_completed_at IS NULL THEN 'unknown_time' ELSE strftime(CAST(run_completed_at AS TIMESTAMP), '%Y%m%d_%H%M%S') END || '.txt', ' ', '_') AS file_name FROM runs
+WHERE completed AND forced_stop = false AND CAST(task_id AS BIGINT) % 13 <> 0 AND CAST(task_id AS BIGINT) % 40 = 0)
+SELECT file_name, task_id, agent, upper(agent) || '  |  ' || model AS title, response_text AS answer FROM q""")
+def k05_report_files(spark, sf):
+    """Reports of every fortieth task as files of their names, read again."""
+    path = scratch(spark)
+    e = task_envelopes(spark, sf).filter(F.col("task_id").cast("long") % 40 == 0)
+    flat = envelopes.flatten(e).filter("run IS NOT NULL").withColumn("dry_run", F.col("task_id").cast("long") % 13 == 0)
+    good = flat.filter(predicates.is_strict_success("run.completed", "run.forced_stop") & ~F.col("dry_run"))
+    write_named(sinks.reports(good), path)
+    read = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_name").alias("file_name"), "value")
+    title = F.regexp_extract("value", r"AGENT RUN  —  (.*)  \(pass", 1)
+    answer = F.regexp_extract("value", r"(?s)RESPONSE\n-+\n(.*?)\n(?:\n-+\nCITATIONS|$)", 1)
+    parts = F.split("file_name", "_")
+    return read.select("file_name", parts[0].alias("task_id"), parts[1].alias("agent"), title.alias("title"), answer.alias("answer"))
+
+
+@query(f"""WITH {RUN_SQL} SELECT row_number() OVER (ORDER BY dispatched_at, task_id, agent, pass_idx) AS place, task_id, agent, model, dispatched_at, response_text FROM runs""")
+def k04_o02_ordered_export(spark, sf):
+    """The export in parts of one order, joined to a file and read again by its lines."""
+    path = scratch(spark)
+    sinks.write_ordered_csv(sinks.export_rows(task_envelopes(spark, sf)), path)
+    sinks.join_parts(path, f"{path}.csv")
+    lines = spark.read.option("header", True).option("escape", '"').csv(f"{path}.csv").select("*", F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"))
+    order = Window.orderBy("at")
+    return lines.select(F.row_number().over(order).cast("long").alias("place"), "task_id", "agent", "model", "dispatched_at", "response_text")
+
+
+@query(f"""WITH {RUN_SQL}, m AS (SELECT *, CAST(task_id AS BIGINT) % 2 AS src, contains(lower(model), 'brand#1') AS hit FROM runs)
+SELECT CAST(src AS INTEGER) AS source_ord, count(DISTINCT task_id) AS tasks_in, count(DISTINCT task_id) FILTER (hit) AS tasks_out, count(*) FILTER (hit) AS passes_out FROM m GROUP BY src""")
+def a20_k08_extract_stats(spark, sf):
+    """Statistics of an extraction, taken while it is written."""
+    path = scratch(spark)
+    e = task_envelopes(spark, sf)
+    for i in (0, 1):
+        sinks.write_json(e.filter(F.col("task_id").cast("long") % 2 == i), f"{path}/{i}")
+    read = envelopes.read_envelopes(spark, [f"{path}/0", f"{path}/1"], lines=True, glob="*.txt")
+    return sinks.extract_with_stats(read, "brand#1", "contains", f"{path}/out", 2)

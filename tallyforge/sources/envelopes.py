@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tallyforge.functions.predicates import is_true, sorted_by
 from tallyforge.functions.text import id_prefix
 from tallyforge.sources.folders import read_each
+from tallyforge.sources.json_records import SPLIT_BYTES, json_records
 
 PASS = (
     "struct<task_id:string,agent:string,model:string,completed:boolean,forced_stop:boolean,error:string,"
@@ -57,7 +58,7 @@ def read_envelopes(spark: SparkSession, paths: str | list[str], skip: tuple[str,
     """
 
     def read(i: int, path: str) -> DataFrame:
-        found = spark.read.option("wholetext", not lines).option("pathGlobFilter", glob).option("recursiveFileLookup", True).text(path)
+        found = spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", True).text(path, wholetext=not lines)
         return found.select("value", F.col("_metadata.file_name").alias("file_name"), F.lit(i).alias("source_ord"))
 
     parts = read_each(paths, read) or [spark.createDataFrame([], "value string, file_name string, source_ord int")]
@@ -66,6 +67,19 @@ def read_envelopes(spark: SparkSession, paths: str | list[str], skip: tuple[str,
     return rows.withColumn("task_id", F.coalesce("task_id", stem)).withColumn("prefix", id_prefix(stem))
 
 
+def read_arrays(spark: SparkSession, paths: str | list[str], skip: tuple[str, ...] = ("index.json",), glob: str = "*.json", split_bytes: int = SPLIT_BYTES) -> DataFrame:
+    """`read_envelopes` for files of any size: each is read by several tasks, object by object.
+
+    Of a file that breaks off, the objects before the break are kept. A missing id
+    is the file's name and, in an array, the object's place in bytes.
+    """
+    rows = json_records(spark, paths, glob, split_bytes).filter(~F.col("file_name").isin(*skip)).withColumnRenamed("in_array", "__array")
+    tasks = parse_envelopes(rows.drop("path")).drop("in_array").withColumnRenamed("__array", "in_array")
+    stem = F.regexp_replace("file_name", r"\.json$", "")
+    named = F.when(F.col("in_array"), F.concat(stem, F.lit("@"), F.col("offset").cast("string"))).otherwise(stem)
+    return tasks.withColumn("task_id", F.coalesce("task_id", named)).withColumn("prefix", id_prefix(stem)).drop("offset")
+
+
 def envelope_json(envelopes: DataFrame) -> Column:
     """A task as JSON: the fields of the schema that `envelopes` has, then its extra keys as they were."""
     body = F.to_json(F.struct(*[f for f in FIELDS if f in envelopes.columns]))

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyarrow.fs import FileSelector
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tallyforge.functions import labels, text
 from tallyforge.functions.predicates import sorted_by, status
-from tallyforge.sources.envelopes import envelope_json, flatten
+from tallyforge.sources.bytefiles import resolve
+from tallyforge.sources.envelopes import envelope_json, extract_model, flatten
 
 # Columns of the consolidated CSV in order.
 CSV_COLUMNS = tuple("task_id sme_name domain research_type iat_type file_count output_formats agent model status failure_category input_tokens output_tokens cost_usd duration_min response_length_chars citations_count iterations dispatched_at completed_at prompt_id allocation_id drive_url output_files citations response_text".split())
@@ -37,14 +39,57 @@ def export_rows(envelopes: DataFrame) -> DataFrame:
     return flat.select(*[values[c].alias(c) if c in values else c for c in CSV_COLUMNS], "pass_idx")
 
 
-def write_csv(rows: DataFrame, path: str, dry_run: bool = False, single: bool = False) -> DataFrame:
-    """Writes the fixed columns with a header, in many files unless one is asked for; nothing for no rows or a dry run."""
+def write_csv(rows: DataFrame, path: str, dry_run: bool = False) -> DataFrame:
+    """Writes the fixed columns with a header in every file; nothing for no rows or a dry run."""
     out = rows.select(*CSV_COLUMNS)
     if not dry_run and not out.isEmpty():
-        (out.coalesce(1) if single else out).write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+        out.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
     return out
 
 
+def write_ordered_csv(rows: DataFrame, path: str, order: tuple[str, ...] = ("task_id", "agent", "pass_idx")) -> None:
+    """Writes the fixed columns by time of dispatch (missing ones first), then `order`, as numbered parts: the parts in the order of their names are the whole in order.
+
+    Ranges of the order go to tasks, so no task writes everything. The header is a
+    part of its own, before the others; `join_parts` makes one file of them.
+    """
+    ranked = rows.orderBy(F.coalesce("dispatched_at", F.lit("")), *order)
+    ranked.select(*CSV_COLUMNS).write.mode("overwrite").option("escape", '"').csv(path)
+    system, inner = resolve(path)
+    with system.open_output_stream(f"{inner}/part-", compression=None) as out:  # sorts before all numbers
+        out.write((",".join(CSV_COLUMNS) + "\n").encode())
+
+
+def join_parts(path: str, target: str) -> None:
+    """Appends the parts in `path` in the order of their names into the file `target`, a megabyte at a time."""
+    (system, inner), (to, wanted) = resolve(path), resolve(target)
+    parts = sorted((f.base_name, f.path) for f in system.get_file_info(FileSelector(inner)) if f.is_file and f.base_name.startswith("part-"))
+    with to.open_output_stream(wanted, compression=None) as out:
+        for _, part in parts:
+            with system.open_input_stream(part) as source:
+                while data := source.read(1 << 20):
+                    out.write(data)
+
+
+def extract_with_stats(envelopes: DataFrame, pattern: str, mode: str, path: str, sources: int, dry_run: bool = False) -> DataFrame:
+    """Writes the envelopes of matching models as JSON lines and returns, per source of source_ord, tasks_in, tasks_out and passes_out.
+
+    The figures are observed on the rows as they pass to the sink, so the input is
+    read once. A dry run drops the rows at the end of the same pass.
+    """
+    before, after = Observation(), Observation()
+    mine = lambda i: F.col("source_ord") == i
+    seen = envelopes.observe(before, *[F.count_if(mine(i)).alias(f"s{i}") for i in range(sources)])
+    found = extract_model(seen, pattern, mode)
+    n = F.size(F.flatten(F.map_values("agent_results")))
+    counted = [c for i in range(sources) for c in (F.count_if(mine(i)).alias(f"t{i}"), F.coalesce(F.sum(F.when(mine(i), n)), F.lit(0)).alias(f"p{i}"))]
+    out = found.observe(after, *counted)
+    out = out.select(envelope_json(out).alias("value"))
+    (out.write.format("noop").mode("overwrite").save() if dry_run else out.write.mode("overwrite").text(path))
+    was, now = before.get, after.get
+    return envelopes.sparkSession.createDataFrame([(i, was[f"s{i}"], now[f"t{i}"], now[f"p{i}"]) for i in range(sources)], "source_ord int, tasks_in long, tasks_out long, passes_out long")
+
+
 def write_json(envelopes: DataFrame, path: str, by: str | None = None, dry_run: bool = False) -> DataFrame:
     """Envelopes as JSON, one in a line, extra keys included; in folders by the values of `by`, where given."""
     out = envelopes.select(*([by] if by else []), envelope_json(envelopes).alias("value"))

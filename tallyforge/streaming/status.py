@@ -52,11 +52,7 @@ def store_stream(spark: SparkSession, folder: str, store: ResultStore, checkpoin
     the batch, so a batch that is replayed after a failure changes nothing.
     """
     reader = spark.readStream.option("pathGlobFilter", glob).option("recursiveFileLookup", True).option("maxFilesPerTrigger", per_trigger)
-    if lines:
-        rows = reader.text(folder).select("value", F.col("_metadata.file_name").alias("file_name"))
-    else:  # a stream of texts is read by lines whatever its options say
-        files = reader.format("binaryFile").schema("path string, modificationTime timestamp, length long, content binary").load(folder)
-        rows = files.select(F.col("content").cast("string").alias("value"), F.element_at(F.split("path", "/"), -1).alias("file_name"))
+    rows = reader.text(folder, wholetext=not lines).select("value", F.col("_metadata.file_name").alias("file_name"))
 
     def merge(batch: DataFrame, number: int) -> None:
         store.upsert(parse_envelopes(batch), order=order, batch=(name, number))

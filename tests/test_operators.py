@@ -264,7 +264,7 @@ def test_envelopes_keep_what_the_schema_does_not_know(spark, tmp_path):
     first = {"task_id": "t", "dispatched_at": "2024-01-02", "note": "", "count": 0, "deep": {"x": [1, "é\""]}, "package": {"domain": " "}, "agents_attempted": ["z", "a"], "total_cost_usd": 1.0, "agent_results": {"a": [run]}}
     (tmp_path / "a" / "x_0a1b2c.json").write_text(json.dumps(first))
     (tmp_path / "a" / "broken.json").write_text('{"task_id": ')
-    (tmp_path / "b" / "y.json").write_text(json.dumps([{**first, "note": "n", "package": {"domain": "d"}, "dispatched_at": "2024-01-01"}, {"agents_attempted": ["z", "a"], "agent_results": {}, "odd key": None}]))
+    (tmp_path / "b" / "y.json").write_text(json.dumps([{**first, "note": "n", "package": {"domain": "d"}, "dispatched_at": "2024-01-01"}, {"agents_attempted": ["z", "a"], "agent_results": {}, "odd key": None}], indent=2))
     env = envelopes.read_envelopes(spark, [str(tmp_path / "a"), str(tmp_path / "none"), str(tmp_path / "b")])
     got = {(r["task_id"], r["source_ord"]): r for r in env.collect()}
     assert set(got) == {("t", 0), ("t", 2), ("y", 2)} and got["t", 0]["prefix"] == "x" and not got["t", 0]["in_array"] and got["y", 2]["in_array"]
