@@ -28,7 +28,11 @@ shuffled. Work is linear in the page.
 Defined results
 ---------------
 Null or empty html: empty text. Text without any tag: one block. Unclosed tags
-are closed as browsers do for paragraphs, list items and table cells. Elements
+are closed as browsers do for paragraphs, list items and table cells; a form
+control or drawing that is never closed hides nothing. A link around several
+blocks that hold WRAP of the page's text is no link but the text; where links
+leave no path any text of its own, they count as text. Formulas and what an
+`object` or `noscript` shows in its place are text. Elements
 nested deeper than DEEPEST count as parts of the one there, as in browsers, and
 keep their text. A `<` that begins no tag, or a tag that never ends, is text.
 Inline tags do not end a block, `br` is white space. Repeated rows give repeated
@@ -60,15 +64,21 @@ SMOOTH = (0.25, 0.5, 0.25)
 #: Open elements that are told apart.
 DEEPEST = 512
 
-INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr br img".split())
+INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr br img object noscript math mi mn mo ms mtext mrow mfrac msqrt mroot mstyle msub msup msubsup munder mover munderover mmultiscripts mprescripts mtable mtr mtd semantics menclose merror mpadded mphantom mspace".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template textarea svg canvas iframe object math select button title".split())
+#: Elements that hold no tags, only text that is not shown; the first four hide the rest of the page if they are never closed.
+RAW = frozenset("script style textarea title iframe noembed noframes xmp".split())
+ENDLESS = frozenset("script style textarea title".split())
+#: Elements that are left out with all that they hold, if they are closed.
+LEFT_OUT = frozenset("select button svg canvas template datalist annotation annotation-xml".split())
+#: Share of a page's text from which a link around several blocks is no link.
+WRAP = 0.25
 SET_APART = frozenset("nav footer aside menu dialog head".split())
 SET_APART_ROLES = frozenset("navigation contentinfo complementary search menu menubar dialog alertdialog banner".split())
 ARTICLE_TAGS = frozenset(("article", "main"))
 #: Words that cast doubt, where a name in class or id consists of them and of NEUTRAL words only.
 DOUBTED = frozenset(
-    "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion cookie cookies consent gdpr notice notices alert popup modal overlay nav navbar navigation menu menus breadcrumb breadcrumbs pagination pager sidebar aside footer masthead topbar comment comments commentlist disqus respond replies newsletter subscribe subscription signup login share sharing social related recommended widget widgets toolbar copyright".split()
+    "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion cookie cookies consent gdpr notice notices alert popup modal overlay nav navbar navigation menu menus breadcrumb breadcrumbs pagination pager sidebar aside footer masthead topbar comment comments commentlist discussion discussions talkback reactions disqus respond replies newsletter subscribe subscription signup login share sharing social related recommended widget widgets toolbar copyright".split()
 )
 NEUTRAL = frozenset("banner list box bar block container wrapper wrap section area slot unit item items inner outer body content text title link links button buttons form left right top bottom main header head site page global post posts entry article articles blog story user reader primary secondary group panel row column col full small large wide".split())
 STORY = frozenset(("articlebody", "article", "story", "post"))
@@ -83,6 +93,9 @@ NAME = re.compile(r"/?[A-Za-z][^\s/>]*")
 #: The end of a tag, or a value in quotes, inside which no tag ends.
 STOP = re.compile(r">|=\s*([\"'])")
 ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
+COMMENT_END = re.compile(r"--!?>")
+SELF_CLOSED = re.compile(r"(?:^|[\s\"'])/\s*$")
+HREF = re.compile(r"(?:^|[\s\"'/])href(?=[\s=/]|$)", re.I)
 PUNCTUATION = re.compile(r"[.,;:!?…。、！？¿¡]")
 PAGES = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string()), ("n_chars", pa.int64())])
 
@@ -137,6 +150,17 @@ class Element:
 Block = namedtuple("Block", "element text linked plain")
 
 
+def closed(source: str, tag: str) -> dict[int, int]:
+    """Where each element of a tag that is closed begins and ends; of those inside each other each has its own end."""
+    ends, open_ = {}, []
+    for m in re.finditer(rf"<(/?){re.escape(tag)}(?=[\s/>])([^>]*)>", source, re.I):
+        if not m[1] and not SELF_CLOSED.search(m[2]):
+            open_.append(m.start())
+        elif m[1] and open_:
+            ends[open_.pop()] = m.end()
+    return ends
+
+
 def blocks(source: str) -> list[Block]:
     """Every block in page order: its element, text, characters in links, whether any are outside."""
     out: list[Block] = []
@@ -144,16 +168,21 @@ def blocks(source: str) -> list[Block]:
     open_tags: Counter = Counter()
     paths: dict[tuple[int, str], int] = {}
     parts: list[str] = []
-    links = [0, 0, 0]  # open anchors, characters inside them, whether text stands outside
+    anchors = link = 0  # number of links so far, the open one
+    linked: Counter = Counter()  # the block's characters by link
+    plain = False  # whether any of its text stands outside links
+    left_out: dict[str, dict[int, int]] = {}
     over = 0  # open elements below the deepest
 
     def end_block() -> None:
+        nonlocal plain
         if parts:
             text = " ".join(html.unescape("".join(parts)).split())
             if text:
-                out.append(Block(stack[-1], text, links[1], bool(links[2])))
+                out.append(Block(stack[-1], text, dict(linked), plain))
             parts.clear()
-        links[1:] = 0, 0
+        linked.clear()
+        plain = False
 
     def close(tag: str, until: tuple[str, ...] = ()) -> None:
         if open_tags[tag]:
@@ -168,14 +197,16 @@ def blocks(source: str) -> list[Block]:
                     return
 
     def write(text: str) -> None:
+        nonlocal plain
         parts.append(text)
-        if links[0]:
-            links[1] += len(text)
+        if link:
+            linked[link] += len(text)
         elif not text.isspace():
-            links[2] = 1
+            plain = True
 
     at, size = 0, len(source)
     endless = False  # no later tag ends
+    never: set[str] = set()  # raw elements that are not closed any more
     unquoted: set[str] = set()  # quotes that do not occur any more
     while at < size:
         begin = source.find("<", at)
@@ -185,8 +216,9 @@ def blocks(source: str) -> list[Block]:
         if begin > at:
             write(source[at:begin])
         if source.startswith("<!--", begin):
-            end = source.find("-->", begin + 4)
-            at = end + 3 if end >= 0 else size
+            short = next((x for x in (">", "->") if source.startswith(x, begin + 4)), "")
+            end = None if short else COMMENT_END.search(source, begin + 4)
+            at = begin + 4 + len(short) if short else end.end() if end else size
             continue
         if source.startswith(("<!", "<?"), begin):
             end = source.find(">", begin)
@@ -221,12 +253,13 @@ def blocks(source: str) -> list[Block]:
         tag = tag.lstrip("/")
         if tag in INLINE:
             if tag == "a":
-                links[0] = 0 if closing else 1
+                anchors += 1
+                link = anchors if not closing and HREF.search(attributes) else 0
             elif tag == "br":
                 parts.append(" ")
             continue
         if closing:
-            if over and tag not in RAW and tag not in VOID:
+            if over and tag not in RAW and tag not in LEFT_OUT and tag not in VOID:
                 over -= 1
                 end_block()
             elif tag == "p" and not open_tags["p"]:
@@ -235,9 +268,18 @@ def blocks(source: str) -> list[Block]:
                 close(tag)
             continue
         if tag in RAW:
-            if not attributes.rstrip().endswith("/"):
-                end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(source, at)
-                at = end.end() if end else size
+            end = re.compile(rf"</{tag}(?=[\s/>])[^>]*>", re.I).search(source, at) if tag not in never else None
+            if end:
+                at = end.end()
+            elif tag in ENDLESS:
+                at = size
+            else:
+                never.add(tag)
+            continue
+        if tag in LEFT_OUT:
+            if tag not in left_out:
+                left_out[tag] = closed(source, tag)
+            at = max(at, left_out[tag].get(begin, at))
             continue
         if tag in CLOSES_P:
             close("p", ("table", "button"))
@@ -255,7 +297,12 @@ def blocks(source: str) -> list[Block]:
             stack.append(Element(stack[-1], tag, path, apart, holds, doubt))
             open_tags[tag] += 1
     end_block()
-    return out
+    totals, spread, whole = Counter(), Counter(), sum(len(b.text) for b in out)
+    for b in out:
+        totals.update(b.linked)
+        spread.update(b.linked.keys())
+    around = {k for k, n in totals.items() if spread[k] > 1 and n > WRAP * whole}
+    return [b._replace(linked=sum(n for k, n in b.linked.items() if k not in around), plain=b.plain or not around.isdisjoint(b.linked)) for b in out]
 
 
 def smooth(values: list[float]) -> list[float]:
@@ -276,10 +323,8 @@ def containers(telling: list[Element]) -> tuple[set[Element], set[int]]:
     return {c.up if c is e and c.up and len(beside[e.up]) > 1 else c for e, c in others}, articles
 
 
-def main_text(source: str | None) -> str:
-    found = blocks(source or "")
-    if not found:
-        return ""
+def ratios(found: list[Block]) -> dict[int, float]:
+    """The fused ratio of every path."""
     paths = [b.element.path for b in found]
     sums: dict[int, list[float]] = {}
     for b, p in zip(found, paths):
@@ -292,8 +337,19 @@ def main_text(source: str | None) -> str:
     fused: dict[int, list[float]] = {}
     for b, p, t, k in zip(found, paths, text_ratio, mark_ratio):
         fused.setdefault(p, []).append(b.element.weight() * t * math.log(math.e + k))
+    return {p: sum(v) / len(v) for p, v in fused.items()}
+
+
+def main_text(source: str | None) -> str:
+    found = blocks(source or "")
+    if not found:
+        return ""
+    ratio = ratios(found)
+    if not any(ratio.values()):  # all text is links
+        found = [b._replace(linked=0, plain=True) for b in found]
+        ratio = ratios(found)
+    paths = [b.element.path for b in found]
     doubts = {p: b.element.doubts for b, p in zip(found, paths)}
-    ratio = {p: sum(v) / len(v) for p, v in fused.items()}
     richest = max(ratio, key=lambda p: ratio[p] * RICHER ** -doubts[p])
     score = {p: r * DOUBT ** max(0, doubts[p] - doubts[richest]) for p, r in ratio.items()}
     best = max(score.values())
