@@ -47,16 +47,18 @@ PARTS = 256
 #: Words that get a code for the time of counting, and the code's characters (36^WIDTH > HEAD).
 HEAD, WIDTH = 1 << 20, 4
 BREAKS, BLANKS = r"[.,;:!?\x0A-\x0D]", r"[\x20\x09]+"
+OTHER_CAPITALS = r"[\x{80}-\x{10FFFF}&&[\p{javaUpperCase}\p{javaTitleCase}]]"
 EXACT = "decimal(38,0)"
 
 
 def pieces(docs: DataFrame, text: str = "text", group: str = "lang") -> DataFrame:
     """One row per piece: grp and w, the array of its words."""
-    whole = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    plain = F.length(whole) == F.octet_length(whole)  # then `lower` changes A-Z alone, and is faster
-    lower = F.when(plain, F.lower(whole)).otherwise(F.translate(whole, string.ascii_uppercase, string.ascii_lowercase))
-    rows = docs.select(F.coalesce(F.col(group).cast("string"), F.lit(NAMELESS)).alias("grp"), F.explode(F.split(F.replace(lower, F.lit("\t"), F.lit(" ")), BREAKS)).alias("piece"))
-    return rows.select("grp", F.array_remove(F.split("piece", " "), "").alias("w"))
+    whole = F.replace(F.coalesce(F.col(text).cast("string"), F.lit("")), F.lit("\t"), F.lit(" "))
+    rows = docs.select(F.coalesce(F.col(group).cast("string"), F.lit(NAMELESS)).alias("grp"), F.explode(F.split(whole, BREAKS)).alias("piece"))
+    # `lower` is much faster, and right where it changes A-Z alone
+    plain = (F.length("piece") == F.octet_length("piece")) | ~F.rlike("piece", F.lit(OTHER_CAPITALS))
+    lower = F.when(plain, F.lower("piece")).otherwise(F.translate("piece", string.ascii_uppercase, string.ascii_lowercase))
+    return rows.select("grp", F.array_remove(F.split(lower, " "), "").alias("w"))
 
 
 def windows(docs: DataFrame, text: str = "text", group: str = "lang", longest: int = LONGEST) -> DataFrame:
@@ -98,8 +100,8 @@ def coded(rows: DataFrame, codes: DataFrame, whole: bool, longest: int) -> DataF
         rows = rows.join(codes.select(F.col("word").alias(f"w{i}"), F.col("code").alias(f"c{i}")), f"w{i}", "left")
         rows = rows if whole else rows.withColumn(f"c{i}", F.coalesce(f"c{i}", F.concat(F.lit("\t"), f"w{i}", F.lit("\t"))))
     names = [f"c{i}" for i in range(1, longest + 1)]
-    body = F.coalesce(*[F.concat(*names[:k]) for k in range(longest, 0, -1)], F.lit(""))
-    return rows.select(F.concat(F.rpad(body, WIDTH * longest, " ") if whole else F.concat(body, F.lit(" ")), "grp").alias("key"))
+    end = lambda k: F.lit(" " * (WIDTH * (longest - k) if whole else 1))
+    return rows.select(F.coalesce(*[F.concat(*names[:k], end(k), "grp") for k in range(longest, -1, -1)]).alias("key"))
 
 
 def frequent_phrases(docs: DataFrame, text: str = "text", group: str = "lang", longest: int = LONGEST, min_count: int = MIN_COUNT, head: int = HEAD) -> DataFrame:

@@ -142,7 +142,7 @@ def brute_phrases(rows, longest, least, share, top):
 @pytest.mark.parametrize(("longest", "least", "top"), [(3, 3, 20), (2, 2, 5), (4, 2, None)])
 def test_phrases_against_all_ngrams(spark, longest, least, top):
     rng = random.Random(longest)
-    rows = [(i, " ".join(rng.choice(["A", "b", "c ", "d,", "e.", "é", "\tf", "g\n", "Ähm"]) for _ in range(rng.randint(0, 60))), rng.choice(["en", None, "und", "fr"])) for i in range(60)]
+    rows = [(i, " ".join(rng.choice(["A", "b", "c ", "d,", "e.", "é", "\tf", "g\n", "Ähm", "ÉB", "İX ", "AΣ", "ǅa", "ⅣⒶ", "éÀ"]) for _ in range(rng.randint(0, 60))), rng.choice(["en", None, "und", "fr"])) for i in range(60)]
     docs = documents(spark, [*rows, (900, " . ,; \n", "en"), (901, "b b b b b b b b", "en"), (None, "  x y  ", None)]).withColumnRenamed("word", "grp").withColumnRenamed("language", "w1")
     texts = [(r["text"], r["lang"]) for r in docs.collect()]
     want = sorted(brute_phrases(texts, longest, least, 50, top))
