@@ -35,7 +35,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tallyforge.llm.common import claim, ship, table, utf8, worker_cache
 
@@ -46,7 +46,9 @@ LONGEST, PART = 96, 24
 #: Rows of hashed feature weights, as many as keep weights of all languages within WEIGHTS, and frequent words listed per language.
 BUCKETS, WEIGHTS, LEXICON = 1 << 17, 1 << 25, 300
 CHAIN, EPOCHS, RATE = 32, 6, 0.5
-LETTERS = re.compile(r"[^\W\d_]+")
+#: Runs of letters alone: `\w` without digits takes numerals like a half or a Roman four as well.
+NUMERALS = "".join(c for c in map(chr, range(0x110000)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
+LETTERS = re.compile(rf"[^\W\d_{NUMERALS}]+")
 #: Words whose potentials a worker keeps, words in one forward-backward pass, and words that wait to be sorted by length of text.
 CACHE, TOKENS, WAITING = 200_000, 200_000, 2_000_000
 #: Texts whose new words are scored together, and about how many bytes of them.
@@ -337,7 +339,7 @@ def predict_language(docs: DataFrame, training: Column, key: Column, text: str =
     """
     ship(docs.sparkSession)
     field = fit(training_sample(docs.filter(training), lang, text, key, sample_docs, sample_words))
-    kept = (docs.select(*keep) if keep is not None else docs).drop(result)
+    kept = (docs.select(*[F.col(f"`{c}`") for c in keep]) if keep is not None else docs).drop(result)
     empty = F.struct(F.lit(UNKNOWN).alias("lang"), F.lit(0.0).alias("score"), F.lit(None).cast("array<struct<lang:string,first_word:long,n_words:long>>").alias("segments"))
     if field is None:
         return kept.withColumn(result, empty)
@@ -351,16 +353,19 @@ def predict_language(docs: DataFrame, training: Column, key: Column, text: str =
             _PREDICTORS.clear()
             predictor = _PREDICTORS[name] = Predictor(sent.value)
         for batch in source:
-            found = predictor.predict([r or b"" for r in batch.column(place).cast(pa.binary()).to_pylist()], segments)
+            raw = batch.column(0).field(place) if place is not None else batch.column(1)
+            found = predictor.predict([r or b"" for r in raw.cast(pa.binary()).to_pylist()], segments)
             done = pa.StructArray.from_arrays([pa.array([f[i] for f in found], t.type) for i, t in enumerate(PREDICTED)], fields=list(PREDICTED))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:n_kept], done], names=[*batch.schema.names[:n_kept], result])
-
-    schema = kept.withColumn(result, empty).schema
-    # a text that is kept is sent once
-    n_kept, sent_as_kept = len(kept.columns), text in kept.columns and isinstance(kept.schema[text].dataType, StringType)
-    place = kept.columns.index(text) if sent_as_kept else n_kept
-    sent_columns = [*(F.col(f"`{c}`") for c in kept.columns), *([] if sent_as_kept else [utf8(F.col(text)).alias("__raw")])]
-    return docs.select(*sent_columns).mapInArrow(run, schema)
+            yield pa.RecordBatch.from_arrays([batch.column(0), done], names=["row", "found"])
+
+    # the columns travel as one, so that any name will do; a text that is among them is sent once
+    place = kept.columns.index(text) if text in kept.columns and isinstance(kept.schema[text].dataType, StringType) else None
+    row = F.struct(*[F.col(f"`{c}`") for c in kept.columns]) if kept.columns else F.struct(F.lit(None).cast("string").alias("none"))
+    rows = docs.select(row.alias("row"), *([] if place is not None else [utf8(F.col(f"`{text}`")).alias("raw")]))
+    schema = StructType([rows.schema["row"], StructField("found", kept.select(empty.alias("found")).schema["found"].dataType)])
+    found = F.col("found").alias(result)
+    out = rows.mapInArrow(run, schema)
+    return out.select("row.*", found) if kept.columns else out.select(found)
 
 
 def held_out_row() -> Column:

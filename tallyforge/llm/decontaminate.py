@@ -20,7 +20,8 @@ Words are runs of digits, ASCII letters and anything above ASCII, A-Z lowered.
 Null or empty text has no words and no hits. Items without words, or null, match
 nothing. Repeated items and windows shared by items count for each item; repeated
 documents are scanned each. An empty benchmark leaves all documents clean. All
-document columns are kept, but for one that has the name of the result.
+document columns are kept, whatever their names, but for one that has the name of
+the result. Item ids keep their type, which may be text or number.
 """
 
 from __future__ import annotations
@@ -33,6 +34,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyforge.llm.common import claim, cut, ship, table, utf8, worker_cache
 
@@ -43,7 +45,7 @@ MOST_WORDS = 4_000_000
 WORD = re.compile(rb"[0-9A-Za-z\x80-\xFF]+")
 #: Lower-cases A-Z and blanks every byte between words.
 NORMAL = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c > 127 else 32 for c in range(256))
-HITS_SQL = "n_words long, n_hit long, items array<long>, spans array<struct<start:long,end:long>>"
+SPANS_SQL = "array<struct<start:long,end:long>>"
 SPAN = pa.struct([("start", pa.int64()), ("end", pa.int64())])
 #: Bytes of a text whose words are held at once; words scanned in one go; words of a lane; hashes of words that are kept.
 SLICE, TOGETHER, LANE, KEPT = 1 << 20, 4_000_000, 256, 500_000
@@ -285,11 +287,13 @@ def benchmark_words(benchmark: DataFrame, item: str = "item_id", texts: tuple[st
     def hash_items(source):
         known = Hashes()
         for batch in source:
-            rows = [(i.as_py(), word_hashes(c.as_py(), known)) for i, *cols in zip(*batch.columns) for c in cols]
-            rows = [(i, w.view(np.int64)) for i, w in rows if len(w)]
-            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.list_(pa.int64()))], names=["item", "words"])
+            for column in batch.columns[1:]:
+                found = [word_hashes(raw.as_py(), known) for raw in column]
+                full = [i for i, w in enumerate(found) if len(w)]
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(full, pa.int64())), pa.array([found[i].view(np.int64) for i in full], pa.list_(pa.int64()))], names=["item", "words"])
 
-    return benchmark.filter(F.col(item).isNotNull()).select(F.col(item).cast("long"), *[utf8(F.col(t)) for t in texts]).mapInArrow(hash_items, "item long, words array<long>")
+    rows = benchmark.filter(F.col(f"`{item}`").isNotNull()).select(F.col(f"`{item}`").alias("item"), *[utf8(F.col(f"`{t}`")).alias(f"text{i}") for i, t in enumerate(texts)])
+    return rows.mapInArrow(hash_items, T.StructType([rows.schema["item"], T.StructField("words", T.ArrayType(T.LongType()))]))
 
 
 def find_contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", texts: tuple[str, ...] = ("text",), width: int = WIDTH, most_words: int = MOST_WORDS, keep: list[str] | None = None, result: str = "contamination") -> DataFrame:
@@ -300,64 +304,66 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text"
     size = found.agg(F.sum(F.size("words"))).first()[0] or 0
     count = max(1, -(-size // most_words))
     found = found.withColumn("shard", F.pmod(F.xxhash64("item", "words"), F.lit(count)))
-    docs, raw_text = (docs if keep is None else docs.select(*keep)).drop(result), docs.withColumn("__raw", utf8(F.col(text)))
-    out = raw_text.select(*docs.columns, "__raw").withColumn("__ranges", F.array().cast("array<struct<start:long,end:long>>")).withColumn("__items", F.array().cast("array<long>")).withColumn("__words", F.lit(0).cast("long"))
+    ids_type = T.ArrayType(found.schema["item"].dataType)
+    kept = [c for c in (docs.columns if keep is None else keep) if c != result]
+    # the document's own columns travel as one, so that their names meet no others
+    row = F.struct(*[F.col(f"`{c}`") for c in kept]) if kept else F.struct(F.lit(None).cast("string").alias("none"))
+    out = docs.select(row.alias("row"), utf8(F.col(f"`{text}`")).alias("raw"), F.array().cast(SPANS_SQL).alias("ranges"), F.array().cast(ids_type).alias("items"))
     for k in range(count):
         shard = found.filter(F.col("shard") == k).orderBy("item", "words").toArrow()  # about `most_words` words
+        kind = shard.schema.field("item").type
         listed = shard.column("words").combine_chunks() if len(shard) else pa.array([], pa.list_(pa.int64()))
-        arrays = (listed.flatten().to_numpy().view(np.uint64), listed.value_lengths().to_numpy().astype(np.int64), shard.column("item").to_numpy() if len(shard) else np.zeros(0, np.int64))
-        sent = spark.sparkContext.broadcast(arrays)
+        ids = (shard.column("item").combine_chunks() if len(shard) else pa.array([], kind)).dictionary_encode()
+        arrays = (listed.flatten().to_numpy().view(np.uint64), listed.value_lengths().to_numpy().astype(np.int64), ids.indices.to_numpy().astype(np.int64))
+        sent = spark.sparkContext.broadcast((arrays, ids.dictionary.to_pylist()))
         key = hashlib.sha256(b"".join(a.tobytes() for a in arrays) + b"%d" % width).hexdigest()
         final = k == count - 1
 
-        def run(source, sent=sent, key=key, final=final):
+        def run(source, sent=sent, key=key, final=final, kind=kind):
             claim("automaton")
+            arrays, names = sent.value
             if key not in _BUILT:
                 _BUILT.clear()
-                _BUILT[key] = Automaton(*sent.value, width)
+                _BUILT[key] = Automaton(*arrays, width)
             built, known = _BUILT[key], Hashes()
             for batch in source:
-                at = {name: batch.schema.get_field_index(name) for name in ("__ranges", "__items", "__words", "__raw")}
                 scanned, waiting, held = [], [], 0
                 counts = np.zeros(batch.num_rows, np.int64)
-                for row, raw in enumerate(batch.column(at["__raw"])):
+                for at, raw in enumerate(batch.column(1)):
                     waiting.append(word_hashes(raw.as_py(), known))
-                    counts[row] = len(waiting[-1])
+                    counts[at] = len(waiting[-1])
                     held += len(waiting[-1])
                     if held > TOGETHER:
                         scanned += built.scan(waiting)
                         waiting, held = [], 0
                 scanned += built.scan(waiting) if waiting else []
                 ranges, items = [], []
-                for (new, of), old, had in zip(scanned, batch.column(at["__ranges"]), batch.column(at["__items"])):
+                for (new, of), old, had in zip(scanned, batch.column(2), batch.column(3)):
                     ranges.append([{"start": a, "end": b} for a, b in sorted([(r["start"], r["end"]) for r in old.as_py()] + new)] if len(old) else [{"start": a, "end": b} for a, b in new])
-                    items.append(sorted({*of, *had.as_py()}))
-                columns = list(batch.columns)
-                columns[at["__ranges"]] = pa.array(ranges, pa.list_(SPAN))
-                columns[at["__items"]] = pa.array(items, pa.list_(pa.int64()))
-                columns[at["__words"]] = pa.array(counts)
-                if final:
-                    hit, spans = [], []
-                    for raw, rs in zip(batch.column(at["__raw"]), ranges):
-                        merged: list[list[int]] = []
-                        for r in rs:
-                            if merged and r["start"] <= merged[-1][1]:
-                                merged[-1][1] = max(merged[-1][1], r["end"])
-                            else:
-                                merged.append([r["start"], r["end"]])
-                        hit.append(sum(b - a for a, b in merged))
-                        spans.append(original_spans(raw.as_py(), merged) if merged else [])
-                    done = pa.StructArray.from_arrays([columns[at["__words"]], pa.array(hit, pa.int64()), columns[at["__items"]], pa.array(spans, pa.list_(SPAN))], names=["n_words", "n_hit", "items", "spans"])
-                    keep = [i for i in range(len(columns)) if i not in at.values()]
-                    yield pa.RecordBatch.from_arrays([*(columns[i] for i in keep), done], names=[*(batch.schema.names[i] for i in keep), result])
-                else:
-                    yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
+                    items.append(sorted({*(names[i] for i in of), *had.as_py()}))
+                columns = [pa.array(ranges, pa.list_(SPAN)), pa.array(items, pa.list_(kind))]
+                if not final:
+                    yield pa.RecordBatch.from_arrays([*batch.columns[:2], *columns], names=batch.schema.names)
+                    continue
+                hit, spans = [], []
+                for raw, rs in zip(batch.column(1), ranges):
+                    merged: list[list[int]] = []
+                    for r in rs:
+                        if merged and r["start"] <= merged[-1][1]:
+                            merged[-1][1] = max(merged[-1][1], r["end"])
+                        else:
+                            merged.append([r["start"], r["end"]])
+                    hit.append(sum(b - a for a, b in merged))
+                    spans.append(original_spans(raw.as_py(), merged) if merged else [])
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts), pa.array(hit, pa.int64()), columns[1], pa.array(spans, pa.list_(SPAN))], names=["row", "n_words", "n_hit", "items", "spans"])
 
         schema = out.schema
         if final:
-            schema = docs.schema.add(result, spark.createDataFrame([], HITS_SQL).schema)
+            long = T.LongType()
+            schema = T.StructType([out.schema["row"], T.StructField("n_words", long), T.StructField("n_hit", long), T.StructField("items", ids_type), T.StructField("spans", T.DataType.fromDDL(SPANS_SQL))])
         out = out.mapInArrow(run, schema)
-    return out
+    hits = F.struct("n_words", "n_hit", "items", "spans").alias(result)
+    return out.select("row.*", hits) if kept else out.select(hits)
 
 
 def op6_aho_corasick(spark: SparkSession, sf_dir: str) -> DataFrame:

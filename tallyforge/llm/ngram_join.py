@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyforge.llm.common import claim, cut, ship, table, utf8
+from tallyforge.llm.common import claim, cut, ship, table
 from tallyforge.llm.components import components, join_by_key
 from tallyforge.llm.decontaminate import words
 
@@ -84,8 +84,10 @@ def minhash(values: np.ndarray, hashes: int) -> np.ndarray:
 
 
 def named(docs: DataFrame, doc: str, text: str) -> DataFrame:
-    """Adds __id, and __mark: with the id it tells rows of different texts apart."""
-    return docs.withColumns({"__id": F.col(doc).cast("long"), "__mark": F.xxhash64(F.coalesce(F.col(text), F.lit("")))})
+    """row (the document's own columns, whatever their names), __id, __mark and __text: the mark and the id tell rows of different texts apart."""
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row")
+    body = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
+    return docs.select(row, F.col(f"`{doc}`").cast("long").alias("__id"), F.xxhash64(body).alias("__mark"), body.cast("binary").alias("__text"))
 
 
 def sketches(docs: DataFrame, doc: str, text: str, n: int, bands: int, rows: int) -> DataFrame:
@@ -107,7 +109,7 @@ def sketches(docs: DataFrame, doc: str, text: str, n: int, bands: int, rows: int
                 all_bands.append([xxhash.xxh3_64_intdigest(m[i * rows : (i + 1) * rows].tobytes(), seed=i) - 2**63 for i in range(bands)])
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(keys, pa.binary()), pa.array(all_bands, pa.list_(pa.int64()))], schema=SKETCH)
 
-    return named(docs, doc, text).select("__id", "__mark", utf8(F.col(text))).filter("__id IS NOT NULL").mapInArrow(run, "doc_id long, mark long, key binary, bands array<long>")
+    return named(docs, doc, text).select("__id", "__mark", "__text").filter("__id IS NOT NULL").mapInArrow(run, "doc_id long, mark long, key binary, bands array<long>")
 
 
 def ngram_ids(texts: list[bytes], n: int) -> list[np.ndarray]:
@@ -185,7 +187,7 @@ def judged(docs: DataFrame, doc: str, text: str, n: int = N, threshold: float =
     sizes = groups.groupBy("root").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"), F.count("*").alias("n"))
     members = join_by_key(groups, sizes, ["root"], total).join(classes.select("key", "copies", F.col("rep.doc_id").alias("__id"), F.col("rep.mark").alias("__mark")), "key")
     members = cut(members.join(repeated.withColumnsRenamed({"doc_id": "__id", "mark": "__mark"}), ["__id", "__mark"], "left").withColumn("n", F.coalesce("n", F.lit(1))))
-    texts = named(docs, doc, text).select("__id", "__mark", utf8(F.col(text)).alias("text"))
+    texts = named(docs, doc, text).select("__id", "__mark", F.col("__text").alias("text"))
     texts = texts.join(F.broadcast(members), ["__id", "__mark"]) if members.count() <= BROADCAST_ROWS else join_by_key(texts, members.withColumn("again", F.col("n")), ["__id", "__mark"], total).withColumnRenamed("again", "n")
     if not repeated.isEmpty():  # a text is compared once, however many rows repeat it under one id
         texts = texts.filter("n = 1").unionByName(texts.filter("n > 1").dropDuplicates(["__id", "__mark"]))
@@ -212,7 +214,7 @@ def near_duplicates(docs: DataFrame, doc: str = "doc_id", text: str = "text", **
     none, zero = F.lit(None).cast("long"), F.lit(0).cast("long")
     result = join_by_key(roots, least, ["root"], total).select("key", "class_id", F.col("rep.doc_id").alias("copy_id"), (F.col("copies") - 1 + F.coalesce("documents", zero)).alias("n_links"), F.coalesce("texts", zero).alias("n_text_links"), F.col("copies").alias("n"))
     found = join_by_key(sketch, result, ["key"], total).select("doc_id", "class_id", "n_links", "n_text_links", "copy_id")
-    nameless = docs.filter(F.col(doc).isNull()).select(none.alias("doc_id"), none.alias("class_id"), zero.alias("n_links"), zero.alias("n_text_links"), none.alias("copy_id"))
+    nameless = docs.filter(F.col(f"`{doc}`").isNull()).select(none.alias("doc_id"), none.alias("class_id"), zero.alias("n_links"), zero.alias("n_text_links"), none.alias("copy_id"))
     return found.unionByName(nameless)
 
 
@@ -228,9 +230,8 @@ def keep_one(docs: DataFrame, doc: str = "doc_id", text: str = "text", **setting
     mine = sketch.groupBy("doc_id", "key", "mark").agg(F.count("*").alias("n")).join(kept, ["doc_id", "key"])
     rows = mine.groupBy("doc_id", "key").agg(F.sum("n").alias("rows"))
     wanted = cut(mine.join(rows, ["doc_id", "key"]).select(F.col("doc_id").alias("__id"), F.col("mark").alias("__mark"), F.col("key").alias("__key"), F.col("rows").alias("__rows"), "n"))
-    inner = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    found = join_by_key(named(docs, doc, text).select(inner.alias("__row"), "__id", "__mark"), wanted, ["__id", "__mark"], total)
-    nameless = docs.filter(F.col(doc).isNull())
+    found = join_by_key(named(docs, doc, text).select("__row", "__id", "__mark"), wanted, ["__id", "__mark"], total)
+    nameless = docs.filter(F.col(f"`{doc}`").isNull())
     if wanted.filter("__rows > 1").isEmpty():
         return found.select("__row.*").unionByName(nameless)
     row = F.col("__row")
