@@ -14,6 +14,8 @@ from tallyforge.operators.substrings import containing, occurrences
 # Words of a page's start that mark sections to drop or keep.
 DROP_WORDS = ("secretarial audit", "form no. mr-", "annexure-a", "board of directors\nthe following", "corporate governance report", "certificate on corporate governance", "csr committee", "annual report on csr", "related party transactions", "dividend distribution policy")
 KEEP_WORDS = ("financial statements", "balance sheet", "profit and loss", "cash flow", "notes to standalone", "notes to consolidated", "statement of changes in equity", "management discussion", "independent auditor", "key audit matters")
+# Characters from which a document's sections are filtered, pages that tell how many it has.
+LARGE_CHARS, SAMPLE_PAGES = 400_000, 10
 TOKENS_PER_FILE, TOKENS_IN_ALL, LEAST_TOKENS, CHARS_PER_TOKEN = 15_000, 100_000, 1_000, 4
 
 
@@ -133,6 +135,23 @@ def drop_sections(pages: DataFrame, document: str, page: str, klass: str = "clas
     return pages.withColumn("__last", last).filter(F.coalesce(F.col("__last") != "DROP", F.lit(True))).drop("__last")
 
 
+def sections(pages: DataFrame, document: str, page: str, text: str, drop: tuple[str, ...] = DROP_WORDS, keep: tuple[str, ...] = KEEP_WORDS, least: int = LARGE_CHARS) -> DataFrame:
+    """document, page, class of the pages that stay: all of a small document, without dropped sections of a large one.
+
+    A document is large if its first ten pages say that it has more than `least`
+    characters. Texts are reduced to their class and length before documents are
+    put together.
+    """
+    rows = pages.select(document, page, page_class(text, drop, keep).alias("class"), F.length(F.coalesce(F.col(text), F.lit(""))).alias("__chars"))
+    order = Window.partitionBy(document).orderBy(page)
+    rows = rows.withColumns({"__place": F.row_number().over(order), "__pages": F.count("*").over(Window.partitionBy(document))})
+    sample = F.sum(F.when(F.col("__place") <= SAMPLE_PAGES, F.col("__chars"))).over(Window.partitionBy(document))
+    large = sample * (F.col("__pages") / F.least(F.col("__pages"), F.lit(SAMPLE_PAGES))) > least
+    last = F.last(F.when(F.col("class") != "NEUTRAL", F.col("class")), ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0))
+    rows = rows.withColumns({"__large": large, "__last": last})
+    return rows.filter(~F.col("__large") | F.coalesce(F.col("__last") != "DROP", F.lit(True))).select(document, page, "class")
+
+
 def character_budgets(files: DataFrame, task: str, order: str, size: str, per_file: int = TOKENS_PER_FILE, in_all: int = TOKENS_IN_ALL, marker: int = 150) -> DataFrame:
     """Per task its files in order, each with the characters it may use and the characters it then uses.
 

@@ -48,7 +48,7 @@ def comparison(passes: DataFrame, scores: DataFrame | None = None) -> DataFrame:
 
 
 def rollup(passes: DataFrame, success: Column | None = None, last_error: bool = False) -> DataFrame:
-    """Per task: agents attempted, succeeded and failed in text order, an error for each failed agent, cost, longest duration.
+    """Per task: agents attempted, succeeded and failed in text order, an error for each failed agent, cost, longest duration, number of passes.
 
     `success` is an aggregate over an agent's passes (any completed pass, if not
     given). The error is the first one of a failed agent, or the last.
@@ -58,7 +58,7 @@ def rollup(passes: DataFrame, success: Column | None = None, last_error: bool =
     pick = F.element_at(F.col("__errors"), -1 if last_error else 1)
     by_agent = (
         passes.groupBy("task_id", "agent")
-        .agg((success if success is not None else any_completed()).alias("ok"), ordered.alias("__errors"), F.sum("cost").alias("cost"), F.max("duration").alias("duration"))
+        .agg((success if success is not None else any_completed()).alias("ok"), ordered.alias("__errors"), F.sum("cost").alias("cost"), F.max("duration").alias("duration"), F.count("*").alias("n"))
         .withColumn("error", F.when(F.size("__errors") > 0, pick["error"]).otherwise(""))
     )
     names = lambda test: F.array_sort(F.collect_list(F.when(test, F.col("agent"))))
@@ -70,6 +70,7 @@ def rollup(passes: DataFrame, success: Column | None = None, last_error: bool =
         F.map_from_entries(F.array_sort(F.collect_list(F.when(failed, F.struct("agent", "error"))))).alias("agent_errors"),
         F.sum("cost").alias("total_cost"),
         F.max("duration").alias("total_duration"),
+        F.sum("n").alias("n_passes"),
     )
 
 

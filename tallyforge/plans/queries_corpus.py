@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tallyforge.functions import labels, text
 from tallyforge.operators import corpus
 from tallyforge.plans.registry import query
-from tallyforge.plans.views import FILES_SQL, files, table
+from tallyforge.plans.views import FILES_SQL, files, quoted, table
 
 TERMS = ("the", "tion", "the")
 
@@ -84,6 +84,24 @@ def n05_f42_sections(spark, sf):
     return corpus.drop_sections(d, "conv_id", "turn")
 
 
+MARKS = (*corpus.KEEP_WORDS, *corpus.DROP_WORDS)
+ANY_SQL = lambda words: " OR ".join(f"contains(start, {quoted(w)})" for w in words)
+
+
+@query(f"""WITH t AS (SELECT coalesce(source, '') AS document, doc_id AS page, CASE WHEN doc_id % 3 = 0 THEN [{", ".join(map(quoted, MARKS))}][doc_id // 3 % {len(MARKS)} + 1] || ' ' || coalesce(text, '') ELSE coalesce(text, '') END AS text FROM documents),
+p AS (SELECT document, page, length(text) AS n, lower(text[1:500]) AS start FROM t), c AS (SELECT document, page, n, CASE WHEN {ANY_SQL(corpus.KEEP_WORDS)} THEN 'KEEP' WHEN {ANY_SQL(corpus.DROP_WORDS)} THEN 'DROP' ELSE 'NEUTRAL' END AS class FROM p),
+w AS (SELECT *, row_number() OVER (PARTITION BY document ORDER BY page) AS place, count(*) OVER (PARTITION BY document) AS pages, last_value(CASE WHEN class <> 'NEUTRAL' THEN class END IGNORE NULLS) OVER (PARTITION BY document ORDER BY page ROWS UNBOUNDED PRECEDING) AS last FROM c),
+l AS (SELECT *, sum(CASE WHEN place <= 10 THEN n END) OVER (PARTITION BY document) * (pages / least(pages, 10)) > 400000 AS large FROM w)
+SELECT document, page, class FROM l WHERE NOT large OR coalesce(last <> 'DROP', true)""")
+def f42_large_documents(spark, sf):
+    """Sources as documents and texts as their pages, a third of which begin with a word of the fixed lists; only large documents lose sections."""
+    d = table(spark, sf, "documents")
+    mark = F.element_at(F.array(*map(F.lit, MARKS)), (F.floor(F.col("doc_id") / 3) % len(MARKS) + 1).cast("int"))
+    body = F.coalesce(F.col("text"), F.lit(""))
+    pages = d.select(F.coalesce("source", F.lit("")).alias("document"), F.col("doc_id").alias("page"), F.when(F.col("doc_id") % 3 == 0, F.concat(mark, F.lit(" "), body)).otherwise(body).alias("text"))
+    return corpus.sections(pages, "document", "page", "text")
+
+
 @query("""WITH RECURSIVE f AS (SELECT conv_id, turn AS ord, length(text) * 40 AS size, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS i FROM conversations),
 r AS (SELECT conv_id, CAST(0 AS BIGINT) AS i, CAST(0 AS BIGINT) AS used, CAST(NULL AS BIGINT) AS ord, CAST(NULL AS BIGINT) AS size, CAST(NULL AS BIGINT) AS lim, CAST(NULL AS BIGINT) AS kept FROM (SELECT DISTINCT conv_id FROM f)
   UNION ALL SELECT s.conv_id, s.i, s.used + s.kept, s.ord, s.size, s.lim, s.kept FROM (

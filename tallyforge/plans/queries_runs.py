@@ -175,8 +175,7 @@ FROM (SELECT *, bool_or(completed) OVER (PARTITION BY task_id, agent) AS ok FROM
 def w07_m06_extract_by_model(spark, sf):
     flat = flatten(with_matching_model(envelopes(spark, sf).select("task_id", "agent_results"), "brand#1"))
     flat = flat.select("task_id", "agent", "pass_idx", "run.completed", "run.error", "run.cost", "run.duration")
-    counted = flat.groupBy("task_id").agg(F.count("*").alias("n_passes"))
-    r = runs.rollup(flat, last_error=True).join(counted, "task_id")
+    r = runs.rollup(flat, last_error=True)
     return r.select("task_id", F.array_join("agents_attempted", ",").alias("agents"), "n_passes", F.col("total_cost").cast("double").alias("cost"), F.col("total_duration").alias("duration"), F.array_join("agents_succeeded", ",").alias("succeeded"))
 
 
@@ -223,8 +222,8 @@ def a19_comparison(spark, sf):
 @query(f"""{BOTH}, {BEST_SQL}, s AS (SELECT DISTINCT CAST(doc_id AS VARCHAR) AS task_id, agent, quality * 10 + toxic AS total_score FROM labels, (SELECT DISTINCT l_returnflag AS agent FROM lineitem) WHERE agent <> 'N')
 SELECT b.task_id, b.agent, b.pass_idx AS best_pass_idx, b.response_length, s.total_score FROM best b LEFT JOIN s ON b.task_id = s.task_id AND b.agent = s.agent""")
 def j02_comparison_scores(spark, sf):
-    agents = table(spark, sf, "lineitem").select(F.col("l_returnflag").alias("agent")).distinct().filter("agent <> 'N'")
-    scores = table(spark, sf, "labels").select(F.col("doc_id").cast("string").alias("task_id"), (F.col("quality") * 10 + F.col("toxic")).alias("total_score")).crossJoin(F.broadcast(agents)).distinct()
+    agents = table(spark, sf, "lineitem").select(F.col("l_orderkey").cast("string").alias("task_id"), F.col("l_returnflag").alias("agent")).filter("agent <> 'N'").distinct()
+    scores = table(spark, sf, "labels").select(F.col("doc_id").cast("string").alias("task_id"), (F.col("quality") * 10 + F.col("toxic")).alias("total_score")).distinct().join(agents, "task_id")
     return runs.comparison(passes(spark, sf), scores).select("task_id", "agent", "best_pass_idx", "response_length", "total_score")
 
 

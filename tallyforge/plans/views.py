@@ -44,11 +44,13 @@ def tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def passes(spark: SparkSession, sf_dir: str) -> DataFrame:
     li, p = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_name", "p_type")
-    order = Window.partitionBy("l_orderkey", "l_returnflag").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity")
+    # numbered by the keys under the names that everything else groups by, so that one shuffle serves both
+    li = li.withColumns({"task_id": F.col("l_orderkey").cast("string"), "agent": F.col("l_returnflag")})
+    order = Window.partitionBy("task_id", "agent").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity")
     error = F.element_at(F.array(*map(F.lit, ERRORS)), (F.col("l_partkey") % len(ERRORS) + 1).cast("int"))
     return li.join(p, li.l_partkey == p.p_partkey, "left").select(
-        F.col("l_orderkey").cast("string").alias("task_id"),
-        F.col("l_returnflag").alias("agent"),
+        "task_id",
+        "agent",
         (F.row_number().over(order) - 1).alias("pass_idx"),
         F.col("p_brand").alias("model"),
         (F.col("l_linestatus") == "F").alias("completed"),

@@ -146,8 +146,14 @@ def eligibility(agent: Column, closed: Column, bytes_: Column, agents: tuple[str
     return F.struct(agent.isin(*agents).alias("eligible"), note.alias("note"))
 
 
+#: Agents that a fan-out sends to every task.
+MOST_AGENTS = 1_000
+
+
 def fan_out(tasks: DataFrame, agents: DataFrame, passes: int) -> DataFrame:
-    """Each task with each agent of the small `agents` table and each pass number from 1."""
+    """Each task with each agent of the `agents` table, which has at most MOST_AGENTS rows, and each pass number from 1."""
+    if agents.limit(MOST_AGENTS + 1).count() > MOST_AGENTS:
+        raise ValueError(f"more than {MOST_AGENTS} agents")
     numbered = agents.withColumn("pass_number", F.explode(F.sequence(F.lit(1), F.lit(passes))))
     return tasks.crossJoin(F.broadcast(numbered)).withColumn("pass_task_id", F.concat_ws("_", "task_id", "agent", F.concat(F.lit("p"), F.col("pass_number"))))
 
