@@ -20,6 +20,3 @@ def query(sql: str | None = None):
         return f
 
     return register
-
-
-from tallyforge.plans import queries_corpus, queries_files, queries_intake, queries_runs, queries_store  # noqa: E402, F401
