@@ -199,7 +199,11 @@ class ResultStore:
         given = [F.col(f"`{c}`") for c in order] or [F.coalesce(c, F.lit("")) for c in ("dispatched_at", "completed_at")]
         tie = F.xxhash64(F.to_json(F.struct(*[f"`{c}`" for c in rows.columns])))
         rows = rows.withColumn("__seq", F.struct(*[c.alias(f"k{i}") for i, c in enumerate(given)], tie.alias("tie")))
-        staged, touched = self._bucketed(merge_results(rows, ["task_id"], F.col("__seq")).select(*T._parse_datatype_string(ROWS).names))
+        staged, touched = self._bucketed(rows)
+        names = T._parse_datatype_string(ROWS).names
+        if not staged.groupBy("task_id").agg(F.count("*").alias("n")).filter("n > 1").isEmpty():
+            staged, touched = self._bucketed(merge_results(staged, ["task_id"], F.col("__seq")).select(*names))
+        staged = staged.select(*names, "bucket")
         while True:
             base = self.manifest()
             if not touched:
