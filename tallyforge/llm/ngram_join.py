@@ -6,10 +6,13 @@
 3. A shuffle on band hashes finds classes that meet in a bucket. Each bucket
    hands on one edge per member, to its least member, so that a bucket of n
    classes costs n rows. Components of these edges are the candidate groups.
-4. Inside a candidate group all pairs are verified on their full n-gram sets.
-   A group is dealt into blocks of bounded size and every two blocks meet in one
-   task, which returns rows per member: the links counted, and one edge to the
-   least member of its verified component. Pairs themselves are never rows.
+4. Pairs are verified on their full n-gram sets, all those of a candidate group,
+   dealt into blocks of bounded size of which every two meet in one task. A
+   group may be a chain in which few texts share a bucket; where dealing its
+   buckets takes fewer copies of texts than dealing it whole, its pairs are
+   verified in the first bucket that they share. A task returns rows per member:
+   the links counted, and one edge to the least member of its verified
+   component. Pairs themselves are never rows.
 5. Components of the verified edges are the near-duplicate classes.
 
 No bucket, group or partner is capped, and copies are never expanded.
@@ -39,11 +42,11 @@ from tallyforge.llm.components import components, join_by_key
 from tallyforge.llm.decontaminate import words
 
 N, THRESHOLD, RECALL, MAX_HASHES = 5, 0.8, 0.999, 256
-#: Classes in a block; two blocks meet in a task.
-BLOCK = 1024
+#: Classes in a block, and bytes of its texts in the mean, where it has several; two blocks meet in a task.
+BLOCK, BLOCK_BYTES = 1024, 8 << 20
 #: Up to so many grouped classes (under 100 bytes each) their ids are broadcast to find their texts.
 BROADCAST_ROWS = 200_000
-SKETCH = pa.schema([("doc_id", pa.int64()), ("mark", pa.int64()), ("key", pa.binary()), ("bands", pa.list_(pa.int64()))])
+SKETCH = pa.schema([("doc_id", pa.int64()), ("mark", pa.int64()), ("key", pa.binary()), ("bands", pa.list_(pa.int64())), ("bytes", pa.int64())])
 COUNTED = pa.schema([("key", pa.binary()), ("documents", pa.int64()), ("texts", pa.int64()), ("peer", pa.binary())])
 
 
@@ -91,14 +94,15 @@ def named(docs: DataFrame, doc: str, text: str) -> DataFrame:
 
 
 def sketches(docs: DataFrame, doc: str, text: str, n: int, bands: int, rows: int) -> DataFrame:
-    """doc_id, hash of the raw text, key of equal words, band hashes (none without words)."""
+    """doc_id, hash of the raw text, key of equal words, band hashes (none without words), bytes of the text."""
 
     def run(source):
         claim("sketches")
         for batch in source:
-            keys, all_bands = [], []
+            keys, all_bands, sizes = [], [], []
             for raw in batch.column(2):
                 raw = raw.as_py()
+                sizes.append(len(raw))
                 w = words(raw)
                 if not w:
                     keys.append(xxhash.xxh3_128_digest(b"\0" + raw))
@@ -107,9 +111,9 @@ def sketches(docs: DataFrame, doc: str, text: str, n: int, bands: int, rows: int
                 keys.append(words_key(w))
                 m = minhash(ngram_hashes(w, n), bands * rows)
                 all_bands.append([xxhash.xxh3_64_intdigest(m[i * rows : (i + 1) * rows].tobytes(), seed=i) - 2**63 for i in range(bands)])
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(keys, pa.binary()), pa.array(all_bands, pa.list_(pa.int64()))], schema=SKETCH)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(keys, pa.binary()), pa.array(all_bands, pa.list_(pa.int64())), pa.array(sizes, pa.int64())], schema=SKETCH)
 
-    return named(docs, doc, text).select("__id", "__mark", "__text").filter("__id IS NOT NULL").mapInArrow(run, "doc_id long, mark long, key binary, bands array<long>")
+    return named(docs, doc, text).select("__id", "__mark", "__text").filter("__id IS NOT NULL").mapInArrow(run, "doc_id long, mark long, key binary, bands array<long>, bytes long")
 
 
 def ngram_ids(texts: list[bytes], n: int) -> list[np.ndarray]:
@@ -142,11 +146,13 @@ def linked(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, threshol
 
 
 def verify(members: pa.Table, n: int, threshold: float) -> pa.Table:
-    """Rows for one pair of blocks (or one block with itself)."""
+    """Rows for one pair of blocks (or one block with itself); those of a bucket leave out pairs that share an earlier one."""
     keys = members.column("key").to_pylist()
     weight = members.column("copies").to_numpy()
     block = members.column("block").to_numpy()
     first, second = members.column("i")[0].as_py(), members.column("j")[0].as_py()
+    bucket = members.column("bucket")[0].as_py()
+    bands = None if bucket is None else np.array(members.column("bands").to_pylist())
     sets = ngram_ids(members.column("text").to_pylist(), n)
     left, right = np.flatnonzero(block == first), np.flatnonzero(block == second)
     documents, texts = np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int64)
@@ -159,6 +165,9 @@ def verify(members: pa.Table, n: int, threshold: float) -> pa.Table:
         return x
 
     for row, found in linked(sets, left, right, threshold):
+        if bands is not None:
+            shared = bands[found] == bands[row]
+            found = found[bands[row][shared.argmax(axis=1)] == bucket]
         documents[row] += weight[found].sum()
         texts[row] += len(found)
         if first != second:
@@ -172,29 +181,59 @@ def verify(members: pa.Table, n: int, threshold: float) -> pa.Table:
     return pa.Table.from_arrays([pa.array([keys[k] for k in some], pa.binary()), pa.array(documents[some]), pa.array(texts[some]), pa.array([keys[top(int(k))] for k in some], pa.binary())], schema=COUNTED)
 
 
-def judged(docs: DataFrame, doc: str, text: str, n: int = N, threshold: float = THRESHOLD, recall: float = RECALL, max_hashes: int = MAX_HASHES, block: int = BLOCK) -> tuple[DataFrame, DataFrame, int]:
+def dealt(groups: DataFrame, met: DataFrame, total: int, bands: int, block: int, block_bytes: int = BLOCK_BYTES) -> tuple[DataFrame, bool]:
+    """(root, key and parts of every grouped class, whether any group is dealt by buckets); a part is a bucket (null for the whole group) and its number of blocks.
+
+    `groups` has key, root and bytes, `met` the buckets of all keys, `total` is
+    at least the number of classes. A part of b blocks sends each of its texts b
+    times, so the copies that either way takes are known from counts; the
+    cheaper way is taken, that of the whole group where it has one block.
+    """
+
+    def blocks(rows: DataFrame, key: str, *also) -> DataFrame:
+        cuts = F.greatest(F.ceil(F.col("n") / block), F.least(F.col("n"), F.ceil(F.col("size") / block_bytes))).cast("int")
+        return rows.groupBy(key).agg(F.count("*").alias("n"), F.sum("bytes").alias("size"), *also).withColumn("blocks", cuts)
+
+    sizes = blocks(groups, "root").withColumn("copies", F.col("n") * F.col("blocks")).drop("size")
+    members = join_by_key(groups, sizes, ["root"], total)
+    whole = F.array(F.struct(F.lit(None).cast("long").alias("bucket"), "blocks")).alias("parts")
+    if sizes.filter("blocks > 1").isEmpty():
+        return members.select("root", "key", whole), False
+    members = cut(members)
+    inside = cut(met.join(members.filter("blocks > 1").drop("blocks"), "key"))
+    buckets = cut(blocks(inside, "bucket", F.first("root").alias("root"), F.first("copies").alias("copies")).filter("n > 1").drop("size"))
+    chains = buckets.groupBy("root").agg(F.sum(F.col("n") * F.col("blocks")).alias("dealt"), F.first("copies").alias("copies"), F.count("*").alias("n")).filter("dealt < copies").select("root", "n")
+    chosen = join_by_key(buckets.select("root", "bucket", "blocks", F.col("n").alias("rows")), chains, ["root"], total * bands).select("bucket", "blocks", F.col("rows").alias("n"))
+    parted = cut(join_by_key(inside.select("root", "key", "bucket"), chosen, ["bucket"], total * bands).groupBy("key").agg(F.first("root").alias("root"), F.collect_list(F.struct("bucket", "blocks")).alias("parts")))
+    # every class of a group shares a bucket with another, so all classes of such a group are in `parted`
+    return members.join(parted.select("key"), "key", "left_anti").select("root", "key", whole).unionByName(parted), not parted.isEmpty()
+
+
+def judged(docs: DataFrame, doc: str, text: str, n: int = N, threshold: float = THRESHOLD, recall: float = RECALL, max_hashes: int = MAX_HASHES, block: int = BLOCK, block_bytes: int = BLOCK_BYTES) -> tuple[DataFrame, DataFrame, int]:
     """(sketch: doc_id, mark and key of every row with an id; one row per key: its class's root, its rep (id and mark) and copies, linked documents and texts; rows of sketch)."""
     ship(docs.sparkSession)
     bands, rows = banding(threshold, recall, max_hashes)
     sketch = cut(sketches(docs, doc, text, n, bands, rows))
     total = sketch.count()
     repeated = cut(sketch.groupBy("doc_id", "mark").agg(F.count("*").alias("n")).filter("n > 1"))
-    classes = sketch.groupBy("key").agg(F.min(F.struct("doc_id", "mark")).alias("rep"), F.count("*").alias("copies"), F.first("bands").alias("bands"))
+    classes = sketch.groupBy("key").agg(F.min(F.struct("doc_id", "mark")).alias("rep"), F.count("*").alias("copies"), F.first("bands").alias("bands"), F.max("bytes").alias("bytes"))
     met = classes.select("key", F.explode("bands").alias("bucket"))
     pivots = met.groupBy("bucket").agg(F.min("key").alias("pivot"), F.count("*").alias("n")).filter("n > 1")
     groups = components(join_by_key(met, pivots, ["bucket"], total * bands).select("key", "pivot").distinct(), "key", "pivot")
     groups = groups.unionByName(groups.select(F.col("root").alias("node"), "root").distinct()).withColumnRenamed("node", "key")
-    sizes = groups.groupBy("root").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"), F.count("*").alias("n"))
-    members = join_by_key(groups, sizes, ["root"], total).join(classes.select("key", "copies", F.col("rep.doc_id").alias("__id"), F.col("rep.mark").alias("__mark")), "key")
+    parts, split = dealt(groups.join(classes.select("key", "bytes"), "key"), met, total, bands, block, block_bytes)
+    shown = F.when(F.get("parts", F.lit(0))["bucket"].isNotNull(), F.col("bands")).alias("bands")
+    members = parts.join(classes.select("key", "copies", "bands", F.col("rep.doc_id").alias("__id"), F.col("rep.mark").alias("__mark")), "key").select("root", "key", "parts", "copies", "__id", "__mark", shown)
     members = cut(members.join(repeated.withColumnsRenamed({"doc_id": "__id", "mark": "__mark"}), ["__id", "__mark"], "left").withColumn("n", F.coalesce("n", F.lit(1))))
     texts = named(docs, doc, text).select("__id", "__mark", F.col("__text").alias("text"))
-    texts = texts.join(F.broadcast(members), ["__id", "__mark"]) if members.count() <= BROADCAST_ROWS else join_by_key(texts, members.withColumn("again", F.col("n")), ["__id", "__mark"], total).withColumnRenamed("again", "n")
+    texts = texts.join(F.broadcast(members), ["__id", "__mark"]) if not split and members.count() <= BROADCAST_ROWS else join_by_key(texts, members.withColumn("again", F.col("n")), ["__id", "__mark"], total).withColumnRenamed("again", "n")
     if not repeated.isEmpty():  # a text is compared once, however many rows repeat it under one id
         texts = texts.filter("n = 1").unionByName(texts.filter("n > 1").dropDuplicates(["__id", "__mark"]))
-    own = F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int")
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    met_blocks = texts.withColumn("block", own).withColumn("other", other).select("root", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "key", "copies", "text")
-    counted = cut(met_blocks.groupBy("root", "i", "j").applyInArrow(lambda t: verify(t, n, threshold), "key binary, documents long, texts long, peer binary"))
+    own = F.pmod(F.xxhash64("key"), F.col("part.blocks")).cast("int")
+    other = F.explode(F.sequence(F.lit(0), F.col("part.blocks") - 1))
+    met_blocks = texts.withColumn("part", F.explode("parts")).withColumn("block", own).withColumn("other", other)
+    met_blocks = met_blocks.select("root", "part.bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "key", "copies", "bands", "text")
+    counted = cut(met_blocks.groupBy("root", "bucket", "i", "j").applyInArrow(lambda t: verify(t, n, threshold), "key binary, documents long, texts long, peer binary"))
     links = counted.groupBy("key").agg(F.sum("documents").alias("documents"), F.sum("texts").alias("texts"))
     joined = components(counted.select("key", "peer"), "key", "peer")
     roots = classes.select("key", "rep", "copies").join(joined.withColumnRenamed("node", "key"), "key", "left").join(links, "key", "left").withColumn("root", F.coalesce("root", "key"))
