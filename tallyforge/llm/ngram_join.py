@@ -181,32 +181,37 @@ def verify(members: pa.Table, n: int, threshold: float) -> pa.Table:
     return pa.Table.from_arrays([pa.array([keys[k] for k in some], pa.binary()), pa.array(documents[some]), pa.array(texts[some]), pa.array([keys[top(int(k))] for k in some], pa.binary())], schema=COUNTED)
 
 
-def dealt(groups: DataFrame, met: DataFrame, total: int, bands: int, block: int, block_bytes: int = BLOCK_BYTES) -> tuple[DataFrame, bool]:
+def dealt(groups: DataFrame, met: DataFrame, pivots: DataFrame, total: int, bands: int, block: int, block_bytes: int = BLOCK_BYTES) -> tuple[DataFrame, bool]:
     """(root, key and parts of every grouped class, whether any group is dealt by buckets); a part is a bucket (null for the whole group) and its number of blocks.
 
-    `groups` has key, root and bytes, `met` the buckets of all keys, `total` is
-    at least the number of classes. A part of b blocks sends each of its texts b
-    times, so the copies that either way takes are known from counts; the
-    cheaper way is taken, that of the whole group where it has one block.
+    `groups` has key, root and bytes, `met` the buckets of all keys, `pivots` a
+    key of each shared bucket and its size, `total` is at least the number of
+    classes. A part of b blocks sends each of its texts b times, so the copies
+    that either way takes are known from counts (a bucket's bytes from its
+    group's mean); the cheaper way is taken, the whole group where it has one block.
     """
 
-    def blocks(rows: DataFrame, key: str, *also) -> DataFrame:
-        cuts = F.greatest(F.ceil(F.col("n") / block), F.least(F.col("n"), F.ceil(F.col("size") / block_bytes))).cast("int")
-        return rows.groupBy(key).agg(F.count("*").alias("n"), F.sum("bytes").alias("size"), *also).withColumn("blocks", cuts)
-
-    sizes = blocks(groups, "root").withColumn("copies", F.col("n") * F.col("blocks")).drop("size")
-    members = join_by_key(groups, sizes, ["root"], total)
-    whole = F.array(F.struct(F.lit(None).cast("long").alias("bucket"), "blocks")).alias("parts")
-    if sizes.filter("blocks > 1").isEmpty():
-        return members.select("root", "key", whole), False
-    members = cut(members)
-    inside = cut(met.join(members.filter("blocks > 1").drop("blocks"), "key"))
-    buckets = cut(blocks(inside, "bucket", F.first("root").alias("root"), F.first("copies").alias("copies")).filter("n > 1").drop("size"))
-    chains = buckets.groupBy("root").agg(F.sum(F.col("n") * F.col("blocks")).alias("dealt"), F.first("copies").alias("copies"), F.count("*").alias("n")).filter("dealt < copies").select("root", "n")
-    chosen = join_by_key(buckets.select("root", "bucket", "blocks", F.col("n").alias("rows")), chains, ["root"], total * bands).select("bucket", "blocks", F.col("rows").alias("n"))
-    parted = cut(join_by_key(inside.select("root", "key", "bucket"), chosen, ["bucket"], total * bands).groupBy("key").agg(F.first("root").alias("root"), F.collect_list(F.struct("bucket", "blocks")).alias("parts")))
+    def blocks(n, size):
+        return F.greatest(F.ceil(n / block), F.least(n, F.ceil(size / block_bytes))).cast("int")
+
+    n = F.col("n")
+    sizes = groups.groupBy("root").agg(F.count("*").alias("n"), F.sum("bytes").alias("size")).withColumn("blocks", blocks(n, F.col("size")))
+    part = F.struct(F.lit(None).cast("long").alias("bucket"), "blocks")
+    whole = join_by_key(groups.select("key", "root"), sizes.drop("size"), ["root"], total).select("root", "key", F.array(part).alias("parts"))
+    large = cut(sizes.filter("blocks > 1").select("root", (n * F.col("blocks")).alias("copies"), (F.col("size") / n).alias("mean"), "n"))
+    if large.isEmpty():
+        return whole, False
+    # the pivots of a group are among its members
+    members = join_by_key(groups.select("key", "root"), large, ["root"], total).withColumnRenamed("key", "pivot")
+    buckets = cut(pivots.join(members, "pivot").select("root", "bucket", "copies", "n", blocks(n, n * F.col("mean")).alias("blocks")))
+    chains = cut(buckets.groupBy("root").agg(F.sum(n * F.col("blocks")).alias("dealt"), F.first("copies").alias("copies"), F.count("*").alias("n")).filter("dealt < copies").select("root", "n"))
+    if chains.isEmpty():
+        return whole, False
+    chosen = join_by_key(buckets.select("root", "bucket", "blocks", n.alias("rows")), chains, ["root"], total * bands).withColumnRenamed("rows", "n")
+    parted = join_by_key(met, chosen, ["bucket"], total * bands).groupBy("key").agg(F.first("root").alias("root"), F.collect_list(F.struct("bucket", "blocks")).alias("parts"))
     # every class of a group shares a bucket with another, so all classes of such a group are in `parted`
-    return members.join(parted.select("key"), "key", "left_anti").select("root", "key", whole).unionByName(parted), not parted.isEmpty()
+    parted = cut(parted.select("root", "key", "parts"))
+    return whole.join(parted.select("key"), "key", "left_anti").select("root", "key", "parts").unionByName(parted), True
 
 
 def judged(docs: DataFrame, doc: str, text: str, n: int = N, threshold: float = THRESHOLD, recall: float = RECALL, max_hashes: int = MAX_HASHES, block: int = BLOCK, block_bytes: int = BLOCK_BYTES) -> tuple[DataFrame, DataFrame, int]:
@@ -218,10 +223,10 @@ def judged(docs: DataFrame, doc: str, text: str, n: int = N, threshold: float =
     repeated = cut(sketch.groupBy("doc_id", "mark").agg(F.count("*").alias("n")).filter("n > 1"))
     classes = sketch.groupBy("key").agg(F.min(F.struct("doc_id", "mark")).alias("rep"), F.count("*").alias("copies"), F.first("bands").alias("bands"), F.max("bytes").alias("bytes"))
     met = classes.select("key", F.explode("bands").alias("bucket"))
-    pivots = met.groupBy("bucket").agg(F.min("key").alias("pivot"), F.count("*").alias("n")).filter("n > 1")
+    pivots = cut(met.groupBy("bucket").agg(F.min("key").alias("pivot"), F.count("*").alias("n")).filter("n > 1"))
     groups = components(join_by_key(met, pivots, ["bucket"], total * bands).select("key", "pivot").distinct(), "key", "pivot")
     groups = groups.unionByName(groups.select(F.col("root").alias("node"), "root").distinct()).withColumnRenamed("node", "key")
-    parts, split = dealt(groups.join(classes.select("key", "bytes"), "key"), met, total, bands, block, block_bytes)
+    parts, split = dealt(groups.join(classes.select("key", "bytes"), "key"), met, pivots, total, bands, block, block_bytes)
     shown = F.when(F.get("parts", F.lit(0))["bucket"].isNotNull(), F.col("bands")).alias("bands")
     members = parts.join(classes.select("key", "copies", "bands", F.col("rep.doc_id").alias("__id"), F.col("rep.mark").alias("__mark")), "key").select("root", "key", "parts", "copies", "__id", "__mark", shown)
     members = cut(members.join(repeated.withColumnsRenamed({"doc_id": "__id", "mark": "__mark"}), ["__id", "__mark"], "left").withColumn("n", F.coalesce("n", F.lit(1))))
