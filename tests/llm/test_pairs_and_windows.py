@@ -128,8 +128,8 @@ def test_repeated_ids_with_one_text(spark):
     assert sorted(r["doc_id"] for r in ngram_join.keep_one(df, block=16).collect()) == [1, 2]
 
 
-def test_chains_are_verified_by_bucket(spark):
-    """Texts that are near the next few only: one long group, in which buckets are short."""
+def test_chains_of_near_texts(spark):
+    """Texts that are near the next few only: one long group."""
     rng = random.Random(12)
     many = words(rng, 1_000).split()
     chain = [f"{w}{i}" for i, w in enumerate(many)]
@@ -137,35 +137,8 @@ def test_chains_are_verified_by_bucket(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
     want = brute_classes(rows)
     assert len({c for _, c, _ in want}) == 2
-    for settings in ({"block": 4}, {"block_bytes": 4_000}):
-        got = ngram_join.near_duplicates(docs, **settings).collect()
-        assert sorted((r["doc_id"], r["class_id"], r["n_links"]) for r in got) == want
-
-
-def pivots(met):
-    return met.groupBy("bucket").agg(F.min("key").alias("pivot"), F.count("*").alias("n")).filter("n > 1")
-
-
-def test_copies_of_a_chain_grow_in_proportion(spark):
-    """50,000 classes, each sharing a bucket with the next one; and a dense group, which stays whole."""
-    n, dense = 50_000, 3_000
-    key = F.lpad(F.col("id").cast("string"), 9, "0").cast("binary")
-    chain = spark.range(n).select(key.alias("key"), F.lit(0).alias("root"), F.lit(5_000).cast("long").alias("bytes"), F.array("id", F.col("id") + 1).alias("bands"))
-    close = spark.range(n, n + dense).select(key.alias("key"), F.lit(1).alias("root"), F.lit(5_000).cast("long").alias("bytes"), F.array(F.lit(-1), F.lit(-2)).cast("array<long>").alias("bands"))
-    rows = chain.unionByName(close).withColumn("root", F.col("root").cast("string").cast("binary"))
-    met = rows.select("key", F.explode("bands").alias("bucket"))
-    parts, split = ngram_join.dealt(rows.drop("bands"), met, pivots(met), n + dense, 2, 1024)
-    got = {bytes(r["root"]): tuple(r)[1:] for r in parts.groupBy("root").agg(F.count("*").alias("keys"), F.sum(F.aggregate("parts", F.lit(0), lambda a, p: a + p["blocks"])).alias("copies"), F.max(F.get("parts", F.lit(0))["bucket"]).isNull().alias("whole")).collect()}
-    assert split and got == {b"0": (n, 2 * (n - 1), False), b"1": (dense, 3 * dense, True)}
-
-
-def test_blocks_are_bounded_by_bytes(spark):
-    """Texts of a megabyte are not gathered by the thousand, and a text is not sent more often than there are texts."""
-    rows = spark.range(40).select(F.col("id").cast("string").cast("binary").alias("key"), F.lit(b"r").alias("root"), F.lit(1 << 20).cast("long").alias("bytes"))
-    met = rows.select("key", F.lit(7).cast("long").alias("bucket"))
-    assert {r["parts"][0]["blocks"] for r in ngram_join.dealt(rows, met, pivots(met), 40, 1, 1024)[0].collect()} == {5}
-    long = rows.filter("key IN (X'31', X'32')").withColumn("bytes", F.lit(1 << 30).cast("long"))
-    assert {r["parts"][0]["blocks"] for r in ngram_join.dealt(long, met, pivots(met), 40, 1, 1024)[0].collect()} == {2}
+    got = ngram_join.near_duplicates(docs, block=64).collect()
+    assert sorted((r["doc_id"], r["class_id"], r["n_links"]) for r in got) == want
 
 
 def test_near_duplicates_of_very_long_texts(spark):
@@ -173,9 +146,8 @@ def test_near_duplicates_of_very_long_texts(spark):
     base = words(rng, 120_000).split()
     rows = [(i, " ".join([*base[: 2_000 * i], f"other{i}", *base[2_000 * i + 1 :]])) for i in range(1, 7)] + [(9, " ".join(reversed(base)))]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
-    for settings in ({}, {"block_bytes": 1 << 20}):
-        got = ngram_join.near_duplicates(docs, **settings).collect()
-        assert sorted((r["doc_id"], r["class_id"], r["n_links"]) for r in got) == [*((i, 1, 5) for i in range(1, 7)), (9, 9, 0)]
+    got = ngram_join.near_duplicates(docs).collect()
+    assert sorted((r["doc_id"], r["class_id"], r["n_links"]) for r in got) == [*((i, 1, 5) for i in range(1, 7)), (9, 9, 0)]
 
 
 def test_query_op10(spark, duck):
