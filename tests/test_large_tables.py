@@ -36,3 +36,10 @@ def test_halves_of_a_kilobyte(spark, tmp_path):
     assert [line.split(", ")[1] for line in text.split("\n") if "(txt" in line] == ["0 KB)", "2 KB)", "2 KB)", "1 KB)", "1 KB)", "0 KB)"]
     chats = spark.createDataFrame([(1, i, "user", "x" * n) for i, n in enumerate((512, 1536, 9, 2560))], spark.read.parquet(f"{SF}/conversations.parquet").select("conv_id", "turn", "role", "text").schema)
     check(spark, with_tables(spark, tmp_path, conversations=chats), "f43_manifest")
+
+
+def test_passes_of_one_agent(spark, tmp_path):
+    lines = spark.read.parquet(f"{SF}/lineitem.parquet").limit(60).withColumn("l_orderkey", F.lit(1).cast("long")).withColumn("l_linenumber", F.monotonically_increasing_id().cast("int") + 1)
+    schema = spark.read.parquet(f"{SF}/lineitem.parquet").schema
+    lines = lines.select(*[F.col(f.name).cast(f.dataType) for f in schema])
+    check(spark, with_tables(spark, tmp_path, lineitem=lines), "p05_serialized")
