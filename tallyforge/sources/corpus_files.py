@@ -239,7 +239,7 @@ def file_error(ext: Column, size: Column, supported: tuple[str, ...] = (*TEXT, *
 
 
 def corpus(files: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
-    """Documents from rows of path, length and content; one row per document id, the last path wins."""
+    """Documents from rows of path, length and content, one row each. An id is made of name and size; of files that share both, all but the last path have ids of their whole paths."""
     rows = files.select("path", F.element_at(F.split("path", "/"), -1).alias("filename"), F.col("length").alias("size_bytes"), "content")
     rows = rows.filter(~F.rlike("filename", F.lit(r"^[.~]"))).withColumn("extension", labels.extension("filename"))
     ext = F.col("extension")
@@ -254,8 +254,9 @@ def corpus(files: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
     found = office.unionByName(rest).drop("content").withColumnRenamed("text", "text_content")
     found = found.withColumn("doc_id", text.document_id("filename", "size_bytes")).withColumn("mime_type", labels.mime_type("extension"))
     found = found.withColumn("num_tokens_est", F.when(F.col("extractable"), text.estimated_tokens("text_content")).otherwise(0))
-    last = found.groupBy("doc_id").agg(F.max("path").alias("path"))
-    return found.join(last, ["doc_id", "path"])
+    last = found.groupBy("doc_id").agg(F.max("path").alias("__last"))
+    own = F.when(F.col("path") == F.col("__last"), F.col("doc_id")).otherwise(text.document_id("path", "size_bytes"))
+    return found.join(last, "doc_id").withColumn("doc_id", own).drop("__last")
 
 
 def read_corpus(spark: SparkSession, path: str | list[str]) -> DataFrame:

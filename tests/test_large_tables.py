@@ -5,8 +5,10 @@ import os
 import duckdb
 from pyspark.sql import functions as F
 
+from tallyforge.functions import text
 from tallyforge.operators import corpus
 from tallyforge.plans.registry import ORACLE, QUERIES
+from tallyforge.sources import corpus_files
 from tests.conftest import SF, TABLES, same
 
 
@@ -32,8 +34,8 @@ def check(spark, tables, name):
 def test_halves_of_a_kilobyte(spark, tmp_path):
     rows = [(1, i, f"f{i}", size, None, "txt", False) for i, size in enumerate((512, 1536, 2560, 513, 1535, 0))]
     files = spark.createDataFrame(rows, "task_id int, at int, filename string, size_bytes int, error string, format string, truncated boolean")
-    text = corpus.manifest(files, "task_id", "at").first()["manifest"]
-    assert [line.split(", ")[1] for line in text.split("\n") if "(txt" in line] == ["0 KB)", "2 KB)", "2 KB)", "1 KB)", "1 KB)", "0 KB)"]
+    listed = corpus.manifest(files, "task_id", "at").first()["manifest"]
+    assert [line.split(", ")[1] for line in listed.split("\n") if "(txt" in line] == ["0 KB)", "2 KB)", "2 KB)", "1 KB)", "1 KB)", "0 KB)"]
     chats = spark.createDataFrame([(1, i, "user", "x" * n) for i, n in enumerate((512, 1536, 9, 2560))], spark.read.parquet(f"{SF}/conversations.parquet").select("conv_id", "turn", "role", "text").schema)
     check(spark, with_tables(spark, tmp_path, conversations=chats), "f43_manifest")
 
@@ -43,3 +45,13 @@ def test_passes_of_one_agent(spark, tmp_path):
     schema = spark.read.parquet(f"{SF}/lineitem.parquet").schema
     lines = lines.select(*[F.col(f.name).cast(f.dataType) for f in schema])
     check(spark, with_tables(spark, tmp_path, lineitem=lines), "p05_serialized")
+
+
+def test_files_of_one_name_and_size(spark, tmp_path):
+    for folder in ("a", "b", "c"):
+        (tmp_path / folder).mkdir()
+        (tmp_path / folder / "x.txt").write_text(f"in {folder}")
+    found = corpus_files.read_corpus(spark, [f"{tmp_path}/[abc]"]).select("doc_id", "text_content").collect()
+    assert sorted(r["text_content"] for r in found) == ["in a", "in b", "in c"] and len({r["doc_id"] for r in found}) == 3
+    last = next(r["doc_id"] for r in found if r["text_content"] == "in c")
+    assert last == spark.range(1).select(text.document_id(F.lit("x.txt"), F.lit(4))).first()[0]
