@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from tallyforge.sources.bytefiles import FileBytes
 from tallyforge.sources.folders import read_each, ship
 
-SPLIT_BYTES, BLOCK_BYTES, BATCH_BYTES = 64 << 20, 4 << 20, 16 << 20
+SPLIT_BYTES, BLOCK_BYTES, BATCH_BYTES, TASK_BYTES = 64 << 20, 4 << 20, 16 << 20, 32 << 20
 QUOTE, SLASH, OPEN, CLOSE = ord('"'), ord("\\"), b"{[", b"}]"
 RECORDS = "path string, offset long, in_array boolean, value string"
 ARROW = pa.schema([("path", pa.string()), ("offset", pa.int64()), ("in_array", pa.bool_()), ("value", pa.binary())])
@@ -53,10 +53,10 @@ def brackets(data: np.ndarray, quoted: np.ndarray, inside: bool) -> tuple[np.nda
     return at, np.where(np.isin(data[at], np.frombuffer(OPEN, np.uint8)), 1, -1)
 
 
-def blocks(file: FileBytes, start: int, end: int | None) -> Iterator[tuple[int, np.ndarray]]:
-    """(position, bytes) of [start, end), to the end of the file without `end`."""
-    pos, stop = start, file.size if end is None else end
-    while pos < stop and (data := file.at(pos, min(BLOCK_BYTES, stop - pos))):
+def blocks(file: FileBytes, start: int, end: int | None, size: int | None = None) -> Iterator[tuple[int, np.ndarray]]:
+    """(position, bytes) of [start, end), to the end of the file without `end`; `size` bytes at once, and no more than BLOCK_BYTES."""
+    pos, stop, most = start, file.size if end is None else end, min(BLOCK_BYTES, size or BLOCK_BYTES)
+    while pos < stop and (data := file.at(pos, min(most, stop - pos))):
         yield pos, np.frombuffer(data, np.uint8)
         pos += len(data)
 
@@ -70,7 +70,7 @@ def slashes_before(file: FileBytes, pos: int) -> int:
 
 def base_depth(file: FileBytes) -> int:
     """1 for a file that holds an array, else 0: the depth at which its objects begin."""
-    for _, data in blocks(file, 0, None):
+    for _, data in blocks(file, 0, None, 4096):
         head = bytes(data).removeprefix(b"\xef\xbb\xbf").lstrip()
         if head:
             return int(head[:1] == b"[")
@@ -84,7 +84,7 @@ def survey(rows: DataFrame) -> DataFrame:
         for frame in source:
             out = []
             for r in frame.itertuples(index=False):
-                file, parity, delta = FileBytes(r.path), 0, [0, 0]
+                file, parity, delta = FileBytes(r.path, min(1 << 20, r.end - r.start)), 0, [0, 0]
                 tail = slashes_before(file, r.start)
                 for _, data in blocks(file, r.start, r.end):
                     quoted, tail = quotes(data, tail)
@@ -101,7 +101,7 @@ def survey(rows: DataFrame) -> DataFrame:
 def objects(file: FileBytes, start: int, end: int, inside: bool, depth: int, base: int) -> Iterator[tuple[int, bytes]]:
     """(offset, bytes) of the objects that begin in [start, end)."""
     opened, tail = None, slashes_before(file, start)
-    for pos, data in blocks(file, start, None):
+    for pos, data in blocks(file, start, None, end - start):
         quoted, tail = quotes(data, tail)
         at, step = brackets(data, quoted, inside)
         after = depth + np.cumsum(step)
@@ -139,8 +139,9 @@ def json_records(spark: SparkSession, paths: str | list[str], glob: str = "*.jso
     splits = files.filter("size > 0").select("path", "size", each)
     start = F.col("split").cast("long") * split_bytes
     splits = splits.select("path", "split", start.alias("start"), F.least(start + split_bytes, "size").alias("end"))
-    n = splits.count()
-    tasks = max(1, min(n, max(spark.sparkContext.defaultParallelism, n // 4)))
+    n, size = splits.agg(F.count("*"), F.sum(F.col("end") - F.col("start"))).first()
+    # as many tasks as bytes ask for, however small the splits are
+    tasks = max(1, min(n, max(spark.sparkContext.defaultParallelism, (size or 0) // TASK_BYTES)))
     before = Window.partitionBy("path").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)  # one row per split
     state = survey(splits.repartition(tasks)).withColumn("in_string", F.coalesce(F.sum("parity").over(before), F.lit(0)) % 2)
     state = state.withColumn("depth", F.coalesce(F.sum(F.when(F.col("in_string") == 1, F.col("inside")).otherwise(F.col("outside"))).over(before), F.lit(0)))
@@ -149,7 +150,7 @@ def json_records(spark: SparkSession, paths: str | list[str], glob: str = "*.jso
         held, size = [], 0
         for batch in source:
             for path, begin, end, inside, depth in zip(*(batch.column(i).to_pylist() for i in range(5))):
-                file = FileBytes(path)
+                file = FileBytes(path, min(1 << 20, end - begin))
                 base = base_depth(file)
                 for offset, value in objects(file, begin, end, bool(inside), depth, base):
                     held.append((path, offset, base == 1, value))

@@ -1,5 +1,6 @@
 """What shows only on larger tables: results against SQL, files that share a name, shuffles, memory of one task."""
 
+import json
 import os
 
 import duckdb
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 from tallyforge.functions import text
 from tallyforge.operators import corpus
 from tallyforge.plans.registry import ORACLE, QUERIES
-from tallyforge.sources import corpus_files
+from tallyforge.sources import corpus_files, json_records
 from tests.conftest import SF, TABLES, same
 
 
@@ -55,3 +56,11 @@ def test_files_of_one_name_and_size(spark, tmp_path):
     assert sorted(r["text_content"] for r in found) == ["in a", "in b", "in c"] and len({r["doc_id"] for r in found}) == 3
     last = next(r["doc_id"] for r in found if r["text_content"] == "in c")
     assert last == spark.range(1).select(text.document_id(F.lit("x.txt"), F.lit(4))).first()[0]
+
+
+def test_small_splits_share_tasks(spark, tmp_path):
+    """The number of tasks follows the bytes and not the splits."""
+    (tmp_path / "a.json").write_text(json.dumps([{"n": i, "s": '}"]'} for i in range(3000)]))
+    rows = json_records.json_records(spark, str(tmp_path), split_bytes=64)
+    assert rows.rdd.getNumPartitions() <= 2 * spark.sparkContext.defaultParallelism
+    assert sorted(json.loads(r["value"])["n"] for r in rows.collect()) == list(range(3000))
