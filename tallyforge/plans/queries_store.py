@@ -57,8 +57,8 @@ def k02_stream_upserts(spark, sf):
     """The same dispatches as JSON lines in a folder, taken by a stream in several batches, of which the store is then offered the last one again."""
     kept, drop, progress = ResultStore(spark, scratch(spark), 32), scratch(spark), scratch(spark)
     for i, part in enumerate(dispatches(spark, sf)):
-        sinks.write_json(part.repartition(4), f"{drop}/{i}")
-        store_stream(spark, drop, kept, progress, lines=True, glob="*.txt", per_trigger=3).awaitTermination()
+        sinks.write_json(part.repartition(4), f"{drop}/{i}", compression="gzip")
+        store_stream(spark, drop, kept, progress, lines=True, glob="*.txt.gz", per_trigger=3).awaitTermination()
     last = kept.manifest()["batches"]["intake"]
     kept.upsert(dispatches(spark, sf)[1], batch=("intake", last))
     return shown(kept.tasks())

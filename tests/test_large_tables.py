@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 
 from tallyforge.functions import text
 from tallyforge.operators import corpus
+from tallyforge.plans import queries_files
 from tallyforge.plans.registry import ORACLE, QUERIES
-from tallyforge.sources import corpus_files, json_records
+from tallyforge.sources import corpus_files, envelopes, json_records, sinks
 from tests.conftest import SF, TABLES, same
 
 
@@ -64,3 +65,23 @@ def test_small_splits_share_tasks(spark, tmp_path):
     rows = json_records.json_records(spark, str(tmp_path), split_bytes=64)
     assert rows.rdd.getNumPartitions() <= 2 * spark.sparkContext.defaultParallelism
     assert sorted(json.loads(r["value"])["n"] for r in rows.collect()) == list(range(3000))
+
+
+def exchanges(frame):
+    return frame._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+
+def test_envelopes_in_one_shuffle_of_passes(spark):
+    """Passes are dealt once, by task; tasks meet them there."""
+    few = exchanges(queries_files.task_envelopes(spark, SF))
+    assert few <= 2, few
+
+
+def test_compressed_lines(spark, tmp_path):
+    e = spark.createDataFrame([(str(i), "x" * 500) for i in range(200)], "task_id string, dispatched_at string")
+    sinks.write_json(e.coalesce(1), f"{tmp_path}/a", compression="gzip")
+    sinks.write_json(e.coalesce(1), f"{tmp_path}/b")
+    size = {k: sum(p.stat().st_size for p in (tmp_path / k).glob("part-*")) for k in "ab"}
+    assert size["a"] * 10 < size["b"]
+    read = envelopes.read_envelopes(spark, f"{tmp_path}/a", lines=True, glob="*.txt.gz")
+    assert sorted(r["task_id"] for r in read.collect()) == sorted(str(i) for i in range(200))
