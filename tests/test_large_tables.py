@@ -67,6 +67,21 @@ def test_small_splits_share_tasks(spark, tmp_path):
     assert sorted(json.loads(r["value"])["n"] for r in rows.collect()) == list(range(3000))
 
 
+def test_places_of_many_blocks(spark, tmp_path):
+    """Rows are numbered over all blocks of a file, without one task that gets them all."""
+    (tmp_path / "x.csv").write_text("a,b\n" + "".join(f"{i},{'y' * (i % 50)}\n" for i in range(2000)))
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "1500")
+        spark.conf.set("spark.sql.files.openCostInBytes", "100")
+        rows = sinks.read_ordered_csv(spark, f"{tmp_path}/x.csv")
+        assert rows.rdd.getNumPartitions() > 10
+        assert sorted((r["place"], int(r["a"])) for r in rows.collect()) == [(i + 1, i) for i in range(2000)]
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+
+
 def exchanges(frame):
     return frame._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
 
