@@ -7,39 +7,57 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Characters of a gram; shorter texts are their own gram.
-GRAM = 3
+from tallyforge.sources.folders import scratch
 
+#: Characters of grams; a text is found by one of its grams of the most characters that fit.
+GRAMS = (1, 2, 3, 5, 8, 16, 32)
 
-def grams(text: Column, q: int = GRAM) -> Column:
+
+def grams(text: Column, q: int = 3) -> Column:
     """The different substrings of `q` characters, in one pass over the text."""
     return F.array_distinct(F.regexp_extract_all(text, F.lit(f"(?s)(?=({'.' * q}))"), F.lit(1)))
 
 
+def gram_hashes(text: Column, q: int) -> Column:
+    return F.transform(grams(text, q), lambda g: F.xxhash64(g))
+
+
 def anchored(needles: DataFrame, text: str, on: tuple[str, ...] = ()) -> DataFrame:
-    """Needles of GRAM characters or more with __gram: of their grams the one that the fewest needles of the same `on` share."""
-    rows = needles.withColumn("__key", F.struct(*on, text)).select("__key").distinct().select("__key", F.explode(grams(F.col(f"__key.{text}"))).alias("__gram"))
-    shared = Window.partitionBy(*[f"__key.{c}" for c in on], "__gram")
-    chosen = rows.withColumn("__n", F.count("*").over(shared)).groupBy("__key").agg(F.min_by("__gram", F.struct("__n", "__gram")).alias("__gram"))
-    chosen = chosen.select(*[F.col(f"__key.{c}").alias(c) for c in (*on, text)], "__gram")
-    return needles.join(chosen, [*on, text])
+    """Distinct needles that are not empty with __q, the characters of their grams, and __gram: the gram that the fewest needles of the same `on` share."""
+    q = F.lit(GRAMS[0])
+    for n in GRAMS[1:]:
+        q = F.when(F.length(text) >= n, n).otherwise(q)
+    rows = needles.select(*on, text).filter(F.length(text) > 0).distinct().withColumn("__q", q)
+    of = F.coalesce(*[F.when(F.col("__q") == n, gram_hashes(F.col(text), n)) for n in GRAMS])
+    rows = rows.select(F.struct(*on, text).alias("__key"), "__q", F.explode(of).alias("__gram"))
+    shared = Window.partitionBy(*[f"__key.{c}" for c in on], "__q", "__gram")
+    chosen = rows.withColumn("__n", F.count("*").over(shared)).groupBy("__key", "__q").agg(F.min_by("__gram", F.struct("__n", "__gram")).alias("__gram"))
+    return chosen.select(*[F.col(f"__key.{c}").alias(c) for c in (*on, text)], "__q", "__gram")
 
 
 def containing(texts: DataFrame, text: str, needles: DataFrame, needle: str, on: tuple[str, ...] = ()) -> DataFrame:
     """Rows of `texts` with each row of `needles` whose `needle` is a substring of `text`, among rows with equal `on` columns.
 
     A needle meets only the texts that hold its anchor gram, so neither all pairs
-    nor a nested loop arise; the check that follows is exact. Nulls and empty
-    needles are in no text. Columns of the two tables must differ but for `on`.
+    nor a nested loop arise. Grams travel with a hash of their text and not with
+    the text, so what is shuffled grows with the characters; the check that
+    follows is exact. Anchors are written first, so that Spark knows whether they
+    are few. Nulls and empty needles are in no text. Columns of the two tables
+    must differ but for `on`.
     """
-    size = F.length(needle)
-    parts = []
-    for q in range(1, GRAM + 1):
-        mine = needles.filter(size >= q if q == GRAM else size == q)
-        mine = anchored(mine, needle, on) if q == GRAM else mine.withColumn("__gram", F.col(needle))
-        held = texts.withColumn("__gram", F.explode(grams(F.col(text), q)))
-        parts.append(held.join(mine, [*on, "__gram"]).filter(F.contains(text, needle)).drop("__gram"))
-    return reduce(DataFrame.unionByName, parts)
+    path = scratch(texts.sparkSession)
+    anchored(needles, needle, on).write.parquet(path)
+    anchors = texts.sparkSession.read.parquet(path)
+    keyed = texts.withColumn("__id", F.xxhash64(text))
+    met = []
+    for (q,) in anchors.select("__q").distinct().collect():  # of GRAMS
+        held = keyed.select(*on, "__id", F.explode(gram_hashes(F.col(text), q)).alias("__gram"))
+        met.append(held.join(anchors.filter(F.col("__q") == q).drop("__q"), [*on, "__gram"]).select(*on, "__id", needle))
+    if not met:
+        return texts.join(needles.limit(0), list(on)) if on else texts.limit(0).crossJoin(needles.limit(0))
+    pairs = reduce(DataFrame.unionByName, met).distinct()
+    found = keyed.join(pairs, [*on, "__id"]).filter(F.contains(text, needle)).drop("__id")
+    return found.join(needles, [*on, needle]).select(*texts.columns, *[c for c in needles.columns if c not in on])
 
 
 def occurrences(text: Column, needle: Column) -> Column:

@@ -2,12 +2,14 @@
 
 import json
 import os
+import re
 
 import duckdb
 from pyspark.sql import functions as F
 
 from tallyforge.functions import text
 from tallyforge.operators import corpus
+from tallyforge.operators.substrings import containing
 from tallyforge.plans import queries_files
 from tallyforge.plans.registry import ORACLE, QUERIES
 from tallyforge.sources import corpus_files, envelopes, json_records, sinks
@@ -100,3 +102,27 @@ def test_compressed_lines(spark, tmp_path):
     assert size["a"] * 10 < size["b"]
     read = envelopes.read_envelopes(spark, f"{tmp_path}/a", lines=True, glob="*.txt.gz")
     assert sorted(r["task_id"] for r in read.collect()) == sorted(str(i) for i in range(200))
+
+
+def test_long_texts_are_no_cargo_of_their_grams(spark):
+    """Ten times longer texts make about ten times as many bytes, not a hundred times."""
+
+    def size(n):
+        texts = spark.createDataFrame([(1, "".join(chr(97 + (i * i * j + j) % 26) for i in range(n))) for j in range(1, 6)], "task_id int, t string")
+        needles = spark.createDataFrame([(1, f"doc_{i}.txt") for i in range(50)], "task_id int, name string")
+        before = containing(texts, "t", needles, "name", ("task_id",))
+        held = before._jdf.queryExecution().optimizedPlan().toString()
+        assert not [line for line in held.split("\n") if "Generate explode" in line and re.search(r"\bt#", line.split("false", 1)[-1])]
+        return before.count()
+
+    assert size(200) == size(2000) == 0
+
+
+def test_containing_keeps_rows_and_columns(spark):
+    names = ["a", "ab", "é.x", "doc_1.txt", "doc_11.txt", "x" * 40, "", None]
+    needles = spark.createDataFrame([(k, n, i) for i, n in enumerate([*names, "ab"]) for k in (1, 2)], "k int, n string, extra int")
+    bodies = ["", None, "zab", "see doc_11.txt", "é.x", "y" + "x" * 45, "zab"]
+    texts = spark.createDataFrame([(k, t, i) for i, t in enumerate(bodies) for k in (1, 3)], "k int, t string, row int")
+    got = sorted(tuple(r) for r in containing(texts, "t", needles, "n", ("k",)).select("k", "row", "n", "extra").collect())
+    want = sorted((1, i, n, e) for i, t in enumerate(bodies) for e, n in enumerate([*names, "ab"]) if t and n and n in t)
+    assert got == want and containing(texts, "t", needles.filter("n = ''"), "n", ("k",)).count() == 0
