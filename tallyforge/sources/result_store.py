@@ -210,9 +210,12 @@ class ResultStore:
                 if self._commit(base, {}, batch):
                     return self.manifest()["version"]
                 continue
-            old = self._read("tasks", base, touched).withColumn("bucket", bucket_of(F.col("task_id"), self.buckets))
-            both = old.withColumn("__new", F.lit(0)).unionByName(staged.withColumn("__new", F.lit(1))).repartition("bucket")
-            merged = merge_results(both, ["bucket", "task_id"], F.col("__new"), pairs=True).drop("n_rows", "__new")
+            if any(str(b) in base["tables"]["tasks"] for b in touched):
+                old = self._read("tasks", base, touched).withColumn("bucket", bucket_of(F.col("task_id"), self.buckets))
+                both = old.withColumn("__new", F.lit(0)).unionByName(staged.withColumn("__new", F.lit(1))).repartition("bucket")
+                merged = merge_results(both, ["bucket", "task_id"], F.col("__new"), pairs=True).drop("n_rows", "__new")
+            else:  # a batch has one row of a task by now, and a single row stays as it is
+                merged = staged.repartition("bucket")
             written = {"tasks": self._write("tasks", merged, touched)}
             now = {**base, "tables": {**base["tables"], "tasks": {**base["tables"]["tasks"], **{str(b): f for b, f in written["tasks"].items()}}}}
             written["figures"] = self._count(now, touched)

@@ -12,7 +12,7 @@ from tallyforge.operators import corpus
 from tallyforge.operators.substrings import containing
 from tallyforge.plans import queries_files
 from tallyforge.plans.registry import ORACLE, QUERIES
-from tallyforge.sources import corpus_files, envelopes, json_records, sinks
+from tallyforge.sources import corpus_files, envelopes, json_records, result_store, sinks
 from tests.conftest import SF, TABLES, same
 
 
@@ -126,3 +126,17 @@ def test_containing_keeps_rows_and_columns(spark):
     got = sorted(tuple(r) for r in containing(texts, "t", needles, "n", ("k",)).select("k", "row", "n", "extra").collect())
     want = sorted((1, i, n, e) for i, t in enumerate(bodies) for e, n in enumerate([*names, "ab"]) if t and n and n in t)
     assert got == want and containing(texts, "t", needles.filter("n = ''"), "n", ("k",)).count() == 0
+
+
+def test_first_rows_of_buckets_are_not_merged(spark, tmp_path, monkeypatch):
+    merged = []
+    real = result_store.merge_results
+    monkeypatch.setattr(result_store, "merge_results", lambda *a, **k: merged.append(1) or real(*a, **k))
+    kept = result_store.ResultStore(spark, f"{tmp_path}/store", 4)
+    run = "named_struct('task_id', '1', 'completed', true)"
+    e = spark.range(40).selectExpr("cast(id as string) task_id", "1.5D total_cost_usd", f"map('A', array({run})) agent_results")
+    kept.upsert(e)
+    assert not merged and kept.tasks().count() == 40 and kept.stats().first()["total"] == 40
+    kept.upsert(e.filter("task_id < '2'"))
+    assert merged and kept.tasks().count() == 40
+    assert {r["task_id"]: r["total_cost_usd"] for r in kept.tasks().collect()} == {str(i): 3.0 if str(i) < "2" else 1.5 for i in range(40)}
