@@ -30,6 +30,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -46,9 +47,8 @@ LONGEST, PART = 96, 24
 #: Rows of hashed feature weights, as many as keep weights of all languages within WEIGHTS, and frequent words listed per language.
 BUCKETS, WEIGHTS, LEXICON = 1 << 17, 1 << 25, 300
 CHAIN, EPOCHS, RATE = 32, 6, 0.5
-#: Runs of letters alone: `\w` without digits takes numerals like a half or a Roman four as well.
-NUMERALS = "".join(c for c in map(chr, range(0x110000)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
-LETTERS = re.compile(rf"[^\W\d_{NUMERALS}]+")
+#: `\w` without digits takes numerals like a half or a Roman four as well; runs that have any are cut at them.
+WORD = re.compile(r"[^\W\d_]+")
 #: Words whose potentials a worker keeps, words in one forward-backward pass, and words that wait to be sorted by length of text.
 CACHE, TOKENS, WAITING = 200_000, 200_000, 2_000_000
 #: Texts whose new words are scored together, and about how many bytes of them.
@@ -71,6 +71,16 @@ def units(raw: bytes) -> list[bytes]:
     return out
 
 
+def letters(token: str) -> list[bytes]:
+    """The runs of letters in a token, in UTF-8; no character is looked up in a list, which costs more than all else of a word."""
+    if token.isalpha():
+        return [token.encode()]
+    out: list[bytes] = []
+    for run in WORD.findall(token):
+        out += [run.encode()] if run.isalpha() else ["".join(some).encode() for kind, some in groupby(run, str.isalpha) if kind]
+    return out
+
+
 def buckets(labels: int) -> int:
     return min(BUCKETS, 1 << ((WEIGHTS // max(1, labels)).bit_length() - 1))
 
@@ -124,7 +134,7 @@ class Field:
 
     def potentials(self, tokens: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """(whether a token has letters, scores of each label for those that have). Runs of letters in a token count alike."""
-        runs = [[r.encode() for r in LETTERS.findall(t.decode().lower())] for t in tokens]
+        runs = [letters(t.decode().lower()) for t in tokens]
         sizes = np.fromiter(map(len, runs), np.int64, len(runs))
         some = sizes > 0
         if not some.any():
@@ -164,7 +174,7 @@ def fit(samples: list[tuple[str, list[str]]], seed: int = 5) -> Field | None:
         return None
     size = len(labels)
     number = {lang: k for k, lang in enumerate(labels)}
-    clean = [(number[lang], [r.encode() for w in words for r in LETTERS.findall(w.lower())]) for lang, words in sorted(samples)]
+    clean = [(number[lang], [r for w in words for r in letters(w.lower())]) for lang, words in sorted(samples)]
     listed: dict[bytes, list[int]] = {}
     for k in range(size):
         for w, _ in sorted(Counter(w for lang, words in clean if lang == k for w in words).items(), key=lambda x: (-x[1], x[0]))[:LEXICON]:
@@ -256,22 +266,19 @@ class Predictor:
         self.scores = np.zeros((1024, len(self.field.labels)))
         self.used = 0
 
-    def ids(self, raw: bytes) -> np.ndarray:
-        tokens = units(raw)
-        try:
-            found = list(map(self.number.__getitem__, tokens))
-        except KeyError:
-            fresh = list(set(tokens) - self.number.keys())
-            some, scores = self.field.potentials(fresh)
-            while self.used + len(scores) > len(self.scores):
-                self.scores = np.concatenate([self.scores, np.zeros_like(self.scores)])
-            self.scores[self.used : self.used + len(scores)] = scores
-            numbers = np.full(len(fresh), -1)
-            numbers[some] = np.arange(self.used, self.used + len(scores))
-            self.number.update(zip(fresh, numbers.tolist()))
-            self.used += len(scores)
-            found = list(map(self.number.__getitem__, tokens))
-        return np.array(found, dtype=np.int64)
+    def learn(self, tokens: set[bytes]) -> None:
+        """Score the tokens that are new."""
+        fresh = list(tokens.difference(self.number))
+        if not fresh:
+            return
+        some, scores = self.field.potentials(fresh)
+        while self.used + len(scores) > len(self.scores):
+            self.scores = np.concatenate([self.scores, np.zeros_like(self.scores)])
+        self.scores[self.used : self.used + len(scores)] = scores
+        numbers = np.full(len(fresh), -1)
+        numbers[some] = np.arange(self.used, self.used + len(scores))
+        self.number.update(zip(fresh, numbers.tolist()))
+        self.used += len(scores)
 
     def predict(self, texts: list[bytes], segments: bool) -> list[tuple]:
         """(language, score, segments) of each text."""
@@ -308,9 +315,10 @@ class Predictor:
             while end < len(texts) and end < at + TOGETHER and (end == at or size + len(texts[end]) <= TOGETHER_BYTES):
                 size += len(texts[end])
                 end += 1
-            self.ids(b" ".join(texts[at:end]))  # new tokens of several texts at once
-            for row in range(at, end):
-                ids = self.ids(texts[row])
+            tokens = list(map(units, texts[at:end]))
+            self.learn(set().union(*tokens))  # new tokens of several texts at once
+            for row, found in zip(range(at, end), tokens):
+                ids = np.fromiter(map(self.number.__getitem__, found), np.int64, len(found))
                 places = np.flatnonzero(ids >= 0)
                 if len(places):
                     chains.append((row, ids[places], places))
