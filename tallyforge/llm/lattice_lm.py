@@ -21,8 +21,8 @@ The vocabulary file gives the pieces and, by rank, their first scores. All its
 pieces are used, but for those with capitals A-Z, which lower-cased text cannot
 have, and those with a blank inside; its byte pieces stand for every byte, so
 that each word has a segmentation. Expected piece counts (forward-backward)
-replace the first scores, as a unigram vocabulary's would be: several passes over
-a bounded sample of the distinct training words, then `rounds` passes over all.
+replace the first scores, as a unigram vocabulary's would be: `rounds` passes over
+all distinct training words.
 
 Everything the corpus gives is a Spark table that grows with it: word counts
 come from a shuffle on words. The broadcasts are bounded: piece scores by the
@@ -61,8 +61,8 @@ from tallyforge.llm.common import batches, ship, store, table, utf8
 HEAD = 400_000
 #: Most classes told apart; where there are more, all beyond the most frequent ones are a class of their own, the last.
 MAX_CLASSES = 16
-#: Passes over all distinct training words; before them over about WARM_WORDS of them, on the driver.
-ROUNDS, WARM_ROUNDS, WARM_WORDS = 2, 8, 30_000
+#: Passes over all distinct training words.
+ROUNDS = 4
 #: Bytes of a word from which the recursion keeps a window only; positions in a block of it.
 LONG, BLOCK = 256, 1 << 16
 #: The part of a class's subword mass that goes to the word's probability over all classes.
@@ -299,16 +299,11 @@ def of_classes(words: list[bytes], counts: np.ndarray) -> tuple[list[bytes], np.
     return [words[i] for i in at], kinds
 
 
-def fit_pieces(words: DataFrame, path: str, classes: int, rounds: int, distinct: int, warm: int = WARM_ROUNDS) -> Lattice:
-    """Piece scores after `warm` passes over about WARM_WORDS of the `distinct` words, chosen by hash, and `rounds` over all of them."""
+def fit_pieces(words: DataFrame, path: str, classes: int, rounds: int) -> Lattice:
+    """Piece scores after `rounds` passes over all words that training rows have."""
     spark = words.sparkSession
     pieces, lattice = first_scores(path, classes)
-    if warm and distinct:
-        some = words.filter(F.pmod(F.xxhash64("word"), F.lit(1_000_003)) < int(1_000_003 * min(1.0, WARM_WORDS / distinct)) + 1).filter(F.octet_length("word") <= LONG).orderBy("word").toArrow()  # about WARM_WORDS rows
-        if len(some):
-            sample = of_classes(some.column(0).to_pylist(), np.stack([c.to_numpy() for c in some.columns[1:]]))
-            for _ in range(warm if len(sample[0]) else 0):
-                lattice = refit(pieces, *lattice.expected_counts(*sample))
+    words = words.filter(" OR ".join(f"c{k} > 0" for k in range(classes)))
     schema = pa.schema([("class", pa.int32()), ("piece", pa.int32()), ("first", pa.float64()), ("inner", pa.float64())])
     for _ in range(rounds):
         sent = spark.sparkContext.broadcast(lattice)
@@ -394,7 +389,7 @@ def lattice_scores(docs: DataFrame, training, classes=None, doc: str = "doc_id",
     f = np.array([v or 0 for v in words.agg(*[x.alias(f"f{i}") for i, x in enumerate(figures)]).first()], dtype=float).reshape(-1, 4)
     tokens = f[:, 0] + ends
     total, distinct = int(tokens[-1]), int(f[-1, 1]) + (ends[-1] > 0)
-    model = spark.sparkContext.broadcast(Model(fit_pieces(words, path or default_path(), size, rounds, distinct), tokens, f[:, 1], np.array([discount(*x[2:]) for x in f]), ends))
+    model = spark.sparkContext.broadcast(Model(fit_pieces(words, path or default_path(), size, rounds), tokens, f[:, 1], np.array([discount(*x[2:]) for x in f]), ends))
 
     def score(source):
         for batch in source:

@@ -429,3 +429,14 @@ def test_language_letters():
     ours = min(timeit.repeat(lambda: [crf_language.letters(w) for w in words], number=1, repeat=3))
     plain = min(timeit.repeat(lambda: [re.findall(r"[^\W\d_]+", w) for w in words], number=1, repeat=3))
     assert ours < 2 * plain
+
+
+def test_lattice_is_fitted_to_all_words(spark):
+    """The scores are those of passes over every training word from the vocabulary's own scores on, and of no others."""
+    rows = [(f"w{i % 7}ord{i}".encode(), i % 3, (i + 1) % 2) for i in range(300)]
+    got = lattice_lm.fit_pieces(spark.createDataFrame(rows, "word binary, c0 long, c1 long").repartition(3), lattice_lm.default_path(), 2, 2)
+    pieces, want = lattice_lm.first_scores(lattice_lm.default_path(), 2)
+    for _ in range(2):
+        want = lattice_lm.refit(pieces, *want.expected_counts(*lattice_lm.of_classes([r[0] for r in rows], np.array([[r[1] for r in rows], [r[2] for r in rows]]))))
+    for a, b in ((got.first, want.first), (got.inner, want.inner), (got.stop, want.stop)):
+        assert np.allclose(a, b, atol=1e-9)
