@@ -43,6 +43,7 @@ THRESHOLD = 0.8
 RUN = 8
 #: Sets that say which signatures are common, how many of these are put last in the order, and sets in a block; two blocks meet in a task.
 SAMPLE, COMMON, BLOCK = 20_000, 1_000, 512
+GROUP = ("sig", "part", "i", "j")  # a pair of blocks of a bucket
 #: Documents in a range of ids, in the mean, where each text is joined to the next; at most RANGES ranges.
 RANGE_ROWS, RANGES = 2_000, 2_000
 
@@ -137,43 +138,50 @@ def common_signatures(sets: DataFrame, sample: int = SAMPLE) -> list[int]:
 
 
 def signature_sets(docs: DataFrame, doc: str, text: str, anchors: tuple[str, ...], chain: int) -> tuple[DataFrame, DataFrame]:
-    """(doc_id and key of every row with an id, distinct sets: key, least id, copies and sigs)."""
+    """(doc_id and digest of every row with an id, distinct sets: a number as key, digest, least id, copies and sigs)."""
     rows = with_signatures(docs.select(F.col(doc).alias("doc_id"), F.col(text).alias("text")).filter("doc_id IS NOT NULL"), "text", "sigs", anchors, chain)
     # texts without a word are equal to equal texts only
-    rows = store(rows.select("doc_id", F.unhex(F.sha2(F.when(F.size("sigs") > 0, fingerprint(F.col("sigs"))).otherwise(F.concat(F.lit("-"), F.coalesce("text", F.lit("")))), 256)).alias("key"), "sigs"))
-    return rows.select("doc_id", "key"), store(rows.groupBy("key").agg(F.min("doc_id").alias("least_id"), F.count("*").alias("copies"), F.first("sigs").alias("sigs")))
+    rows = store(rows.select("doc_id", F.unhex(F.sha2(F.when(F.size("sigs") > 0, fingerprint(F.col("sigs"))).otherwise(F.concat(F.lit("-"), F.coalesce("text", F.lit("")))), 256)).alias("digest"), "sigs"))
+    sets = rows.groupBy("digest").agg(F.min("doc_id").alias("least_id"), F.count("*").alias("copies"), F.first("sigs").alias("sigs"))
+    return rows.select("doc_id", "digest"), store(sets.withColumn("key", F.monotonically_increasing_id()))
 
 
-def bucket_members(sets: DataFrame, threshold: float, block: int) -> DataFrame:
-    """Sets in the buckets of their prefix signatures and length classes, dealt to pairs of blocks (i, j) that meet.
+def bucket_members(sets: DataFrame, threshold: float, block: int) -> tuple[DataFrame, DataFrame]:
+    """(sets in the buckets of their prefix signatures and length classes, dealt to pairs of blocks (i, j) that meet; sets with their signatures in order, the first `kept` of them the prefix).
 
     A set is compared as the longer one in its own class, as the shorter one in
-    its own and the next.
+    its own and the next. Each set's shared signatures are put in order. Where
+    all sets of a bucket have the same shared one before this one, every two of
+    them are compared in an earlier bucket, so this one is left out.
     """
     common = common_signatures(sets)
     listed = F.array(*map(F.lit, common)).cast("array<bigint>")
     size = F.size("sigs")
     rows = sets.filter(size > 0).select("key", "copies", size.alias("size"), F.concat(F.array_except("sigs", listed), F.array_intersect("sigs", listed)).alias("sigs"))
-    rows = rows.withColumn("prefix", F.slice("sigs", F.lit(1), (F.col("size") - F.ceil(F.lit(threshold) * F.col("size") - 1e-9) + 1).cast("int")))
+    rows = rows.withColumn("kept", (F.col("size") - F.ceil(F.lit(threshold) * F.col("size") - 1e-9) + 1).cast("int"))
     own_class = F.floor(F.log(F.col("size")) / F.log(F.lit(1 / threshold)) + 1e-9).cast("int")
-    each = rows.select("key", F.explode("prefix").alias("sig"), own_class.alias("own")).withColumn("up", F.explode(F.array(F.lit(0), F.lit(1))))
-    each = each.select("key", "sig", (F.col("own") + F.col("up")).alias("part"), (F.col("up") == 0).alias("longer"))
-    buckets = each.groupBy("sig", "part").agg(F.count("*").alias("n"), F.count_if("longer").alias("longer")).filter("n > 1 AND longer > 0").select("sig", "part", F.ceil(F.col("n") / block).cast("int").alias("blocks"), "n")
-    total = rows.agg(F.sum(F.size("prefix") * 2)).first()[0] or 0
+    each = rows.select("key", F.posexplode(F.slice("sigs", F.lit(1), F.col("kept"))).alias("pos", "sig"), own_class.alias("own")).withColumn("up", F.explode(F.array(F.lit(0), F.lit(1))))
+    each = each.select("key", "pos", "sig", (F.col("own") + F.col("up")).alias("part"), (F.col("up") == 0).alias("longer"))
+    total = rows.agg(F.sum(F.col("kept") * 2)).first()[0] or 0
+    shared = each.groupBy("sig", "part").agg(F.count("*").alias("n"), F.count_if("longer").alias("longer")).filter("n > 1 AND longer > 0").select("sig", "part", "n")
+    each = store(join_by_key(each, shared, ["sig", "part"], total))
+    before = F.lag("sig").over(Window.partitionBy("key", "part").orderBy("pos"))
+    figures = F.count("*").alias("n"), F.count("before").alias("later"), F.min("before").alias("low"), F.max("before").alias("high")
+    buckets = each.withColumn("before", before).groupBy("sig", "part").agg(*figures).filter("NOT (later = n AND low = high)").select("sig", "part", F.ceil(F.col("n") / block).cast("int").alias("blocks"), "n")
     own, others = F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     met = join_by_key(each, buckets, ["sig", "part"], total).withColumn("block", own).withColumn("other", others)
-    met = met.select("sig", "part", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "longer", "key")
-    return store(met.join(rows, "key"))
+    return store(met.select("sig", "part", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "longer", "key")), rows
 
 
 def partners(members: DataFrame, threshold: float) -> DataFrame:
-    """(key, documents, texts, peer): for each member of a pair of blocks, its linked sets there and the least of them with another root.
+    """(sig, part, i, j, key, root, documents, texts, peer): for each member of a pair of blocks, its linked sets there and the least of them with another root.
 
     A pair is looked at in the bucket of the first signature that its prefixes
     share, and nowhere else. Pairs are no rows.
     """
-    member = F.struct("key", "copies", "size", "sigs", "prefix", "longer", "block", "root")
-    grouped = members.groupBy("sig", "part", "i", "j").agg(F.collect_list(member).alias("m"))
+    member = F.struct("key", "copies", "size", "sigs", "kept", "longer", "block", "root")
+    grouped = members.groupBy(*GROUP).agg(F.collect_list(member).alias("m"))
+    grouped = grouped.withColumn("m", F.transform("m", lambda x: x.withField("prefix", F.slice(x["sigs"], F.lit(1), x["kept"]))))
 
     def linked(x: Column, y: Column) -> Column:
         first = (x["size"] < y["size"]) | ((x["size"] == y["size"]) & (x["key"] < y["key"]))
@@ -183,10 +191,10 @@ def partners(members: DataFrame, threshold: float) -> DataFrame:
         return meet & fits & here & (likeness(x["sigs"], y["sigs"]) >= threshold - 1e-9)
 
     found = F.transform("m", lambda x: F.struct(x["key"].alias("key"), x["root"].alias("root"), F.transform(F.filter("m", lambda y: linked(x, y)), lambda y: F.struct(y["copies"].alias("copies"), y["root"].alias("root"))).alias("of")))
-    some = grouped.select(F.explode(F.filter(found, lambda x: F.size(x["of"]) > 0)).alias("x"))
+    some = grouped.select(*GROUP, F.explode(F.filter(found, lambda x: F.size(x["of"]) > 0)).alias("x"))
     documents = F.aggregate("x.of", F.lit(0).cast("long"), lambda acc, y: acc + y["copies"])
     peer = F.array_min(F.transform(F.filter("x.of", lambda y: y["root"] != F.col("x.root")), lambda y: y["root"]))
-    return some.select("x.key", "x.root", documents.alias("documents"), F.size("x.of").cast("long").alias("texts"), peer.alias("peer"))
+    return some.select(*GROUP, "x.key", "x.root", documents.alias("documents"), F.size("x.of").cast("long").alias("texts"), peer.alias("peer"))
 
 
 def near_classes(docs: DataFrame, doc: str = "doc_id", text: str = "text", threshold: float = THRESHOLD, anchors: tuple[str, ...] = ANCHORS, chain: int = CHAIN, block: int = BLOCK) -> DataFrame:
@@ -196,13 +204,14 @@ def near_classes(docs: DataFrame, doc: str = "doc_id", text: str = "text", thres
     the threshold, those of equal sets included. class_id is the least id of the
     documents that are linked directly or through others, copy_id that of the
     documents of equal sets. Each round joins every set to its least partner of
-    another root, until none has one.
+    another root, until none has one; from the second on, only pairs of blocks
+    whose linked sets still have several roots are looked at.
     """
     rows, sets = signature_sets(docs, doc, text, anchors, chain)
-    members = bucket_members(sets, threshold, block)
+    members, ordered = bucket_members(sets, threshold, block)
     roots, links = sets.select("key", F.col("key").alias("root")), None
     while True:
-        found = cut(partners(members.join(roots, "key"), threshold))
+        found = cut(partners(members.join(ordered, "key").join(roots, "key"), threshold))
         links = found.groupBy("key").agg(F.sum("documents").alias("documents"), F.sum("texts").alias("texts")) if links is None else links
         edges = cut(found.filter("peer IS NOT NULL").groupBy("root").agg(F.min("peer").alias("peer")))
         if edges.isEmpty():
@@ -210,12 +219,14 @@ def near_classes(docs: DataFrame, doc: str = "doc_id", text: str = "text", thres
         joined = components(edges, "root", "peer").select(F.col("node").alias("__node"), F.col("root").alias("top"))
         sizes = roots.groupBy("root").agg(F.count("*").alias("n")).join(joined, F.col("root") == F.col("__node"), "left").select("root", F.coalesce("top", "root").alias("top"), "n")
         roots = cut(join_by_key(roots, sizes, ["root"], sets.count()).select("key", F.col("top").alias("root")))
+        apart = found.select(*GROUP, "key").join(roots, "key").groupBy(*GROUP).agg(F.min("root").alias("a"), F.max("root").alias("b")).filter("a <> b")
+        members = store(members.join(apart, list(GROUP), "left_semi"))
     n = rows.count()
     least = sets.join(roots, "key").groupBy("root").agg(F.min("least_id").alias("class_id"), F.count("*").alias("n"))
     zero = F.lit(0).cast("long")
     named = join_by_key(sets.drop("sigs").join(roots, "key"), least, ["root"], n).join(links, "key", "left")
-    named = named.select("key", "class_id", F.col("least_id").alias("copy_id"), (F.col("copies") - 1 + F.coalesce("documents", zero)).alias("n_links"), F.coalesce("texts", zero).alias("n_text_links"), F.col("copies").alias("n"))
-    return join_by_key(rows, named, ["key"], n).select("doc_id", "class_id", "copy_id", "n_links", "n_text_links")
+    named = named.select("digest", "class_id", F.col("least_id").alias("copy_id"), (F.col("copies") - 1 + F.coalesce("documents", zero)).alias("n_links"), F.coalesce("texts", zero).alias("n_text_links"), F.col("copies").alias("n"))
+    return join_by_key(rows, named, ["digest"], n).select("doc_id", "class_id", "copy_id", "n_links", "n_text_links")
 
 
 def op4_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:

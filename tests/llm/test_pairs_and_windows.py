@@ -359,3 +359,14 @@ def test_query_spotsigs_classes(spark, duck):
     rows = duck.sql("SELECT doc_id, text FROM documents").fetchall()
     assert sorted(tuple(r) for r in spotsigs.spotsigs_classes(spark, SF).collect()) == spot_classes(rows, spotsigs.THRESHOLD)
     assert spotsigs.near_classes(documents(spark).limit(0)).count() == 0
+
+
+def test_spot_buckets_compare_near_copies_once(spark):
+    """Copies with small edits share a fifth of their signatures, but meet in a few buckets only."""
+    docs = []
+    for i in range(12):
+        w = [f"{'the ' if j % 3 == 0 else ''}w{i}x{j}" for j in range(240)]
+        docs += [(2 * i, " ".join(w)), (2 * i + 1, " ".join(w[:100] + ["edited"] + w[101:]))]
+    _, sets = spotsigs.signature_sets(spark.createDataFrame(docs, "doc_id long, text string"), "doc_id", "text", spotsigs.ANCHORS, spotsigs.CHAIN)
+    members, _ = spotsigs.bucket_members(sets, 0.8, 512)
+    assert 24 <= members.count() <= 24 * 8
