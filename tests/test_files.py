@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyforge.sources import json_records as jr
+from tallyforge.sources import sinks
 from tallyforge.sources.named_files import write_named
 
 
@@ -66,3 +67,11 @@ def test_a_failed_job_leaves_no_file(spark, tmp_path, bad):
     with pytest.raises(Exception, match="no name|two rows"):
         write_named(good.unionByName(more), str(out))
     assert not out.exists() or [p for p in out.iterdir() if not p.name.startswith("_staging-")] == []  # a task that ends after the abort may leave its staging
+
+
+def test_compressed_csv(spark, tmp_path):
+    rows = spark.range(50).select(*[F.concat(F.lit(f'{c}, "x" '), F.col("id").cast("string")).alias(c) for c in sinks.CSV_COLUMNS])
+    sinks.write_csv(rows, str(tmp_path / "z"), compression="gzip")
+    assert list((tmp_path / "z").glob("*.csv.gz")) and not list((tmp_path / "z").glob("*.csv"))
+    read = spark.read.option("header", True).option("escape", '"').csv(str(tmp_path / "z"))
+    assert sorted(map(tuple, read.collect())) == sorted(map(tuple, rows.collect()))
