@@ -131,17 +131,18 @@ def upsert_tasks(existing: DataFrame, incoming: DataFrame, fields: list[str]) ->
     return both.groupBy("task_id").agg(F.sum("total_cost").alias("total_cost"), F.max("total_duration").alias("total_duration"), F.min("dispatched_at").alias("dispatched_at"), F.max("completed_at").alias("completed_at"), *[pick(f).alias(f) for f in fields])
 
 
-def merge_results(rows: DataFrame, keys: list[str], order: Column, pairs: bool = False) -> DataFrame:
+def merge_results(rows: DataFrame, keys: list[str], order: Column, later: DataFrame | None = None) -> DataFrame:
     """Envelopes of the same keys as one, as if each were stored after the one before, in the order of `order`; adds n_rows.
 
     An agent's passes are those of the last row that has the agent. Costs add up;
     the longest duration, first start and last end (as texts) stay; agents and the
     failed ones' first errors are counted anew; fields of package and config keep
     their last value that is not null; all else is the first row's. A single row
-    stays as it is. `pairs` says that no more than two rows, of orders 0 and 1,
-    share their keys: then nothing is exploded, and rows that lie together by some
-    of the keys are not shuffled again.
+    stays as it is. Where `later` is given, neither table has a key twice, and its
+    rows come after those of `rows`: they meet in one join and nothing is exploded.
     """
+    if later is not None:
+        return merge_pairs(rows, later, keys)
     first = lambda c: F.min_by(c, order)
     alone = F.count("*") == 1
     kept = lambda c, merged: F.when(alone, first(c)).otherwise(merged).alias(c)
@@ -161,16 +162,33 @@ def merge_results(rows: DataFrame, keys: list[str], order: Column, pairs: bool =
     }
     taken = {*keys, *merged, "agent_results"}
     aggregates = [kept(c, m) for c, m in merged.items()] + [first(c).alias(c) for c in rows.columns if c not in taken]
-    sides = [F.first(F.when(order == i, F.struct("agent_results")), ignorenulls=True).alias(f"__side{i}") for i in (0, 1)] if pairs else [first("agent_results").alias("agent_results")]
-    out = rows.groupBy(*keys).agg(F.count("*").alias("n_rows"), *aggregates, *sides)
-    if pairs:
-        empty = F.map_filter(F.coalesce("__side0.agent_results", "__side1.agent_results"), lambda k, v: F.lit(False))
-        left, right = (F.coalesce(f"__side{i}.agent_results", empty) for i in (0, 1))
-        both = F.map_zip_with(left, right, lambda _, x, y: F.coalesce(y, x))
-        out = out.withColumn("agent_results", F.when(F.col("n_rows") == 1, F.coalesce("__side0.agent_results", "__side1.agent_results")).otherwise(both)).drop("__side0", "__side1")
-    else:
-        agents = rows.select(*keys, order.alias("__order"), F.explode("agent_results").alias("__agent", "__runs"))
-        last = agents.groupBy(*keys, "__agent").agg(F.max_by("__runs", "__order").alias("__runs"))
-        maps = last.groupBy(*keys).agg(F.map_from_entries(sorted_by(F.collect_list(F.struct("__agent", "__runs")), "__agent")).alias("__map"))
-        out = out.join(maps, keys, "left").withColumn("agent_results", F.when(F.col("n_rows") == 1, F.col("agent_results")).otherwise(F.coalesce("__map", "agent_results"))).drop("__map")
+    out = rows.groupBy(*keys).agg(F.count("*").alias("n_rows"), *aggregates, first("agent_results").alias("agent_results"))
+    agents = rows.select(*keys, order.alias("__order"), F.explode("agent_results").alias("__agent", "__runs"))
+    last = agents.groupBy(*keys, "__agent").agg(F.max_by("__runs", "__order").alias("__runs"))
+    maps = last.groupBy(*keys).agg(F.map_from_entries(sorted_by(F.collect_list(F.struct("__agent", "__runs")), "__agent")).alias("__map"))
+    out = out.join(maps, keys, "left").withColumn("agent_results", F.when(F.col("n_rows") == 1, F.col("agent_results")).otherwise(F.coalesce("__map", "agent_results"))).drop("__map")
     return out.withColumns({c: F.when(F.col("n_rows") == 1, F.col(c)).otherwise(v) for c, v in agent_figures(first_error=True).items()})
+
+
+def merge_pairs(earlier: DataFrame, later: DataFrame, keys: list[str]) -> DataFrame:
+    """`merge_results` of two tables of the same columns, each with a row per key."""
+    rest = [c for c in earlier.columns if c not in keys]
+    sides = [rows.select(*keys, F.struct(*rest).alias(name)) for rows, name in ((earlier, "__x"), (later, "__y"))]
+    x, y = (lambda c: F.col(f"__x.{c}")), (lambda c: F.col(f"__y.{c}"))
+    zero = lambda c: F.coalesce(c, F.lit(0.0))
+    stamp = lambda c, pick: F.coalesce(pick(F.nullif(x(c), F.lit("")), F.nullif(y(c), F.lit(""))), y(c))
+    none = F.map_filter(F.coalesce(x("agent_results"), y("agent_results")), lambda k, v: F.lit(False))
+    merged = {
+        "total_cost_usd": zero(x("total_cost_usd")) + zero(y("total_cost_usd")),
+        "total_duration_sec": F.greatest(zero(x("total_duration_sec")), zero(y("total_duration_sec"))),
+        "dispatched_at": stamp("dispatched_at", F.least),
+        "completed_at": stamp("completed_at", F.greatest),
+        "agent_results": F.map_zip_with(F.coalesce(x("agent_results"), none), F.coalesce(y("agent_results"), none), lambda _, a, b: F.coalesce(b, a)),
+    }
+    for s in ("package", "config"):
+        fields = [F.coalesce(y(f"{s}.{f.name}"), x(f"{s}.{f.name}")).alias(f.name) for f in earlier.schema[s].dataType.fields]
+        merged[s] = F.when(x(s).isNotNull() | y(s).isNotNull(), F.struct(*fields))
+    both = F.col("n_rows") == 2
+    met = sides[0].join(sides[1], keys, "full_outer").withColumn("n_rows", F.col("__x").isNotNull().cast("int") + F.col("__y").isNotNull().cast("int"))
+    out = met.select(*keys, "n_rows", *[F.when(both, merged.get(c, x(c))).when(F.col("__x").isNull(), y(c)).otherwise(x(c)).alias(c) for c in rest])
+    return out.withColumns({c: F.when(both, v).otherwise(F.col(c)) for c, v in agent_figures(first_error=True).items()})

@@ -9,6 +9,7 @@ from tallyforge.plans.queries_files import AGENTS_SQL, RUN_SQL, listed, nested,
 from tallyforge.plans.registry import query
 from tallyforge.plans.views import table
 from tallyforge.sources import sinks
+from tallyforge.sources.clustered import slices, write_clustered
 from tallyforge.sources.folders import scratch
 from tallyforge.sources.result_store import ResultStore
 from tallyforge.streaming.status import store_stream
@@ -24,10 +25,10 @@ l AS (SELECT task_id, {AGENTS_SQL}, CAST(sum(n) AS BIGINT) AS n_passes FROM a GR
 
 
 def dispatches(spark, sf) -> list[DataFrame]:
-    """Envelopes of the first and of the second dispatch."""
-    r = runs(spark, sf)
-    second = r.filter("source_ord = 1").withColumn("domain", F.when(F.col("iat_type") == "F", "second").otherwise(F.col("domain")))
-    return [nested(x, ["task_id"]) for x in (r.filter("source_ord = 0"), second)]
+    """Envelopes of the first and of the second dispatch, made in one pass and written by task."""
+    r = runs(spark, sf).withColumn("domain", F.when((F.col("source_ord") == 1) & (F.col("iat_type") == "F"), "second").otherwise(F.col("domain")))
+    made = spark.table(write_clustered(nested(r, ["task_id", "source_ord"]), scratch(spark), "task_id", slices(spark), "source_ord"))
+    return [made.filter(F.col("source_ord") == i).drop("source_ord") for i in (0, 1)]
 
 
 def stored(spark, sf) -> ResultStore:
@@ -56,11 +57,12 @@ def k02_m01_store_upserts(spark, sf):
 def k02_stream_upserts(spark, sf):
     """The same dispatches as JSON lines in a folder, taken by a stream in several batches, of which the store is then offered the last one again."""
     kept, drop, progress = ResultStore(spark, scratch(spark), 32), scratch(spark), scratch(spark)
-    for i, part in enumerate(dispatches(spark, sf)):
+    parts = dispatches(spark, sf)
+    for i, part in enumerate(parts):
         sinks.write_json(part.repartition(4), f"{drop}/{i}", compression="gzip")
         store_stream(spark, drop, kept, progress, lines=True, glob="*.txt.gz", per_trigger=3).awaitTermination()
     last = kept.manifest()["batches"]["intake"]
-    kept.upsert(dispatches(spark, sf)[1], batch=("intake", last))
+    kept.upsert(parts[1], batch=("intake", last))
     return shown(kept.tasks())
 
 

@@ -14,6 +14,12 @@ def _open(spark: SparkSession, path: str):
     return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
 
 
+def whole_path(spark: SparkSession, path: str) -> str:
+    """`path` with its file system and folder, as a table's location must name it."""
+    system, where = _open(spark, path)
+    return system.makeQualified(where).toString()
+
+
 def names(spark: SparkSession, folder: str) -> list[str]:
     """The names of a folder's entries; none if there is no such folder."""
     system, where = _open(spark, folder)

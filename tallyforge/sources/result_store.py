@@ -1,13 +1,16 @@
 """A store of envelopes on disk that takes upserts, in buckets of task ids under a manifest.
 
     root/manifest/<version>.json   which folder holds each bucket of each table; the last batch of each stream
-    root/tasks/<id>/bucket=<b>/    envelopes, sorted by task id
+    root/tasks/<id>/bucket=<b>/    envelopes, in parts by task id, each sorted by it
     root/scores/<id>/bucket=<b>/   scores by task
     root/figures/<id>/bucket=<b>/  counts of the index by bucket
 
 A task's bucket is a hash of its id. An upsert reads and writes the buckets that
 its tasks fall in, once each, to new folders, and then writes the next manifest,
-which names them. Readers of the old manifest see the old version; a write that
+which names them. Envelopes lie in parts by task id, as many as Spark's shuffles
+had when the store was made, so that old and new ones, and ids that are looked up,
+meet where they are read: envelopes are shuffled once where a batch does not come
+by task, and never after. The first batch is written into its place at once. Readers of the old manifest see the old version; a write that
 fails on the way leaves it in force. Manifests are created, never overwritten: of
 two writers that meet, the second looks at the first one's manifest and, if their
 buckets differ, goes on from it, else it does its work again.
@@ -33,13 +36,14 @@ from __future__ import annotations
 import logging
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyforge.operators.merge import merge_results
 from tallyforge.operators.runs import best_of
 from tallyforge.sources import control
+from tallyforge.sources.clustered import read_clustered, slices, write_clustered
 from tallyforge.sources.envelopes import ENVELOPE, agent_figures
 from tallyforge.sources.folders import scratch
 
@@ -55,7 +59,8 @@ DIMENSIONS = ("research_type", "iat_type", "domain")
 
 
 def bucket_of(task_id: Column, buckets: int) -> Column:
-    return F.pmod(F.xxhash64(task_id), F.lit(buckets)).cast("int")
+    """The hash that also makes the parts, so that a part has few buckets."""
+    return F.pmod(F.hash(task_id), F.lit(buckets)).cast("int")
 
 
 class ResultStore:
@@ -63,10 +68,13 @@ class ResultStore:
 
     def __init__(self, spark: SparkSession, root: str, buckets: int = BUCKETS):
         self.spark, self.root = spark, root.rstrip("/")
-        first = {"version": 0, "buckets": buckets, "tables": {t: {} for t in SCHEMAS}, "batches": {}}
+        first = {"version": 0, "buckets": buckets, "parts": slices(spark), "tables": {t: {} for t in SCHEMAS}, "batches": {}}
         if not self._versions():
             control.write_new(spark, self._path(0), first)
-        self.buckets = self.manifest()["buckets"]
+        found = self.manifest()
+        if "parts" not in found:
+            raise ValueError(f"the store in {self.root} has the layout of an earlier version; write it again")
+        self.buckets, self.parts = found["buckets"], found["parts"]
 
     # versions ----------------------------------------------------------------
 
@@ -96,7 +104,7 @@ class ResultStore:
             tables = {t: {**now["tables"][t], **{str(b): f for b, f in written.get(t, {}).items()}} for t in SCHEMAS}
             batches = {**now["batches"], **({batch[0]: batch[1]} if batch else {})}
             version = max(self._versions()) + 1
-            if control.write_new(self.spark, self._path(version), {"version": version, "buckets": self.buckets, "tables": tables, "batches": batches}):
+            if control.write_new(self.spark, self._path(version), {"version": version, "buckets": self.buckets, "parts": self.parts, "tables": tables, "batches": batches}):
                 return True
 
     def vacuum(self) -> int:
@@ -121,6 +129,15 @@ class ResultStore:
         schema = T._parse_datatype_string(SCHEMAS[table])
         return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
 
+    def _by_task(self, manifest: dict | None = None, buckets: list[int] | None = None) -> DataFrame:
+        """Envelopes with their bucket, for joins by task id: they are not shuffled there."""
+        folders = (manifest or self.manifest())["tables"]["tasks"]
+        found = {int(b): f"{self.root}/tasks/{f}/bucket={b}" for b, f in folders.items() if buckets is None or int(b) in buckets}
+        schema = T._parse_datatype_string(ROWS)
+        if not found:
+            return self.spark.createDataFrame([], schema).withColumn("bucket", F.lit(0))
+        return read_clustered(self.spark, schema, "task_id", self.parts, "bucket", found)
+
     def tasks(self) -> DataFrame:
         return self._read("tasks")
 
@@ -130,7 +147,7 @@ class ResultStore:
     def index(self) -> DataFrame:
         """One narrow row per task; the pass lists shrink to a summary per agent."""
         known = self.scores().select("task_id", F.lit(True).alias("scored"))
-        return index_entries(self.tasks()).join(known, "task_id", "left").withColumn("scored", F.coalesce("scored", F.lit(False)))
+        return index_entries(self._by_task()).join(known, "task_id", "left").withColumn("scored", F.coalesce("scored", F.lit(False)))
 
     def get(self, task_id: str) -> DataFrame:
         """The task of one id, from the files of its bucket alone."""
@@ -141,11 +158,12 @@ class ResultStore:
         """The rows of all ids in a column of `ids`, from the buckets they fall in; a semi-join, whose side Spark chooses by size."""
         wanted = ids.select(F.col(f"`{key}`").cast("string").alias("task_id")).filter("task_id IS NOT NULL").distinct()
         touched = [r[0] for r in wanted.select(bucket_of(F.col("task_id"), self.buckets)).distinct().collect()]  # at most `buckets` numbers
-        return self._read(table, buckets=touched).join(wanted, "task_id", "left_semi")
+        rows = self._by_task(buckets=touched).drop("bucket") if table == "tasks" else self._read(table, buckets=touched)
+        return rows.join(wanted, "task_id", "left_semi")
 
     def comparison(self, ids: DataFrame | None = None) -> DataFrame:
         """Per task and agent: the task's metadata, the best pass, passes run and clean, the agent's scores and the golden response."""
-        tasks, scores = (self.tasks(), self.scores()) if ids is None else (self.lookup(ids), self.lookup(ids, table="scores"))
+        tasks, scores = (self._by_task(), self.scores()) if ids is None else (self.lookup(ids), self.lookup(ids, table="scores"))
         agents = tasks.select("task_id", *[F.coalesce(f"package.{f}", F.lit("")).alias(f) for f in ("research_type", "iat_type", "domain", "prompt")], F.explode("agent_results").alias("agent", "runs"))
         agents = agents.filter(F.size("runs") > 0).withColumn("best", best_of(F.col("runs")))
         clean = F.size(F.filter("runs", lambda p: F.coalesce(p["completed"], F.lit(False)) & (F.coalesce(p["error"], F.lit("")) == "")))
@@ -167,12 +185,19 @@ class ResultStore:
 
     # writing -----------------------------------------------------------------
 
+    def _written(self, folder: str) -> list[int]:
+        return [int(n.partition("=")[2]) for n in control.names(self.spark, folder) if n.startswith("bucket=")]
+
     def _write(self, table: str, rows: DataFrame, touched: list[int]) -> dict[int, str]:
-        """Rows of the touched buckets, hashed by bucket already, as a new folder; buckets of no rows keep the folder they have."""
+        """Rows of the touched buckets, hashed by bucket or task already, as a new folder; buckets of no rows keep the folder they have."""
         folder = uuid.uuid4().hex
-        order = ["task_id"] if "task_id" in rows.columns else ["dimension", "value"]
-        rows.sortWithinPartitions("bucket", *order).write.partitionBy("bucket").parquet(f"{self.root}/{table}/{folder}")
-        wrote = {int(n.partition("=")[2]) for n in control.names(self.spark, f"{self.root}/{table}/{folder}") if n.startswith("bucket=")}
+        path = f"{self.root}/{table}/{folder}"
+        if table == "tasks":
+            write_clustered(rows, path, "task_id", self.parts, "bucket")
+        else:
+            order = ["task_id"] if "task_id" in rows.columns else ["dimension", "value"]
+            rows.sortWithinPartitions("bucket", *order).write.partitionBy("bucket").parquet(path)
+        wrote = self._written(path)
         return {b: folder for b in touched if b in wrote}
 
     def _bucketed(self, rows: DataFrame) -> tuple[DataFrame, list[int]]:
@@ -183,44 +208,65 @@ class ResultStore:
         staged = self.spark.read.parquet(path)
         return staged, [r[0] for r in staged.select("bucket").distinct().collect()]
 
-    def _figures(self, tasks: DataFrame, scores: DataFrame) -> DataFrame:
+    def _staged(self, rows: DataFrame, path: str) -> tuple[DataFrame, list[int]]:
+        """Envelopes written once by bucket and task, with __n, the rows of their task or more, and the buckets that occur.
+
+        Rows that lie by task are written where they are, others are shuffled.
+        """
+        rows = rows.repartition(self.parts, "task_id") if slices(self.spark) != self.parts else rows
+        alike = F.count("*").over(Window.partitionBy("task_id"))
+        rows = rows.withColumn("__n", F.when(F.col("task_id").isNull(), 2).otherwise(alike)).withColumn("task_id", F.coalesce("task_id", F.lit("unknown")))
+        name = write_clustered(rows.withColumn("bucket", bucket_of(F.col("task_id"), self.buckets)), path, "task_id", self.parts, "bucket")
+        return self.spark.table(name), self._written(path)
+
+    def _figures(self, tasks: DataFrame, scores: DataFrame | None) -> DataFrame:
         """Counts by bucket of task rows with `bucket`."""
-        scored = scores.select("task_id", F.lit(1).alias("scored"))
         one = lambda name, value: F.struct(F.lit(name).alias("dimension"), value.alias("value"))
         each = F.concat(F.array(one("all", F.lit("")), *[one(d, F.coalesce(f"package.{d}", F.lit(""))) for d in DIMENSIONS]), F.transform(F.coalesce("agents_attempted", F.array().cast("array<string>")), lambda a: one("agent", a)))
-        rows = tasks.join(scored, "task_id", "left").select("bucket", F.explode(each).alias("d"), F.coalesce("scored", F.lit(0)).alias("scored"), F.coalesce("total_cost_usd", F.lit(0.0)).cast("decimal(18,8)").alias("cost"))
+        known = tasks.withColumn("scored", F.lit(0)) if scores is None else tasks.join(scores.select("task_id", F.lit(1).alias("scored")), "task_id", "left")
+        rows = known.select("bucket", F.explode(each).alias("d"), F.coalesce("scored", F.lit(0)).alias("scored"), F.coalesce("total_cost_usd", F.lit(0.0)).cast("decimal(18,8)").alias("cost"))
         return rows.groupBy("bucket", "d.dimension", "d.value").agg(F.count("*").alias("n"), F.sum("scored").cast("long").alias("scored"), F.sum("cost").cast("decimal(38,8)").alias("cost")).repartition("bucket")
 
     def upsert(self, incoming: DataFrame, order: tuple[str, ...] = (), batch: tuple[str, int] | None = None) -> int:
         """Merges envelopes into the store and returns the version. A `batch` (stream, number) that is already in the store changes nothing."""
         if self._has(batch):
             return self.manifest()["version"]
-        rows = aligned(incoming, tuple(order)).withColumn("task_id", F.coalesce("task_id", F.lit("unknown")))
-        given = [F.col(f"`{c}`") for c in order] or [F.coalesce(c, F.lit("")) for c in ("dispatched_at", "completed_at")]
-        tie = F.xxhash64(F.to_json(F.struct(*[f"`{c}`" for c in rows.columns])))
-        rows = rows.withColumn("__seq", F.struct(*[c.alias(f"k{i}") for i, c in enumerate(given)], tie.alias("tie")))
-        staged, touched = self._bucketed(rows)
+        first = not self.manifest()["tables"]["tasks"]
+        folder = uuid.uuid4().hex
+        place = f"{self.root}/tasks/{folder}" if first else scratch(self.spark)
+        rows = aligned(incoming, tuple(order))
         names = T._parse_datatype_string(ROWS).names
-        if not staged.groupBy("task_id").agg(F.count("*").alias("n")).filter("n > 1").isEmpty():
-            staged, touched = self._bucketed(merge_results(staged, ["task_id"], F.col("__seq")).select(*names))
+        columns = [*names, *[c for c in order if c not in names]]
+        staged, touched = self._staged(rows, place)
+        in_place, used = first, False
+        if not staged.filter("__n > 1").isEmpty():
+            given = [F.col(f"`{c}`") for c in order] or [F.coalesce(c, F.lit("")) for c in ("dispatched_at", "completed_at")]
+            tie = F.xxhash64(F.to_json(F.struct(*[f"`{c}`" for c in columns])))
+            turn = F.struct(*[c.alias(f"k{i}") for i, c in enumerate(given)], tie.alias("tie"))
+            staged, touched = self._staged(merge_results(staged.select(*columns).withColumn("__seq", turn), ["task_id"], F.col("__seq")).select(*names), scratch(self.spark))
+            in_place = False
         staged = staged.select(*names, "bucket")
         while True:
             base = self.manifest()
             if not touched:
                 if self._commit(base, {}, batch):
-                    return self.manifest()["version"]
+                    break
                 continue
             if any(str(b) in base["tables"]["tasks"] for b in touched):
-                old = self._read("tasks", base, touched).withColumn("bucket", bucket_of(F.col("task_id"), self.buckets))
-                both = old.withColumn("__new", F.lit(0)).unionByName(staged.withColumn("__new", F.lit(1))).repartition("bucket")
-                merged = merge_results(both, ["bucket", "task_id"], F.col("__new"), pairs=True).drop("n_rows", "__new")
-            else:  # a batch has one row of a task by now, and a single row stays as it is
-                merged = staged.repartition("bucket")
-            written = {"tasks": self._write("tasks", merged, touched)}
+                merged = merge_results(self._by_task(base, touched), ["task_id"], F.lit(0), later=staged).drop("n_rows")
+                written = {"tasks": self._write("tasks", merged, touched)}
+            elif in_place:  # a batch has one row of a task by now, and a single row stays as it is
+                written = {"tasks": {b: folder for b in touched}}
+            else:
+                written = {"tasks": self._write("tasks", staged, touched)}
             now = {**base, "tables": {**base["tables"], "tasks": {**base["tables"]["tasks"], **{str(b): f for b, f in written["tasks"].items()}}}}
             written["figures"] = self._count(now, touched)
             if self._commit(base, written, batch):
-                return self.manifest()["version"]
+                used = folder in written["tasks"].values()
+                break
+        if first and not used:
+            control.remove(self.spark, place)
+        return self.manifest()["version"]
 
     def add_scores(self, scores: DataFrame, batch: tuple[str, int] | None = None) -> int:
         """Scores by task; of one task the last scored_at counts, and the new one before the old. A missing time is now."""
@@ -250,8 +296,9 @@ class ResultStore:
         return batch is not None and self.manifest()["batches"].get(batch[0], -1) >= batch[1]
 
     def _count(self, now: dict, touched: list[int]) -> dict[int, str]:
-        rows = self._read("tasks", now, touched).withColumn("bucket", bucket_of(F.col("task_id"), self.buckets))
-        return self._write("figures", self._figures(rows, self._read("scores", now, touched)), touched)
+        known = any(str(b) in now["tables"]["scores"] for b in touched)
+        rows = self._by_task(now, touched) if known else self._read("tasks", now, touched).withColumn("bucket", bucket_of(F.col("task_id"), self.buckets))
+        return self._write("figures", self._figures(rows, self._read("scores", now, touched) if known else None), touched)
 
 
 def aligned(rows: DataFrame, also: tuple[str, ...] = ()) -> DataFrame:

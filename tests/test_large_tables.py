@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tallyforge.functions import text
 from tallyforge.operators import corpus
 from tallyforge.operators.substrings import containing
-from tallyforge.plans import queries_files
+from tallyforge.plans import queries_files, queries_store
 from tallyforge.plans.registry import ORACLE, QUERIES
 from tallyforge.sources import corpus_files, envelopes, json_records, result_store, sinks
 from tests.conftest import SF, TABLES, same
@@ -140,3 +140,70 @@ def test_first_rows_of_buckets_are_not_merged(spark, tmp_path, monkeypatch):
     kept.upsert(e.filter("task_id < '2'"))
     assert merged and kept.tasks().count() == 40
     assert {r["task_id"]: r["total_cost_usd"] for r in kept.tasks().collect()} == {str(i): 3.0 if str(i) < "2" else 1.5 for i in range(40)}
+
+
+def plan_of(frame):
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+def without_broadcasts(spark, make):
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        return plan_of(make())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+
+
+def small_envelopes(spark, n):
+    run = "named_struct('task_id', '1', 'completed', true, 'response_text', 'x')"
+    return spark.range(n).selectExpr("cast(id as string) task_id", "1.5D total_cost_usd", f"map('A', array({run})) agent_results")
+
+
+def test_old_and_new_envelopes_meet_without_a_shuffle(spark, tmp_path, monkeypatch):
+    plans, real = [], result_store.merge_results
+
+    def merge(*a, **k):
+        out = real(*a, **k)
+        plans.append(plan_of(out))
+        return out
+
+    monkeypatch.setattr(result_store, "merge_results", merge)
+    kept = result_store.ResultStore(spark, f"{tmp_path}/store", 8)
+    kept.upsert(small_envelopes(spark, 40))
+    kept.upsert(small_envelopes(spark, 60))
+    assert len(plans) == 1 and "Exchange" not in plans[0]
+    assert {r["task_id"]: r["total_cost_usd"] for r in kept.tasks().collect()} == {str(i): 3.0 if i < 40 else 1.5 for i in range(60)}
+    assert len(list((tmp_path / "store" / "tasks").iterdir())) == 2
+
+
+def test_ids_go_to_their_envelopes(spark, tmp_path):
+    """In lookups, the index and the comparison only ids and scores are shuffled."""
+    kept = result_store.ResultStore(spark, f"{tmp_path}/store", 4)
+    kept.upsert(small_envelopes(spark, 40))
+    kept.add_scores(spark.createDataFrame([("1", "2024", "A")], "task_id string, scored_at string, golden_response string"))
+    ids = spark.createDataFrame([("1",), ("39",), ("none",)], "id string")
+    for make in (lambda: kept.lookup(ids, "id"), kept.index, kept.comparison):
+        found = without_broadcasts(spark, make)
+        shuffled = [line for line in found.split("\n") if "Exchange hashpartitioning" in line]
+        assert len(shuffled) == 1, found  # of ids, which are made distinct there, or of scores
+    assert sorted(r["task_id"] for r in kept.lookup(ids, "id").collect()) == ["1", "39"]
+    assert kept.index().filter("scored").count() == 1
+
+
+def test_rows_of_one_task_with_and_without_an_id(spark, tmp_path):
+    """Null ids are the task `unknown`, also beside rows that say so; the first write is merged then."""
+    kept = result_store.ResultStore(spark, f"{tmp_path}/store", 4)
+    e = small_envelopes(spark, 5).withColumn("task_id", F.when(F.col("task_id") == "0", F.lit(None)).when(F.col("task_id") == "1", "unknown").otherwise(F.col("task_id")))
+    kept.upsert(e.unionByName(e.filter("task_id = '4'")))
+    assert {r["task_id"]: r["total_cost_usd"] for r in kept.tasks().collect()} == {"unknown": 3.0, "2": 1.5, "3": 1.5, "4": 3.0}
+    assert len(list((tmp_path / "store" / "tasks").iterdir())) == 1 and kept.stats().first()["total"] == 4
+
+
+def test_both_dispatches_are_made_in_one_pass(spark, monkeypatch):
+    made = []
+    real = queries_store.runs
+    monkeypatch.setattr(queries_store, "runs", lambda *a: made.append(1) or real(*a))
+    first, second = queries_store.dispatches(spark, SF)
+    assert len(made) == 1 and first.count() > 0 and second.count() > 0
+    assert not [x for x in (first, second) if "Window" in plan_of(x)]
