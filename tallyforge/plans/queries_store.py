@@ -59,7 +59,7 @@ def k02_stream_upserts(spark, sf):
     kept, drop, progress = ResultStore(spark, scratch(spark), 32), scratch(spark), scratch(spark)
     parts = dispatches(spark, sf)
     for i, part in enumerate(parts):
-        sinks.write_json(part.repartition(4), f"{drop}/{i}", compression="gzip")
+        sinks.write_json(part, f"{drop}/{i}", compression="gzip", files=4)
         store_stream(spark, drop, kept, progress, lines=True, glob="*.txt.gz", per_trigger=3).awaitTermination()
     last = kept.manifest()["batches"]["intake"]
     kept.upsert(parts[1], batch=("intake", last))

@@ -49,12 +49,13 @@ def store_stream(spark: SparkSession, folder: str, store: ResultStore, checkpoin
 
     A file holds an object or an array of them, or one in each line. The store
     notes the number of each batch under `name` in the same manifest that publishes
-    the batch, so a batch that is replayed after a failure changes nothing.
+    the batch, so a batch that is replayed after a failure changes nothing. Texts
+    are shuffled by task id once and parsed after that, on as many cores as there are.
     """
     reader = spark.readStream.option("pathGlobFilter", glob).option("recursiveFileLookup", True).option("maxFilesPerTrigger", per_trigger)
     rows = reader.text(folder, wholetext=not lines).select("value", F.col("_metadata.file_name").alias("file_name"))
 
     def merge(batch: DataFrame, number: int) -> None:
-        store.upsert(parse_envelopes(batch), order=order, batch=(name, number))
+        store.upsert(parse_envelopes(batch, parts=store.parts), order=order, batch=(name, number))
 
     return rows.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -207,3 +207,17 @@ def test_both_dispatches_are_made_in_one_pass(spark, monkeypatch):
     first, second = queries_store.dispatches(spark, SF)
     assert len(made) == 1 and first.count() > 0 and second.count() > 0
     assert not [x for x in (first, second) if "Window" in plan_of(x)]
+
+
+def test_few_files_are_parsed_by_many_tasks(spark, tmp_path):
+    """Of a text only its id is read before the shuffle, in which it lies by task after that; odd texts come out the same."""
+    texts = ['{"task_id":"a","x":{"y":1},"agent_results":{"A":[{"model":"m"}]}}', '[{"task_id":"b"},{"task_id":7,"dispatched_at":"d"},{}]', '{"task_id":"c"', "", "[]", '{"task_id":"a","task_id":"z"}', '{"task_id":["q"]}', '{"dispatched_at":"e"}', "7", ' [ {"task_id":"d","x":"1"} ] ']
+    rows = spark.createDataFrame([(t, f"f{i}") for i, t in enumerate(texts)], "value string, file_name string")
+    assert sorted(map(str, envelopes.parse_envelopes(rows, parts=3).collect())) == sorted(map(str, envelopes.parse_envelopes(rows).collect()))
+    rows.write.parquet(f"{tmp_path}/t")
+    dealt = envelopes.parse_envelopes(spark.read.parquet(f"{tmp_path}/t"), parts=5)
+    above, below = plan_of(dealt).split("Exchange hashpartitioning", 1)
+    assert "agent_results" in above and "agent_results" not in below and "variant" not in below
+    assert plan_of(dealt.groupBy("task_id").count()).count("Exchange") == 1
+    sinks.write_json(small_envelopes(spark, 50), f"{tmp_path}/j", files=3)
+    assert len(list((tmp_path / "j").glob("part-*"))) == 3 and envelopes.read_envelopes(spark, f"{tmp_path}/j", lines=True, glob="*.txt").count() == 50
