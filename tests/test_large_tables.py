@@ -1,5 +1,6 @@
 """What shows only on larger tables: results against SQL, files that share a name, shuffles, memory of one task."""
 
+import gzip
 import json
 import os
 import re
@@ -221,3 +222,24 @@ def test_few_files_are_parsed_by_many_tasks(spark, tmp_path):
     assert plan_of(dealt.groupBy("task_id").count()).count("Exchange") == 1
     sinks.write_json(small_envelopes(spark, 50), f"{tmp_path}/j", files=3)
     assert len(list((tmp_path / "j").glob("part-*"))) == 3 and envelopes.read_envelopes(spark, f"{tmp_path}/j", lines=True, glob="*.txt").count() == 50
+
+
+def test_members_of_an_ordered_export(spark, tmp_path):
+    """Parts are compressed, their join is one gzip file, and each part of it is read by a task; quoted line ends stay in their row."""
+    texts = ["a,b", 'say "x"', "two\nlines", "", None, "é\\", '"\n"', "a\rb"]
+    row = [F.lit("x").alias(c) if c not in ("task_id", "response_text", "dispatched_at") else c for c in sinks.CSV_COLUMNS]
+    rows = spark.range(400).select(F.format_string("t%04d", "id").alias("task_id"), F.lit("2024").alias("dispatched_at"), F.element_at(F.array(*map(F.lit, texts)), (F.col("id") % len(texts) + 1).cast("int")).alias("response_text"), F.lit(0).alias("pass_idx")).select(*row, "pass_idx").repartition(5)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sinks.write_ordered_csv(rows, f"{tmp_path}/o", compression="gzip")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    parts = sinks.join_parts(f"{tmp_path}/o", f"{tmp_path}/o.csv.gz")
+    whole = gzip.decompress((tmp_path / "o.csv.gz").read_bytes())
+    assert whole.startswith(",".join(sinks.CSV_COLUMNS).encode() + b"\n") and len(whole) > 10 * (tmp_path / "o.csv.gz").stat().st_size and len(parts) > 3
+    read = sinks.read_parts(spark, f"{tmp_path}/o.csv.gz", parts)
+    assert read.columns == [*sinks.CSV_COLUMNS, "place"]
+    found = sorted((r["place"], r["task_id"], r["response_text"]) for r in read.collect())
+    assert found == [(i + 1, f"t{i:04d}", texts[i % len(texts)] or None) for i in range(400)]
+    small = list(sinks.unzipped(f"{tmp_path}/o.csv.gz", 0, sum(n for _, n in parts)))
+    assert sum(map(len, small)) == 401  # members that follow each other are one text
