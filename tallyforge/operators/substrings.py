@@ -60,6 +60,19 @@ def containing(texts: DataFrame, text: str, needles: DataFrame, needle: str, on:
     return found.join(needles, [*on, needle]).select(*texts.columns, *[c for c in needles.columns if c not in on])
 
 
+def containing_words(words: DataFrame, word: str, needles: DataFrame, needle: str) -> DataFrame:
+    """`containing` for short texts, with distinct needles: rows stay where they are as long as Spark broadcasts the needles' anchors, so they need not be shuffled to be told apart."""
+    path = scratch(words.sparkSession)
+    anchored(needles, needle).write.parquet(path)
+    anchors = words.sparkSession.read.parquet(path)
+    sizes = sorted(q for (q,) in anchors.select("__q").distinct().collect())  # of GRAMS
+    if not sizes:
+        return words.withColumn(needle, F.lit("")).limit(0)
+    each = F.concat(*[F.transform(grams(F.col(word), q), lambda g: F.struct(F.length(g).alias("q"), F.xxhash64(g).alias("g"))) for q in sizes])
+    held = words.select("*", F.inline(each)).withColumnsRenamed({"q": "__q", "g": "__gram"})
+    return held.join(anchors, ["__q", "__gram"]).filter(F.contains(word, needle)).drop("__q", "__gram")
+
+
 def occurrences(text: Column, needle: Column) -> Column:
     """How often a needle that is not empty occurs in a text, without overlaps."""
     return ((F.length(text) - F.length(F.replace(text, needle, F.lit("")))) / F.length(needle)).cast("long")

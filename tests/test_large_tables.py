@@ -243,3 +243,25 @@ def test_members_of_an_ordered_export(spark, tmp_path):
     assert found == [(i + 1, f"t{i:04d}", texts[i % len(texts)] or None) for i in range(400)]
     small = list(sinks.unzipped(f"{tmp_path}/o.csv.gz", 0, sum(n for _, n in parts)))
     assert sum(map(len, small)) == 401  # members that follow each other are one text
+
+
+def test_a_search_shuffles_texts_once(spark, tmp_path, monkeypatch):
+    """Words, documents that have them, terms and hits stay in the blocks that texts are dealt to."""
+    plans, real = [], corpus.containing_words
+
+    def held(*a):
+        out = real(*a)
+        hits = out.select("__block", "term", F.inline("__in")).groupBy("__block", "term", "__doc").agg(F.sum("n"))
+        plans.append(plan_of(hits))
+        return out
+
+    monkeypatch.setattr(corpus, "containing_words", held)
+    spark.createDataFrame([(f"d{i}", f"one three{i % 7} Überwort {'x' * (i % 40)}") for i in range(60)], "filename string, text_content string").write.parquet(f"{tmp_path}/d")
+    asked = spark.createDataFrame([(1, "three1 one"), (2, "überw xxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxx"), (3, "none of-it"), (4, "")], "query_id long, query string")
+    docs = spark.read.parquet(f"{tmp_path}/d")
+    found = corpus.search_many(docs, asked, 3)
+    assert plans[0].count("Exchange hashpartitioning(__block") == 1 and plans[0].count("Exchange hashpartitioning") == 1 and "SortMergeJoin" not in plans[0]
+    got = {(r["query_id"], r["rank"]): (r["filename"], r["relevance_score"], r["snippet"]) for r in found.collect()}
+    for number, query in ((1, "three1 one"), (2, "überw xxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxx"), (3, "none of-it")):
+        want = [(r["filename"], r["relevance_score"], r["snippet"]) for r in corpus.search(docs, query, 3).collect()]
+        assert [got[k] for k in sorted(got) if k[0] == number] == want
