@@ -13,8 +13,9 @@ The rule looks at the stretch alone, so an edit changes the signatures near it.
 Two sets of sizes a <= b can only reach a likeness t if a >= t b. Partners are
 therefore sought between neighbouring size classes, whose bounds grow by 1 / t,
 and within them by the first signatures of a set: two sets of likeness t share
-one of the first (1 - t) a + 1 signatures in one fixed order, which puts common
-ones last. A bucket of many sets is dealt to blocks, two of which meet in a task.
+one of the first (1 - t) a + 1 signatures in one fixed order, that of the number of
+sets that have them. So buckets are small, and sets whose rarest signatures are
+their own have none. A bucket of many sets is dealt to blocks, two of which meet in a task.
 
 Defined results
 ---------------
@@ -41,8 +42,8 @@ CHAIN = 2
 THRESHOLD = 0.8
 #: Content words without an anchor from which each has the virtual one.
 RUN = 8
-#: Sets that say which signatures are common, how many of these are put last in the order, and sets in a block; two blocks meet in a task.
-SAMPLE, COMMON, BLOCK = 20_000, 1_000, 512
+#: Signatures of so many sets or more are equally common in the order; sets in a block, two of which meet in a task.
+COMMON, BLOCK = 1 << 20, 512
 GROUP = ("sig", "part", "i", "j")  # a pair of blocks of a bucket
 #: Documents in a range of ids, in the mean, where each text is joined to the next; at most RANGES ranges.
 RANGE_ROWS, RANGES = 2_000, 2_000
@@ -129,12 +130,21 @@ def edited(text: Column, following: Column) -> Column:
     return F.concat(F.substring(text, F.lit(1), F.length(text) - half), F.substring(following, F.lit(1), half))
 
 
-def common_signatures(sets: DataFrame, sample: int = SAMPLE) -> list[int]:
-    """Signatures of over one in a hundred of about `sample` sets, which are put last in the order; any order gives the same result."""
-    n = sets.count()
-    some = sets.filter(F.pmod(F.xxhash64("key", F.lit("order")), F.lit(1_000_003)) < int(1_000_003 * min(1.0, sample / max(1, n))) + 1)
-    counts = some.select(F.explode("sigs").alias("sig")).groupBy("sig").count().filter(F.col("count") > max(2, min(sample, n) // 100))
-    return [r["sig"] for r in counts.orderBy(F.desc("count"), "sig").limit(COMMON).collect()]
+def shared_signatures(sets: DataFrame, threshold: float) -> DataFrame:
+    """(key, copies, size, sigs, kept) of sets that may have a partner: their signatures that other sets have, too, rare ones first, the first `kept` of them the prefix.
+
+    Signatures of one set only are the rarest: they fill its prefix first and are
+    in no intersection, so they are left out, and with them all sets whose prefix
+    they fill.
+    """
+    each = sets.select("key", F.explode("sigs").alias("sig"))
+    counts = store(each.groupBy("sig").agg(F.count("*").alias("n")).filter("n > 1").withColumn("often", F.least("n", F.lit(COMMON))))
+    total = sets.agg(F.sum(F.size("sigs"))).first()[0] or 0
+    ranked = join_by_key(each, counts, ["sig"], total).groupBy("key").agg(F.sort_array(F.collect_list(F.struct("often", "sig"))).alias("r"))
+    rows = sets.select("key", "copies", F.size("sigs").alias("size")).join(ranked, "key")
+    kept = (F.col("size") - F.ceil(F.lit(threshold) * F.col("size") - 1e-9) + 1) - (F.col("size") - F.size("r"))
+    rows = rows.select("key", "copies", "size", F.transform("r", lambda x: x["sig"]).alias("sigs"), kept.cast("int").alias("kept"))
+    return store(rows.filter("kept > 0"))
 
 
 def signature_sets(docs: DataFrame, doc: str, text: str, anchors: tuple[str, ...], chain: int) -> tuple[DataFrame, DataFrame]:
@@ -147,18 +157,14 @@ def signature_sets(docs: DataFrame, doc: str, text: str, anchors: tuple[str, ...
 
 
 def bucket_members(sets: DataFrame, threshold: float, block: int) -> tuple[DataFrame, DataFrame]:
-    """(sets in the buckets of their prefix signatures and length classes, dealt to pairs of blocks (i, j) that meet; sets with their signatures in order, the first `kept` of them the prefix).
+    """(sets in the buckets of their prefix signatures and length classes, dealt to pairs of blocks (i, j) that meet; sets as `shared_signatures` gives them).
 
     A set is compared as the longer one in its own class, as the shorter one in
     its own and the next. Each set's shared signatures are put in order. Where
     all sets of a bucket have the same shared one before this one, every two of
     them are compared in an earlier bucket, so this one is left out.
     """
-    common = common_signatures(sets)
-    listed = F.array(*map(F.lit, common)).cast("array<bigint>")
-    size = F.size("sigs")
-    rows = sets.filter(size > 0).select("key", "copies", size.alias("size"), F.concat(F.array_except("sigs", listed), F.array_intersect("sigs", listed)).alias("sigs"))
-    rows = rows.withColumn("kept", (F.col("size") - F.ceil(F.lit(threshold) * F.col("size") - 1e-9) + 1).cast("int"))
+    rows = shared_signatures(sets, threshold)
     own_class = F.floor(F.log(F.col("size")) / F.log(F.lit(1 / threshold)) + 1e-9).cast("int")
     each = rows.select("key", F.posexplode(F.slice("sigs", F.lit(1), F.col("kept"))).alias("pos", "sig"), own_class.alias("own")).withColumn("up", F.explode(F.array(F.lit(0), F.lit(1))))
     each = each.select("key", "pos", "sig", (F.col("own") + F.col("up")).alias("part"), (F.col("up") == 0).alias("longer"))
@@ -188,7 +194,8 @@ def partners(members: DataFrame, threshold: float) -> DataFrame:
         fits = F.when(first, y["longer"] & (x["size"] >= threshold * y["size"] - 1e-9)).otherwise(x["longer"] & (y["size"] >= threshold * x["size"] - 1e-9))
         meet = (x["key"] != y["key"]) & ((F.col("i") == F.col("j")) | (x["block"] != y["block"]))
         here = F.get(F.array_intersect(x["prefix"], y["prefix"]), F.lit(0)) == F.col("sig")
-        return meet & fits & here & (likeness(x["sigs"], y["sigs"]) >= threshold - 1e-9)
+        common = F.size(F.array_intersect(x["sigs"], y["sigs"]))
+        return meet & fits & here & (common / (x["size"] + y["size"] - common) >= threshold - 1e-9)
 
     found = F.transform("m", lambda x: F.struct(x["key"].alias("key"), x["root"].alias("root"), F.transform(F.filter("m", lambda y: linked(x, y)), lambda y: F.struct(y["copies"].alias("copies"), y["root"].alias("root"))).alias("of")))
     some = grouped.select(*GROUP, F.explode(F.filter(found, lambda x: F.size(x["of"]) > 0)).alias("x"))

@@ -370,3 +370,18 @@ def test_spot_buckets_compare_near_copies_once(spark):
     _, sets = spotsigs.signature_sets(spark.createDataFrame(docs, "doc_id long, text string"), "doc_id", "text", spotsigs.ANCHORS, spotsigs.CHAIN)
     members, _ = spotsigs.bucket_members(sets, 0.8, 512)
     assert 24 <= members.count() <= 24 * 8
+
+
+def test_spot_buckets_grow_with_the_documents(spark):
+    """Phrases that many texts share, in any part of the order, bring texts of phrases of their own into no bucket."""
+    rng, sizes = random.Random(3), []
+    stock = [f"the s{i}a s{i}b" for i in range(60)]
+    for n in (100, 400):
+        docs = [(i, " ".join(f"the d{i}x{j} y" for j in range(40)) + " " + " ".join(rng.sample(stock, 25))) for i in range(n)]
+        docs += [(n + i, docs[i][1].replace(f"d{i}x3 ", f"e{i} ")) for i in range(5)]
+        _, sets = spotsigs.signature_sets(spark.createDataFrame(docs, "doc_id long, text string"), "doc_id", "text", spotsigs.ANCHORS, spotsigs.CHAIN)
+        members, rows = spotsigs.bucket_members(sets, 0.8, 512)
+        assert rows.count() == 10  # the five and their copies
+        sizes.append(members.count())
+    assert 10 <= sizes[1] <= 2 * sizes[0] <= 400
+    assert sum(r["n_links"] for r in spotsigs.near_classes(spark.createDataFrame(docs, "doc_id long, text string")).collect()) == 10
