@@ -151,7 +151,7 @@ def signature_sets(docs: DataFrame, doc: str, text: str, anchors: tuple[str, ...
     """(doc_id and digest of every row with an id, distinct sets: a number as key, digest, least id, copies and sigs)."""
     rows = with_signatures(docs.select(F.col(doc).alias("doc_id"), F.col(text).alias("text")).filter("doc_id IS NOT NULL"), "text", "sigs", anchors, chain)
     # texts without a word are equal to equal texts only
-    rows = store(rows.select("doc_id", F.unhex(F.sha2(F.when(F.size("sigs") > 0, fingerprint(F.col("sigs"))).otherwise(F.concat(F.lit("-"), F.coalesce("text", F.lit("")))), 256)).alias("digest"), "sigs"))
+    rows = store(rows.select("doc_id", F.unhex(F.sha2(F.when(F.size("sigs") > 0, F.to_json("sigs")).otherwise(F.concat(F.lit("-"), F.coalesce("text", F.lit("")))), 256)).alias("digest"), "sigs"))
     sets = rows.groupBy("digest").agg(F.min("doc_id").alias("least_id"), F.count("*").alias("copies"), F.first("sigs").alias("sigs"))
     return rows.select("doc_id", "digest"), store(sets.withColumn("key", F.monotonically_increasing_id()))
 
